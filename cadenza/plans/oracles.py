@@ -112,8 +112,117 @@ pairs AS (SELECT v.label AS a, n.p_name AS b FROM genre_vocab v, (SELECT DISTINC
 SELECT a, b, ratio FROM sim"""
 
 
+TITLE_CLEAN = r"""
+WITH t AS (
+  SELECT p_partkey, p_name || ' - ' || p_brand || ' [' || p_type || '] (' || CAST(p_size AS VARCHAR) || ')' AS title
+  FROM part),
+c AS (
+  SELECT p_partkey, title, position(' - ' IN title) AS s, position('(' IN title) AS p1,
+         position('[' IN title) AS p2
+  FROM t WHERE contains(title, ' - ')),
+d AS (
+  SELECT p_partkey, title,
+    CASE WHEN least(CASE WHEN p1 > s THEN p1 END, CASE WHEN p2 > s THEN p2 END) IS NULL THEN title
+         ELSE substr(title, 1, least(CASE WHEN p1 > s THEN p1 END, CASE WHEN p2 > s THEN p2 END) - 1)
+    END AS truncated
+  FROM c)
+SELECT p_partkey, title, truncated,
+  trim(string_split(truncated, ' - ')[1]) AS part0,
+  trim(string_split(truncated, ' - ')[2]) AS part1,
+  regexp_replace(truncated, '[^\p{L}\p{N}]+', ' ', 'g') AS search_text
+FROM d"""
+
+HTML_UNESCAPE = """
+SELECT page_id,
+  replace(replace(replace(replace(html, '&middot;', chr(183)), '&copy;', chr(169)), '&quot;', '"'), '&amp;', '&') AS text
+FROM pages"""
+
+LINK_FILTER = """
+SELECT page_id, url,
+  coalesce(contains(url, 'youtu') OR contains(url, 'spotify') OR contains(url, 'soundcloud')
+           OR contains(url, 'bandcamp'), false) AS is_media_link,
+  CASE WHEN contains(url, 'youtu') THEN 'youtu' WHEN contains(url, 'spotify') THEN 'spotify'
+       WHEN contains(url, 'soundcloud') THEN 'soundcloud' WHEN contains(url, 'bandcamp') THEN 'bandcamp'
+  END AS link_term
+FROM pages"""
+
+FEED_RULES_VALUES = """rules(source, ord, feed, flair_rule, flair_values, prefix) AS (VALUES
+  ('click', 1, 'Music', 'ne', ['i made this'], 'https://www.reddit.com/r/Music/comments/'),
+  ('view', 2, 'indieheads', NULL, CAST([] AS VARCHAR[]), 'https://www.reddit.com/r/indieheads/comments/'),
+  ('purchase', 3, 'popheads', 'in', ['[PERFORMANCE]', '[FRESH]', '[FRESH VIDEO]'], 'https://www.reddit.com/r/popheads/comments/'),
+  ('signup', 4, 'electronicmusic', 'nin', ['Discussion', 'AMA Announcement'], 'https://www.reddit.com/r/electronicmusic/comments/'))"""
+
+FEED_POSTS = """posts AS (
+  SELECT event_type AS source, CAST(event_id AS VARCHAR) AS post_id, event_id, ts,
+    strftime(ts, '%Y-%m-%d %H:%M:%S') AS created_utc,
+    date_trunc('second', ts) AS created,
+    CASE WHEN k < 15 THEN NULL WHEN k < 30 THEN 'i made this' WHEN k < 45 THEN '[FRESH]'
+         WHEN k < 55 THEN '[PERFORMANCE]' WHEN k < 65 THEN '[FRESH VIDEO]'
+         WHEN k < 75 THEN 'Discussion' WHEN k < 85 THEN 'AMA Announcement' ELSE 'other' END AS flair
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
+  WHERE event_type IN ('click', 'view', 'purchase', 'signup'))"""
+
+FLAIR_PASSES = """(CASE WHEN r.flair_rule IS NULL THEN true
+       WHEN r.flair_rule = 'ne' THEN p.flair IS DISTINCT FROM r.flair_values[1]
+       WHEN r.flair_rule = 'in' THEN coalesce(list_contains(r.flair_values, p.flair), false)
+       WHEN r.flair_rule = 'nin' THEN NOT coalesce(list_contains(r.flair_values, p.flair), false)
+       ELSE false END)"""
+
+FEED_RULES = f"""
+WITH {FEED_RULES_VALUES}, {FEED_POSTS}
+SELECT p.post_id, r.feed, p.flair, r.prefix || p.post_id AS post_url
+FROM posts p JOIN rules r ON p.source = r.source
+WHERE {FLAIR_PASSES}"""
+
+HISTORY = """history AS (
+  SELECT event_type AS source, date_trunc('day', ts) - INTERVAL 3 DAY AS last_time, ts AS committed_at
+  FROM events WHERE event_type IN ('click', 'view', 'purchase'))"""
+
+LATEST = """latest AS (
+  SELECT source, last_time, committed_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY last_time DESC, committed_at DESC) AS rn
+    FROM history) WHERE rn = 1)"""
+
+MARKS = f"""marks AS (
+  SELECT r.source, coalesce(l.last_time, TIMESTAMP '{RUN_DATE} 00:00:00') AS last_time
+  FROM rules r LEFT JOIN latest l ON r.source = l.source)"""
+
+NEWER = """newer AS (
+  SELECT * FROM (
+    SELECT p.*, m.last_time,
+      min(CASE WHEN p.created > m.last_time THEN 1 ELSE 0 END) OVER (
+        PARTITION BY p.source ORDER BY p.ts DESC, p.event_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ok
+    FROM posts p JOIN marks m ON p.source = m.source) WHERE ok = 1)"""
+
+FEED_TAKEWHILE = f"""
+WITH {FEED_RULES_VALUES}, {FEED_POSTS}, {HISTORY}, {LATEST}, {MARKS}, {NEWER}
+SELECT source, post_id, created_utc FROM newer"""
+
+WATERMARK_ADVANCE = f"""
+WITH {FEED_RULES_VALUES}, {FEED_POSTS}, {HISTORY}, {LATEST}, {MARKS}, {NEWER},
+accepted AS (SELECT p.* FROM newer p JOIN rules r ON p.source = r.source WHERE {FLAIR_PASSES}),
+firsts AS (
+  SELECT source, created AS new_time FROM (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY ts DESC, event_id) AS rn FROM accepted)
+  WHERE rn = 1)
+SELECT m.source, m.last_time, coalesce(f.new_time, m.last_time) AS new_time
+FROM marks m LEFT JOIN firsts f ON m.source = f.source"""
+
+RUN_STATE_LATEST = f"""
+WITH {HISTORY}, {LATEST}
+SELECT source, last_time, committed_at FROM latest"""
+
+
 ORACLES = {
     "genre_report": GENRE_REPORT,
     "label_classify": LABEL_CLASSIFY,
     "similarity_ratio": SIMILARITY_RATIO,
+    "title_clean": TITLE_CLEAN,
+    "html_unescape": HTML_UNESCAPE,
+    "link_filter": LINK_FILTER,
+    "feed_rules": FEED_RULES,
+    "feed_takewhile": FEED_TAKEWHILE,
+    "watermark_advance": WATERMARK_ADVANCE,
+    "run_state_latest": RUN_STATE_LATEST,
 }

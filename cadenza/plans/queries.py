@@ -14,7 +14,11 @@ from cadenza.fixed import GENRE_LABELS
 from cadenza.functions.similarity import similarity_ratio as ratio_udf
 from cadenza.operators.labels import with_major_genre
 from cadenza.operators.reports import daily_genre_report
+from cadenza.functions.text import html_unescape, is_media_link, matched_term, permalink
+from cadenza.functions.titles import clean_titles
+from cadenza.operators import feeds as FD
 from cadenza.plans import standins as S
+from cadenza.sources import state as ST
 
 
 def q_genre_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,8 +38,68 @@ def q_similarity_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("a", "b", ratio_udf("a", "b").alias("ratio"))
 
 
+def q_title_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = S.part_titles(spark, sf_dir)
+    return clean_titles(t, "title").select(
+        "p_partkey", "title", "truncated", "part0", "part1", "search_text")
+
+
+def q_html_unescape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pg = S.table(spark, sf_dir, "pages")
+    return pg.select("page_id", html_unescape(F.col("html")).alias("text"))
+
+
+def q_link_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F5 on every page url: the predicate and the first matching host term."""
+    pg = S.table(spark, sf_dir, "pages")
+    return pg.select("page_id", "url", is_media_link(F.col("url")).alias("is_media_link"),
+                     matched_term(F.col("url")).alias("link_term"))
+
+
+def _rules(spark):
+    return FD.rules_table(spark, S.FEED_SOURCES)
+
+
+def q_feed_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = FD.attach_rules(S.feed_posts(spark, sf_dir), _rules(spark))
+    return (FD.apply_flair_rules(posts)
+            .select("post_id", "feed", "flair",
+                    permalink(F.col("permalink_prefix"), F.col("post_id")).alias("post_url")))
+
+
+def _marks(spark, sf_dir):
+    latest = ST.latest_marks(S.history_rows(spark, sf_dir))
+    return ST.marks_with_default(_rules(spark), latest, S.RUN_DATE)
+
+
+def _newer_posts(spark, sf_dir):
+    posts = S.feed_posts(spark, sf_dir).join(F.broadcast(_marks(spark, sf_dir)), "source")
+    return FD.take_while(posts, ["source"], S.post_order(),
+                         F.col("created") > F.col("last_time"))
+
+
+def q_feed_takewhile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _newer_posts(spark, sf_dir).select("source", "post_id", "created_utc")
+
+
+def q_watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    accepted = FD.apply_flair_rules(FD.attach_rules(_newer_posts(spark, sf_dir), _rules(spark)))
+    return FD.advance_watermark(accepted, _marks(spark, sf_dir), S.post_order())
+
+
+def q_run_state_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ST.latest_marks(S.history_rows(spark, sf_dir))
+
+
 QUERIES = {
     "genre_report": q_genre_report,
     "label_classify": q_label_classify,
     "similarity_ratio": q_similarity_ratio,
+    "title_clean": q_title_clean,
+    "html_unescape": q_html_unescape,
+    "link_filter": q_link_filter,
+    "feed_rules": q_feed_rules,
+    "feed_takewhile": q_feed_takewhile,
+    "watermark_advance": q_watermark_advance,
+    "run_state_latest": q_run_state_latest,
 }

@@ -52,3 +52,51 @@ def lake_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_tax").alias("energy"),
         (F.lit(1.0) - F.col("l_discount")).alias("valence"),
         (-F.col("l_quantity") / 5.0).alias("loudness"))
+
+
+# Feed stand-in: four event types play the four feeds (order = feed order).
+FEED_SOURCES = {"click": "Music", "view": "indieheads", "purchase": "popheads",
+                "signup": "electronicmusic"}
+# Flair stand-in: bucket of the JSON field k (0..99).
+FLAIR_BUCKETS = [(15, None), (30, "i made this"), (45, "[FRESH]"), (55, "[PERFORMANCE]"),
+                 (65, "[FRESH VIDEO]"), (75, "Discussion"), (85, "AMA Announcement")]
+FLAIR_OTHER = "other"
+
+
+def flair_of(k) -> F.Column:
+    out = F.lit(FLAIR_OTHER)
+    for hi, val in reversed(FLAIR_BUCKETS):
+        out = F.when(k < hi, F.lit(val).cast("string")).otherwise(out)
+    return out
+
+
+def feed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts of the four feeds: source, post_id, created_utc (text), created, flair, order key."""
+    from cadenza.functions.dates import epoch_to_text, text_to_ts
+    e = table(spark, sf_dir, "events").where(F.col("event_type").isin(list(FEED_SOURCES)))
+    epoch = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
+    k = F.get_json_object("props", "$.k").cast("int")
+    return e.select(
+        F.col("event_type").alias("source"),
+        F.col("event_id").cast("string").alias("post_id"),
+        F.col("event_id"), F.col("ts"),
+        epoch_to_text(epoch).alias("created_utc"),
+        text_to_ts(epoch_to_text(epoch)).cast("timestamp_ntz").alias("created"),
+        flair_of(k).alias("flair"))
+
+
+def post_order() -> F.Column:
+    """Feed position: newest first, ties by id (what posexplode gives for landed pages)."""
+    return F.struct((-F.unix_micros(F.col("ts").cast("timestamp"))).alias("t"),
+                    F.col("event_id").alias("i"))
+
+
+def history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run-history stand-in: one row per event of three feeds (the fourth has no history):
+    last_time = the event's day minus three days, committed_at = the event time."""
+    e = table(spark, sf_dir, "events").where(
+        F.col("event_type").isin([s for s, f in FEED_SOURCES.items() if f != "electronicmusic"]))
+    return e.select(F.col("event_type").alias("source"),
+                    (F.date_trunc("day", "ts") - F.expr("INTERVAL 3 DAYS")).cast("timestamp_ntz")
+                    .alias("last_time"),
+                    F.col("ts").alias("committed_at"))
