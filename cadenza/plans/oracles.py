@@ -214,6 +214,84 @@ WITH {HISTORY}, {LATEST}
 SELECT source, last_time, committed_at FROM latest"""
 
 
+def clean_sql(src: str) -> str:
+    """Title cleaning (F6, N3, N4, N5) over ``src`` with a ``title`` column."""
+    return f"""(
+  SELECT *, trim(string_split(truncated, ' - ')[1]) AS part0,
+         trim(string_split(truncated, ' - ')[2]) AS part1,
+         regexp_replace(truncated, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') AS search_text
+  FROM (
+    SELECT *, CASE WHEN cut IS NULL THEN title ELSE substr(title, 1, cut - 1) END AS truncated
+    FROM (
+      SELECT *, least(CASE WHEN position('(' IN title) > position(' - ' IN title) THEN position('(' IN title) END,
+                      CASE WHEN position('[' IN title) > position(' - ' IN title) THEN position('[' IN title) END) AS cut
+      FROM ({src}) WHERE contains(title, ' - '))))"""
+
+
+PART_POSTS = """
+  SELECT p_partkey AS post_id, p_name || ' - ' || p_brand || ' (' || p_type || ')' AS title,
+    CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'PROMO' THEN 1 WHEN 'SMALL' THEN 2 WHEN 'MEDIUM' THEN 2
+                WHEN 'STANDARD' THEN 3 WHEN 'LARGE' THEN 4 END AS ord, p_partkey AS pos
+  FROM part"""
+
+TITLE_DEDUP_KEYS = f"""
+WITH c AS {clean_sql(PART_POSTS)},
+t AS (SELECT *, row_number() OVER (PARTITION BY title ORDER BY ord, pos) AS occ FROM c),
+r AS (SELECT *, (ord > 1 AND occ > 1) AS is_repeat FROM t),
+n AS (SELECT post_id, row_number() OVER (ORDER BY ord, pos) AS n FROM r WHERE is_repeat)
+SELECT r.post_id, r.title, r.ord, r.is_repeat, r.title || repeat('.', CAST(coalesce(n.n, 0) AS INTEGER)) AS key
+FROM r LEFT JOIN n ON r.post_id = n.post_id"""
+
+ENTITY_MATCH = f"""
+WITH RECURSIVE c AS {clean_sql(PART_POSTS)},
+v AS (SELECT title, part0, part1 FROM (
+        SELECT *, row_number() OVER (PARTITION BY title ORDER BY ord, pos) AS rn FROM c) WHERE rn = 1),
+posts AS (SELECT c.post_id, c.title, c.part1 AS block, v.part0, v.part1 FROM c JOIN v ON c.title = v.title),
+short AS (SELECT * FROM (
+    SELECT p_partkey AS track_id, p_name AS track_name, p_brand AS artists_name, p_brand AS block,
+           row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS cand_rank FROM part)
+  WHERE cand_rank <= 10),
+cands AS (SELECT p.*, s.track_id, s.track_name, s.artists_name, s.cand_rank
+          FROM posts p JOIN short s ON p.block = s.block),
+pairs AS (
+  SELECT DISTINCT a, b FROM (
+    SELECT track_name AS a, part0 AS b FROM cands UNION ALL SELECT track_name, part1 FROM cands
+    UNION ALL SELECT artists_name, part0 FROM cands UNION ALL SELECT artists_name, part1 FROM cands)
+  WHERE a IS NOT NULL AND b IS NOT NULL),
+{ratio_ctes("SELECT a, b FROM pairs")},
+scored AS (
+  SELECT c.*,
+    CASE WHEN t1.ratio > 0.7 THEN t1.ratio WHEN t0.ratio > 0.7 THEN t0.ratio ELSE 0.0 END AS track_score,
+    CASE WHEN a1.ratio > 0.7 THEN a1.ratio WHEN a0.ratio > 0.7 THEN a0.ratio ELSE 0.0 END AS artist_score
+  FROM cands c
+  LEFT JOIN sim t0 ON t0.a = c.track_name AND t0.b = c.part0
+  LEFT JOIN sim t1 ON t1.a = c.track_name AND t1.b = c.part1
+  LEFT JOIN sim a0 ON a0.a = c.artists_name AND a0.b = c.part0
+  LEFT JOIN sim a1 ON a1.a = c.artists_name AND a1.b = c.part1)
+SELECT post_id, title, track_id, track_name, artists_name, cand_rank, track_score, artist_score FROM (
+  SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY cand_rank) AS rn
+  FROM scored WHERE track_score + artist_score >= 1.4) WHERE rn = 1"""
+
+ARTIST_GENRES = """
+WITH a AS (
+  SELECT s_suppkey, s_name, [lower(n_name), lower(r_name)] AS genres
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+ta AS (SELECT l_orderkey AS track_id, l_linenumber AS pos, l_suppkey AS artist_id FROM lineitem)
+SELECT track_id,
+  string_agg(CAST(artist_id AS VARCHAR), ', ' ORDER BY pos, artist_id) AS artists_id,
+  string_agg(replace(s_name, ',', ' '), ', ' ORDER BY pos, artist_id) AS artists_name,
+  array_to_string(flatten(list(coalesce(genres, []) ORDER BY pos, artist_id)), ', ') AS genres
+FROM ta LEFT JOIN a ON artist_id = s_suppkey
+GROUP BY track_id"""
+
+ENRICH_DEDUPE = """
+SELECT c_custkey, c_name, s_suppkey, s_acctbal FROM (
+  SELECT c.c_custkey, c.c_name, s.s_suppkey, s.s_acctbal,
+         row_number() OVER (PARTITION BY c.c_custkey ORDER BY s.s_suppkey) AS rn
+  FROM customer c LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 5000) s
+    ON c.c_nationkey = s.s_nationkey) WHERE rn = 1"""
+
+
 ORACLES = {
     "genre_report": GENRE_REPORT,
     "label_classify": LABEL_CLASSIFY,
@@ -225,4 +303,8 @@ ORACLES = {
     "feed_takewhile": FEED_TAKEWHILE,
     "watermark_advance": WATERMARK_ADVANCE,
     "run_state_latest": RUN_STATE_LATEST,
+    "title_dedup_keys": TITLE_DEDUP_KEYS,
+    "entity_match": ENTITY_MATCH,
+    "artist_genres": ARTIST_GENRES,
+    "enrich_dedupe": ENRICH_DEDUPE,
 }

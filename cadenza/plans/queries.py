@@ -17,6 +17,8 @@ from cadenza.operators.reports import daily_genre_report
 from cadenza.functions.text import html_unescape, is_media_link, matched_term, permalink
 from cadenza.functions.titles import clean_titles
 from cadenza.operators import feeds as FD
+from cadenza.operators import matching as MT
+from cadenza.operators.enrich import attach_features, track_artists
 from cadenza.plans import standins as S
 from cadenza.sources import state as ST
 
@@ -91,6 +93,35 @@ def q_run_state_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ST.latest_marks(S.history_rows(spark, sf_dir))
 
 
+def _clean_posts(spark, sf_dir):
+    return clean_titles(S.part_posts(spark, sf_dir), "title").withColumn("block", F.col("part1"))
+
+
+def q_title_dedup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return MT.dedup_keys(_clean_posts(spark, sf_dir)).select(
+        "post_id", "title", "ord", "is_repeat", "key")
+
+
+def q_entity_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = MT.match_posts(_clean_posts(spark, sf_dir), S.part_catalogue(spark, sf_dir))
+    return m.select("post_id", "title", "track_id", "track_name", "artists_name", "cand_rank",
+                    "track_score", "artist_score")
+
+
+def q_artist_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ta, artists = S.order_artists(spark, sf_dir)
+    return track_artists(ta, artists, "track_id")
+
+
+def q_enrich_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = S.table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", F.col("c_nationkey").alias("nationkey"))
+    s = (S.table(spark, sf_dir, "supplier").where(F.col("s_acctbal") > 5000)
+         .select(F.col("s_nationkey").alias("nationkey"), "s_suppkey", "s_acctbal"))
+    return attach_features(c, s, "nationkey", F.col("s_suppkey"), "left").select(
+        "c_custkey", "c_name", "s_suppkey", "s_acctbal")
+
+
 QUERIES = {
     "genre_report": q_genre_report,
     "label_classify": q_label_classify,
@@ -102,4 +133,8 @@ QUERIES = {
     "feed_takewhile": q_feed_takewhile,
     "watermark_advance": q_watermark_advance,
     "run_state_latest": q_run_state_latest,
+    "title_dedup_keys": q_title_dedup_keys,
+    "entity_match": q_entity_match,
+    "artist_genres": q_artist_genres,
+    "enrich_dedupe": q_enrich_dedupe,
 }

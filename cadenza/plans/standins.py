@@ -100,3 +100,43 @@ def history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.date_trunc("day", "ts") - F.expr("INTERVAL 3 DAYS")).cast("timestamp_ntz")
                     .alias("last_time"),
                     F.col("ts").alias("committed_at"))
+
+
+# Feed order of a part title by its type (two types per feed for feeds 1 and 2).
+TYPE_FEED = {"ECONOMY": 1, "PROMO": 1, "SMALL": 2, "MEDIUM": 2, "STANDARD": 3, "LARGE": 4}
+
+
+def part_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts titled ``p_name - p_brand (p_type)`` in feed ``TYPE_FEED[p_type]``, position p_partkey."""
+    p = table(spark, sf_dir, "part")
+    ord_ = F.lit(None).cast("int")
+    for t, o in TYPE_FEED.items():
+        ord_ = F.when(F.col("p_type") == t, F.lit(o)).otherwise(ord_)
+    return p.select(
+        F.col("p_partkey").alias("post_id"),
+        F.concat_ws("", "p_name", F.lit(" - "), "p_brand", F.lit(" ("), "p_type", F.lit(")"))
+        .alias("title"),
+        ord_.alias("ord"), F.col("p_partkey").alias("pos"))
+
+
+def part_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue tracks: name p_name, artist p_brand, block p_brand, rank p_partkey."""
+    p = table(spark, sf_dir, "part")
+    return p.select(F.col("p_partkey").alias("track_id"), F.col("p_name").alias("track_name"),
+                    F.col("p_brand").alias("artists_name"), F.col("p_brand").alias("block"),
+                    F.col("p_partkey").alias("rank_key"))
+
+
+def order_artists(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Tracks = orders, artists = suppliers of their lines (line order); artist genres =
+    [nation, region] names in lower case."""
+    li = table(spark, sf_dir, "lineitem")
+    ta = li.select(F.col("l_orderkey").alias("track_id"), F.col("l_linenumber").alias("artist_pos"),
+                   F.col("l_suppkey").alias("artist_id"))
+    s = table(spark, sf_dir, "supplier")
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    artists = (s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+               .select(F.col("s_suppkey").alias("artist_id"), F.col("s_name").alias("artist_name"),
+                       F.array(F.lower("n_name"), F.lower("r_name")).alias("genres")))
+    return ta, artists
