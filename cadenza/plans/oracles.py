@@ -292,6 +292,22 @@ SELECT c_custkey, c_name, s_suppkey, s_acctbal FROM (
     ON c.c_nationkey = s.s_nationkey) WHERE rn = 1"""
 
 
+CSV_ROUNDTRIP = """
+SELECT s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey, s_acctbal FROM supplier"""
+
+LAKE_PARTITION_ROUNDTRIP = """
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate,
+       CAST(1996 AS INTEGER) AS year, CAST(1 AS INTEGER) AS month, CAST(1 AS INTEGER) AS day
+FROM orders WHERE date_trunc('month', o_orderdate) = TIMESTAMP '1996-01-01'"""
+
+NA_DROP = """
+SELECT event_id, ts, event_type, value FROM (
+  SELECT event_id, ts, nullif(event_type, 'error') AS event_type,
+         CASE WHEN value < 1 THEN CAST('NaN' AS DOUBLE) ELSE value END AS value FROM events)
+WHERE event_id IS NOT NULL AND ts IS NOT NULL AND event_type IS NOT NULL
+  AND value IS NOT NULL AND NOT isnan(value)"""
+
+
 ORACLES = {
     "genre_report": GENRE_REPORT,
     "label_classify": LABEL_CLASSIFY,
@@ -307,4 +323,8 @@ ORACLES = {
     "entity_match": ENTITY_MATCH,
     "artist_genres": ARTIST_GENRES,
     "enrich_dedupe": ENRICH_DEDUPE,
+    "csv_roundtrip": CSV_ROUNDTRIP,
+    "lake_partition_roundtrip": LAKE_PARTITION_ROUNDTRIP,
+    "report_table": GENRE_REPORT,
+    "na_drop": NA_DROP,
 }

@@ -19,7 +19,13 @@ from cadenza.functions.titles import clean_titles
 from cadenza.operators import feeds as FD
 from cadenza.operators import matching as MT
 from cadenza.operators.enrich import attach_features, track_artists
+from cadenza.operators.cleaning import drop_columns, drop_incomplete
+from cadenza.operators.reports import genre_report_sql
 from cadenza.plans import standins as S
+from cadenza.session import scratch_path
+from cadenza.sources import handover as HO
+from cadenza.sources import lake as LK
+from cadenza.sources import warehouse as WH
 from cadenza.sources import state as ST
 
 
@@ -122,6 +128,48 @@ def q_enrich_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", "c_name", "s_suppkey", "s_acctbal")
 
 
+SUPPLIER_DECLARED = "s_suppkey BIGINT, s_name STRING, s_nationkey STRING, s_acctbal DOUBLE"
+
+
+def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier through a CSV hand-over folder, read back onto a declared schema
+    (the int nation key declared as string, like the lake's ``mode``)."""
+    path = scratch_path(spark, "handover")
+    HO.write_csv(S.table(spark, sf_dir, "supplier"), path)
+    return HO.read_csv(spark, path, SUPPLIER_DECLARED)
+
+
+LAKE_DAY = "1996-01-01"
+
+
+def q_lake_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders into a year/month/day lake (ingest day = first of the order month),
+    then one day read back with partition pruning."""
+    o = S.table(spark, sf_dir, "orders")
+    rows = o.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate").withColumns(
+        LK.date_partitions(F.date_trunc("month", "o_orderdate")))
+    path = scratch_path(spark, "lake")
+    LK.write_lake(rows, path)
+    return LK.read_lake_day(spark, path, LAKE_DAY, drop_partitions=False)
+
+
+def q_report_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report written with SQL over a temp view, stored in a partitioned catalog table
+    (dynamic overwrite: re-running the day replaces it) and read back."""
+    rep = genre_report_sql(spark, S.lake_rows(spark, sf_dir), S.RUN_DATE)
+    WH.write_report_table(rep, "daily_genre_report", scratch_path(spark, "warehouse"))
+    return WH.read_report_table(spark, "daily_genre_report")
+
+
+def q_na_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with injected nulls (error type) and NaN (value < 1): drop columns, drop rows."""
+    e = S.table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "props",
+        F.nullif(F.col("event_type"), F.lit("error")).alias("event_type"),
+        F.when(F.col("value") < 1, F.lit(float("nan"))).otherwise(F.col("value")).alias("value"))
+    return drop_incomplete(drop_columns(e, ["user_id", "props"]))
+
+
 QUERIES = {
     "genre_report": q_genre_report,
     "label_classify": q_label_classify,
@@ -137,4 +185,8 @@ QUERIES = {
     "entity_match": q_entity_match,
     "artist_genres": q_artist_genres,
     "enrich_dedupe": q_enrich_dedupe,
+    "csv_roundtrip": q_csv_roundtrip,
+    "lake_partition_roundtrip": q_lake_partition_roundtrip,
+    "report_table": q_report_table,
+    "na_drop": q_na_drop,
 }
