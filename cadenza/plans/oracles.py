@@ -308,6 +308,117 @@ WHERE event_id IS NOT NULL AND ts IS NOT NULL AND event_type IS NOT NULL
   AND value IS NOT NULL AND NOT isnan(value)"""
 
 
+LI_FEATURES = """li AS (
+  SELECT l_orderkey, l_linenumber, l_returnflag, l_discount AS danceability, l_tax AS energy,
+         -l_quantity / 5.0 AS loudness, l_discount * l_tax AS instrumentalness,
+         1.0 - l_discount AS valence FROM lineitem)"""
+
+_F = ["danceability", "energy", "loudness", "instrumentalness", "valence"]
+
+SCALED_FEATURES = f"""
+WITH {LI_FEATURES},
+sd AS (SELECT {", ".join(f"stddev_samp({f}) AS sd_{f}" for f in _F)} FROM li)
+SELECT l_orderkey, l_linenumber,
+  {", ".join(f"round({f} * (1.0 / sd_{f}), 6) AS s_{f}" for f in _F)}
+FROM li, sd"""
+
+EMB = """e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+u AS (SELECT vec_id, label, unnest(range(1, len(v) + 1)) AS i, unnest(v) AS x FROM e),
+cen AS (SELECT label AS ci, i, avg(x) AS m FROM u GROUP BY label, i)"""
+
+CLUSTER_ASSIGN = f"""
+WITH {EMB},
+d AS (SELECT u.vec_id, u.label, c.ci, sum((u.x - c.m) * (u.x - c.m)) AS dist
+      FROM u JOIN cen c ON u.i = c.i GROUP BY u.vec_id, u.label, c.ci)
+SELECT vec_id, label, ci AS cluster, round(dist, 6) AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, ci) AS rn FROM d) WHERE rn = 1"""
+
+SILHOUETTE = """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+n AS (SELECT label, count(*) AS cnt FROM e GROUP BY label),
+d AS (
+  SELECT a.vec_id, a.label AS la, b.label AS lb,
+         list_sum(list_transform(range(1, len(a.v) + 1), lambda k: (a.v[k] - b.v[k]) * (a.v[k] - b.v[k]))) AS dist
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+per AS (
+  SELECT d.vec_id, d.la, d.lb, sum(dist) AS s FROM d GROUP BY d.vec_id, d.la, d.lb),
+ab AS (
+  SELECT p.vec_id, p.la, na.cnt AS n_own,
+    max(CASE WHEN p.lb = p.la THEN p.s / (na.cnt - 1) END) AS a,
+    min(CASE WHEN p.lb <> p.la THEN p.s / nb.cnt END) AS b
+  FROM per p JOIN n na ON na.label = p.la JOIN n nb ON nb.label = p.lb
+  GROUP BY p.vec_id, p.la, na.cnt),
+s AS (SELECT CASE WHEN n_own = 1 OR a IS NULL THEN 0.0 WHEN a < b THEN 1 - a / b
+                  WHEN a > b THEN b / a - 1 ELSE 0.0 END AS s FROM ab)
+SELECT round(avg(s), 9) AS silhouette FROM s"""
+
+ELBOW_COST = f"""
+WITH {EMB}
+SELECT round(sum((u.x - c.m) * (u.x - c.m)), 4) AS cost FROM u JOIN cen c ON u.i = c.i AND u.label = c.ci"""
+
+CLUSTER_QUARTILES = f"""
+WITH {LI_FEATURES}
+SELECT l_returnflag,
+  {", ".join(f"round(min({f}), 9) AS {f}_min, round(quantile_cont({f}, 0.25), 9) AS {f}_q1, "
+             f"round(quantile_cont({f}, 0.5), 9) AS {f}_median, "
+             f"round(quantile_cont({f}, 0.75), 9) AS {f}_q3, round(max({f}), 9) AS {f}_max" for f in _F)}
+FROM li GROUP BY l_returnflag"""
+
+
+def _pref_sql() -> str:
+    from cadenza.fixed import PREFERENCE_BUCKETS
+    cols = ["c_custkey AS request_id"]
+    vals = []
+    for i, (dim, buckets) in enumerate(PREFERENCE_BUCKETS.items()):
+        names = [b[0] for b in buckets] + [""]
+        lst = "[" + ", ".join(_q(x) for x in names) + "]"
+        cols.append(f"{lst}[((c_custkey * {2 * i + 3} + c_nationkey) % {len(names)}) + 1] AS {dim}_label")
+        case = " ".join(f"WHEN {dim}_label = {_q(n)} THEN CAST({(lo + hi) / 2.0!r} AS DOUBLE)"
+                        for n, lo, hi in buckets)
+        vals.append(f"CASE WHEN {dim}_label = '' THEN CAST(0.5 AS DOUBLE) {case} END AS {dim}")
+    return (f"(SELECT *, {', '.join(vals)} FROM (SELECT {', '.join(cols)} FROM customer))")
+
+
+PREFERENCE_BUCKETS_SQL = f"SELECT * FROM {_pref_sql()}"
+
+_TRACKS = """tracks AS (
+  SELECT p_partkey AS track_id, p_name AS track_name, p_brand AS artists_name,
+    CAST(2000 + p_size AS VARCHAR) AS release_date, p_size AS track_popularity,
+    CAST(p_retailprice * 100 AS INTEGER) AS duration_ms, p_type,
+    p_size / 50.0 AS danceability, (p_retailprice - 900.0) / 1100.0 AS energy,
+    CAST(-length(p_name) AS DOUBLE) AS loudness, length(p_type) / 10.0 AS instrumentalness,
+    1.0 - (p_retailprice - 900.0) / 1100.0 AS valence FROM part)"""
+
+_DIST = " + ".join(f"(x.s_{f} - c.c_{f}) * (x.s_{f} - c.c_{f})" for f in _F)
+
+RECOMMEND_TOPN = f"""
+WITH {_TRACKS},
+sd AS (SELECT {", ".join(f"stddev_samp({f}) AS sd_{f}" for f in _F)} FROM tracks),
+st AS (SELECT t.*, {", ".join(f"{f} * (1.0 / sd_{f}) AS s_{f}" for f in _F)} FROM tracks t, sd),
+cen AS (SELECT row_number() OVER (ORDER BY p_type) - 1 AS ci,
+          {", ".join(f"avg(s_{f}) AS c_{f}" for f in _F)} FROM st GROUP BY p_type),
+tc AS (SELECT * FROM (SELECT x.*, c.ci AS prediction,
+          row_number() OVER (PARTITION BY x.track_id ORDER BY {_DIST}, c.ci) AS rn
+        FROM st x, cen c) WHERE rn = 1),
+req AS (SELECT r.request_id, {", ".join(f"r.{f} * (1.0 / sd_{f}) AS s_{f}" for f in _F)}
+        FROM {_pref_sql()} r, sd),
+rc AS (SELECT * FROM (SELECT x.request_id, c.ci AS prediction,
+          row_number() OVER (PARTITION BY x.request_id ORDER BY {_DIST}, c.ci) AS rn
+        FROM req x, cen c) WHERE rn = 1),
+top AS (SELECT * FROM (SELECT tc.*, row_number() OVER (PARTITION BY prediction
+          ORDER BY track_popularity DESC, track_id) AS cluster_rank FROM tc) WHERE cluster_rank <= 10),
+pick AS (SELECT * FROM (
+          SELECT rc.request_id, t.*, row_number() OVER (PARTITION BY rc.request_id
+            ORDER BY md5(CAST(rc.request_id AS VARCHAR) || '|' || CAST(t.track_id AS VARCHAR)), t.track_id) AS k
+          FROM rc JOIN top t ON rc.prediction = t.prediction) WHERE k <= 5)
+SELECT request_id,
+  row_number() OVER (PARTITION BY request_id ORDER BY track_popularity DESC, track_id) AS position,
+  artists_name, track_id, track_name, release_date, track_popularity,
+  duration_ms / 1000 AS duration_s,
+  'https://open.spotify.com/track/' || CAST(track_id AS VARCHAR) AS track_url
+FROM pick"""
+
+
 ORACLES = {
     "genre_report": GENRE_REPORT,
     "label_classify": LABEL_CLASSIFY,
@@ -327,4 +438,11 @@ ORACLES = {
     "lake_partition_roundtrip": LAKE_PARTITION_ROUNDTRIP,
     "report_table": GENRE_REPORT,
     "na_drop": NA_DROP,
+    "scaled_features": SCALED_FEATURES,
+    "cluster_assign": CLUSTER_ASSIGN,
+    "silhouette": SILHOUETTE,
+    "elbow_cost": ELBOW_COST,
+    "cluster_quartiles": CLUSTER_QUARTILES,
+    "preference_buckets": PREFERENCE_BUCKETS_SQL,
+    "recommend_topn": RECOMMEND_TOPN,
 }

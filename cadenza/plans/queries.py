@@ -7,6 +7,7 @@ lives in ``cadenza.plans.oracles``.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +22,11 @@ from cadenza.operators import matching as MT
 from cadenza.operators.enrich import attach_features, track_artists
 from cadenza.operators.cleaning import drop_columns, drop_incomplete
 from cadenza.operators.reports import genre_report_sql
+from cadenza.fixed import FEATURE_COLUMNS
+from cadenza.functions.prefs import request_values
+from cadenza.operators import recommend as RC
+from cadenza.operators import tuning as TU
+from cadenza.operators.vectors import nearest
 from cadenza.plans import standins as S
 from cadenza.session import scratch_path
 from cadenza.sources import handover as HO
@@ -170,6 +176,106 @@ def q_na_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_incomplete(drop_columns(e, ["user_id", "props"]))
 
 
+def q_scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = S.lineitem_features(spark, sf_dir)
+    assembled = RC.assembler().transform(f)
+    scaled = RC.scaler().fit(assembled).transform(assembled)
+    return scaled.select("l_orderkey", "l_linenumber",
+                         *[c.alias(n) for n, c in RC.scaled_columns(scaled, None, digits=6).items()])
+
+
+def _label_centres(e: DataFrame) -> tuple[list[int], list[list[float]]]:
+    """Per-label mean embedding; k rows of a model parameter, small by construction."""
+    n = len(e.select("vec").first()[0])
+    rows = (e.groupBy("label").agg(F.array(*[F.avg(F.col("vec")[i]) for i in range(n)]).alias("m"))
+            .orderBy("label").collect())
+    return [r["label"] for r in rows], [list(r["m"]) for r in rows]
+
+
+def q_cluster_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding to the nearest of fixed centres (the per-label means)."""
+    e = S.embedding_rows(spark, sf_dir)
+    ids, centres = _label_centres(e)
+    idx, dist = nearest(F.col("vec"), centres)
+    return e.select("vec_id", "label",
+                    F.element_at(F.array(*[F.lit(i) for i in ids]), idx + 1).alias("cluster"),
+                    F.round(dist, 6).alias("distance"))
+
+
+def q_kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """k-means (k=5, seed=3) on the embeddings; cluster sizes."""
+    e = RC.stable_layout(S.embedding_rows(spark, sf_dir).select("vec_id", "standardized"),
+                         "vec_id", 8)
+    model = RC.kmeans().fit(e)
+    return model.transform(e).groupBy(F.col("prediction").alias("cluster")).agg(
+        F.count(F.lit(1)).alias("size"))
+
+
+def q_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = S.embedding_rows(spark, sf_dir).withColumn("prediction", F.col("label").cast("double"))
+    return spark.createDataFrame([(round(TU.silhouette(e), 9),)], "silhouette double")
+
+
+def q_elbow_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = S.embedding_rows(spark, sf_dir)
+    return TU.clustering_cost(e, "vec", "label").select(F.round("cost", 4).alias("cost"))
+
+
+def q_k_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = RC.stable_layout(S.embedding_rows(spark, sf_dir).select("vec_id", "standardized"),
+                         "vec_id", 8)
+    return TU.k_sweep(e)
+
+
+def q_cluster_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = TU.cluster_quartiles(S.lineitem_features(spark, sf_dir), "l_returnflag", FEATURE_COLUMNS)
+    return q.select(*[F.round(c, 9).alias(c) if c != "l_returnflag" else F.col(c)
+                      for c in q.columns])
+
+
+def _requests(spark, sf_dir):
+    r = S.preference_requests(spark, sf_dir)
+    labels = {d: F.col(f"{d}_label") for d in FEATURE_COLUMNS}
+    return r.withColumns(request_values(labels, mode="midpoint"))
+
+
+def q_preference_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _requests(spark, sf_dir)
+
+
+def q_recommend_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch scoring with fixed centres (per-type means of the scaled track features)."""
+    tracks = RC.assembler().transform(S.part_tracks(spark, sf_dir))
+    sc = RC.scaler().fit(tracks)
+    st = sc.transform(tracks).withColumn("vec", vector_to_array("standardized"))
+    n = len(FEATURE_COLUMNS)
+    rows = (st.groupBy("p_type").agg(F.array(*[F.avg(F.col("vec")[i]) for i in range(n)])
+                                     .alias("m")).orderBy("p_type").collect())
+    centres = [list(r["m"]) for r in rows]
+    tidx, _ = nearest(F.col("vec"), centres)
+    track_clusters = st.withColumn("prediction", tidx)
+    req = RC.assembler().transform(_requests(spark, sf_dir))
+    rs = sc.transform(req).withColumn("vec", vector_to_array("standardized"))
+    ridx, _ = nearest(F.col("vec"), centres)
+    request_clusters = rs.select("request_id", ridx.alias("prediction"))
+    return RC.response_rows(RC.recommend(request_clusters, track_clusters))
+
+
+def q_recommend_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The engine end to end: train the pipeline on lake rows, score every request."""
+    lake = S.lake_rows(spark, sf_dir)
+    p = S.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("track_id"), F.col("p_name").alias("track_name"),
+        F.col("p_brand").alias("artists_name"),
+        (F.lit(2000) + F.col("p_size")).cast("string").alias("release_date"),
+        (F.col("p_retailprice") * 100).cast("int").alias("duration_ms"))
+    train = RC.prepare_training(lake).join(p, "track_id")
+    model = RC.fit_engine(train, "track_id", 8)
+    tracks = RC.assign(model, train)
+    reqs = RC.assign(model, _requests(spark, sf_dir)).select("request_id", "prediction")
+    return RC.response_rows(RC.recommend(reqs, tracks))
+
+
 QUERIES = {
     "genre_report": q_genre_report,
     "label_classify": q_label_classify,
@@ -189,4 +295,14 @@ QUERIES = {
     "lake_partition_roundtrip": q_lake_partition_roundtrip,
     "report_table": q_report_table,
     "na_drop": q_na_drop,
+    "scaled_features": q_scaled_features,
+    "cluster_assign": q_cluster_assign,
+    "kmeans_fit": q_kmeans_fit,
+    "silhouette": q_silhouette,
+    "elbow_cost": q_elbow_cost,
+    "k_sweep": q_k_sweep,
+    "cluster_quartiles": q_cluster_quartiles,
+    "preference_buckets": q_preference_buckets,
+    "recommend_topn": q_recommend_topn,
+    "recommend_kmeans": q_recommend_kmeans,
 }

@@ -51,7 +51,8 @@ def lake_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_discount").alias("danceability"),
         F.col("l_tax").alias("energy"),
         (F.lit(1.0) - F.col("l_discount")).alias("valence"),
-        (-F.col("l_quantity") / 5.0).alias("loudness"))
+        (-F.col("l_quantity") / 5.0).alias("loudness"),
+        (F.col("l_discount") * F.col("l_tax")).alias("instrumentalness"))
 
 
 # Feed stand-in: four event types play the four feeds (order = feed order).
@@ -140,3 +141,54 @@ def order_artists(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
                .select(F.col("s_suppkey").alias("artist_id"), F.col("s_name").alias("artist_name"),
                        F.array(F.lower("n_name"), F.lower("r_name")).alias("genres")))
     return ta, artists
+
+
+def lineitem_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five recommender features read off lineitem (same mapping as ``lake_rows``)."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        "l_orderkey", "l_linenumber", "l_returnflag",
+        F.col("l_discount").alias("danceability"), F.col("l_tax").alias("energy"),
+        (-F.col("l_quantity") / 5.0).alias("loudness"),
+        (F.col("l_discount") * F.col("l_tax")).alias("instrumentalness"),
+        (F.lit(1.0) - F.col("l_discount")).alias("valence"))
+
+
+def embedding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as ``array<double>`` plus an MLlib vector column ``standardized``."""
+    from pyspark.ml.functions import array_to_vector
+    e = table(spark, sf_dir, "embeddings")
+    arr = F.transform("embedding", lambda x: x.cast("double"))
+    return e.select("vec_id", "label", arr.alias("vec"),
+                    array_to_vector(arr).alias("standardized"))
+
+
+def part_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue tracks with display fields and five features read off part."""
+    p = table(spark, sf_dir, "part")
+    price = (F.col("p_retailprice") - 900.0) / 1100.0
+    return p.select(
+        F.col("p_partkey").alias("track_id"), F.col("p_name").alias("track_name"),
+        F.col("p_brand").alias("artists_name"),
+        (F.lit(2000) + F.col("p_size")).cast("string").alias("release_date"),
+        F.col("p_size").alias("track_popularity"),
+        (F.col("p_retailprice") * 100).cast("int").alias("duration_ms"),
+        "p_type",
+        (F.col("p_size") / 50.0).alias("danceability"), price.alias("energy"),
+        (-F.length("p_name")).cast("double").alias("loudness"),
+        (F.length("p_type") / 10.0).alias("instrumentalness"),
+        (F.lit(1.0) - price).alias("valence"))
+
+
+def preference_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per customer; each dimension's label (or '' = not chosen) is picked
+    from the bucket list by a rule on the customer key and nation."""
+    from cadenza.fixed import PREFERENCE_BUCKETS
+    c = table(spark, sf_dir, "customer")
+    cols = [F.col("c_custkey").alias("request_id")]
+    for i, (dim, buckets) in enumerate(PREFERENCE_BUCKETS.items()):
+        names = [b[0] for b in buckets] + [""]
+        idx = F.pmod(F.col("c_custkey") * (2 * i + 3) + F.col("c_nationkey"), F.lit(len(names)))
+        cols.append(F.element_at(F.array(*[F.lit(x) for x in names]), (idx + 1).cast("int"))
+                    .alias(f"{dim}_label"))
+    return c.select(*cols)
