@@ -445,4 +445,5 @@ ORACLES = {
     "cluster_quartiles": CLUSTER_QUARTILES,
     "preference_buckets": PREFERENCE_BUCKETS_SQL,
     "recommend_topn": RECOMMEND_TOPN,
+    "stream_feed_load": FEED_TAKEWHILE,
 }

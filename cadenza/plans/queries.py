@@ -276,6 +276,16 @@ def q_recommend_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RC.response_rows(RC.recommend(reqs, tracks))
 
 
+def q_stream_feed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed pages landed as JSON, loaded by the streaming job (availableNow), read back."""
+    from cadenza.streaming.feed_load import run_feed_load
+    landing = scratch_path(spark, "landing")
+    S.land_feed_pages(spark, sf_dir, landing)
+    sink, ckpt = scratch_path(spark, "posts"), scratch_path(spark, "stream-ckpt")
+    run_feed_load(spark, landing, _marks(spark, sf_dir), sink, ckpt)
+    return spark.read.parquet(sink).select("source", "post_id", "created_utc")
+
+
 QUERIES = {
     "genre_report": q_genre_report,
     "label_classify": q_label_classify,
@@ -305,4 +315,5 @@ QUERIES = {
     "preference_buckets": q_preference_buckets,
     "recommend_topn": q_recommend_topn,
     "recommend_kmeans": q_recommend_kmeans,
+    "stream_feed_load": q_stream_feed_load,
 }

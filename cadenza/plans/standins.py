@@ -192,3 +192,27 @@ def preference_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         cols.append(F.element_at(F.array(*[F.lit(x) for x in names]), (idx + 1).cast("int"))
                     .alias(f"{dim}_label"))
     return c.select(*cols)
+
+
+def land_feed_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Write the feed stand-in as landed JSON pages: one page per feed and hour,
+    newest post first, under ``path/source=<event_type>/``."""
+    e = table(spark, sf_dir, "events").where(F.col("event_type").isin(list(FEED_SOURCES)))
+    k = F.get_json_object("props", "$.k").cast("int")
+    epoch = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
+    post = F.struct(
+        F.struct(F.col("event_id").cast("string").alias("id"),
+                 F.concat(F.lit("user "), F.col("user_id").cast("string"), F.lit(" - "),
+                          F.col("event_type")).alias("title"),
+                 F.concat(F.lit("https://example.com/p/"), F.col("event_id").cast("string")).alias("url"),
+                 epoch.alias("created_utc"),
+                 flair_of(k).alias("link_flair_text")).alias("data"))
+    pages = (e.select(F.col("event_type").alias("source"),
+                      F.date_trunc("hour", "ts").alias("_page"),
+                      F.struct((-epoch).alias("o"), F.col("event_id").alias("i"),
+                               post.alias("p")).alias("_r"))
+             .groupBy("source", "_page")
+             .agg(F.array_sort(F.collect_list("_r")).alias("_rs"))
+             .select("source", F.struct(F.transform("_rs", lambda r: r["p"]).alias("children"))
+                     .alias("data")))
+    pages.write.mode("overwrite").partitionBy("source").json(path)
