@@ -64,17 +64,30 @@ def prepare_training(lake: DataFrame, dedupe_tracks: bool = False) -> DataFrame:
     return drop_incomplete(df)
 
 
-def stable_layout(df: DataFrame, key: str, partitions: int) -> DataFrame:
-    """Fixed partition layout so a fit is repeatable (and cheap to re-read)."""
-    return (df.repartitionByRange(partitions, key).sortWithinPartitions(key)
+ROWS_PER_PARTITION = 100_000
+
+
+def partitions_for(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
+    """Partition count from the row count (one cheap counting job): iterative fits pay a
+    task per partition per pass, so tiny inputs get one partition and huge ones many."""
+    return max(1, -(-df.count() // rows_per_partition))
+
+
+def stable_layout(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Fixed partition layout so a fit is repeatable (and cheap to re-read).
+
+    k-means|| seeds per partition, so the same rows in another layout give
+    another model; range partitioning on a key plus a sort fixes the layout.
+    """
+    n = partitions or partitions_for(df)
+    return (df.repartitionByRange(n, key).sortWithinPartitions(key)
             .persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def fit_engine(train: DataFrame, key: str = "track_id", partitions: int | None = None,
                k: int = KMEANS_K, seed: int = KMEANS_SEED,
                features: list[str] = FEATURE_COLUMNS) -> PipelineModel:
-    n = partitions or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    data = stable_layout(train, key, n)
+    data = stable_layout(train, key, partitions)
     return engine_pipeline(features, k, seed).fit(data)
 
 

@@ -205,7 +205,7 @@ def q_cluster_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """k-means (k=5, seed=3) on the embeddings; cluster sizes."""
     e = RC.stable_layout(S.embedding_rows(spark, sf_dir).select("vec_id", "standardized"),
-                         "vec_id", 8)
+                         "vec_id")
     model = RC.kmeans().fit(e)
     return model.transform(e).groupBy(F.col("prediction").alias("cluster")).agg(
         F.count(F.lit(1)).alias("size"))
@@ -223,7 +223,7 @@ def q_elbow_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_k_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = RC.stable_layout(S.embedding_rows(spark, sf_dir).select("vec_id", "standardized"),
-                         "vec_id", 8)
+                         "vec_id")
     return TU.k_sweep(e)
 
 
@@ -270,7 +270,7 @@ def q_recommend_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(2000) + F.col("p_size")).cast("string").alias("release_date"),
         (F.col("p_retailprice") * 100).cast("int").alias("duration_ms"))
     train = RC.prepare_training(lake).join(p, "track_id")
-    model = RC.fit_engine(train, "track_id", 8)
+    model = RC.fit_engine(train, "track_id")
     tracks = RC.assign(model, train)
     reqs = RC.assign(model, _requests(spark, sf_dir)).select("request_id", "prediction")
     return RC.response_rows(RC.recommend(reqs, tracks))

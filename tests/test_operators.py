@@ -152,3 +152,13 @@ def test_label_classify_invariant_under_repartition(spark):
     a = sorted(tuple(r) for r in with_major_genre(df).select("id", "major_genre").collect())
     b = sorted(tuple(r) for r in with_major_genre(df.repartition(7)).select("id", "major_genre").collect())
     assert a == b
+
+
+def test_k_sweep_parallel_equals_sequential(spark):
+    from cadenza.operators.tuning import k_sweep
+    from cadenza.operators.recommend import stable_layout
+    from cadenza.plans.standins import embedding_rows
+    e = stable_layout(embedding_rows(spark, "/root/testdata/sf0.001").select("vec_id", "standardized"), "vec_id")
+    par = sorted(tuple(r) for r in k_sweep(e, [2, 3, 4], parallelism=3).collect())
+    seq = sorted(tuple(r) for r in k_sweep(e, [2, 3, 4], parallelism=1).collect())
+    assert par == seq
