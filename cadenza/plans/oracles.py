@@ -384,7 +384,7 @@ PREFERENCE_BUCKETS_SQL = f"SELECT * FROM {_pref_sql()}"
 _TRACKS = """tracks AS (
   SELECT p_partkey AS track_id, p_name AS track_name, p_brand AS artists_name,
     CAST(2000 + p_size AS VARCHAR) AS release_date, p_size AS track_popularity,
-    CAST(p_retailprice * 100 AS INTEGER) AS duration_ms, p_type,
+    CAST(trunc(p_retailprice * 100) AS INTEGER) AS duration_ms, p_type,
     p_size / 50.0 AS danceability, (p_retailprice - 900.0) / 1100.0 AS energy,
     CAST(-length(p_name) AS DOUBLE) AS loudness, length(p_type) / 10.0 AS instrumentalness,
     1.0 - (p_retailprice - 900.0) / 1100.0 AS valence FROM part)"""
@@ -419,6 +419,89 @@ SELECT request_id,
 FROM pick"""
 
 
+EXTRACT_TO_LAKE = f"""
+WITH RECURSIVE parts AS (
+  SELECT *, CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'PROMO' THEN 1 WHEN 'SMALL' THEN 2 WHEN 'MEDIUM' THEN 2
+                        WHEN 'STANDARD' THEN 3 WHEN 'LARGE' THEN 4 END AS ord FROM part),
+raw AS (
+  SELECT CASE ord WHEN 1 THEN 'Music' WHEN 2 THEN 'indieheads' WHEN 3 THEN 'popheads' ELSE 'electronicmusic' END AS source,
+    ord, p_partkey, p_brand, 'p' || CAST(p_partkey AS VARCHAR) AS post_id,
+    CASE WHEN ord = 2 THEN '[FRESH] ' || nm || sep || p_brand || ' [' || p_type || ']'
+         ELSE nm || sep || p_brand || ' (' || p_type || ')' END AS raw_title,
+    CASE WHEN p_size <= 40 THEN 'https://youtu.be/' ELSE 'https://example.com/' END || 'p' || CAST(p_partkey AS VARCHAR) AS url,
+    TIMESTAMP '{RUN_DATE} 00:00:00' + to_seconds((p_size - 25) * 3600 + p_partkey) AS created,
+    CASE WHEN p_size = 1 THEN 'i made this' WHEN p_size <= 30 THEN '[FRESH]' WHEN p_size <= 32 THEN 'Discussion' END AS flair
+  FROM (SELECT *, CASE WHEN ord = 1 THEN replace(p_name, ' ', ' &amp; ') ELSE p_name END AS nm,
+               CASE WHEN p_size = 50 THEN ' ' ELSE ' - ' END AS sep FROM parts)),
+acc AS (
+  SELECT *, replace(raw_title, '&amp;', '&') AS post_title FROM raw
+  WHERE created > TIMESTAMP '{RUN_DATE} 00:00:00'
+    AND (CASE source WHEN 'Music' THEN flair IS DISTINCT FROM 'i made this'
+                     WHEN 'popheads' THEN coalesce(flair IN ('[PERFORMANCE]', '[FRESH]', '[FRESH VIDEO]'), false)
+                     WHEN 'electronicmusic' THEN NOT coalesce(flair IN ('Discussion', 'AMA Announcement'), false)
+                     ELSE true END)
+    AND (contains(url, 'youtu') OR contains(url, 'spotify') OR contains(url, 'soundcloud') OR contains(url, 'bandcamp'))),
+tagged AS (
+  SELECT *, CASE WHEN ord = 2 THEN replace(replace(replace(replace(post_title, '[FRESH]', ''), '[FRESH VIDEO]', ''),
+                 '[FRESH ALBUM]', ''), '[ORIGINAL]', '') ELSE post_title END AS title
+  FROM acc WHERE contains(post_title, ' - ')),
+c AS {clean_sql("SELECT * FROM tagged")},
+v AS (SELECT post_title, part0 AS v0, part1 AS v1 FROM (
+        SELECT *, row_number() OVER (PARTITION BY post_title ORDER BY ord, created DESC, post_id) AS rn FROM c)
+      WHERE rn = 1),
+posts AS (SELECT c.*, v.v0, v.v1 FROM c JOIN v ON c.post_title = v.post_title),
+bwords AS (SELECT p_brand, string_agg(DISTINCT w, ', ' ORDER BY w) AS bg
+           FROM (SELECT p_brand, unnest(string_split(p_name, ' ')) AS w FROM part) GROUP BY p_brand),
+short AS (
+  SELECT * FROM (
+    SELECT p.p_brand, 't' || CAST(p.p_partkey AS VARCHAR) AS track_id, p.p_name AS track_name,
+      p.p_size AS track_popularity, CAST(1990 + p.p_size AS VARCHAR) AS release_date,
+      'a-' || p.p_brand || CASE WHEN p.p_size > 45 THEN ', a-guest' ELSE '' END AS artists_id,
+      p.p_brand || CASE WHEN p.p_size > 45 THEN ', Guest  Jr' ELSE '' END AS artists_name,
+      b.bg || CASE WHEN p.p_size > 45 THEN ', indie rock' ELSE '' END AS genres,
+      row_number() OVER (PARTITION BY p.p_brand ORDER BY p.p_partkey) AS cand_rank
+    FROM part p JOIN bwords b ON p.p_brand = b.p_brand) WHERE cand_rank <= 10),
+cands AS (SELECT p.*, s.track_id, s.track_name, s.track_popularity, s.release_date, s.artists_id,
+                 s.artists_name, s.genres, s.cand_rank
+          FROM posts p JOIN short s ON p.p_brand = s.p_brand),
+pairs AS (
+  SELECT DISTINCT a, b FROM (
+    SELECT track_name AS a, v0 AS b FROM cands UNION ALL SELECT track_name, v1 FROM cands
+    UNION ALL SELECT artists_name, v0 FROM cands UNION ALL SELECT artists_name, v1 FROM cands)
+  WHERE a IS NOT NULL AND b IS NOT NULL),
+{ratio_ctes("SELECT a, b FROM pairs")},
+scored AS (
+  SELECT c.*,
+    CASE WHEN t1.ratio > 0.7 THEN t1.ratio WHEN t0.ratio > 0.7 THEN t0.ratio ELSE 0.0 END AS ts,
+    CASE WHEN a1.ratio > 0.7 THEN a1.ratio WHEN a0.ratio > 0.7 THEN a0.ratio ELSE 0.0 END AS ars
+  FROM cands c
+  LEFT JOIN sim t0 ON t0.a = c.track_name AND t0.b = c.v0
+  LEFT JOIN sim t1 ON t1.a = c.track_name AND t1.b = c.v1
+  LEFT JOIN sim a0 ON a0.a = c.artists_name AND a0.b = c.v0
+  LEFT JOIN sim a1 ON a1.a = c.artists_name AND a1.b = c.v1),
+best AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY cand_rank) AS rn2
+  FROM scored WHERE ts + ars >= 1.4) WHERE rn2 = 1),
+feat AS (
+  SELECT 't' || CAST(p_partkey AS VARCHAR) AS track_id,
+    CAST(p_size / 50.0 AS FLOAT) AS danceability, CAST((p_retailprice - 900.0) / 1100.0 AS FLOAT) AS energy,
+    CAST(p_size // 5 AS INTEGER) AS key, CAST(-length(p_name) AS FLOAT) AS loudness,
+    CASE WHEN p_size > 25 THEN '1' ELSE '0' END AS mode, CAST(0.05 AS FLOAT) AS speechiness,
+    CAST(p_size / 100.0 AS FLOAT) AS acousticness, CAST(length(p_type) / 10.0 AS FLOAT) AS instrumentalness,
+    CAST(0.1 AS FLOAT) AS liveness, CAST(1.0 - p_size / 50.0 AS FLOAT) AS valence,
+    CAST(100.0 + p_size AS FLOAT) AS tempo, CAST(trunc(p_retailprice * 100) AS INTEGER) AS duration_ms,
+    4 AS time_signature
+  FROM part WHERE p_size <= 40)
+SELECT b.post_id, strftime(b.created, '%Y-%m-%d %H:%M:%S') AS post_created_utc, b.post_title,
+  'https://www.reddit.com/r/' || b.source || '/comments/' || b.post_id AS post_url,
+  b.artists_id, b.artists_name, b.track_id, b.track_name, b.release_date, b.genres,
+  CAST(b.track_popularity AS INTEGER) AS track_popularity,
+  f.danceability, f.energy, f.key, f.mode, f.loudness, f.speechiness, f.acousticness,
+  f.instrumentalness, f.liveness, f.valence, f.tempo, f.duration_ms, f.time_signature,
+  {int(RUN_DATE[:4])} AS year, {int(RUN_DATE[5:7])} AS month, {int(RUN_DATE[8:10])} AS day
+FROM best b LEFT JOIN feat f ON b.track_id = f.track_id"""
+
+
 ORACLES = {
     "genre_report": GENRE_REPORT,
     "label_classify": LABEL_CLASSIFY,
@@ -446,4 +529,5 @@ ORACLES = {
     "preference_buckets": PREFERENCE_BUCKETS_SQL,
     "recommend_topn": RECOMMEND_TOPN,
     "stream_feed_load": FEED_TAKEWHILE,
+    "extract_to_lake": EXTRACT_TO_LAKE,
 }

@@ -286,6 +286,18 @@ def q_stream_feed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink).select("source", "post_id", "created_utc")
 
 
+def q_extract_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extract job on landed JSON made from part: one run into an empty lake and
+    state table, then the run's lake partition read back (pruned)."""
+    import datetime as _dt
+    from cadenza.operators.ingest import run_extract
+    root = scratch_path(spark, "extract")
+    S.land_extract_inputs(spark, sf_dir, f"{root}/landing")
+    run_ts = _dt.datetime.fromisoformat(S.RUN_DATE) + _dt.timedelta(hours=12)
+    run_extract(spark, f"{root}/landing", FD.rules_table(spark), f"{root}/state", f"{root}/lake", run_ts)
+    return LK.read_lake_day(spark, f"{root}/lake", S.RUN_DATE, drop_partitions=False)
+
+
 QUERIES = {
     "genre_report": q_genre_report,
     "label_classify": q_label_classify,
@@ -316,4 +328,5 @@ QUERIES = {
     "recommend_topn": q_recommend_topn,
     "recommend_kmeans": q_recommend_kmeans,
     "stream_feed_load": q_stream_feed_load,
+    "extract_to_lake": q_extract_to_lake,
 }

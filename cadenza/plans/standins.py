@@ -216,3 +216,94 @@ def land_feed_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
              .select("source", F.struct(F.transform("_rs", lambda r: r["p"]).alias("children"))
                      .alias("data")))
     pages.write.mode("overwrite").partitionBy("source").json(path)
+
+
+FEED_OF_ORD = {1: "Music", 2: "indieheads", 3: "popheads", 4: "electronicmusic"}
+GUEST_ARTIST = ("a-guest", "Guest, Jr", ["indie rock"])
+
+
+def extract_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed posts made from part rows (one post per part, feed by type):
+    feed 1 titles carry '&amp;', feed 2 titles a '[FRESH] ' tag and a '[type]' suffix,
+    size 50 titles lack the separator; size <= 40 links to a media host;
+    post time = run-date midnight + (size - 25) hours + partkey seconds."""
+    import datetime as _dt
+    p = table(spark, sf_dir, "part")
+    ord_ = F.lit(None).cast("int")
+    for t, o in TYPE_FEED.items():
+        ord_ = F.when(F.col("p_type") == t, F.lit(o)).otherwise(ord_)
+    midnight = int(_dt.datetime.fromisoformat(RUN_DATE).replace(tzinfo=_dt.timezone.utc).timestamp())
+    pid = F.concat(F.lit("p"), F.col("p_partkey").cast("string"))
+    name = F.when(F.col("_o") == 1, F.replace(F.col("p_name"), F.lit(" "), F.lit(" &amp; "))) \
+        .otherwise(F.col("p_name"))
+    sep = F.when(F.col("p_size") == 50, F.lit(" ")).otherwise(F.lit(" - "))
+    title = F.when(F.col("_o") == 2,
+                   F.concat(F.lit("[FRESH] "), name, sep, F.col("p_brand"), F.lit(" ["), F.col("p_type"), F.lit("]"))
+                   ).otherwise(F.concat(name, sep, F.col("p_brand"), F.lit(" ("), F.col("p_type"), F.lit(")")))
+    src = F.lit(None).cast("string")
+    for o, f in FEED_OF_ORD.items():
+        src = F.when(F.col("_o") == o, F.lit(f)).otherwise(src)
+    return (p.withColumn("_o", ord_).select(
+        src.alias("source"), "p_partkey", "p_brand", pid.alias("id"), title.alias("title"),
+        F.when(F.col("p_size") <= 40, F.concat(F.lit("https://youtu.be/"), pid))
+         .otherwise(F.concat(F.lit("https://example.com/"), pid)).alias("url"),
+        (F.lit(midnight) + (F.col("p_size") - 25) * 3600 + F.col("p_partkey")).cast("double")
+        .alias("created_utc"),
+        F.when(F.col("p_size") == 1, F.lit("i made this"))
+         .when(F.col("p_size") <= 30, F.lit("[FRESH]"))
+         .when(F.col("p_size") <= 32, F.lit("Discussion")).alias("link_flair_text")))
+
+
+def land_extract_inputs(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Land the four JSON inputs of the extract job under ``root``."""
+    from cadenza.operators.ranking import top_k_per_group
+    posts = extract_posts(spark, sf_dir)
+    # Feed pages, one per feed and hour, newest first
+    rec = F.struct(F.struct("id", "title", "url", "created_utc", "link_flair_text").alias("data"))
+    (posts.select("source", F.floor(F.col("created_utc") / 3600).alias("_h"),
+                  F.struct((-F.col("created_utc")).alias("o"), F.col("id").alias("i"), rec.alias("r")).alias("_x"))
+     .groupBy("source", "_h").agg(F.array_sort(F.collect_list("_x")).alias("_xs"))
+     .select("source", F.struct(F.transform("_xs", lambda x: x["r"]).alias("children")).alias("data"))
+     .write.mode("overwrite").partitionBy("source").json(f"{root}/pages"))
+    # Search results = the first 10 catalogue tracks of the post's brand
+    p = table(spark, sf_dir, "part")
+    artists = F.array(F.struct(F.concat(F.lit("a-"), F.col("p_brand")).alias("id"),
+                               F.col("p_brand").alias("name")))
+    guest = F.array(F.struct(F.lit(GUEST_ARTIST[0]).alias("id"), F.lit(GUEST_ARTIST[1]).alias("name")))
+    item = F.struct(F.concat(F.lit("t"), F.col("p_partkey").cast("string")).alias("id"),
+                    F.col("p_name").alias("name"), F.col("p_size").alias("popularity"),
+                    F.struct((F.lit(1990) + F.col("p_size")).cast("string").alias("release_date")).alias("album"),
+                    F.when(F.col("p_size") > 45, F.concat(artists, guest)).otherwise(artists).alias("artists"))
+    short = top_k_per_group(p.select("p_brand", "p_partkey", item.alias("item")), ["p_brand"],
+                            [F.col("p_partkey")], 10, "rank")
+    (posts.select(F.col("id").alias("post_id"), "p_brand").join(short, "p_brand")
+     .groupBy("post_id").agg(F.array_sort(F.collect_list(F.struct("rank", "item"))).alias("_it"))
+     .select("post_id", F.struct(F.transform("_it", lambda x: x["item"]).alias("items")).alias("tracks"))
+     .write.mode("overwrite").json(f"{root}/search"))
+    # S3: artists; a brand's genres = the distinct words of its part names (bounded vocabulary)
+    words = p.select("p_brand", F.explode(F.split("p_name", " ")).alias("w"))
+    brand_art = (words.groupBy("p_brand").agg(F.array_sort(F.collect_set("w")).alias("genres"))
+                 .select(F.array(F.struct(F.concat(F.lit("a-"), F.col("p_brand")).alias("id"),
+                                          "genres")).alias("artists")))
+    guest_art = spark.range(1).select(F.array(F.struct(
+        F.lit(GUEST_ARTIST[0]).alias("id"),
+        F.array(*[F.lit(g) for g in GUEST_ARTIST[2]]).alias("genres"))).alias("artists"))
+    brand_art.unionByName(guest_art).write.mode("overwrite").json(f"{root}/artists")
+    # Audio features for tracks of size <= 40 (size 2 also carries a null entry)
+    feat = F.struct(
+        (F.col("p_size") / 50.0).alias("danceability"),
+        ((F.col("p_retailprice") - 900.0) / 1100.0).alias("energy"),
+        (F.col("p_size") / 5).cast("int").alias("key"),
+        (-F.length("p_name")).cast("double").alias("loudness"),
+        F.when(F.col("p_size") > 25, F.lit(1)).otherwise(F.lit(0)).alias("mode"),
+        F.lit(0.05).alias("speechiness"), (F.col("p_size") / 100.0).alias("acousticness"),
+        (F.length("p_type") / 10.0).alias("instrumentalness"), F.lit(0.1).alias("liveness"),
+        (F.lit(1.0) - F.col("p_size") / 50.0).alias("valence"),
+        (F.lit(100.0) + F.col("p_size")).alias("tempo"),
+        (F.col("p_retailprice") * 100).cast("int").alias("duration_ms"), F.lit(4).alias("time_signature"))
+    null_feat = F.lit(None).cast(p.select(feat.alias("f")).schema["f"].dataType)
+    (p.where(F.col("p_size") <= 40)
+     .select(F.concat(F.lit("t"), F.col("p_partkey").cast("string")).alias("track_id"),
+             F.when(F.col("p_size") == 2, F.array(null_feat, feat)).otherwise(F.array(feat))
+             .alias("audio_features"))
+     .write.mode("overwrite").json(f"{root}/features"))
