@@ -30,21 +30,28 @@ def similarity_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def label_scores_udf(labels: list[str]):
-    """Arrow UDF: token -> array of ratio(label, token) for each label, in order."""
+    """Arrow UDF: token -> array of ratio(label, token) for each label, in order.
+
+    Repeated tokens inside one Arrow batch are scored once (memo per batch).
+    """
     vocab = list(labels)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def scores(tok: pd.Series) -> pd.Series:
+        memo: dict = {}
         out = []
         for t in tok:
             if t is None:
                 out.append(None)
                 continue
-            sm = SequenceMatcher(None, "", t)  # b = token is cached once per token
-            row = []
-            for lab in vocab:
-                sm.set_seq1(lab)
-                row.append(sm.ratio())
+            row = memo.get(t)
+            if row is None:
+                sm = SequenceMatcher(None, "", t)  # b = token is indexed once
+                row = []
+                for lab in vocab:
+                    sm.set_seq1(lab)
+                    row.append(sm.ratio())
+                memo[t] = row
             out.append(row)
         return pd.Series(out, dtype="object")
 

@@ -9,12 +9,13 @@ Spark-first plan (no per-row Python):
 
 1. the label is a function of the list text, so only *distinct* lists are
    classified (partial aggregation map-side, so a hot list costs nothing);
-2. their tokens are exploded and de-duplicated; each distinct token is scored
-   against the whole vocabulary once, in one Arrow batch call
-   (vocabulary x token is a generator, not a join);
-3. scores are joined back to the token positions, folded per list in token
-   order with higher-order functions, and the arg-max is ``array_position``
-   of ``array_max`` (first maximum = earliest label);
+2. their tokens are exploded in place and scored against the whole
+   vocabulary in one Arrow call per batch, each distinct token of a batch
+   once (vocabulary x token is a loop inside the helper, not a join);
+3. the token scores are regrouped per list - the rows are still hash
+   partitioned by the list from step 1, so this adds no shuffle - folded in
+   token order with higher-order functions, and the arg-max is
+   ``array_position`` of ``array_max`` (first maximum = earliest label);
 4. the small list -> label map is joined back to the rows; AQE broadcasts it
    when its measured size is under the broadcast threshold and falls back to a
    shuffle join (with skew splitting) otherwise.
@@ -34,6 +35,33 @@ def genre_tokens(genres: Column) -> Column:
     return F.transform(F.split(genres, ", ", -1), lambda t: F.translate(t, " ", ""))
 
 
+def label_unique(df: DataFrame, col: str = "genres", labels: list[str] = GENRE_LABELS,
+                 out: str = "major_genre") -> DataFrame:
+    """Label a frame holding each list at most once (e.g. the output of a
+    ``groupBy(col)``), keeping its other columns; null list -> null label.
+
+    The regrouping by ``col`` reuses the input's hash partitioning on ``col``
+    when it comes straight from an aggregate, so no shuffle is added.
+    """
+    n = len(labels)
+    keep = [c for c in df.columns if c != col]
+    tokens = df.select(col, *keep,
+                       F.posexplode_outer(genre_tokens(F.col(col))).alias("_pos", "_tok"))
+    scored = tokens.withColumn("_s", label_scores_udf(labels)(F.col("_tok")))
+    per_list = (scored.groupBy(col)
+                .agg(F.array_sort(F.collect_list(F.struct("_pos", "_s"))).alias("_l"),
+                     *[F.first(c).alias(c) for c in keep]))
+    sums = F.transform(
+        F.sequence(F.lit(0), F.lit(n - 1)),
+        lambda i: F.aggregate("_l", F.lit(0.0), lambda acc, x: acc + x["_s"][i]))
+    vocab = F.array(*[F.lit(x) for x in labels])
+    label = F.element_at(vocab, F.array_position("label_scores",
+                                                 F.array_max("label_scores")).cast("int"))
+    return (per_list.withColumn("label_scores", F.when(F.col(col).isNotNull(), sums))
+            .withColumn(out, F.when(F.col(col).isNotNull(), label))
+            .select(col, *keep, out, "label_scores"))
+
+
 def label_map(lists: DataFrame, col: str = "genres",
               labels: list[str] = GENRE_LABELS, out: str = "major_genre") -> DataFrame:
     """Distinct genre lists of ``lists[col]`` -> their major label.
@@ -41,26 +69,8 @@ def label_map(lists: DataFrame, col: str = "genres",
     Returns columns ``(col, out, label_scores)``; ``label_scores`` is the per-label
     sum, in vocabulary order.
     """
-    n = len(labels)
     distinct_lists = lists.select(col).where(F.col(col).isNotNull()).distinct()
-    tokens = distinct_lists.select(
-        col, F.posexplode(genre_tokens(F.col(col))).alias("_pos", "_tok"))
-    scored = (tokens.select("_tok").distinct()
-              .select("_tok", label_scores_udf(labels)(F.col("_tok")).alias("_s")))
-    per_list = (tokens.join(scored, "_tok")
-                .groupBy(col)
-                .agg(F.array_sort(F.collect_list(F.struct("_pos", "_s"))).alias("_l")))
-    sums = F.transform(
-        F.sequence(F.lit(0), F.lit(n - 1)),
-        lambda i: F.aggregate("_l", F.lit(0.0), lambda acc, x: acc + x["_s"][i]))
-    vocab = F.array(*[F.lit(x) for x in labels])
-    return (per_list
-            .select(col, sums.alias("label_scores"))
-            .select(col,
-                    F.element_at(vocab, F.array_position("label_scores",
-                                                         F.array_max("label_scores")).cast("int")
-                                 ).alias(out),
-                    "label_scores"))
+    return label_unique(distinct_lists, col, labels, out)
 
 
 def with_major_genre(df: DataFrame, col: str = "genres", out: str = "major_genre",

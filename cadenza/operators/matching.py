@@ -103,7 +103,9 @@ def match_scores_udf(threshold: float = MATCH_THRESHOLD):
             ars.append(_hit_score(sm, a, parts, threshold, memo) if a is not None else 0.0)
         return pd.DataFrame({"track_score": ts, "artist_score": ars})
 
-    return scores
+    # marked non-deterministic so Catalyst never inlines the struct into both
+    # field reads (which would run the helper twice)
+    return scores.asNondeterministic()
 
 
 def score_candidates(cands: DataFrame, threshold: float = MATCH_THRESHOLD) -> DataFrame:

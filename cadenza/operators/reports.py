@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cadenza.fixed import GENRE_LABELS
 from cadenza.functions.dates import run_date_parts
-from cadenza.operators.labels import with_major_genre
+from cadenza.operators.labels import label_unique, with_major_genre
 
 REPORT_COLUMNS = ["Genre", "NumberOfSongs", "Popularity", "Danceability", "Energy",
                   "Valence", "Loudness", "year", "month", "day"]
@@ -29,14 +29,36 @@ def genre_aggregate(labelled: DataFrame, label: str = "major_genre") -> DataFram
     )
 
 
+AVG_COLUMNS = {"track_popularity": "Popularity", "danceability": "Danceability",
+               "energy": "Energy", "valence": "Valence", "loudness": "Loudness"}
+
+
 def daily_genre_report(lake_day: DataFrame, run_date: str,
                        labels: list[str] = GENRE_LABELS) -> DataFrame:
-    """One day of lake rows -> report rows with the run date as zero-padded strings."""
-    labelled = with_major_genre(lake_day, "genres", "major_genre", labels)
+    """One day of lake rows -> report rows with the run date as zero-padded strings.
+
+    One pass over the lake: rows are first reduced to partial sums per genre
+    list (map-side combined, so the shuffle carries one row per list and
+    task), only those few lists are labelled, and the partial sums are
+    combined per label.  Averages are sum / non-null count, as AVG does.
+    """
+    parts = lake_day.groupBy("genres").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(c).alias(f"_s_{c}") for c in AVG_COLUMNS],
+        *[F.count(c).alias(f"_c_{c}") for c in AVG_COLUMNS])
+    labelled = label_unique(parts, "genres", labels, "major_genre")
+    sums = labelled.groupBy(F.col("major_genre").alias("Genre")).agg(
+        F.sum("_n").alias("NumberOfSongs"),
+        *[F.sum(f"_s_{c}").alias(f"_s_{c}") for c in AVG_COLUMNS],
+        *[F.sum(f"_c_{c}").alias(f"_c_{c}") for c in AVG_COLUMNS])
+    avg = {c: F.col(f"_s_{c}") / F.col(f"_c_{c}") for c in AVG_COLUMNS}
     y, m, d = run_date_parts(run_date)
-    return (genre_aggregate(labelled)
-            .withColumns({"year": F.lit(y), "month": F.lit(m), "day": F.lit(d)})
-            .select(*REPORT_COLUMNS))
+    return sums.select(
+        "Genre", "NumberOfSongs",
+        F.floor(avg["track_popularity"]).cast("bigint").alias("Popularity"),
+        *[F.round(avg[c], 3).alias(AVG_COLUMNS[c]) for c in AVG_COLUMNS if c != "track_popularity"],
+        F.lit(y).alias("year"), F.lit(m).alias("month"), F.lit(d).alias("day")
+    ).select(*REPORT_COLUMNS)
 
 
 def genre_report_sql(spark, lake_day: DataFrame, run_date: str,
