@@ -51,7 +51,7 @@ def daily_genre_report(lake_day: DataFrame, run_date: str,
         F.sum("_n").alias("NumberOfSongs"),
         *[F.sum(f"_s_{c}").alias(f"_s_{c}") for c in AVG_COLUMNS],
         *[F.sum(f"_c_{c}").alias(f"_c_{c}") for c in AVG_COLUMNS])
-    avg = {c: F.col(f"_s_{c}") / F.col(f"_c_{c}") for c in AVG_COLUMNS}
+    avg = {c: F.try_divide(F.col(f"_s_{c}"), F.col(f"_c_{c}")) for c in AVG_COLUMNS}  # AVG: null if no value
     y, m, d = run_date_parts(run_date)
     return sums.select(
         "Genre", "NumberOfSongs",

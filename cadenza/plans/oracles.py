@@ -519,6 +519,11 @@ ORACLES = {
     "enrich_dedupe": ENRICH_DEDUPE,
     "csv_roundtrip": CSV_ROUNDTRIP,
     "lake_partition_roundtrip": LAKE_PARTITION_ROUNDTRIP,
+    "lake_read_all": """
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate,
+       CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+       CAST(1 AS INTEGER) AS day
+FROM orders""",
     "report_table": GENRE_REPORT,
     "na_drop": NA_DROP,
     "scaled_features": SCALED_FEATURES,

@@ -1,5 +1,8 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
 
+Every query pins the session time zone to UTC (epoch <-> text conversions
+depend on it) before building its plan.
+
 Each query reads the driver tables (or frames Spark derives from them) and
 exercises one group of operators from the inventory; the matching DuckDB SQL
 lives in ``cadenza.plans.oracles``.
@@ -298,6 +301,17 @@ def q_extract_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LK.read_lake_day(spark, f"{root}/lake", S.RUN_DATE, drop_partitions=False)
 
 
+def q_lake_read_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders into the year/month/day lake, then the whole lake read back (S8):
+    partition values come back as integers."""
+    o = S.table(spark, sf_dir, "orders")
+    rows = o.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate").withColumns(
+        LK.date_partitions(F.date_trunc("month", "o_orderdate")))
+    path = scratch_path(spark, "lake")
+    LK.write_lake(rows, path)
+    return LK.read_lake(spark, path)
+
+
 QUERIES = {
     "genre_report": q_genre_report,
     "label_classify": q_label_classify,
@@ -315,6 +329,7 @@ QUERIES = {
     "enrich_dedupe": q_enrich_dedupe,
     "csv_roundtrip": q_csv_roundtrip,
     "lake_partition_roundtrip": q_lake_partition_roundtrip,
+    "lake_read_all": q_lake_read_all,
     "report_table": q_report_table,
     "na_drop": q_na_drop,
     "scaled_features": q_scaled_features,
@@ -330,3 +345,16 @@ QUERIES = {
     "stream_feed_load": q_stream_feed_load,
     "extract_to_lake": q_extract_to_lake,
 }
+
+
+def _utc(fn):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+QUERIES = {name: _utc(fn) for name, fn in QUERIES.items()}

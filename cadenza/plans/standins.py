@@ -195,8 +195,8 @@ def preference_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def land_feed_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """Write the feed stand-in as landed JSON pages: one page per feed and hour,
-    newest post first, under ``path/source=<event_type>/``."""
+    """Write the feed stand-in as landed JSON pages of at most 100 posts (a block of
+    100 event ids per feed), newest post first, under ``path/source=<event_type>/``."""
     e = table(spark, sf_dir, "events").where(F.col("event_type").isin(list(FEED_SOURCES)))
     k = F.get_json_object("props", "$.k").cast("int")
     epoch = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
@@ -208,7 +208,7 @@ def land_feed_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
                  epoch.alias("created_utc"),
                  flair_of(k).alias("link_flair_text")).alias("data"))
     pages = (e.select(F.col("event_type").alias("source"),
-                      F.date_trunc("hour", "ts").alias("_page"),
+                      F.floor(F.col("event_id") / 100).alias("_page"),
                       F.struct((-epoch).alias("o"), F.col("event_id").alias("i"),
                                post.alias("p")).alias("_r"))
              .groupBy("source", "_page")
@@ -258,9 +258,9 @@ def land_extract_inputs(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Land the four JSON inputs of the extract job under ``root``."""
     from cadenza.operators.ranking import top_k_per_group
     posts = extract_posts(spark, sf_dir)
-    # Feed pages, one per feed and hour, newest first
+    # Feed pages of at most 100 posts (a block of 100 part keys), newest first
     rec = F.struct(F.struct("id", "title", "url", "created_utc", "link_flair_text").alias("data"))
-    (posts.select("source", F.floor(F.col("created_utc") / 3600).alias("_h"),
+    (posts.select("source", F.floor(F.col("p_partkey") / 100).alias("_h"),
                   F.struct((-F.col("created_utc")).alias("o"), F.col("id").alias("i"), rec.alias("r")).alias("_x"))
      .groupBy("source", "_h").agg(F.array_sort(F.collect_list("_x")).alias("_xs"))
      .select("source", F.struct(F.transform("_xs", lambda x: x["r"]).alias("children")).alias("data"))

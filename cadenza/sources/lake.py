@@ -35,10 +35,12 @@ def date_partitions(ts: Column) -> dict[str, Column]:
 def write_lake(df: DataFrame, path: str, mode: str = "append") -> None:
     """Dynamic partitions year/month/day.
 
-    Rows are clustered by the partition columns first so every task writes few
-    files (no small-file explosion when one run spans many days).
+    No shuffle on the partition columns: a daily run has a single partition
+    value, and hashing on it would funnel the whole run into one task.  Each
+    task sorts its rows by the partition columns and writes one file per value
+    it holds (one file per task for a daily run).
     """
-    (df.repartition(*PARTITIONS)
+    (df.sortWithinPartitions(*PARTITIONS)
        .write.mode(mode).option("partitionOverwriteMode", "dynamic")
        .partitionBy(*PARTITIONS).parquet(path))
 
