@@ -82,6 +82,13 @@ def lake_rows(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(n).cast(t).alias(n) for n, t in LAKE_COLUMNS])
 
 
+def _existing_post_ids(spark: SparkSession, lake_path: str, run_date: str) -> DataFrame | None:
+    try:
+        return LK.read_lake_day(spark, lake_path, run_date).select("post_id").distinct()
+    except Exception:  # noqa: BLE001 - no lake yet
+        return None
+
+
 def run_extract(spark: SparkSession, landing: str, rules: DataFrame, state_path: str,
                 lake_path: str, run_ts: _dt.datetime) -> DataFrame:
     """One scheduled run; returns the new marks.  Data is written before state."""
@@ -94,6 +101,11 @@ def run_extract(spark: SparkSession, landing: str, rules: DataFrame, state_path:
     features = spark.read.schema(L.AUDIO_SCHEMA).json(f"{landing}/features")
     rows = lake_rows(enrich(match_tracks(accepted, search, artists), features)
                      .withColumnRenamed("created_utc", "post_created_utc"))
+    # a retried run (crash after the data write, before the state commit) must not
+    # append its posts twice: skip posts already in the day's partition
+    existing = _existing_post_ids(spark, lake_path, run_date)
+    if existing is not None:
+        rows = rows.join(existing, "post_id", "left_anti")
     LK.write_lake(LK.with_run_date(rows, run_date), lake_path)
     new_marks = advance_watermark(accepted, marks.select("source", "last_time"), F.col("_order"))
     ST.commit_state(new_marks, state_path, run_ts.replace(tzinfo=None))

@@ -143,7 +143,8 @@ SUPPLIER_DECLARED = "s_suppkey BIGINT, s_name STRING, s_nationkey STRING, s_acct
 def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier through a CSV hand-over folder, read back onto a declared schema
     (the int nation key declared as string, like the lake's ``mode``)."""
-    path = scratch_path(spark, "handover")
+    from cadenza.functions.dates import hour_stamp
+    path = f"{scratch_path(spark, 'handover')}/{hour_stamp(S.RUN_DATE + ' 12:00:00')}"
     HO.write_csv(S.table(spark, sf_dir, "supplier"), path)
     return HO.read_csv(spark, path, SUPPLIER_DECLARED)
 
