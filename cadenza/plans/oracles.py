@@ -268,7 +268,8 @@ scored AS (
   LEFT JOIN sim t1 ON t1.a = c.track_name AND t1.b = c.part1
   LEFT JOIN sim a0 ON a0.a = c.artists_name AND a0.b = c.part0
   LEFT JOIN sim a1 ON a1.a = c.artists_name AND a1.b = c.part1)
-SELECT post_id, title, track_id, track_name, artists_name, cand_rank, track_score, artist_score FROM (
+SELECT post_id, title, track_id, track_name, artists_name, CAST(cand_rank AS INTEGER) AS cand_rank,
+       track_score, artist_score FROM (
   SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY cand_rank) AS rn
   FROM scored WHERE track_score + artist_score >= 1.4) WHERE rn = 1"""
 
@@ -412,7 +413,7 @@ pick AS (SELECT * FROM (
             ORDER BY md5(CAST(rc.request_id AS VARCHAR) || '|' || CAST(t.track_id AS VARCHAR)), t.track_id) AS k
           FROM rc JOIN top t ON rc.prediction = t.prediction) WHERE k <= 5)
 SELECT request_id,
-  row_number() OVER (PARTITION BY request_id ORDER BY track_popularity DESC, track_id) AS position,
+  CAST(row_number() OVER (PARTITION BY request_id ORDER BY track_popularity DESC, track_id) AS INTEGER) AS position,
   artists_name, track_id, track_name, release_date, track_popularity,
   duration_ms / 1000 AS duration_s,
   'https://open.spotify.com/track/' || CAST(track_id AS VARCHAR) AS track_url
