@@ -37,19 +37,29 @@ def global_row_number(df: DataFrame, order: list[Column], out: str = "n",
     """1-based consecutive row number over the whole frame in ``order``.
 
     ``row_number()`` without PARTITION BY runs in one task.  Instead: range
-    partition on the order, count rows per partition (a tiny table, one row per
-    partition), turn the counts into offsets, and number rows inside each
-    partition (one task per partition).  Ties in ``order`` must be broken by the
-    caller so the numbering is deterministic.
+    partition on the order, number rows inside each partition (one task per
+    partition), count rows per partition (a tiny table, one row per
+    partition), turn the counts into offsets and add them.
+
+    The range bounds come from sampling the input, so two evaluations of an
+    input whose row order is not fixed (e.g. a join output) can partition
+    differently; the numbered frame is therefore materialised once with a
+    reliable ``checkpoint()`` in the shared checkpoint folder, and counts and
+    offsets are taken from that same copy.  Ties in ``order`` must be broken by
+    the caller so the numbering is deterministic.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order)
-              .withColumn("_pid", F.spark_partition_id()))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    from cadenza.session import checkpoint_dir
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    w = W.partitionBy("_pid").orderBy(*order)
+    numbered = (df.repartitionByRange(n, *order)
+                .withColumn("_pid", F.spark_partition_id())
+                .withColumn("_local", F.row_number().over(w))
+                .checkpoint(eager=True))
+    counts = numbered.groupBy("_pid").agg(F.max("_local").alias("_cnt"))
     offsets = counts.select(
         "_pid", (F.sum("_cnt").over(W.orderBy("_pid")) - F.col("_cnt")).alias("_off"))
-    w = W.partitionBy("_pid").orderBy(*order)
-    return (ranged.withColumn("_local", F.row_number().over(w))
-            .join(F.broadcast(offsets), "_pid")
+    return (numbered.join(F.broadcast(offsets), "_pid")
             .withColumn(out, F.col("_off") + F.col("_local"))
             .drop("_pid", "_off", "_local"))

@@ -132,9 +132,14 @@ SELECT p_partkey, title, truncated,
   regexp_replace(truncated, '[^\p{L}\p{N}]+', ' ', 'g') AS search_text
 FROM d"""
 
+# '&amp;' is parked on a placeholder first so its output is never read again;
+# entity names that HTML5 also accepts without ';' are then resolved in that form.
 HTML_UNESCAPE = """
 SELECT page_id,
-  replace(replace(replace(replace(html, '&middot;', chr(183)), '&copy;', chr(169)), '&quot;', '"'), '&amp;', '&') AS text
+  replace(replace(replace(replace(replace(
+    replace(replace(replace(replace(html, '&amp;', chr(1)),
+      '&middot;', chr(183)), '&copy;', chr(169)), '&quot;', '"'),
+    '&middot', chr(183)), '&copy', chr(169)), '&quot', '"'), '&amp', '&'), chr(1), '&') AS text
 FROM pages"""
 
 LINK_FILTER = """
