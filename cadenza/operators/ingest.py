@@ -52,13 +52,17 @@ def accepted_posts(posts: DataFrame, rules: DataFrame, marks: DataFrame) -> Data
 
 
 def match_tracks(posts: DataFrame, search: DataFrame, artist_dim: DataFrame,
-                 k: int = CANDIDATES_PER_POST, threshold: float = MATCH_THRESHOLD) -> DataFrame:
-    """First of the top-k search candidates whose name and joined artists both hit a title part."""
+                 k: int = CANDIDATES_PER_POST, threshold: float = MATCH_THRESHOLD,
+                 cands: DataFrame | None = None) -> DataFrame:
+    """First of the top-k search candidates whose name and joined artists both hit a title part.
+
+    ``cands`` may pass already parsed candidates (``search_candidates(search, k)``).
+    """
     pairs = validation_pairs(posts.withColumnRenamed("post_title", "title"), "title",
                              F.struct("ord", "_order"))
     looked = (posts.drop("part0", "part1")
               .join(pairs.withColumnRenamed("title", "post_title"), "post_title"))
-    cands = L.search_candidates(search, k)
+    cands = cands if cands is not None else L.search_candidates(search, k)
     # artists of every distinct candidate track, joined in artist order
     ta = (cands.select("track_id", F.posexplode("artists").alias("artist_pos", "a"))
           .select("track_id", "artist_pos", F.col("a.id").alias("artist_id"),
@@ -91,22 +95,37 @@ def _existing_post_ids(spark: SparkSession, lake_path: str, run_date: str) -> Da
 
 def run_extract(spark: SparkSession, landing: str, rules: DataFrame, state_path: str,
                 lake_path: str, run_ts: _dt.datetime) -> DataFrame:
-    """One scheduled run; returns the new marks.  Data is written before state."""
+    """One scheduled run; returns the new marks.  Data is written before state.
+
+    The parsed pages, the accepted posts and the parsed candidates are each
+    used by several branches of the plan (stop points, validation pairs,
+    candidate join, watermark), so they are persisted for the run (memory and
+    disk; a lost executor's blocks are recomputed from the landed files).
+    """
+    from pyspark import StorageLevel
+    keep = StorageLevel.MEMORY_AND_DISK
     run_date = run_ts.date().isoformat()
     marks = ST.marks_with_default(rules, ST.latest_marks(ST.read_state(spark, state_path)), run_date)
-    posts = L.read_feed_pages(spark, f"{landing}/pages")
-    accepted = accepted_posts(posts, rules, marks)
+    posts = L.read_feed_pages(spark, f"{landing}/pages").persist(keep)
+    accepted = accepted_posts(posts, rules, marks).persist(keep)
     search = spark.read.schema(L.SEARCH_SCHEMA).json(f"{landing}/search")
+    cands = L.search_candidates(search, CANDIDATES_PER_POST).persist(keep)
     artists = L.artist_genres(spark.read.schema(L.ARTISTS_SCHEMA).json(f"{landing}/artists"))
     features = spark.read.schema(L.AUDIO_SCHEMA).json(f"{landing}/features")
-    rows = lake_rows(enrich(match_tracks(accepted, search, artists), features)
-                     .withColumnRenamed("created_utc", "post_created_utc"))
-    # a retried run (crash after the data write, before the state commit) must not
-    # append its posts twice: skip posts already in the day's partition
-    existing = _existing_post_ids(spark, lake_path, run_date)
-    if existing is not None:
-        rows = rows.join(existing, "post_id", "left_anti")
-    LK.write_lake(LK.with_run_date(rows, run_date), lake_path)
-    new_marks = advance_watermark(accepted, marks.select("source", "last_time"), F.col("_order"))
-    ST.commit_state(new_marks, state_path, run_ts.replace(tzinfo=None))
-    return new_marks
+    try:
+        rows = lake_rows(enrich(match_tracks(accepted, search, artists, cands=cands), features)
+                         .withColumnRenamed("created_utc", "post_created_utc"))
+        # a retried run (crash after the data write, before the state commit) must not
+        # append its posts twice: skip posts already in the day's partition
+        existing = _existing_post_ids(spark, lake_path, run_date)
+        if existing is not None:
+            rows = rows.join(existing, "post_id", "left_anti")
+        LK.write_lake(LK.with_run_date(rows, run_date), lake_path)
+        new_marks = advance_watermark(accepted, marks.select("source", "last_time"), F.col("_order"))
+        ST.commit_state(new_marks, state_path, run_ts.replace(tzinfo=None))
+        return spark.read.parquet(state_path).where(
+            F.col("committed_at") == F.lit(run_ts.replace(tzinfo=None)).cast("timestamp_ntz")
+        ).select("source", F.col("last_time").alias("new_time"))
+    finally:
+        for df in (cands, accepted, posts):
+            df.unpersist()
