@@ -78,3 +78,46 @@ def with_major_genre(df: DataFrame, col: str = "genres", out: str = "major_genre
     """Add ``out`` = major label of ``df[col]`` (null stays null)."""
     m = label_map(df, col, labels, out).select(F.col(col).alias("_lk"), out)
     return df.join(m, df[col] == m["_lk"], "left").drop("_lk")
+
+
+def major_genre_udf(labels: list[str] = GENRE_LABELS):
+    """X1 as a drop-in column function, ``major_genre_udf()(col)``, for ad-hoc use.
+
+    Arrow-batched with a per-batch memo of lists and tokens; the same rule
+    (ordered sum, first maximum wins).  ``with_major_genre`` is the plan to use on
+    large frames: it labels each distinct list once across the whole job.
+    """
+    import pandas as pd
+    from difflib import SequenceMatcher
+
+    vocab = list(labels)
+
+    @F.pandas_udf("string")
+    def label(genres: pd.Series) -> pd.Series:
+        tok_memo: dict = {}
+        list_memo: dict = {}
+        out = []
+        for text in genres:
+            if text is None:
+                out.append(None)
+                continue
+            hit = list_memo.get(text)
+            if hit is None:
+                sums = [0.0] * len(vocab)
+                for tok in text.split(", "):
+                    tok = tok.replace(" ", "")
+                    sc = tok_memo.get(tok)
+                    if sc is None:
+                        sm = SequenceMatcher(None, "", tok)
+                        sc = []
+                        for lab in vocab:
+                            sm.set_seq1(lab)
+                            sc.append(sm.ratio())
+                        tok_memo[tok] = sc
+                    sums = [a + b for a, b in zip(sums, sc)]
+                hit = vocab[sums.index(max(sums))]
+                list_memo[text] = hit
+            out.append(hit)
+        return pd.Series(out, dtype="object")
+
+    return label
