@@ -23,6 +23,9 @@ Spark-first plan (no per-row Python):
 
 from __future__ import annotations
 
+from difflib import SequenceMatcher
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,9 +90,6 @@ def major_genre_udf(labels: list[str] = GENRE_LABELS):
     (ordered sum, first maximum wins).  ``with_major_genre`` is the plan to use on
     large frames: it labels each distinct list once across the whole job.
     """
-    import pandas as pd
-    from difflib import SequenceMatcher
-
     vocab = list(labels)
 
     @F.pandas_udf("string")
