@@ -131,7 +131,7 @@ def response_rows(recs: DataFrame, link_prefix: str = TRACK_LINK_PREFIX) -> Data
         F.concat(F.lit(link_prefix), F.col("track_id").cast("string")).alias("track_url"))
 
 
-def scaled_columns(df: DataFrame, model, features: list[str] = FEATURE_COLUMNS,
+def scaled_columns(features: list[str] = FEATURE_COLUMNS,
                    digits: int | None = None) -> dict[str, Column]:
     """Scaled features as plain columns (``s_<name>``) from the ``standardized`` vector."""
     arr = vector_to_array("standardized")

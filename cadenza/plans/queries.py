@@ -185,7 +185,7 @@ def q_scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     assembled = RC.assembler().transform(f)
     scaled = RC.scaler().fit(assembled).transform(assembled)
     return scaled.select("l_orderkey", "l_linenumber",
-                         *[c.alias(n) for n, c in RC.scaled_columns(scaled, None, digits=6).items()])
+                         *[c.alias(n) for n, c in RC.scaled_columns(digits=6).items()])
 
 
 def _label_centres(e: DataFrame) -> tuple[list[int], list[list[float]]]:
