@@ -31,27 +31,36 @@ def genre_aggregate(labelled: DataFrame, label: str = "major_genre") -> DataFram
 
 AVG_COLUMNS = {"track_popularity": "Popularity", "danceability": "Danceability",
                "energy": "Energy", "valence": "Valence", "loudness": "Loudness"}
+PARTIAL_COLUMNS = (["_n"] + [f"_s_{c}" for c in AVG_COLUMNS] + [f"_c_{c}" for c in AVG_COLUMNS])
 
 
-def daily_genre_report(lake_day: DataFrame, run_date: str,
-                       labels: list[str] = GENRE_LABELS) -> DataFrame:
-    """One day of lake rows -> report rows with the run date as zero-padded strings.
-
-    One pass over the lake: rows are first reduced to partial sums per genre
-    list (map-side combined, so the shuffle carries one row per list and
-    task), only those few lists are labelled, and the partial sums are
-    combined per label.  Averages are sum / non-null count, as AVG does.
-    """
-    parts = lake_day.groupBy("genres").agg(
+def genre_partials(rows: DataFrame, key: str = "genres") -> DataFrame:
+    """Partial sums per ``key``: row count, and sum + non-null count of each averaged
+    column.  Map-side combined, so the shuffle carries one row per key and task."""
+    return rows.groupBy(key).agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.sum(c).alias(f"_s_{c}") for c in AVG_COLUMNS],
         *[F.count(c).alias(f"_c_{c}") for c in AVG_COLUMNS])
-    labelled = label_unique(parts, "genres", labels, "major_genre")
+
+
+def combine_partials(partials: DataFrame, key: str) -> DataFrame:
+    """Re-group partial sums on another key (sums of sums)."""
+    return partials.groupBy(key).agg(*[F.sum(c).alias(c) for c in PARTIAL_COLUMNS])
+
+
+def report_from_partials(per_list: DataFrame, run_date: str,
+                         labels: list[str] = GENRE_LABELS) -> DataFrame:
+    """Partial sums per genre list -> labelled -> report rows.
+
+    Only the lists are labelled (one row each); averages are sum / non-null
+    count, as AVG does (null when a group has no value).
+    """
+    labelled = label_unique(per_list, "genres", labels, "major_genre")
     sums = labelled.groupBy(F.col("major_genre").alias("Genre")).agg(
         F.sum("_n").alias("NumberOfSongs"),
         *[F.sum(f"_s_{c}").alias(f"_s_{c}") for c in AVG_COLUMNS],
         *[F.sum(f"_c_{c}").alias(f"_c_{c}") for c in AVG_COLUMNS])
-    avg = {c: F.try_divide(F.col(f"_s_{c}"), F.col(f"_c_{c}")) for c in AVG_COLUMNS}  # AVG: null if no value
+    avg = {c: F.try_divide(F.col(f"_s_{c}"), F.col(f"_c_{c}")) for c in AVG_COLUMNS}
     y, m, d = run_date_parts(run_date)
     return sums.select(
         "Genre", "NumberOfSongs",
@@ -61,6 +70,17 @@ def daily_genre_report(lake_day: DataFrame, run_date: str,
     ).select(*REPORT_COLUMNS)
 
 
+def daily_genre_report(lake_day: DataFrame, run_date: str,
+                       labels: list[str] = GENRE_LABELS) -> DataFrame:
+    """One day of lake rows -> report rows with the run date as zero-padded strings.
+
+    One pass over the lake: rows are first reduced to partial sums per genre
+    list, only those few lists are labelled, and the partial sums are
+    combined per label.
+    """
+    return report_from_partials(genre_partials(lake_day, "genres"), run_date, labels)
+
+
 def genre_report_sql(spark, lake_day: DataFrame, run_date: str,
                      labels: list[str] = GENRE_LABELS, view: str = "spotify") -> DataFrame:
     """Same report written as SQL over a registered temp view."""

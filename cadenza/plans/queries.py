@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from cadenza.fixed import GENRE_LABELS
 from cadenza.functions.similarity import similarity_ratio as ratio_udf
 from cadenza.operators.labels import with_major_genre
-from cadenza.operators.reports import daily_genre_report
+from cadenza.operators.reports import combine_partials, genre_partials, report_from_partials
 from cadenza.functions.text import html_unescape, is_media_link, matched_term, permalink
 from cadenza.functions.titles import clean_titles
 from cadenza.operators import feeds as FD
@@ -39,7 +39,14 @@ from cadenza.sources import state as ST
 
 
 def q_genre_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_genre_report(S.lake_rows(spark, sf_dir), S.RUN_DATE)
+    """Lake rows are lineitem plays of part tracks.  Plays are reduced to partial sums per
+    track before the join (map-side), so the join and the re-grouping by genre list see one
+    row per track instead of one per play."""
+    per_track = genre_partials(S.play_features(spark, sf_dir), "l_partkey")
+    p = S.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("l_partkey"), S.genre_list(F.col("p_name")).alias("genres"))
+    per_list = combine_partials(per_track.join(p, "l_partkey"), "genres")
+    return report_from_partials(per_list, S.RUN_DATE)
 
 
 def q_label_classify(spark: SparkSession, sf_dir: str) -> DataFrame:

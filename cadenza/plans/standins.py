@@ -40,6 +40,18 @@ def part_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lit(")")).alias("title"))
 
 
+def play_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lake's report columns read off lineitem alone (track = l_partkey)."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        "l_partkey",
+        F.col("l_quantity").cast("int").alias("track_popularity"),
+        F.col("l_discount").alias("danceability"),
+        F.col("l_tax").alias("energy"),
+        (F.lit(1.0) - F.col("l_discount")).alias("valence"),
+        (-F.col("l_quantity") / 5.0).alias("loudness"))
+
+
 def lake_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lake-shaped rows: lineitem plays of part tracks."""
     li = table(spark, sf_dir, "lineitem")
