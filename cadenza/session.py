@@ -57,3 +57,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cadenza`` importable in executor Python workers (the Arrow helpers are
+    pickled by reference): zip the package once per SparkContext and register it
+    with ``addPyFile`` - what ``spark-submit --py-files`` does.  The zip is only
+    read by the driver, which serves it to the executors."""
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_cadenza_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="cadenza-pkg-"), "cadenza.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    sc._cadenza_shipped = True
