@@ -94,7 +94,9 @@ def main(argv: list[str] | None = None) -> None:
               "run-date"):
         ap.add_argument(f"--{a}")
     args = ap.parse_args(argv)
+    from cadenza.session import ship_package
     spark = get_session(app=f"cadenza-{args.job}")
+    ship_package(spark)
     if args.job == "extract":
         ts = _dt.datetime.fromisoformat(args.run_ts) if args.run_ts else None
         extract_job(spark, args.landing, args.lake, args.state, ts).show()

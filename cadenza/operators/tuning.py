@@ -34,7 +34,7 @@ def clustering_cost(df: DataFrame, features: str, prediction: str) -> DataFrame:
 
 
 def k_sweep(df: DataFrame, ks: list[int] = K_SWEEP, seed: int = KMEANS_SEED,
-            features: str = "standardized", parallelism: int = 4) -> DataFrame:
+            features: str = "standardized", parallelism: int = 8) -> DataFrame:
     """M9: one fit per k gives both curves (the original fitted every k twice).
 
     The input is persisted once and reused by every fit and evaluation; the
