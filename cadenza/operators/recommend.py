@@ -124,10 +124,12 @@ def recommend(request_clusters: DataFrame, track_clusters: DataFrame,
 
 
 def response_rows(recs: DataFrame, link_prefix: str = TRACK_LINK_PREFIX) -> DataFrame:
-    """P8 + P9: the display fields by name, duration in seconds, track link."""
+    """P8 + P9: the display fields by name (artist, track, release date, major genre,
+    duration in seconds, popularity) and the track link."""
+    genre = [F.col("major_genre")] if "major_genre" in recs.columns else []
     return recs.select(
         "request_id", "position", "artists_name", "track_id", "track_name", "release_date",
-        "track_popularity", (F.col("duration_ms") / 1000).alias("duration_s"),
+        *genre, "track_popularity", (F.col("duration_ms") / 1000).alias("duration_s"),
         F.concat(F.lit(link_prefix), F.col("track_id").cast("string")).alias("track_url"))
 
 

@@ -389,7 +389,8 @@ PREFERENCE_BUCKETS_SQL = f"SELECT * FROM {_pref_sql()}"
 
 _TRACKS = """tracks AS (
   SELECT p_partkey AS track_id, p_name AS track_name, p_brand AS artists_name,
-    CAST(2000 + p_size AS VARCHAR) AS release_date, p_size AS track_popularity,
+    CAST(2000 + p_size AS VARCHAR) AS release_date, replace(p_name, ' ', ', ') AS genres,
+    p_size AS track_popularity,
     CAST(trunc(p_retailprice * 100) AS INTEGER) AS duration_ms, p_type,
     p_size / 50.0 AS danceability, (p_retailprice - 900.0) / 1100.0 AS energy,
     CAST(-length(p_name) AS DOUBLE) AS loudness, length(p_type) / 10.0 AS instrumentalness,
@@ -398,7 +399,8 @@ _TRACKS = """tracks AS (
 _DIST = " + ".join(f"(x.s_{f} - c.c_{f}) * (x.s_{f} - c.c_{f})" for f in _F)
 
 RECOMMEND_TOPN = f"""
-WITH {_TRACKS},
+WITH RECURSIVE {_TRACKS},
+{label_ctes("SELECT genres FROM tracks")},
 sd AS (SELECT {", ".join(f"stddev_samp({f}) AS sd_{f}" for f in _F)} FROM tracks),
 st AS (SELECT t.*, {", ".join(f"{f} * (1.0 / sd_{f}) AS s_{f}" for f in _F)} FROM tracks t, sd),
 cen AS (SELECT row_number() OVER (ORDER BY p_type) - 1 AS ci,
@@ -419,10 +421,10 @@ pick AS (SELECT * FROM (
           FROM rc JOIN top t ON rc.prediction = t.prediction) WHERE k <= 5)
 SELECT request_id,
   CAST(row_number() OVER (PARTITION BY request_id ORDER BY track_popularity DESC, track_id) AS INTEGER) AS position,
-  artists_name, track_id, track_name, release_date, track_popularity,
+  artists_name, track_id, track_name, release_date, g.major_genre, track_popularity,
   duration_ms / 1000 AS duration_s,
   'https://open.spotify.com/track/' || CAST(track_id AS VARCHAR) AS track_url
-FROM pick"""
+FROM pick LEFT JOIN list_label g ON pick.genres = g.genres"""
 
 
 EXTRACT_TO_LAKE = f"""

@@ -256,7 +256,8 @@ def q_preference_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_recommend_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch scoring with fixed centres (per-type means of the scaled track features)."""
-    tracks = RC.assembler().transform(S.part_tracks(spark, sf_dir))
+    tracks = RC.assembler().transform(
+        with_major_genre(S.part_tracks(spark, sf_dir), "genres", "major_genre"))
     sc = RC.scaler().fit(tracks)
     st = sc.transform(tracks).withColumn("vec", vector_to_array("standardized"))
     n = len(FEATURE_COLUMNS)
