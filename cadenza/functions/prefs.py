@@ -8,13 +8,22 @@ from pyspark.sql import functions as F
 from cadenza.fixed import NOT_CHOSEN, PREFERENCE_BUCKETS
 
 
+# Optional corrected table (our own, not the original's): loudness labels run from
+# quiet to loud, and "not chosen" is the scoring default for loudness.
+CORRECTED_BUCKETS = dict(PREFERENCE_BUCKETS, loudness=[
+    ("Soft", -20.0, -10.0), ("Average Loudness", -10.0, -5.0), ("Very Loud", -5.0, 0.0)])
+CORRECTED_NOT_CHOSEN = {"loudness": -10.1}
+
+
 def label_value(dimension: str, label: Column, mode: str = "midpoint", seed: int = 0,
-                buckets: dict = PREFERENCE_BUCKETS, not_chosen: float = NOT_CHOSEN) -> Column:
+                buckets: dict = PREFERENCE_BUCKETS, not_chosen: float | dict = NOT_CHOSEN) -> Column:
     """N15 + N14: label -> range -> value; '' -> ``not_chosen``; unknown label -> null.
 
     ``mode='uniform'`` draws ``lo + rand(seed) * (hi - lo)`` (seeded, so runs
     repeat); ``mode='midpoint'`` is the deterministic centre of the range.
     """
+    if isinstance(not_chosen, dict):
+        not_chosen = not_chosen.get(dimension, NOT_CHOSEN)
     out = F.when(label == "", F.lit(not_chosen))
     for name, lo, hi in buckets[dimension]:
         if mode == "uniform":
@@ -26,7 +35,9 @@ def label_value(dimension: str, label: Column, mode: str = "midpoint", seed: int
 
 
 def request_values(labels: dict[str, Column], mode: str = "midpoint", seed: int = 0,
-                   buckets: dict = PREFERENCE_BUCKETS) -> dict[str, Column]:
-    """All five dimensions at once (one column per dimension)."""
-    return {d: label_value(d, c, mode, seed + i, buckets)
+                   buckets: dict = PREFERENCE_BUCKETS,
+                   not_chosen: float | dict = NOT_CHOSEN) -> dict[str, Column]:
+    """All five dimensions at once (one column per dimension); pass
+    ``CORRECTED_BUCKETS`` / ``CORRECTED_NOT_CHOSEN`` for the corrected table."""
+    return {d: label_value(d, c, mode, seed + i, buckets, not_chosen)
             for i, (d, c) in enumerate(labels.items())}

@@ -32,11 +32,21 @@ def feed_order() -> Column:
                     F.col("page").alias("g"), F.col("pos").alias("p"))
 
 
-def accepted_posts(posts: DataFrame, rules: DataFrame, marks: DataFrame) -> DataFrame:
-    """Posts newer than their feed's mark (take-while in feed order), passing the flair
-    rule, linking to a media host and titled 'artist - song'; cleaned."""
+def accepted_posts(posts: DataFrame, rules: DataFrame, marks: DataFrame,
+                   mode: str = "takewhile") -> DataFrame:
+    """Posts newer than their feed's mark, passing the flair rule, linking to a media
+    host and titled 'artist - song'; cleaned.
+
+    ``mode='takewhile'`` (the original): walk each feed newest first and stop at
+    the first post not newer than the mark, even if later ones are newer;
+    ``mode='filter'``: keep every newer post (equal on a sorted feed).
+    """
     p = attach_rules(posts, rules).join(F.broadcast(marks), "source")
-    newer = take_while(p, ["source"], feed_order(), F.col("created") > F.col("last_time"))
+    newer_than_mark = F.col("created") > F.col("last_time")
+    if mode == "filter":
+        newer = p.where(newer_than_mark)
+    else:
+        newer = take_while(p, ["source"], feed_order(), newer_than_mark)
     kept = (newer.where(flair_passes(F.col("flair"), F.col("flair_rule"), F.col("flair_values")))
             .where(is_media_link(F.col("url")))
             .withColumn("post_title", html_unescape(F.col("title")))
@@ -82,7 +92,9 @@ def enrich(matches: DataFrame, features: DataFrame, how: str = "left") -> DataFr
 
 
 def lake_rows(df: DataFrame) -> DataFrame:
-    """The declared lake schema (P5), ``mode`` kept as text."""
+    """The declared lake schema (P5), ``mode`` kept as text; a track without any
+    artist genre stores null genres (never the text of a missing value)."""
+    df = df.withColumn("genres", F.nullif(F.col("genres"), F.lit("")))
     return df.select(*[F.col(n).cast(t).alias(n) for n, t in LAKE_COLUMNS])
 
 

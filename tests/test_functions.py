@@ -88,3 +88,11 @@ def test_preference_values(spark):
     uni = [r["v"] for r in df.select(label_value("danceability", F.col("l"), mode="uniform", seed=7)
                                        .alias("v")).collect()]
     assert 0.3 <= uni[0] <= 0.6 and uni[1] == 0.5 and uni[2] is None
+
+
+def test_corrected_loudness_table(spark):
+    from cadenza.functions.prefs import CORRECTED_BUCKETS, CORRECTED_NOT_CHOSEN
+    df = spark.createDataFrame([("Very Loud",), ("",)], "l string")
+    out = [r["v"] for r in df.select(label_value("loudness", F.col("l"), buckets=CORRECTED_BUCKETS,
+                                                 not_chosen=CORRECTED_NOT_CHOSEN).alias("v")).collect()]
+    assert out == [-2.5, -10.1]

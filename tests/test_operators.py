@@ -169,3 +169,21 @@ def test_major_genre_udf_matches_plan(spark):
     df = spark.createDataFrame([(i, g) for i, (g, _) in enumerate(GENRES)], "id int, genres string")
     got = {r["id"]: r["g"] for r in df.select("id", major_genre_udf()("genres").alias("g")).collect()}
     assert [got[i] for i in range(len(GENRES))] == [e for _, e in GENRES]
+
+
+def test_order_dependent_operators_ignore_partitioning(spark):
+    """Metamorphic: take-while, first-per-group and the title keys do not depend on layout."""
+    import random
+    from cadenza.operators.ranking import first_per_group
+    random.seed(5)
+    rows = [(random.choice(["a", "b", "c"]), i, random.random() < 0.8,
+             random.choice(["x - y", "p - q", "x - y (z)"]), random.randint(1, 4)) for i in range(300)]
+    df = spark.createDataFrame(rows, "source string, pos int, ok boolean, title string, ord int")
+
+    def run(d):
+        tw = sorted(tuple(r) for r in take_while(d, ["source"], F.col("pos"), F.col("ok")).select("source", "pos").collect())
+        fp = sorted(tuple(r) for r in first_per_group(d, ["title"], F.struct("ord", "pos"), ["pos"]).collect())
+        dk = sorted(tuple(r) for r in dedup_keys(d.withColumn("post_id", F.col("pos"))).select("post_id", "key").collect())
+        return tw, fp, dk
+
+    assert run(df) == run(df.repartition(7)) == run(df.repartition(3, "title"))
