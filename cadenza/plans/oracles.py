@@ -2,14 +2,44 @@
 
 from __future__ import annotations
 
-from cadenza.fixed import GENRE_LABELS
-from cadenza.plans.standins import RUN_DATE
+from cadenza.fixed import FEED_RULES as RULE_ROWS
+from cadenza.fixed import (GENRE_LABELS, LINK_TERMS, PERMALINK_PREFIX,
+                           TITLE_SEPARATOR, TRACK_LINK_PREFIX)
+from cadenza.plans.standins import FEED_SOURCES, FLAIR_BUCKETS, FLAIR_OTHER, RUN_DATE
 
 
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def _sql_list(vals: list[str]) -> str:
+    return "[" + ", ".join(_q(v) for v in vals) + "]" if vals else "CAST([] AS VARCHAR[])"
+
+
+def rules_values(by_event_type: bool = True) -> str:
+    """The feed rules as a VALUES CTE ``rules`` (keyed by the stand-in event type or by feed)."""
+    key = {f: k for k, f in FEED_SOURCES.items()}
+    rows = ",\n  ".join(
+        f"({_q(key[feed] if by_event_type else feed)}, {o}, {_q(feed)}, "
+        f"{_q(rule) if rule else 'NULL'}, {_sql_list(vals)}, {_sql_list(tags)}, "
+        f"{_q(PERMALINK_PREFIX.format(feed=feed))})"
+        for o, feed, rule, vals, tags in RULE_ROWS)
+    return f"rules(source, ord, feed, flair_rule, flair_values, tags, prefix) AS (VALUES\n  {rows})"
+
+
+def link_pred(col: str) -> str:
+    return "(" + " OR ".join(f"contains({col}, {_q(t)})" for t in LINK_TERMS) + ")"
+
+
+def link_term_case(col: str) -> str:
+    return "CASE " + " ".join(f"WHEN contains({col}, {_q(t)}) THEN {_q(t)}" for t in LINK_TERMS) + " END"
+
+
+def flair_case(k: str) -> str:
+    whens = " ".join(f"WHEN {k} < {hi} THEN {_q(v) if v is not None else 'NULL'}" for hi, v in FLAIR_BUCKETS)
+    return f"CASE {whens} ELSE {_q(FLAIR_OTHER)} END"
+
+
 def labels_values() -> str:
     rows = ", ".join(f"({i}, {_q(x)})" for i, x in enumerate(GENRE_LABELS))
     return f"genre_vocab(ord, label) AS (VALUES {rows})"
@@ -142,30 +172,20 @@ SELECT page_id,
     '&middot', chr(183)), '&copy', chr(169)), '&quot', '"'), '&amp', '&'), chr(1), '&') AS text
 FROM pages"""
 
-LINK_FILTER = """
-SELECT page_id, url,
-  coalesce(contains(url, 'youtu') OR contains(url, 'spotify') OR contains(url, 'soundcloud')
-           OR contains(url, 'bandcamp'), false) AS is_media_link,
-  CASE WHEN contains(url, 'youtu') THEN 'youtu' WHEN contains(url, 'spotify') THEN 'spotify'
-       WHEN contains(url, 'soundcloud') THEN 'soundcloud' WHEN contains(url, 'bandcamp') THEN 'bandcamp'
-  END AS link_term
+LINK_FILTER = f"""
+SELECT page_id, url, coalesce({link_pred("url")}, false) AS is_media_link,
+  {link_term_case("url")} AS link_term
 FROM pages"""
 
-FEED_RULES_VALUES = """rules(source, ord, feed, flair_rule, flair_values, prefix) AS (VALUES
-  ('click', 1, 'Music', 'ne', ['i made this'], 'https://www.reddit.com/r/Music/comments/'),
-  ('view', 2, 'indieheads', NULL, CAST([] AS VARCHAR[]), 'https://www.reddit.com/r/indieheads/comments/'),
-  ('purchase', 3, 'popheads', 'in', ['[PERFORMANCE]', '[FRESH]', '[FRESH VIDEO]'], 'https://www.reddit.com/r/popheads/comments/'),
-  ('signup', 4, 'electronicmusic', 'nin', ['Discussion', 'AMA Announcement'], 'https://www.reddit.com/r/electronicmusic/comments/'))"""
+FEED_RULES_VALUES = rules_values(by_event_type=True)
 
-FEED_POSTS = """posts AS (
+FEED_POSTS = f"""posts AS (
   SELECT event_type AS source, CAST(event_id AS VARCHAR) AS post_id, event_id, ts,
     strftime(ts, '%Y-%m-%d %H:%M:%S') AS created_utc,
     date_trunc('second', ts) AS created,
-    CASE WHEN k < 15 THEN NULL WHEN k < 30 THEN 'i made this' WHEN k < 45 THEN '[FRESH]'
-         WHEN k < 55 THEN '[PERFORMANCE]' WHEN k < 65 THEN '[FRESH VIDEO]'
-         WHEN k < 75 THEN 'Discussion' WHEN k < 85 THEN 'AMA Announcement' ELSE 'other' END AS flair
+    {flair_case("k")} AS flair
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
-  WHERE event_type IN ('click', 'view', 'purchase', 'signup'))"""
+  WHERE event_type IN ({", ".join(_q(x) for x in FEED_SOURCES)}))"""
 
 FLAIR_PASSES = """(CASE WHEN r.flair_rule IS NULL THEN true
        WHEN r.flair_rule = 'ne' THEN p.flair IS DISTINCT FROM r.flair_values[1]
@@ -179,9 +199,9 @@ SELECT p.post_id, r.feed, p.flair, r.prefix || p.post_id AS post_url
 FROM posts p JOIN rules r ON p.source = r.source
 WHERE {FLAIR_PASSES}"""
 
-HISTORY = """history AS (
+HISTORY = f"""history AS (
   SELECT event_type AS source, date_trunc('day', ts) - INTERVAL 3 DAY AS last_time, ts AS committed_at
-  FROM events WHERE event_type IN ('click', 'view', 'purchase'))"""
+  FROM events WHERE event_type IN ({", ".join(_q(k) for k, f in FEED_SOURCES.items() if f != "electronicmusic")}))"""
 
 LATEST = """latest AS (
   SELECT source, last_time, committed_at FROM (
@@ -423,12 +443,13 @@ SELECT request_id,
   CAST(row_number() OVER (PARTITION BY request_id ORDER BY track_popularity DESC, track_id) AS INTEGER) AS position,
   artists_name, track_id, track_name, release_date, g.major_genre, track_popularity,
   duration_ms / 1000 AS duration_s,
-  'https://open.spotify.com/track/' || CAST(track_id AS VARCHAR) AS track_url
+  {_q(TRACK_LINK_PREFIX)} || CAST(track_id AS VARCHAR) AS track_url
 FROM pick LEFT JOIN list_label g ON pick.genres = g.genres"""
 
 
 EXTRACT_TO_LAKE = f"""
-WITH RECURSIVE parts AS (
+WITH RECURSIVE {rules_values(by_event_type=False)},
+parts AS (
   SELECT *, CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'PROMO' THEN 1 WHEN 'SMALL' THEN 2 WHEN 'MEDIUM' THEN 2
                         WHEN 'STANDARD' THEN 3 WHEN 'LARGE' THEN 4 END AS ord FROM part),
 raw AS (
@@ -442,17 +463,12 @@ raw AS (
   FROM (SELECT *, CASE WHEN ord = 1 THEN replace(p_name, ' ', ' &amp; ') ELSE p_name END AS nm,
                CASE WHEN p_size = 50 THEN ' ' ELSE ' - ' END AS sep FROM parts)),
 acc AS (
-  SELECT *, replace(raw_title, '&amp;', '&') AS post_title FROM raw
-  WHERE created > TIMESTAMP '{RUN_DATE} 00:00:00'
-    AND (CASE source WHEN 'Music' THEN flair IS DISTINCT FROM 'i made this'
-                     WHEN 'popheads' THEN coalesce(flair IN ('[PERFORMANCE]', '[FRESH]', '[FRESH VIDEO]'), false)
-                     WHEN 'electronicmusic' THEN NOT coalesce(flair IN ('Discussion', 'AMA Announcement'), false)
-                     ELSE true END)
-    AND (contains(url, 'youtu') OR contains(url, 'spotify') OR contains(url, 'soundcloud') OR contains(url, 'bandcamp'))),
+  SELECT p.*, r.tags, r.prefix, replace(p.raw_title, '&amp;', '&') AS post_title
+  FROM raw p JOIN rules r ON p.source = r.source
+  WHERE p.created > TIMESTAMP '{RUN_DATE} 00:00:00' AND {FLAIR_PASSES} AND {link_pred("p.url")}),
 tagged AS (
-  SELECT *, CASE WHEN ord = 2 THEN replace(replace(replace(replace(post_title, '[FRESH]', ''), '[FRESH VIDEO]', ''),
-                 '[FRESH ALBUM]', ''), '[ORIGINAL]', '') ELSE post_title END AS title
-  FROM acc WHERE contains(post_title, ' - ')),
+  SELECT *, list_reduce(list_prepend(post_title, tags), lambda acc, t: replace(acc, t, '')) AS title
+  FROM acc WHERE contains(post_title, {_q(TITLE_SEPARATOR)})),
 c AS {clean_sql("SELECT * FROM tagged")},
 v AS (SELECT post_title, part0 AS v0, part1 AS v1 FROM (
         SELECT *, row_number() OVER (PARTITION BY post_title ORDER BY ord, created DESC, post_id) AS rn FROM c)
@@ -501,7 +517,7 @@ feat AS (
     4 AS time_signature
   FROM part WHERE p_size <= 40)
 SELECT b.post_id, strftime(b.created, '%Y-%m-%d %H:%M:%S') AS post_created_utc, b.post_title,
-  'https://www.reddit.com/r/' || b.source || '/comments/' || b.post_id AS post_url,
+  b.prefix || b.post_id AS post_url,
   b.artists_id, b.artists_name, b.track_id, b.track_name, b.release_date, b.genres,
   CAST(b.track_popularity AS INTEGER) AS track_popularity,
   f.danceability, f.energy, f.key, f.mode, f.loudness, f.speechiness, f.acousticness,
