@@ -32,6 +32,21 @@ def feed_order() -> Column:
                     F.col("page").alias("g"), F.col("pos").alias("p"))
 
 
+def post_rules(newer: DataFrame) -> DataFrame:
+    """F2-F6 + N1-N5 + P7 on posts already carrying their rules row: flair rule, media
+    link, HTML unescape, separator check, tag removal, truncation, parts, search text,
+    permalink.  All stateless, so the same chain runs in batch and in a stream."""
+    kept = (newer.where(flair_passes(F.col("flair"), F.col("flair_rule"), F.col("flair_values")))
+            .where(is_media_link(F.col("url")))
+            .withColumn("post_title", html_unescape(F.col("title")))
+            .where(has_separator(F.col("post_title"))))
+    trunc = truncate_title(remove_tags(F.col("post_title"), F.col("tags")))
+    p0, p1 = title_parts(F.col("truncated"))
+    return (kept.withColumn("truncated", trunc)
+            .withColumns({"part0": p0, "part1": p1, "searching_context": search_text(F.col("truncated")),
+                          "post_url": permalink(F.col("permalink_prefix"), F.col("post_id"))}))
+
+
 def accepted_posts(posts: DataFrame, rules: DataFrame, marks: DataFrame,
                    mode: str = "takewhile") -> DataFrame:
     """Posts newer than their feed's mark, passing the flair rule, linking to a media
@@ -47,16 +62,7 @@ def accepted_posts(posts: DataFrame, rules: DataFrame, marks: DataFrame,
         newer = p.where(newer_than_mark)
     else:
         newer = take_while(p, ["source"], feed_order(), newer_than_mark)
-    kept = (newer.where(flair_passes(F.col("flair"), F.col("flair_rule"), F.col("flair_values")))
-            .where(is_media_link(F.col("url")))
-            .withColumn("post_title", html_unescape(F.col("title")))
-            .where(has_separator(F.col("post_title"))))
-    trunc = truncate_title(remove_tags(F.col("post_title"), F.col("tags")))
-    p0, p1 = title_parts(F.col("truncated"))
-    return (kept.withColumn("truncated", trunc)
-            .withColumns({"part0": p0, "part1": p1, "searching_context": search_text(F.col("truncated")),
-                          "post_url": permalink(F.col("permalink_prefix"), F.col("post_id")),
-                          "_order": feed_order()})
+    return (post_rules(newer).withColumn("_order", feed_order())
             .select("source", "ord", "post_id", "post_title", "created_utc", "created", "post_url",
                     "searching_context", "part0", "part1", "_order", "last_time"))
 

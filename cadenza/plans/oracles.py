@@ -526,6 +526,26 @@ SELECT b.post_id, strftime(b.created, '%Y-%m-%d %H:%M:%S') AS post_created_utc,
 FROM best b LEFT JOIN feat f ON b.track_id = f.track_id"""
 
 
+STREAM_ACCEPTED_POSTS = f"""
+WITH {FEED_RULES_VALUES}, {FEED_POSTS}, {HISTORY}, {LATEST}, {MARKS},
+land AS (
+  SELECT p.*, 'user ' || CAST(e.user_id AS VARCHAR) || ' - ' || e.event_type AS title,
+    CASE WHEN e.value < 50 THEN 'https://youtu.be/' ELSE 'https://example.com/p/' END
+      || CAST(e.event_id AS VARCHAR) AS url
+  FROM posts p JOIN events e ON p.event_id = e.event_id),
+acc AS (
+  SELECT p.*, r.tags, r.prefix, p.title AS post_title
+  FROM land p JOIN rules r ON p.source = r.source JOIN marks m ON p.source = m.source
+  WHERE p.created > m.last_time AND {FLAIR_PASSES} AND {link_pred("p.url")}
+    AND contains(p.title, {_q(TITLE_SEPARATOR)})),
+tagged AS (SELECT * EXCLUDE (title),
+             list_reduce(list_prepend(post_title, tags), lambda a, t: replace(a, t, '')) AS title FROM acc),
+c AS {clean_sql("SELECT * FROM tagged")}
+SELECT source, post_id, created_utc, post_title, part0, part1, search_text AS searching_context,
+       prefix || post_id AS post_url
+FROM c"""
+
+
 ORACLES = {
     "genre_report": GENRE_REPORT,
     "label_classify": LABEL_CLASSIFY,
@@ -558,5 +578,6 @@ FROM orders""",
     "preference_buckets": PREFERENCE_BUCKETS_SQL,
     "recommend_topn": RECOMMEND_TOPN,
     "stream_feed_load": FEED_TAKEWHILE,
+    "stream_accepted_posts": STREAM_ACCEPTED_POSTS,
     "extract_to_lake": EXTRACT_TO_LAKE,
 }

@@ -298,6 +298,17 @@ def q_stream_feed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink).select("source", "post_id", "created_utc")
 
 
+def q_stream_accepted_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed rules applied inside the stream (flair, link, title cleaning), read back."""
+    from cadenza.streaming.feed_load import run_stream, stream_accepted_posts
+    landing = scratch_path(spark, "landing")
+    S.land_feed_pages(spark, sf_dir, landing)
+    sink, ckpt = scratch_path(spark, "accepted"), scratch_path(spark, "stream-ckpt")
+    run_stream(stream_accepted_posts(spark, landing, _rules(spark), _marks(spark, sf_dir)), sink, ckpt)
+    return spark.read.parquet(sink).select("source", "post_id", "created_utc", "post_title", "part0",
+                                           "part1", "searching_context", "post_url")
+
+
 def q_extract_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The extract job on landed JSON made from part: one run into an empty lake and
     state table, then the run's lake partition read back (pruned)."""
@@ -352,6 +363,7 @@ QUERIES = {
     "recommend_topn": q_recommend_topn,
     "recommend_kmeans": q_recommend_kmeans,
     "stream_feed_load": q_stream_feed_load,
+    "stream_accepted_posts": q_stream_accepted_posts,
     "extract_to_lake": q_extract_to_lake,
 }
 

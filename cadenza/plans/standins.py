@@ -209,7 +209,8 @@ def preference_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def land_feed_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Write the feed stand-in as landed JSON pages of at most 100 posts (a block of
-    100 event ids per feed), newest post first, under ``path/source=<event_type>/``."""
+    100 event ids per feed), newest post first, under ``path/source=<event_type>/``.
+    Title ``user <id> - <type>``; events with value < 50 link to a media host."""
     e = table(spark, sf_dir, "events").where(F.col("event_type").isin(list(FEED_SOURCES)))
     k = F.get_json_object("props", "$.k").cast("int")
     epoch = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
@@ -217,7 +218,9 @@ def land_feed_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
         F.struct(F.col("event_id").cast("string").alias("id"),
                  F.concat(F.lit("user "), F.col("user_id").cast("string"), F.lit(" - "),
                           F.col("event_type")).alias("title"),
-                 F.concat(F.lit("https://example.com/p/"), F.col("event_id").cast("string")).alias("url"),
+                 F.when(F.col("value") < 50, F.concat(F.lit("https://youtu.be/"), F.col("event_id").cast("string")))
+                  .otherwise(F.concat(F.lit("https://example.com/p/"), F.col("event_id").cast("string")))
+                  .alias("url"),
                  epoch.alias("created_utc"),
                  flair_of(k).alias("link_flair_text")).alias("data"))
     pages = (e.select(F.col("event_type").alias("source"),

@@ -32,6 +32,34 @@ def stream_new_posts(spark: SparkSession, landing: str, marks: DataFrame,
             .dropDuplicatesWithinWatermark(["post_id"]))
 
 
+def stream_accepted_posts(spark: SparkSession, landing: str, rules: DataFrame, marks: DataFrame,
+                          delay: str = "1 day", max_files: int | None = None) -> DataFrame:
+    """The feed half of the extract job as a stream: newer than the mark (filter mode -
+    a take-while needs the whole feed, and equals the filter on a newest-first feed),
+    then the stateless post rules, de-duplicated by post id within the watermark."""
+    from cadenza.operators.feeds import attach_rules
+    from cadenza.operators.ingest import post_rules
+    reader = spark.readStream.schema(FEED_SCHEMA)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    posts = attach_rules(feed_posts(reader.json(landing)), rules).join(F.broadcast(marks), "source")
+    return (post_rules(posts.where(F.col("created") > F.col("last_time")))
+            .select("source", "post_id", "created_utc", "created", "post_title", "part0", "part1",
+                    "searching_context", "post_url")
+            .withColumn("event_time", F.col("created").cast("timestamp"))
+            .withWatermark("event_time", delay)
+            .dropDuplicatesWithinWatermark(["post_id"])
+            .drop("event_time"))
+
+
+def run_stream(stream: DataFrame, sink: str, checkpoint: str) -> None:
+    """availableNow run of a stream into a Parquet sink with its checkpoint."""
+    q = (stream.writeStream.format("parquet").option("path", sink)
+         .option("checkpointLocation", checkpoint).outputMode("append")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def run_feed_load(spark: SparkSession, landing: str, marks: DataFrame, sink: str,
                   checkpoint: str, delay: str = "1 day") -> None:
     """Process everything landed so far (availableNow) into the Parquet sink."""
