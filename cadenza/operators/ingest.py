@@ -111,11 +111,15 @@ def _existing_post_ids(spark: SparkSession, lake_path: str, run_date: str) -> Da
         return None
 
 
-def run_extract(spark: SparkSession, landing: str, rules: DataFrame, state_path: str,
-                lake_path: str, run_ts: _dt.datetime) -> DataFrame:
-    """One scheduled run; returns the new marks.  Data is written before state.
-
-    The parsed pages, the accepted posts and the parsed candidates are each
+def extract_posts(spark: SparkSession, posts: DataFrame, landing: str, rules: DataFrame,
+                  state_path: str, lake_path: str, run_ts: _dt.datetime,
+                  mode: str = "takewhile") -> None:
+    """The extract work for one set of parsed posts (a scheduled run, or one
+    micro-batch of a stream): marks from the state table, accepted posts,
+    matching and enrichment against the landed lookups, idempotent lake append,
+    then the state commit.
+
+    The parsed posts, the accepted posts and the parsed candidates are each
     used by several branches of the plan (stop points, validation pairs,
     candidate join, watermark), so they are persisted for the run (memory and
     disk; a lost executor's blocks are recomputed from the landed files).
@@ -124,8 +128,8 @@ def run_extract(spark: SparkSession, landing: str, rules: DataFrame, state_path:
     keep = StorageLevel.MEMORY_AND_DISK
     run_date = run_ts.date().isoformat()
     marks = ST.marks_with_default(rules, ST.latest_marks(ST.read_state(spark, state_path)), run_date)
-    posts = L.read_feed_pages(spark, f"{landing}/pages").persist(keep)
-    accepted = accepted_posts(posts, rules, marks).persist(keep)
+    posts = posts.persist(keep)
+    accepted = accepted_posts(posts, rules, marks, mode).persist(keep)
     search = spark.read.schema(L.SEARCH_SCHEMA).json(f"{landing}/search")
     cands = L.search_candidates(search, CANDIDATES_PER_POST).persist(keep)
     artists = L.artist_genres(spark.read.schema(L.ARTISTS_SCHEMA).json(f"{landing}/artists"))
@@ -141,9 +145,17 @@ def run_extract(spark: SparkSession, landing: str, rules: DataFrame, state_path:
         LK.write_lake(LK.with_run_date(rows, run_date), lake_path)
         new_marks = advance_watermark(accepted, marks.select("source", "last_time"), F.col("_order"))
         ST.commit_state(new_marks, state_path, run_ts.replace(tzinfo=None))
-        return spark.read.parquet(state_path).where(
-            F.col("committed_at") == F.lit(run_ts.replace(tzinfo=None)).cast("timestamp_ntz")
-        ).select("source", F.col("last_time").alias("new_time"))
     finally:
         for df in (cands, accepted, posts):
             df.unpersist()
+
+
+def run_extract(spark: SparkSession, landing: str, rules: DataFrame, state_path: str,
+                lake_path: str, run_ts: _dt.datetime, mode: str = "takewhile") -> DataFrame:
+    """One scheduled run over the landed pages; returns the committed marks.
+    Data is written before state."""
+    posts = L.read_feed_pages(spark, f"{landing}/pages")
+    extract_posts(spark, posts, landing, rules, state_path, lake_path, run_ts, mode)
+    return spark.read.parquet(state_path).where(
+        F.col("committed_at") == F.lit(run_ts.replace(tzinfo=None)).cast("timestamp_ntz")
+    ).select("source", F.col("last_time").alias("new_time"))

@@ -580,4 +580,5 @@ FROM orders""",
     "stream_feed_load": FEED_TAKEWHILE,
     "stream_accepted_posts": STREAM_ACCEPTED_POSTS,
     "extract_to_lake": EXTRACT_TO_LAKE,
+    "stream_extract_to_lake": EXTRACT_TO_LAKE,
 }

@@ -309,6 +309,18 @@ def q_stream_accepted_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            "part1", "searching_context", "post_url")
 
 
+def q_stream_extract_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extract job as a stream (foreachBatch) over the same landed JSON, read back."""
+    import datetime as _dt
+    from cadenza.streaming.feed_load import run_extract_stream
+    root = scratch_path(spark, "extract-stream")
+    S.land_extract_inputs(spark, sf_dir, f"{root}/landing")
+    run_ts = _dt.datetime.fromisoformat(S.RUN_DATE) + _dt.timedelta(hours=12)
+    run_extract_stream(spark, f"{root}/landing", FD.rules_table(spark), f"{root}/state",
+                       f"{root}/lake", f"{root}/ckpt", run_ts)
+    return LK.read_lake_day(spark, f"{root}/lake", S.RUN_DATE, drop_partitions=False)
+
+
 def q_extract_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The extract job on landed JSON made from part: one run into an empty lake and
     state table, then the run's lake partition read back (pruned)."""
@@ -365,6 +377,7 @@ QUERIES = {
     "stream_feed_load": q_stream_feed_load,
     "stream_accepted_posts": q_stream_accepted_posts,
     "extract_to_lake": q_extract_to_lake,
+    "stream_extract_to_lake": q_stream_extract_to_lake,
 }
 
 

@@ -69,3 +69,28 @@ def run_feed_load(spark: SparkSession, landing: str, marks: DataFrame, sink: str
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def run_extract_stream(spark: SparkSession, landing: str, rules: DataFrame, state_path: str,
+                       lake_path: str, checkpoint: str, run_ts, delay: str = "1 day",
+                       max_files: int | None = None) -> None:
+    """The whole extract job as a stream: landed pages are parsed and de-duplicated by
+    post id in the stream; every micro-batch then runs the batch extract work in
+    filter mode (``foreachBatch``).  The lake append skips posts already stored and
+    the state is committed after the data, so a replayed micro-batch adds nothing."""
+    from cadenza.operators.ingest import extract_posts
+    reader = spark.readStream.schema(FEED_SCHEMA)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    posts = (feed_posts(reader.json(f"{landing}/pages"))
+             .withColumn("event_time", F.col("created").cast("timestamp"))
+             .withWatermark("event_time", delay)
+             .dropDuplicatesWithinWatermark(["post_id"])
+             .drop("event_time"))
+
+    def batch(df: DataFrame, epoch_id: int) -> None:
+        extract_posts(df.sparkSession, df, landing, rules, state_path, lake_path, run_ts, "filter")
+
+    q = (posts.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
