@@ -79,9 +79,13 @@ def stable_layout(df: DataFrame, key: str, partitions: int | None = None) -> Dat
     k-means|| seeds per partition, so the same rows in another layout give
     another model; range partitioning on a key plus a sort fixes the layout.
     """
-    n = partitions or partitions_for(df)
-    return (df.repartitionByRange(n, key).sortWithinPartitions(key)
-            .persist(StorageLevel.MEMORY_AND_DISK))
+    keep = StorageLevel.MEMORY_AND_DISK
+    src = df.persist(keep)  # the count, the range sampling and the shuffle read this once
+    n = partitions or partitions_for(src)
+    out = src.repartitionByRange(n, key).sortWithinPartitions(key).persist(keep)
+    out.count()
+    src.unpersist()
+    return out
 
 
 def fit_engine(train: DataFrame, key: str = "track_id", partitions: int | None = None,
