@@ -1,6 +1,5 @@
 """Golden values for the scalar operators (FIXTURES.md section 2)."""
 
-from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
