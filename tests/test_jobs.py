@@ -37,3 +37,12 @@ def test_tune_job(spark, tmp_path):
     sweep, quart = jobs.tune_job(spark, f"{root}/lake", [2, 3])
     assert sorted(r["k"] for r in sweep.collect()) == [2, 3]
     assert quart.count() >= 1 and "danceability_median" in quart.columns
+
+
+def test_jobs_cli_report(spark, tmp_path):
+    root = str(tmp_path)
+    S.land_extract_inputs(spark, SF, f"{root}/landing")
+    jobs.main(["extract", "--landing", f"{root}/landing", "--lake", f"{root}/lake",
+               "--state", f"{root}/state", "--run-ts", "2024-01-15T12:00:00"])
+    jobs.main(["report", "--lake", f"{root}/lake", "--table", "cli_report", "--run-date", "2024-01-15"])
+    assert spark.table("cli_report").count() > 0
