@@ -46,3 +46,18 @@ def test_jobs_cli_report(spark, tmp_path):
                "--state", f"{root}/state", "--run-ts", "2024-01-15T12:00:00"])
     jobs.main(["report", "--lake", f"{root}/lake", "--table", "cli_report", "--run-date", "2024-01-15"])
     assert spark.table("cli_report").count() > 0
+
+
+def test_report_table_survives_a_forgotten_catalog(spark, tmp_path):
+    """Data stays at the table location when the catalog forgets the table (new session
+    with an in-memory catalog): the next write re-registers it and replaces the day."""
+    from cadenza.sources.warehouse import write_report_table
+    df = spark.createDataFrame([("pop", 3, "2024", "01", "15")],
+                               "Genre string, NumberOfSongs bigint, year string, month string, day string")
+    path = str(tmp_path / "t")
+    write_report_table(df, "forget_me", path)
+    spark.catalog.dropTempView("forget_me")
+    spark.sql("DROP TABLE forget_me")  # external: the files stay
+    write_report_table(df.withColumn("NumberOfSongs", F.lit(4).cast("bigint")), "forget_me", path)
+    rows = spark.table("forget_me").collect()
+    assert [(r["Genre"], r["NumberOfSongs"]) for r in rows] == [("pop", 4)]
