@@ -54,19 +54,22 @@ def apply_flair_rules(posts_with_rules: DataFrame, flair: str = "flair") -> Data
         flair_passes(F.col(flair), F.col("flair_rule"), F.col("flair_values")))
 
 
-def take_while(df: DataFrame, keys: list[str], order: Column, keep: Column) -> DataFrame:
+def take_while(df: DataFrame, keys: list[str], order: Column, keep: Column,
+               broadcast_stops: bool = True) -> DataFrame:
     """per group, keep rows in ``order`` up to (not including) the first row failing ``keep``.
 
     Written without a window: the stop point of each group is the smallest
     order key among failing rows, a plain aggregate with map-side partial
     aggregation, so a group holding a third of all rows is still spread over
-    every task.  The stop table has one row per group key (feeds come from the
-    fixed rules table), so it is broadcast.
+    every task.  The stop table has one row per group key; for feeds (keys from
+    the fixed rules table) that is a proven bound and it is broadcast.  Pass
+    ``broadcast_stops=False`` for unbounded keys: AQE then picks the join and
+    splits a skewed group.
     """
     tagged = df.withColumn("_ord", order)
     stops = (tagged.where(~F.coalesce(keep, F.lit(False)))
              .groupBy(*keys).agg(F.min("_ord").alias("_stop")))
-    return (tagged.join(F.broadcast(stops), keys, "left")
+    return (tagged.join(F.broadcast(stops) if broadcast_stops else stops, keys, "left")
             .where(F.col("_stop").isNull() | (F.col("_ord") < F.col("_stop")))
             .drop("_ord", "_stop"))
 

@@ -83,9 +83,11 @@ def test_take_while_stops_at_first_old_post(spark):
     marks = spark.createDataFrame([(s, dt.datetime(2024, 1, 1)) for s in ("Music", "popheads", "electronicmusic")],
                                   "source string, last_time timestamp_ntz")
     p = _posts(spark).join(marks, "source")
-    out = take_while(p, ["source"], F.col("pos"), F.col("created") > F.col("last_time"))
-    got = sorted((r["source"], r["pos"]) for r in out.collect())
-    assert got == [("Music", 0), ("Music", 1), ("popheads", 0), ("popheads", 1)]
+    for b in (True, False):
+        out = take_while(p, ["source"], F.col("pos"), F.col("created") > F.col("last_time"),
+                         broadcast_stops=b)
+        got = sorted((r["source"], r["pos"]) for r in out.collect())
+        assert got == [("Music", 0), ("Music", 1), ("popheads", 0), ("popheads", 1)]
 
 
 def test_flair_rules_null_semantics(spark):
