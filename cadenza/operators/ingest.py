@@ -1,11 +1,14 @@
 """The extract job end to end, over landed JSON: feed pages -> accepted posts ->
 matched catalogue track -> enriched lake rows -> lake partition -> new state.
 
-``accepted_posts``   F1-F6, N1-N5, P7, U1, J7 (one pass over all feeds)
+``post_rules``       F2-F6, N1-N5, P7 (stateless; also used inside the stream)
+``accepted_posts``   F1 + post_rules, U1, J7 (one pass over all feeds)
 ``match_tracks``     A6, J3, S2, O3, J5/A4 (with S3), F10/N7, J4
 ``enrich``           S4, J1/J2, A7
 ``lake_rows``        P5: the declared 24-column lake schema
-``run_extract``      S12-S14 state in, S7 lake out, A5 + S13 state committed after the data
+``extract_posts``    S12-S14 state in, S7 lake out (idempotent), A5 + S13 state after the data;
+                     the body of a scheduled run and of each streaming micro-batch
+``run_extract``      one scheduled run over the landed pages
 """
 
 from __future__ import annotations
