@@ -59,3 +59,27 @@ def test_report_scans_lake_once(spark):
     import __spark_entry__ as E
     plan = _plan(E.queries()["genre_report"](spark, "/root/testdata/sf0.001"))
     assert plan.count("lineitem.parquet") == 1
+
+
+def test_hot_key_operators_combine_map_side(spark):
+    """Per-group first/latest/stop points and report partials aggregate before the shuffle
+    (a group holding a third of all rows is reduced inside every map task)."""
+    from pyspark.sql import functions as F
+    from cadenza.operators.feeds import take_while
+    from cadenza.operators.ranking import first_per_group
+    from cadenza.operators.reports import genre_partials
+    from cadenza.sources.state import latest_marks
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") < 1000, F.lit("hot")).otherwise((F.col("id") % 5).cast("string")).alias("source"),
+        F.col("id").alias("pos"), (F.col("id") % 3 == 0).alias("ok"))
+    tw = _plan(take_while(df, ["source"], F.col("pos"), F.col("ok"), broadcast_stops=False))
+    assert "partial_min" in tw
+    fp = _plan(first_per_group(df, ["source"], F.col("pos"), ["ok"]))
+    assert "partial_min_by" in fp
+    hist = df.select("source", F.timestamp_seconds("pos").cast("timestamp_ntz").alias("last_time"),
+                     F.timestamp_seconds("pos").cast("timestamp_ntz").alias("committed_at"))
+    assert "partial_max_by" in _plan(latest_marks(hist))
+    rows = df.select(F.col("source").alias("genres"), F.lit(1).alias("track_popularity"),
+                     F.lit(0.5).alias("danceability"), F.lit(0.5).alias("energy"),
+                     F.lit(0.5).alias("valence"), F.lit(-5.0).alias("loudness"))
+    assert "partial_sum" in _plan(genre_partials(rows))
