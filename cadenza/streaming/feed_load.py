@@ -89,7 +89,15 @@ def run_extract_stream(spark: SparkSession, landing: str, rules: DataFrame, stat
              .drop("event_time"))
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        extract_posts(df.sparkSession, df, landing, rules, state_path, lake_path, run_ts, "filter")
+        # persisted so the emptiness check and the extract read the batch once; the
+        # no-data batches that only advance the watermark do no extract work
+        df = df.persist()
+        try:
+            if not df.isEmpty():
+                extract_posts(df.sparkSession, df, landing, rules, state_path, lake_path, run_ts,
+                              "filter")
+        finally:
+            df.unpersist()
 
     q = (posts.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
