@@ -83,3 +83,18 @@ def test_hot_key_operators_combine_map_side(spark):
                      F.lit(0.5).alias("danceability"), F.lit(0.5).alias("energy"),
                      F.lit(0.5).alias("valence"), F.lit(-5.0).alias("loudness"))
     assert "partial_sum" in _plan(genre_partials(rows))
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.floats(min_value=0, max_value=4e9, allow_nan=False), min_size=1, max_size=30))
+def test_epoch_text_matches_python(spark, epochs):
+    """Epoch seconds -> 'yyyy-MM-dd HH:mm:ss' in the session time zone (UTC here),
+    fractions dropped, as datetime.fromtimestamp(...).strftime does."""
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from cadenza.functions.dates import epoch_to_text
+    df = spark.createDataFrame([(i, e) for i, e in enumerate(epochs)], "i int, e double")
+    got = {r["i"]: r["t"] for r in df.select("i", epoch_to_text(F.col("e")).alias("t")).collect()}
+    for i, e in enumerate(epochs):
+        want = dt.datetime.fromtimestamp(int(e), dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+        assert got[i] == want
