@@ -14,29 +14,27 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.fixed import GENRE_LABELS
+from cadenza.fixed import FEATURE_COLUMNS, GENRE_LABELS
+from cadenza.functions.prefs import request_values
 from cadenza.functions.similarity import similarity_ratio as ratio_udf
-from cadenza.operators.labels import with_major_genre
-from cadenza.operators.reports import combine_partials, genre_partials, report_from_partials
 from cadenza.functions.text import html_unescape, is_media_link, matched_term, permalink
 from cadenza.functions.titles import clean_titles
 from cadenza.operators import feeds as FD
 from cadenza.operators import matching as MT
-from cadenza.operators.enrich import attach_features, track_artists
-from cadenza.operators.cleaning import drop_columns, drop_incomplete
-from cadenza.operators.reports import genre_report_sql
-from cadenza.fixed import FEATURE_COLUMNS
-from cadenza.functions.prefs import request_values
 from cadenza.operators import recommend as RC
 from cadenza.operators import tuning as TU
+from cadenza.operators.cleaning import drop_columns, drop_incomplete
+from cadenza.operators.enrich import attach_features, track_artists
+from cadenza.operators.labels import with_major_genre
+from cadenza.operators.reports import (combine_partials, genre_partials, genre_report_sql,
+                                       report_from_partials)
 from cadenza.operators.vectors import nearest
 from cadenza.plans import standins as S
 from cadenza.session import scratch_path
 from cadenza.sources import handover as HO
 from cadenza.sources import lake as LK
-from cadenza.sources import warehouse as WH
 from cadenza.sources import state as ST
-
+from cadenza.sources import warehouse as WH
 
 def q_genre_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lake rows are lineitem plays of part tracks.  Plays are reduced to partial sums per
