@@ -82,10 +82,13 @@ def train_job(spark: SparkSession, lake: str, model_path: str, tracks_path: str,
     """Fit assembler + scaler + k-means on the whole lake; save the model and the
     scored track table, partitioned by cluster, for the scoring job."""
     train = RC.prepare_training(LK.read_lake(spark, lake), dedupe_tracks)
-    model = RC.fit_engine(train, "track_id")
-    model.write().overwrite().save(model_path)
-    scored = RC.assign(model, train).select(*TRACK_COLUMNS, "prediction")
-    scored.write.mode("overwrite").partitionBy("prediction").parquet(tracks_path)
+    model, data = RC.fit_on_layout(train, "track_id")
+    try:
+        model.write().overwrite().save(model_path)
+        scored = RC.assign(model, data).select(*TRACK_COLUMNS, "prediction")
+        scored.write.mode("overwrite").partitionBy("prediction").parquet(tracks_path)
+    finally:
+        data.unpersist()
     return model
 
 

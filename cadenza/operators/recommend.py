@@ -97,11 +97,22 @@ def stable_layout(df: DataFrame, key: str, partitions: int | None = None) -> Dat
     return out
 
 
+def fit_on_layout(train: DataFrame, key: str = "track_id", partitions: int | None = None,
+                  k: int = KMEANS_K, seed: int = KMEANS_SEED,
+                  features: list[str] = FEATURE_COLUMNS) -> tuple[PipelineModel, DataFrame]:
+    """Fit the pipeline and return it with the persisted training layout, so scoring
+    the training rows reads the cached copy instead of recomputing their lineage.
+    The caller unpersists the layout when done."""
+    data = stable_layout(train, key, partitions)
+    return engine_pipeline(features, k, seed).fit(data), data
+
+
 def fit_engine(train: DataFrame, key: str = "track_id", partitions: int | None = None,
                k: int = KMEANS_K, seed: int = KMEANS_SEED,
                features: list[str] = FEATURE_COLUMNS) -> PipelineModel:
-    data = stable_layout(train, key, partitions)
-    return engine_pipeline(features, k, seed).fit(data)
+    model, data = fit_on_layout(train, key, partitions, k, seed, features)
+    data.unpersist()
+    return model
 
 
 def assign(model: PipelineModel, df: DataFrame) -> DataFrame:

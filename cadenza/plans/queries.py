@@ -280,8 +280,8 @@ def q_recommend_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(2000) + F.col("p_size")).cast("string").alias("release_date"),
         (F.col("p_retailprice") * 100).cast("int").alias("duration_ms"))
     train = RC.prepare_training(lake).join(p, "track_id")
-    model = RC.fit_engine(train, "track_id")
-    tracks = RC.assign(model, train)
+    model, data = RC.fit_on_layout(train, "track_id")
+    tracks = RC.assign(model, data)
     reqs = RC.assign(model, _requests(spark, sf_dir)).select("request_id", "prediction")
     return RC.response_rows(RC.recommend(reqs, tracks))
 
