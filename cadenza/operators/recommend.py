@@ -2,9 +2,10 @@
 
 * training data = lake rows minus unused columns, labelled, complete rows only
   (one prepared frame for training *and* tuning);
-* the input layout is fixed (range partitioned + sorted on the track id) and
-  persisted before fitting, because k-means|| seeds depend on the partition
-  layout and the fit makes many passes;
+* the input layout is fixed (hash partitioned on the row content, sorted by
+  the track id and the remaining columns) and persisted before fitting,
+  because k-means|| seeds depend on the partition layout and the fit makes
+  many passes;
 * scoring takes a DataFrame of *many* requests: each request is assigned a
   cluster by the same fitted assembler + scaler + k-means, the top tracks of
   every cluster are computed once (a per-cluster top-k that Spark limits
@@ -82,16 +83,27 @@ def partitions_for(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION,
     return max(1, -(-rows // rows_per_partition), min(par, -(-rows // min_rows_per_task)))
 
 
+def _atomic(dt) -> bool:
+    from pyspark.sql import types as T
+    return isinstance(dt, (T.NumericType, T.StringType, T.BooleanType, T.DateType,
+                           T.TimestampType, T.TimestampNTZType, T.BinaryType))
+
+
 def stable_layout(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """Fixed partition layout so a fit is repeatable (and cheap to re-read).
 
-    k-means|| seeds per partition, so the same rows in another layout give
-    another model; range partitioning on a key plus a sort fixes the layout.
+    k-means|| seeds per partition and samples rows in partition order, so the
+    same rows in another layout give another model.  Rows are hash partitioned
+    on a hash of their whole (atomic) content - deterministic whatever the
+    input partitioning, and spread evenly even when one key holds a third of
+    the rows - then sorted inside each partition by the key and every atomic
+    column, which leaves only identical rows tied.
     """
     keep = StorageLevel.MEMORY_AND_DISK
-    src = df.persist(keep)  # the count, the range sampling and the shuffle read this once
+    order = [key] + [f.name for f in df.schema.fields if f.name != key and _atomic(f.dataType)]
+    src = df.persist(keep)  # the count and the shuffle read this once
     n = partitions or partitions_for(src)
-    out = src.repartitionByRange(n, key).sortWithinPartitions(key).persist(keep)
+    out = (src.repartition(n, F.xxhash64(*order)).sortWithinPartitions(*order).persist(keep))
     out.count()
     src.unpersist()
     return out
