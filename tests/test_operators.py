@@ -216,3 +216,29 @@ def test_fit_engine_is_repeatable_across_input_layouts(spark):
     a = fit_engine(train, "track_id", partitions=3).stages[-1].clusterCenters()
     b = fit_engine(train.repartition(5), "track_id", partitions=3).stages[-1].clusterCenters()
     assert [list(x) for x in a] == [list(x) for x in b]
+
+
+def test_pipelines_ignore_input_partitioning(spark):
+    """Metamorphic on the driver tables: matching, the report, artist joins and
+    recommendation picks give the same rows whatever the input partitioning."""
+    from cadenza.functions.titles import clean_titles
+    from cadenza.operators.matching import match_posts
+    from cadenza.operators.recommend import recommend
+    from cadenza.operators.reports import daily_genre_report
+    from cadenza.plans import standins as S
+    sf = "/root/testdata/sf0.001"
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    posts = clean_titles(S.part_posts(spark, sf), "title").withColumn("block", F.col("part1"))
+    cat = S.part_catalogue(spark, sf)
+    assert rows(match_posts(posts, cat)) == rows(match_posts(posts.repartition(7), cat.repartition(3)))
+    lake = S.lake_rows(spark, sf)
+    assert rows(daily_genre_report(lake, "2024-01-15")) == \
+        rows(daily_genre_report(lake.repartition(9), "2024-01-15"))
+    ta, artists = S.order_artists(spark, sf)
+    assert rows(track_artists(ta, artists)) == rows(track_artists(ta.repartition(5), artists))
+    tracks = S.part_tracks(spark, sf).withColumn("prediction", F.length("p_type") % 3)
+    reqs = S.preference_requests(spark, sf).select("request_id", (F.col("request_id") % 3).alias("prediction"))
+    assert rows(recommend(reqs, tracks)) == rows(recommend(reqs.repartition(4), tracks.repartition(6)))
