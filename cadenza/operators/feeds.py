@@ -82,11 +82,21 @@ def newest_first(df: DataFrame, keys: list[str], page_size: int) -> DataFrame:
 
 
 def advance_watermark(accepted: DataFrame, state: DataFrame, order: Column,
-                      time_col: str = "created") -> DataFrame:
+                      time_col: str = "created", pull: str | None = None) -> DataFrame:
     """A5: new mark per source = time of the first accepted post in feed order;
-    unchanged when the feed accepted nothing.  ``state`` has (source, last_time)."""
-    firsts = (accepted.groupBy("source")
-              .agg(F.min_by(F.col(time_col), order).alias("_new")))
+    unchanged when the feed accepted nothing.  ``state`` has (source, last_time).
+
+    With ``pull`` (the landed page column), the first accepted post of every pull
+    is taken in its own order, and the newest of those per source wins - for a
+    single pull exactly the original rule.
+    """
+    if pull is None:
+        firsts = (accepted.groupBy("source")
+                  .agg(F.min_by(F.col(time_col), order).alias("_new")))
+    else:
+        firsts = (accepted.groupBy("source", pull)
+                  .agg(F.min_by(F.col(time_col), order).alias("_first"))
+                  .groupBy("source").agg(F.max("_first").alias("_new")))
     return (state.join(F.broadcast(firsts), "source", "left")
             .select("source", "last_time",
                     F.coalesce("_new", "last_time").alias("new_time")))

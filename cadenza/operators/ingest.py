@@ -30,9 +30,8 @@ from cadenza.sources import state as ST
 
 
 def feed_order() -> Column:
-    """Newest first; position inside the landed page breaks ties."""
-    return F.struct((-F.unix_seconds(F.col("created").cast("timestamp"))).alias("t"),
-                    F.col("page").alias("g"), F.col("pos").alias("p"))
+    """Order of a post in the landed listings: the page (one pull) and its position in it."""
+    return F.struct(F.col("page").alias("g"), F.col("pos").alias("p"))
 
 
 def post_rules(newer: DataFrame) -> DataFrame:
@@ -55,8 +54,9 @@ def accepted_posts(posts: DataFrame, rules: DataFrame, marks: DataFrame,
     """Posts newer than their feed's mark, passing the flair rule, linking to a media
     host and titled 'artist - song'; cleaned.
 
-    ``mode='takewhile'`` (the original): walk each feed newest first and stop at
-    the first post not newer than the mark, even if later ones are newer;
+    ``mode='takewhile'`` (the original): walk each pulled page in position order
+    (newest first) and stop at the first post not newer than the mark, even if
+    later ones are newer - per page, because each landed page is one pull;
     ``mode='filter'``: keep every newer post (equal on a sorted feed).
     """
     p = attach_rules(posts, rules).join(F.broadcast(marks), "source")
@@ -64,10 +64,12 @@ def accepted_posts(posts: DataFrame, rules: DataFrame, marks: DataFrame,
     if mode == "filter":
         newer = p.where(newer_than_mark)
     else:
-        newer = take_while(p, ["source"], feed_order(), newer_than_mark)
+        # one stop point per (feed, page): bounded by the landed pages of the run
+        newer = take_while(p, ["source", "page"], F.col("pos"), newer_than_mark,
+                           broadcast_stops=False)
     return (post_rules(newer).withColumn("_order", feed_order())
-            .select("source", "ord", "post_id", "post_title", "created_utc", "created", "post_url",
-                    "searching_context", "part0", "part1", "_order", "last_time"))
+            .select("source", "ord", "page", "pos", "post_id", "post_title", "created_utc", "created",
+                    "post_url", "searching_context", "part0", "part1", "_order", "last_time"))
 
 
 def match_tracks(posts: DataFrame, search: DataFrame, artist_dim: DataFrame,
@@ -146,7 +148,12 @@ def extract_posts(spark: SparkSession, posts: DataFrame, landing: str, rules: Da
         if existing is not None:
             rows = rows.join(existing, "post_id", "left_anti")
         LK.write_lake(LK.with_run_date(rows, run_date), lake_path)
-        new_marks = advance_watermark(accepted, marks.select("source", "last_time"), F.col("_order"))
+        if mode == "filter":  # every newer post kept: the newest accepted one is the mark
+            new_marks = advance_watermark(accepted, marks.select("source", "last_time"),
+                                          -F.unix_micros(F.col("created").cast("timestamp")))
+        else:  # first accepted post of each pull, the newest of those per feed
+            new_marks = advance_watermark(accepted, marks.select("source", "last_time"),
+                                          F.col("pos"), pull="page")
         ST.commit_state(new_marks, state_path, run_ts.replace(tzinfo=None))
     finally:
         for df in (cands, accepted, posts):

@@ -51,10 +51,14 @@ AUDIO_SCHEMA = T.StructType([
         [T.StructField(n, t) for n, t in AUDIO_FIELDS])))])
 
 
-def feed_posts(pages: DataFrame) -> DataFrame:
-    """S1 + P6 + N10/N11: one row per post with its position in the page (0 = newest)."""
-    return (pages.select("source", F.input_file_name().alias("page"),
-                         F.posexplode("data.children").alias("pos", "child"))
+def feed_posts(pages: DataFrame, page_id=None) -> DataFrame:
+    """S1 + P6 + N10/N11: one row per post with its page (one pull) and its position in
+    the page (0 = newest).  ``page_id`` names each page row; the default is the file,
+    which is enough when every file holds one pull."""
+    page = page_id if page_id is not None else F.input_file_name()
+    # the page id is fixed per page row before the explode (not per post)
+    return (pages.select("source", page.alias("page"), "data")
+            .select("source", "page", F.posexplode("data.children").alias("pos", "child"))
             .select("source", "page", "pos",
                     F.col("child.data.id").alias("post_id"),
                     F.col("child.data.title").alias("title"),
@@ -65,8 +69,11 @@ def feed_posts(pages: DataFrame) -> DataFrame:
 
 
 def read_feed_pages(spark: SparkSession, path: str) -> DataFrame:
-    """S1 batch: landed pages under ``path/source=<feed>/``."""
-    return feed_posts(spark.read.schema(FEED_SCHEMA).json(path))
+    """S1 batch: landed pages under ``path/source=<feed>/``; a file may hold several
+    pages (JSON lines), so each page line gets its own id (file + row id)."""
+    page_id = F.concat(F.input_file_name(), F.lit("#"),
+                       F.monotonically_increasing_id().cast("string"))
+    return feed_posts(spark.read.schema(FEED_SCHEMA).json(path), page_id)
 
 
 def search_candidates(search: DataFrame, k: int | None = None) -> DataFrame:
