@@ -104,3 +104,28 @@ def test_feed_fixture_matches_model(spark, tmp_path):
     assert got == want
     assert new == want_marks
     assert set(got) == {"m1", "m5", "m6", "i1", "i2", "p1", "p3"}
+
+
+def test_validation_pair_comes_from_first_feed(spark):
+    """A title seen in feed 1 and again in feed 2 is matched with feed 1's parts, even
+    though feed 2 would strip its tag (the original looks the pair up by raw title)."""
+    from cadenza.operators.ingest import match_tracks
+    posts = spark.createDataFrame([
+        ("a", 1, 0, "[FRESH VIDEO] Tame Impala - Let It Happen", "[FRESH VIDEO] Tame Impala", "Let It Happen"),
+        ("b", 2, 0, "[FRESH VIDEO] Tame Impala - Let It Happen", "Tame Impala", "Let It Happen"),
+        ("c", 2, 1, "[FRESH VIDEO] Tame Impala - Eventually", "Tame Impala", "Eventually"),
+    ], "post_id string, ord int, pos int, post_title string, part0 string, part1 string") \
+        .withColumn("_order", F.struct(F.lit("page").alias("g"), F.col("pos").alias("p")))
+    items = lambda name: {"items": [
+        {"id": "t-x", "name": "Something Else", "popularity": 1, "album": {"release_date": "2015"},
+         "artists": [{"id": "ar", "name": "Tame Impala"}]},
+        {"id": "t-" + name, "name": name, "popularity": 90, "album": {"release_date": "2015"},
+         "artists": [{"id": "ar", "name": "Tame Impala"}]}]}
+    search = spark.createDataFrame(
+        [("a", items("Let It Happen")), ("b", items("Let It Happen")), ("c", items("Eventually"))],
+        L.SEARCH_SCHEMA)
+    artists = spark.createDataFrame([("ar", ["psychedelic rock"])], "artist_id string, genres array<string>")
+    got = {r["post_id"]: (r["track_id"], r["cand_rank"]) for r in match_tracks(posts, search, artists).collect()}
+    # ratio('Tame Impala', '[FRESH VIDEO] Tame Impala') = 22/36 < 0.7: a and b fail on the artist;
+    # c (only in feed 2) uses its own stripped parts and matches its second candidate
+    assert got == {"c": ("t-Eventually", 2)}
