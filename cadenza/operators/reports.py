@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cadenza.fixed import GENRE_LABELS
 from cadenza.functions.dates import run_date_parts
-from cadenza.operators.labels import label_unique, with_major_genre
+from cadenza.operators.labels import label_unique
 
 REPORT_COLUMNS = ["Genre", "NumberOfSongs", "Popularity", "Danceability", "Energy",
                   "Valence", "Loudness", "year", "month", "day"]
@@ -83,17 +83,24 @@ def daily_genre_report(lake_day: DataFrame, run_date: str,
 
 def genre_report_sql(spark, lake_day: DataFrame, run_date: str,
                      labels: list[str] = GENRE_LABELS, view: str = "spotify") -> DataFrame:
-    """Same report written as SQL over a registered temp view."""
-    with_major_genre(lake_day, "genres", "major_genre", labels).createOrReplaceTempView(view)
+    """The same report written as SQL over a registered temp view.
+
+    The view holds the labelled partial sums per genre list (one lake scan), so
+    the SQL combines sums and non-null counts; ``try_divide`` keeps AVG's null
+    for a group without values.
+    """
+    label_unique(genre_partials(lake_day, "genres"), "genres", labels,
+                 "major_genre").createOrReplaceTempView(view)
     y, m, d = run_date_parts(run_date)
     return spark.sql(f"""
         SELECT major_genre AS Genre,
-               COUNT(*) AS NumberOfSongs,
-               CAST(FLOOR(AVG(track_popularity)) AS BIGINT) AS Popularity,
-               ROUND(AVG(danceability), 3) AS Danceability,
-               ROUND(AVG(energy), 3) AS Energy,
-               ROUND(AVG(valence), 3) AS Valence,
-               ROUND(AVG(loudness), 3) AS Loudness,
+               SUM(_n) AS NumberOfSongs,
+               CAST(FLOOR(try_divide(SUM(_s_track_popularity), SUM(_c_track_popularity))) AS BIGINT)
+                 AS Popularity,
+               ROUND(try_divide(SUM(_s_danceability), SUM(_c_danceability)), 3) AS Danceability,
+               ROUND(try_divide(SUM(_s_energy), SUM(_c_energy)), 3) AS Energy,
+               ROUND(try_divide(SUM(_s_valence), SUM(_c_valence)), 3) AS Valence,
+               ROUND(try_divide(SUM(_s_loudness), SUM(_c_loudness)), 3) AS Loudness,
                '{y}' AS year, '{m}' AS month, '{d}' AS day
         FROM {view}
         GROUP BY major_genre""")
