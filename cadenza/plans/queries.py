@@ -185,6 +185,16 @@ def q_na_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_incomplete(drop_columns(e, ["user_id", "props"]))
 
 
+def _release(result: DataFrame, cached: DataFrame) -> DataFrame:
+    """Materialise a small result in the shared checkpoint folder (reliable
+    checkpoint), then drop the cached training layout it was computed from."""
+    from cadenza.session import checkpoint_dir
+    checkpoint_dir(result.sparkSession)
+    out = result.checkpoint(eager=True)
+    cached.unpersist()
+    return out
+
+
 def q_scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = S.lineitem_features(spark, sf_dir)
     assembled = RC.assembler().transform(f)
@@ -216,8 +226,9 @@ def q_kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = RC.stable_layout(S.embedding_rows(spark, sf_dir).select("vec_id", "standardized"),
                          "vec_id")
     model = RC.kmeans().fit(e)
-    return model.transform(e).groupBy(F.col("prediction").alias("cluster")).agg(
+    sizes = model.transform(e).groupBy(F.col("prediction").alias("cluster")).agg(
         F.count(F.lit(1)).alias("size"))
+    return _release(sizes, e)
 
 
 def q_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,7 +244,9 @@ def q_elbow_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_k_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = RC.stable_layout(S.embedding_rows(spark, sf_dir).select("vec_id", "standardized"),
                          "vec_id")
-    return TU.k_sweep(e)
+    out = TU.k_sweep(e)  # rows already collected per k
+    e.unpersist()
+    return out
 
 
 def q_cluster_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,7 +296,7 @@ def q_recommend_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, data = RC.fit_on_layout(train, "track_id")
     tracks = RC.assign(model, data)
     reqs = RC.assign(model, _requests(spark, sf_dir)).select("request_id", "prediction")
-    return RC.response_rows(RC.recommend(reqs, tracks))
+    return _release(RC.response_rows(RC.recommend(reqs, tracks)), data)
 
 
 def q_stream_feed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
