@@ -78,3 +78,25 @@ def test_ingest_csv_handover_roundtrip(spark, tmp_path):
     assert out.schema == src.schema
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, src.collect()))
     assert jobs.ingest_job(spark, f"{root}/handover", f"{root}/lake2", run).count() == src.count()
+
+
+def test_ingest_without_hour_folder_and_random_scoring(spark, tmp_path):
+    """ingest_job falls back to the hand-over folder itself; score_job takes preference
+    labels and draws uniform values with a seed (same seed, same picks)."""
+    from cadenza.sources.handover import write_csv
+    from cadenza.sources import lake as LK
+    root = str(tmp_path)
+    S.land_extract_inputs(spark, SF, f"{root}/landing")
+    run = dt.datetime(2024, 1, 15, 12)
+    jobs.extract_job(spark, f"{root}/landing", f"{root}/lake", f"{root}/state", run)
+    src = LK.read_lake_day(spark, f"{root}/lake", "2024-01-15")
+    write_csv(src, f"{root}/flat")
+    assert jobs.ingest_job(spark, f"{root}/flat", f"{root}/lake2", run).count() == src.count()
+    jobs.train_job(spark, f"{root}/lake", f"{root}/model", f"{root}/tracks")
+    reqs = S.preference_requests(spark, SF)
+    a = jobs.score_job(spark, f"{root}/model", f"{root}/tracks", reqs, order="random", seed=11)
+    b = jobs.score_job(spark, f"{root}/model", f"{root}/tracks", reqs, order="random", seed=11)
+    ra = sorted(tuple(r) for r in a.select("request_id", "track_id", "position").collect())
+    assert ra and ra == sorted(tuple(r) for r in b.select("request_id", "track_id", "position").collect())
+    per = a.groupBy("request_id").count().agg(F.max("count")).first()[0]
+    assert 1 <= per <= 5
