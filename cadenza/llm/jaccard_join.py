@@ -348,8 +348,9 @@ def _ties(described: DataFrame, small_block: int, num: int, den: int) -> DataFra
     edges = cut(rows.mapInArrow(meet, "a bigint, b bigint, pair boolean").groupBy("a", "b").agg(F.min("pair").alias("pair")))
     points = described.filter("n_shingles > 0").select("class", "n_shingles", "point")
     ends = edges.filter("pair").select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    points = cut(points.join(ends, "class", "left_semi").groupBy("class")
-                 .agg(F.max("n_shingles").alias("n"), F.max("point").alias("point")))
+    # grouped before the join, so the rows of a much copied class are put together where they are read
+    points = points.groupBy("class").agg(F.max("n_shingles").alias("n"), F.max("point").alias("point"))
+    points = cut(points.join(ends, "class"))
     pairs = (edges.filter("pair")
              .join(points.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa")), "a")
              .join(points.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb")), "b"))
@@ -375,8 +376,7 @@ def _links(docs: DataFrame, described: DataFrame, hoods: DataFrame, k: int, num:
     hoods = cut(hoods)
     tiles = hoods.groupBy("hood").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("tiles"))
     # one document stands for each class; its text is read again for the set
-    reps = (described.filter("n_shingles > 0").select("class", "doc_id", "text_key")
-            .join(hoods, "class", "left_semi").groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"))
+    reps = (described.filter("n_shingles > 0").groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"))
             .join(hoods, "class").join(tiles, "hood").select("class", "hood", "tiles", "rep.doc_id", "rep.text_key"))
     texts = docs.withColumn("text_key", text_key(F.col("text")))
     on = texts.doc_id.eqNullSafe(reps.doc_id) & (texts.text_key == reps.text_key)

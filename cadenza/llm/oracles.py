@@ -33,6 +33,44 @@ SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, min(reach.b) AS component_id
 FROM n JOIN reach ON reach.a = n.doc_id GROUP BY 1, 2
 """
 
+OP2 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('<turn role="">' || '</turn>' || chr(10)) + length(role) + length(replace(replace(text, '\', '\\'), '<', '\l'))
+    + length(role) - length(replace(replace(replace(role, '\', ''), '<', ''), '"', ''))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+OP9 = r"""
+WITH l AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+    generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL
+), u AS (
+  SELECT doc_id, i, line,
+    coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos,
+    trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm
+  FROM l
+), r AS (
+  SELECT *, len(string_split(norm, ' ')) >= 8 AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, i) > 1 AS gone FROM u
+), d AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+    coalesce(string_agg(CAST(pos AS BIGINT) || '-' || CAST(pos + length(line) AS BIGINT), ',' ORDER BY i) FILTER (gone), '') AS removed,
+    coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS kept
+  FROM r GROUP BY doc_id
+)
+SELECT documents.doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed,
+  CAST(length(CASE WHEN text IS NULL THEN NULL ELSE kept END) AS BIGINT) AS kept_chars,
+  sha256(CASE WHEN text IS NULL THEN NULL ELSE kept END) AS kept_sha256
+FROM documents LEFT JOIN d ON d.doc_id = documents.doc_id
+"""
+
 OP6 = r"""
 WITH d AS (
   SELECT doc_id, source, md5(concat('mix:', coalesce(CAST(doc_id AS VARCHAR), ''))) AS k,
@@ -103,7 +141,9 @@ FROM d LEFT JOIN h ON h.r = d.r LEFT JOIN t ON t.r = d.r
 """
 
 ORACLES = {
+    "op2_chat_formatting": OP2,
     "op3_ngram_jaccard_join": OP3,
     "op6_source_mix": OP6,
+    "op9_line_dedup": OP9,
     "op10_decontamination": OP10,
 }
