@@ -105,21 +105,25 @@ def with_neighbours(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.col("text").substr(F.lit(1), n - half), F.coalesce(F.col("next"), F.lit("")).substr(F.lit(1), half))
     rows = rows.select("bucket", "guest", "rn", "doc_id", "text", n.cast("bigint").alias("n_chars"), edited.alias("edited"))
-    info = rows.select("bucket", "rn", "guest", "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-
-    both = F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("t")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("t")))
-    terms = (rows.select("bucket", "rn", F.explode(both).alias("x"))
-             .select("bucket", "rn", F.col("x.kind").alias("kind"), F.explode(F.split("x.t", SPACES)).alias("word"))
-             .filter("word != ''").select("bucket", "rn", "kind", F.xxhash64("word").alias("term")))
-    prints = fingerprints(terms, ["bucket", "rn", "kind"], samples)
+    # a third entry of each row carries what is told of it, so that nothing has to be joined back
+    told = F.struct("guest", "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    nothing = F.lit(None).cast("struct<guest:boolean,doc_id:bigint,n_chars:bigint,edited_sha256:string>")
+
+    def entry(kind, text, info):
+        return F.struct(F.lit(kind).alias("kind"), text.alias("t"), info.alias("info"))
+
+    entries = F.array(entry(0, F.col("text"), nothing), entry(1, F.col("edited"), nothing), entry(2, F.lit(""), told))
+    terms = (rows.select("bucket", "rn", F.explode(entries).alias("x"))
+             .select("bucket", "rn", F.col("x.kind").alias("kind"), F.col("x.info").alias("info"), F.explode(F.split("x.t", SPACES)).alias("word"))
+             .filter("word != '' or kind = 2").select("bucket", "rn", "kind", "info", F.xxhash64("word").alias("term")))
+    prints = fingerprints(terms, ["bucket", "rn", "kind", "info"], samples)
     none = F.lit("0" * 8 * samples)
-    prints = prints.groupBy("bucket", "rn").agg(F.max(F.when(F.col("kind") == 0, F.col("fingerprint"))).alias("fingerprint"),
-                                                F.max(F.when(F.col("kind") == 1, F.col("fingerprint"))).alias("edited_fingerprint"))
-    found = info.join(prints, ["bucket", "rn"], "left")
-    found = found.select("bucket", "rn", "guest", "doc_id", "n_chars", "edited_sha256", F.coalesce("fingerprint", none).alias("fingerprint"),
-                         F.coalesce("edited_fingerprint", none).alias("edited_fingerprint"))
+    found = prints.groupBy("bucket", "rn").agg(
+        F.coalesce(F.max(F.when(F.col("kind") == 0, F.col("fingerprint"))), none).alias("fingerprint"),
+        F.coalesce(F.max(F.when(F.col("kind") == 1, F.col("fingerprint"))), none).alias("edited_fingerprint"), F.max("info").alias("info"))
     follow = Window.partitionBy("bucket").orderBy("rn")
-    found = found.withColumn("next_fingerprint", F.lead("fingerprint").over(follow)).filter("not guest")
+    found = (found.withColumn("next_fingerprint", F.lead("fingerprint").over(follow))
+             .select("info.*", "fingerprint", "edited_fingerprint", "next_fingerprint").filter("not guest"))
     return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                         likeness(F.col("fingerprint"), F.col("edited_fingerprint"), samples).alias("near_edited"),
                         likeness(F.col("fingerprint"), F.col("next_fingerprint"), samples).alias("near_next"))
