@@ -29,6 +29,7 @@ from cadenza.operators.ingest import run_extract
 from cadenza.operators.reports import daily_genre_report
 from cadenza.sources import lake as LK
 from cadenza.sources import warehouse as WH
+from cadenza.sources.missing import or_none
 
 TRACK_COLUMNS = ["track_id", "track_name", "artists_name", "release_date", "track_popularity",
                  "duration_ms", "major_genre"]
@@ -54,16 +55,12 @@ def ingest_job(spark: SparkSession, handover: str, lake: str,
     run_ts = run_ts or _dt.datetime.now().replace(microsecond=0)
     run_date = run_ts.date().isoformat()
     src = f"{handover.rstrip('/')}/{hour_stamp(run_ts.isoformat())}"
-    try:
-        rows = read_csv(spark, src, LK.LAKE_SCHEMA)
-        rows.schema  # noqa: B018 - resolve the path now
-    except Exception:  # noqa: BLE001 - no hourly folder: read the folder itself
+    rows = or_none(lambda: read_csv(spark, src, LK.LAKE_SCHEMA))
+    if rows is None:  # no hourly folder: read the folder itself
         rows = read_csv(spark, handover, LK.LAKE_SCHEMA)
-    try:
-        have = LK.read_lake_day(spark, lake, run_date).select("post_id").distinct()
-        rows = rows.join(have, "post_id", "left_anti")
-    except Exception:  # noqa: BLE001 - empty lake
-        pass
+    have = or_none(lambda: LK.read_lake_day(spark, lake, run_date))
+    if have is not None:
+        rows = rows.join(have.select("post_id").distinct(), "post_id", "left_anti")
     LK.write_lake(LK.with_run_date(rows, run_date), lake)
     return LK.read_lake_day(spark, lake, run_date)
 

@@ -21,6 +21,9 @@ def track_artists(track_artists_df: DataFrame, artists: DataFrame,
     artist_name, genres array<string>).  The groups are one track's artists
     (a handful), so the ordered ``collect_list`` is bounded.
     """
+    # one row per artist, however often its response landed
+    others = [c for c in artists.columns if c != "artist_id"]
+    artists = artists.groupBy("artist_id").agg(F.max(F.struct(*others)).alias("_x")).select("artist_id", "_x.*")
     j = track_artists_df.join(artists, "artist_id", "left")
     rec = F.struct(F.col("artist_pos").alias("p"), F.col("artist_id").alias("k"),  # ties: by id
                    F.col("artist_id").cast("string").alias("id"),

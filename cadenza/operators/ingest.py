@@ -27,6 +27,7 @@ from cadenza.operators.matching import first_match, score_candidates, validation
 from cadenza.sources import landed as L
 from cadenza.sources import lake as LK
 from cadenza.sources import state as ST
+from cadenza.sources.missing import or_none
 
 
 def feed_order() -> Column:
@@ -86,8 +87,8 @@ def match_tracks(posts: DataFrame, search: DataFrame, artist_dim: DataFrame,
     cands = cands if cands is not None else L.search_candidates(search, k)
     # artists of every distinct candidate track, joined in artist order
     ta = (cands.select("track_id", F.posexplode("artists").alias("artist_pos", "a"))
-          .select("track_id", "artist_pos", F.col("a.id").alias("artist_id"),
-                  F.col("a.name").alias("artist_name")).distinct())
+          .groupBy("track_id", "artist_pos").agg(F.max("a").alias("a"))  # one per place, however often it landed
+          .select("track_id", "artist_pos", F.col("a.id").alias("artist_id"), F.col("a.name").alias("artist_name")))
     per_track = track_artists(ta, artist_dim, "track_id")
     c = (looked.join(cands.drop("artists"), "post_id")
          .join(per_track, "track_id", "left")
@@ -109,20 +110,21 @@ def lake_rows(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(n).cast(t).alias(n) for n, t in LAKE_COLUMNS])
 
 
-def _existing_post_ids(spark: SparkSession, lake_path: str, run_date: str) -> DataFrame | None:
-    try:
-        return LK.read_lake_day(spark, lake_path, run_date).select("post_id").distinct()
-    except Exception:  # noqa: BLE001 - no lake yet
+def _existing_post_ids(spark: SparkSession, lake_path: str, since: str) -> DataFrame | None:
+    found = or_none(lambda: LK.read_lake(spark, lake_path))
+    if found is None:
         return None
+    return LK.since(found, since).select("post_id").distinct()
 
 
 def extract_posts(spark: SparkSession, posts: DataFrame, landing: str, rules: DataFrame,
                   state_path: str, lake_path: str, run_ts: _dt.datetime,
-                  mode: str = "takewhile") -> None:
+                  mode: str = "takewhile", marks: DataFrame | None = None) -> DataFrame | None:
     """The extract work for one set of parsed posts (a scheduled run, or one
     micro-batch of a stream): marks from the state table, accepted posts,
     matching and enrichment against the landed lookups, idempotent lake append,
-    then the state commit.
+    then the state commit.  With ``marks`` given, nothing is committed and the new
+    marks are returned.
 
     The parsed posts, the accepted posts and the parsed candidates are each
     used by several branches of the plan (stop points, validation pairs,
@@ -132,7 +134,12 @@ def extract_posts(spark: SparkSession, posts: DataFrame, landing: str, rules: Da
     from pyspark import StorageLevel
     keep = StorageLevel.MEMORY_AND_DISK
     run_date = run_ts.date().isoformat()
-    marks = ST.marks_with_default(rules, ST.latest_marks(ST.read_state(spark, state_path)), run_date)
+    own_marks = marks is None
+    if own_marks:
+        marks = ST.marks_with_default(rules, ST.latest_marks(ST.read_state(spark, state_path)), run_date)
+    # a crash before the state commit leaves rows of any date since the oldest mark
+    oldest = marks.agg(F.min("last_time")).first()[0]
+    since = min(run_date, oldest.date().isoformat()) if oldest is not None else run_date
     posts = posts.persist(keep)
     accepted = accepted_posts(posts, rules, marks, mode).persist(keep)
     search = spark.read.schema(L.SEARCH_SCHEMA).json(f"{landing}/search")
@@ -144,7 +151,7 @@ def extract_posts(spark: SparkSession, posts: DataFrame, landing: str, rules: Da
                          .withColumnRenamed("created_utc", "post_created_utc"))
         # a retried run (crash after the data write, before the state commit) must not
         # append its posts twice: skip posts already in the day's partition
-        existing = _existing_post_ids(spark, lake_path, run_date)
+        existing = _existing_post_ids(spark, lake_path, since)
         if existing is not None:
             rows = rows.join(existing, "post_id", "left_anti")
         LK.write_lake(LK.with_run_date(rows, run_date), lake_path)
@@ -154,7 +161,11 @@ def extract_posts(spark: SparkSession, posts: DataFrame, landing: str, rules: Da
         else:  # first accepted post of each pull, the newest of those per feed
             new_marks = advance_watermark(accepted, marks.select("source", "last_time"),
                                           F.col("pos"), pull="page")
+        if not own_marks:  # the caller commits (one row per feed)
+            rows = new_marks.select("source", "new_time")
+            return spark.createDataFrame(rows.collect(), rows.schema)
         ST.commit_state(new_marks, state_path, run_ts.replace(tzinfo=None))
+        return None
     finally:
         for df in (cands, accepted, posts):
             df.unpersist()

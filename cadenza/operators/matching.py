@@ -6,9 +6,9 @@ Plan:
   order (A6), as a ``min_by`` aggregate;
 * ``dedup_keys``: the original's dictionary keys, a title plus n dots where n
   counts repeats in feeds 2-4 (W1), via a scalable global row number;
-* ``block_candidates``: catalogue top-k per block key by catalogue rank (O3),
-  then an equi-join of posts to their block's short list (J8); a post never
-  meets more than k candidates, however hot its block is;
+* ``block_candidates``: distinct texts and track names meet on shared words of
+  their block (J8); the k best per text, by shared words then catalogue rank
+  (O3), are the post's candidates;
 * ``score_candidates``: F10/N7 per candidate row with one Arrow helper that
   skips ``ratio`` when difflib's cheap upper bounds already rule a hit out and
   memoises repeated pairs inside the batch - no shuffle;
@@ -58,16 +58,31 @@ def dedup_keys(posts: DataFrame, title: str = "title") -> DataFrame:
             .drop("_n"))
 
 
-def block_candidates(posts: DataFrame, catalogue: DataFrame, k: int = CANDIDATES_PER_POST,
-                     block: str = "block", rank_order: list[Column] | None = None) -> DataFrame:
-    """J8 + O3: each post meets the top-k catalogue rows of its block.
+def _tokens(text: Column) -> Column:
+    return F.array_distinct(F.filter(F.split(F.lower(text), " +"), lambda t: t != ""))
+
 
-    ``catalogue`` needs ``block``, ``track_id``, ``track_name``, ``artists_name``
-    and the rank order columns (default ``rank_key``).
+def block_candidates(posts: DataFrame, catalogue: DataFrame, k: int = CANDIDATES_PER_POST,
+                     block: str = "block", asked: str = "part0") -> DataFrame:
+    """J8 + O3: each post's ``k`` best catalogue rows of its block, whatever their place in it.
+
+    Candidates are ranked per post: by the words that the track name shares with the
+    post's ``asked`` text, then by ``rank_key``.  Distinct texts meet distinct names on
+    (block, word), so repeated posts and names cost nothing, and the words shared are
+    counted before names meet the catalogue's rows.  A track that shares no word with
+    the text is not a candidate; every other one is ranked (recall 1 among them).
+    ``catalogue`` needs ``block``, ``track_id``, ``track_name``, ``artists_name``, ``rank_key``.
     """
-    order = rank_order or [F.col("rank_key")]
-    short = top_k_per_group(catalogue, [block], order, k, "cand_rank")
-    return posts.join(short, block)
+    texts = posts.select(block, asked).distinct()
+    names = catalogue.select(block, "track_name").distinct()
+    near = (texts.select(block, asked, F.explode(_tokens(F.col(asked))).alias("_t"))
+            .join(names.select(block, "track_name", F.explode(_tokens(F.col("track_name"))).alias("_t")), [block, "_t"])
+            .groupBy(block, asked, "track_name").agg(F.count(F.lit(1)).alias("_shared")))
+    # of equal names only the first k rows can be among a post's k best
+    rows = top_k_per_group(catalogue, [block, "track_name"], [F.col("rank_key")], k, "_nth").drop("_nth")
+    best = top_k_per_group(near.join(rows, [block, "track_name"]), [block, asked],
+                           [F.col("_shared").desc(), F.col("rank_key")], k, "cand_rank").drop("_shared")
+    return posts.join(best, [block, asked])
 
 
 def _hit_score(matcher: SequenceMatcher, a: str, parts, thr: float, memo: dict) -> float:
@@ -111,8 +126,7 @@ def match_scores_udf(threshold: float = MATCH_THRESHOLD):
 def score_candidates(cands: DataFrame, threshold: float = MATCH_THRESHOLD) -> DataFrame:
     """Keep candidates whose track name and artists both hit a title part.
 
-    Accepting when the kept scores sum to >= 2*threshold equals "both hit",
-    because each kept score is either above the threshold or 0.
+    Each kept score is either above the threshold or 0.
     """
     s = match_scores_udf(threshold)(F.col("track_name"), F.col("artists_name"),
                                     F.col("part0"), F.col("part1"))
@@ -120,7 +134,7 @@ def score_candidates(cands: DataFrame, threshold: float = MATCH_THRESHOLD) -> Da
             .withColumns({"track_score": F.col("_s.track_score"),
                           "artist_score": F.col("_s.artist_score")})
             .drop("_s")
-            .where((F.col("track_score") + F.col("artist_score")) >= 2 * threshold))
+            .where((F.col("track_score") > threshold) & (F.col("artist_score") > threshold)))
 
 
 def first_match(accepted: DataFrame, post_key: str = "post_id",

@@ -67,6 +67,7 @@ def prepare_training(lake: DataFrame, dedupe_tracks: bool = False) -> DataFrame:
 
 ROWS_PER_PARTITION = 1_000_000
 MIN_ROWS_PER_TASK = 10_000
+SMALL_FIT_PARTITIONS = 8
 
 
 def partitions_for(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION,
@@ -75,12 +76,12 @@ def partitions_for(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION,
 
     Iterative fits pay a task per partition per pass: about a million feature
     rows per partition at scale (tens of MB), while a small input is spread over
-    the cluster's default parallelism but never below ``min_rows_per_task`` rows
-    per task (2,000 rows -> 1 partition; 600k rows on 8 cores -> 8).
+    ``SMALL_FIT_PARTITIONS`` but never below ``min_rows_per_task`` rows per task.
+    The count depends on the rows alone: the same rows give the same model
+    whatever the cluster.
     """
     rows = df.count()
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return max(1, -(-rows // rows_per_partition), min(par, -(-rows // min_rows_per_task)))
+    return max(1, -(-rows // rows_per_partition), min(SMALL_FIT_PARTITIONS, -(-rows // min_rows_per_task)))
 
 
 def _atomic(dt) -> bool:

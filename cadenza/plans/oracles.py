@@ -272,12 +272,16 @@ WITH RECURSIVE c AS {clean_sql(PART_POSTS)},
 v AS (SELECT title, part0, part1 FROM (
         SELECT *, row_number() OVER (PARTITION BY title ORDER BY ord, pos) AS rn FROM c) WHERE rn = 1),
 posts AS (SELECT c.post_id, c.title, c.part1 AS block, v.part0, v.part1 FROM c JOIN v ON c.title = v.title),
-short AS (SELECT * FROM (
-    SELECT p_partkey AS track_id, p_name AS track_name, p_brand AS artists_name, p_brand AS block,
-           row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS cand_rank FROM part)
-  WHERE cand_rank <= 10),
+cat AS (SELECT p_partkey AS track_id, p_name AS track_name, p_brand AS artists_name, p_brand AS block FROM part),
+names AS (SELECT DISTINCT block, track_name, unnest(regexp_extract_all(lower(track_name), '[^ ]+')) AS token FROM cat),
+asked AS (SELECT DISTINCT block, part0, unnest(regexp_extract_all(lower(part0), '[^ ]+')) AS token FROM posts),
+near AS (SELECT asked.block, part0, track_name, count(*) AS shared
+         FROM asked JOIN names ON asked.block = names.block AND asked.token = names.token GROUP BY ALL),
+ranked AS (SELECT near.block, part0, near.track_name, track_id, artists_name,
+             row_number() OVER (PARTITION BY near.block, part0 ORDER BY shared DESC, track_id) AS cand_rank
+           FROM near JOIN cat ON cat.block = near.block AND cat.track_name = near.track_name),
 cands AS (SELECT p.*, s.track_id, s.track_name, s.artists_name, s.cand_rank
-          FROM posts p JOIN short s ON p.block = s.block),
+          FROM posts p JOIN ranked s ON p.block = s.block AND p.part0 = s.part0 WHERE s.cand_rank <= 10),
 pairs AS (
   SELECT DISTINCT a, b FROM (
     SELECT track_name AS a, part0 AS b FROM cands UNION ALL SELECT track_name, part1 FROM cands
@@ -314,12 +318,13 @@ ENRICH_DEDUPE = """
 SELECT c_custkey, c_name, s_suppkey, s_acctbal FROM (
   SELECT c.c_custkey, c.c_name, s.s_suppkey, s.s_acctbal,
          row_number() OVER (PARTITION BY c.c_custkey ORDER BY s.s_suppkey) AS rn
-  FROM customer c LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 5000) s
+  FROM customer c LEFT JOIN supplier s
     ON c.c_nationkey = s.s_nationkey) WHERE rn = 1"""
 
 
 CSV_ROUNDTRIP = """
-SELECT s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey, s_acctbal FROM supplier"""
+SELECT s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey, s_acctbal,
+  ' ' || s_name || ' - "B, C"' || chr(10) || chr(92) || ' x ' AS s_title FROM supplier"""
 
 LAKE_PARTITION_ROUNDTRIP = """
 SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate,

@@ -136,8 +136,7 @@ def q_artist_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_enrich_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = S.table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", F.col("c_nationkey").alias("nationkey"))
-    s = (S.table(spark, sf_dir, "supplier").where(F.col("s_acctbal") > 5000)
-         .select(F.col("s_nationkey").alias("nationkey"), "s_suppkey", "s_acctbal"))
+    s = S.table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nationkey"), "s_suppkey", "s_acctbal")
     return attach_features(c, s, "nationkey", F.col("s_suppkey"), "left").select(
         "c_custkey", "c_name", "s_suppkey", "s_acctbal")
 
@@ -145,13 +144,18 @@ def q_enrich_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 SUPPLIER_DECLARED = "s_suppkey BIGINT, s_name STRING, s_nationkey STRING, s_acctbal DOUBLE"
 
 
+def hard_title():
+    """A text with outer spaces, quotes, a comma and a line end."""
+    return F.concat(F.lit(" "), F.col("s_name"), F.lit(' - "B, C"\n\\ x '))
+
+
 def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier through a CSV hand-over folder, read back onto a declared schema
     (the int nation key declared as string, like the lake's ``mode``)."""
     from cadenza.functions.dates import hour_stamp
     path = f"{scratch_path(spark, 'handover')}/{hour_stamp(S.RUN_DATE + ' 12:00:00')}"
-    HO.write_csv(S.table(spark, sf_dir, "supplier"), path)
-    return HO.read_csv(spark, path, SUPPLIER_DECLARED)
+    HO.write_csv(S.table(spark, sf_dir, "supplier").withColumn("s_title", hard_title()), path)
+    return HO.read_csv(spark, path, SUPPLIER_DECLARED + ", s_title STRING")
 
 
 LAKE_DAY = "1996-01-01"

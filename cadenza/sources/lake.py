@@ -57,3 +57,10 @@ def read_lake_day(spark: SparkSession, path: str, run_date: str,
     df = read_lake(spark, path).where(
         (F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d))
     return df.drop(*PARTITIONS) if drop_partitions else df
+
+
+def since(lake: DataFrame, date: str) -> DataFrame:
+    """Rows of the partitions of ``date`` and later (partition filters)."""
+    y, m, d = (int(x) for x in run_date_parts(date))
+    return lake.where((F.col("year") > y) | ((F.col("year") == y) & (
+        (F.col("month") > m) | ((F.col("month") == m) & (F.col("day") >= d)))))

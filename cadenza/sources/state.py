@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cadenza.sources.missing import or_none
+
 STATE_SCHEMA = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("last_time", T.TimestampNTZType()),
@@ -23,10 +25,8 @@ STATE_SCHEMA = T.StructType([
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     """The state table, or an empty frame on the first run."""
-    try:
-        return spark.read.schema(STATE_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - missing path on first run
-        return spark.createDataFrame([], STATE_SCHEMA)
+    found = or_none(lambda: spark.read.schema(STATE_SCHEMA).parquet(path))
+    return spark.createDataFrame([], STATE_SCHEMA) if found is None else found
 
 
 def latest_marks(history: DataFrame) -> DataFrame:

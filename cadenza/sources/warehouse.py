@@ -6,13 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 REPORT_PARTITIONS = ["year", "month", "day"]
 
+from cadenza.sources.missing import or_none
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:  # noqa: BLE001 - nothing stored there yet
-        return False
+    return or_none(lambda: spark.read.parquet(path)) is not None
 
 
 def write_report_table(df: DataFrame, table: str, path: str | None = None,

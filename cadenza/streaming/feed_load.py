@@ -76,9 +76,18 @@ def run_extract_stream(spark: SparkSession, landing: str, rules: DataFrame, stat
                        max_files: int | None = None) -> None:
     """The whole extract job as a stream: landed pages are parsed and de-duplicated by
     post id in the stream; every micro-batch then runs the batch extract work in
-    filter mode (``foreachBatch``).  The lake append skips posts already stored and
-    the state is committed after the data, so a replayed micro-batch adds nothing."""
+    filter mode (``foreachBatch``).  All micro-batches are held against the marks of
+    the run's start and the newest marks are committed after the last one, so the
+    result does not depend on the batch size (``max_files``).  The lake append skips
+    posts already stored, so a replayed micro-batch adds nothing."""
+    from pyspark.sql import functions as F
+
     from cadenza.operators.ingest import extract_posts
+    from cadenza.sources import state as ST
+
+    start = ST.marks_with_default(rules, ST.latest_marks(ST.read_state(spark, state_path)), run_ts.date().isoformat())
+    start = spark.createDataFrame(start.collect(), start.schema)  # one row per feed
+    found = []
     reader = spark.readStream.schema(FEED_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -94,11 +103,15 @@ def run_extract_stream(spark: SparkSession, landing: str, rules: DataFrame, stat
         df = df.persist()
         try:
             if not df.isEmpty():
-                extract_posts(df.sparkSession, df, landing, rules, state_path, lake_path, run_ts,
-                              "filter")
+                found.append(extract_posts(df.sparkSession, df, landing, rules, state_path, lake_path,
+                                           run_ts, "filter", start).collect())
         finally:
             df.unpersist()
 
     q = (posts.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    rows = [r for batch_rows in found for r in batch_rows]
+    if rows:
+        new = spark.createDataFrame(rows, "source string, new_time timestamp_ntz")
+        ST.commit_state(new.groupBy("source").agg(F.max("new_time").alias("new_time")), state_path, run_ts.replace(tzinfo=None))

@@ -242,3 +242,31 @@ def test_pipelines_ignore_input_partitioning(spark):
     tracks = S.part_tracks(spark, sf).withColumn("prediction", F.length("p_type") % 3)
     reqs = S.preference_requests(spark, sf).select("request_id", (F.col("request_id") % 3).alias("prediction"))
     assert rows(recommend(reqs, tracks)) == rows(recommend(reqs.repartition(4), tracks.repartition(6)))
+
+
+def test_candidates_are_ranked_per_post(spark):
+    """The right track is found however late it stands in its block's catalogue."""
+    from cadenza.operators.matching import match_posts
+
+    cat = [("b", i, f"other {i}", "b", i) for i in range(200)] + [("b", 900, "needle song", "b", 900), ("b", 901, "song", "b", 1)]
+    catalogue = spark.createDataFrame(cat, "block string, track_id int, track_name string, artists_name string, rank_key int")
+    posts = spark.createDataFrame([("p", "needle song - b", "b", 1, 0, "needle song", "b")],
+                                  "post_id string, title string, block string, ord int, pos int, part0 string, part1 string")
+    assert [(r["track_id"], r["cand_rank"]) for r in match_posts(posts, catalogue).collect()] == [(900, 1)]
+
+
+def test_repeated_artist_responses_change_nothing(spark):
+    from cadenza.operators.enrich import track_artists
+
+    ta = spark.createDataFrame([("t", 0, "a", "A"), ("t", 1, "b", "B")], "track_id string, artist_pos int, artist_id string, artist_name string")
+    artists = spark.createDataFrame([("a", ["x"]), ("b", ["y"])], "artist_id string, genres array<string>")
+    once = track_artists(ta, artists).collect()
+    assert once == track_artists(ta, artists.union(artists)).collect() and once[0]["artists_name"] == "A, B"
+
+
+def test_fit_partitions_follow_the_rows_alone(spark):
+    from cadenza.operators.recommend import partitions_for
+
+    assert partitions_for(spark.range(100)) == 1
+    assert partitions_for(spark.range(60_000)) == 6
+    assert partitions_for(spark.range(600_000)) == 8

@@ -11,30 +11,41 @@ ALPHABET = st.sampled_from(list("ab -()[]_.,'&é字९² \t") + ["Ós", "ß", "
 TITLES = st.lists(ALPHABET, min_size=0, max_size=14).map("".join)
 
 
-def _model(title):
-    """The original per-post loop, in plain Python."""
-    if " - " not in title:
-        return None
-    t = title
-    start = t.find(" - ")
-    cuts = sorted([t.find("("), t.find("[")], reverse=True)
-    for c in cuts:
-        if c > start:
-            t = t[:c]
-    parts = t.split(" - ")
-    return t, parts[0].strip(), parts[1].strip(), re.sub(r"[\W_]+", " ", t, flags=re.UNICODE)
+GOLDEN = [
+    ("Artist - Song (Live)", ("Artist - Song ", "Artist", "Song", "Artist Song ")),
+    ("A (x) - Song [y]", ("A (x) - Song ", "A (x)", "Song", "A x Song ")),
+    ("A - B [c] (d)", ("A - B ", "A", "B", "A B ")),
+    ("A - B (d) [c]", ("A - B ", "A", "B", "A B ")),
+    ("A - B - C", ("A - B - C", "A", "B", "A B C")),
+    ("A[ - B ] c", ("A[ - B ] c", "A[", "B ] c", "A B c")),
+    ("\tA_1 -  é & ß", ("\tA_1 -  é & ß", "A_1", "é & ß", " A 1 é ß")),
+    ("no separator (x)", None),
+]
 
 
+def test_title_cleaning_golden(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(GOLDEN)], "id int, title string")
+    got = {r["id"]: (r["truncated"], r["part0"], r["part1"], r["search_text"]) for r in clean_titles(df, "title").collect()}
+    for i, (t, want) in enumerate(GOLDEN):
+        assert got.get(i) == want, repr(t)
 
 
 @settings(max_examples=60, deadline=None)
 @given(st.lists(TITLES, min_size=1, max_size=40))
-def test_title_cleaning_matches_python_model(spark, titles):
+def test_title_cleaning_properties(spark, titles):
+    """What is kept is a prefix that holds the separator; it ends at a bracket or is the whole
+    title; parts are its stripped pieces; the search text has letters, digits and single blanks."""
     df = spark.createDataFrame([(i, t) for i, t in enumerate(titles)], "id int, title string")
-    got = {r["id"]: (r["truncated"], r["part0"], r["part1"], r["search_text"])
-           for r in clean_titles(df, "title").collect()}
-    for i, t in enumerate(titles):
-        assert got.get(i) == _model(t), repr(t)
+    got = {r["id"]: r for r in clean_titles(df, "title").collect()}
+    assert set(got) == {i for i, t in enumerate(titles) if " - " in t}
+    for i, r in got.items():
+        t, kept = titles[i], r["truncated"]
+        assert t.startswith(kept) and " - " in kept
+        assert kept == t or t[len(kept)] in "(["
+        assert r["part0"] == r["part0"].strip() and kept.lstrip().startswith(r["part0"])
+        assert r["part1"] == r["part1"].strip() and r["part1"] in kept
+        assert re.fullmatch(r"(?:[^\W_]| (?! ))*", r["search_text"])
+        assert re.sub(r"[\W_]", "", kept) == r["search_text"].replace(" ", "")
 
 
 def _plan(df):
@@ -53,6 +64,7 @@ def test_match_plan_scores_once_and_limits_map_side(spark):
     plan = _plan(E.queries()["entity_match"](spark, "/root/testdata/sf0.001"))
     assert plan.count("ArrowEvalPython") == 1
     assert plan.count("WindowGroupLimit") >= 2  # partial (map side) + final
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_report_scans_lake_once(spark):

@@ -77,3 +77,28 @@ def test_state_roundtrip(spark, tmp_path):
     assert {r["source"]: r["last_time"] for r in latest.collect()} == {
         "Music": dt.datetime(2024, 1, 15, 1), "popheads": dt.datetime(2024, 1, 15, 1)}
     assert ST.latest_row(ST.read_state(spark, path)).count() == 1
+
+
+def test_csv_keeps_hard_texts(spark, tmp_path):
+    import pandas as pd
+
+    from cadenza.sources.handover import read_csv, write_csv
+
+    rows = [(1, ' lead trail '), (2, 'A - "B, C" x'), (3, 'two\nlines, "q"'), (4, 'back\\slash "'), (5, None)]
+    df = spark.createDataFrame(rows, "id int, title string")
+    write_csv(df, str(tmp_path / "own"))
+    assert sorted(map(tuple, read_csv(spark, str(tmp_path / "own"), "id int, title string").collect())) == rows
+    pd.DataFrame(rows, columns=["id", "title"]).to_csv(tmp_path / "pandas.csv", index=False)
+    assert sorted(map(tuple, read_csv(spark, str(tmp_path / "pandas.csv"), "id int, title string").collect())) == rows
+
+
+def test_a_failed_state_read_is_an_error(spark, tmp_path):
+    import pytest
+
+    from cadenza.sources.state import read_state
+
+    assert read_state(spark, str(tmp_path / "none")).count() == 0
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.parquet").write_bytes(b"no parquet at all")
+    with pytest.raises(Exception):
+        read_state(spark, str(tmp_path / "bad")).count()
