@@ -18,18 +18,20 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     gathered in one place.  Rows with a null end are ignored; an empty table gives
     an empty result.
     """
+    # grouped minima are checkpointed before they are joined: both sides of the join are then
+    # shuffled, and a hub's rows can be split over tasks
     links = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                 .filter("u is not null and v is not null").distinct())
     before = None
     for _ in range(max_rounds):
         # large star: every larger neighbour of x moves to the smallest neighbour of x (or x)
         both = links.filter("u != v").union(links.filter("u != v").select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy(F.col("u").alias("x")).agg(F.min("v").alias("m")).select("x", F.least("x", "m").alias("m"))
+        low = cut(both.groupBy(F.col("u").alias("x")).agg(F.min("v").alias("m")).select("x", F.least("x", "m").alias("m")))
         large = (both.join(low, both.u == low.x).filter("v > u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")))
         # small star: the smaller neighbours of x, and x, move to the smallest of them
         large = large.distinct()
-        least = large.groupBy(F.col("u").alias("x")).agg(F.min("v").alias("m"))
+        least = cut(large.groupBy(F.col("u").alias("x")).agg(F.min("v").alias("m")))
         small = (large.join(least, large.u == least.x)
                  .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                            F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e"))
