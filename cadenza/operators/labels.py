@@ -12,9 +12,8 @@ Spark-first plan (no per-row Python):
 2. their tokens are exploded in place and scored against the whole
    vocabulary in one Arrow call per batch, each distinct token of a batch
    once (vocabulary x token is a loop inside the helper, not a join);
-3. the token scores are regrouped per list - the rows are still hash
-   partitioned by the list from step 1, so this adds no shuffle - folded in
-   token order with higher-order functions, and the arg-max is
+3. the token scores are regrouped per list (a second shuffle on the list: the
+   Arrow call does not keep its input's partitioning) and folded in token order with higher-order functions, and the arg-max is
    ``array_position`` of ``array_max`` (first maximum = earliest label);
 4. the small list -> label map is joined back to the rows; AQE broadcasts it
    when its measured size is under the broadcast threshold and falls back to a
@@ -43,8 +42,7 @@ def label_unique(df: DataFrame, col: str = "genres", labels: list[str] = GENRE_L
     """Label a frame holding each list at most once (e.g. the output of a
     ``groupBy(col)``), keeping its other columns; null list -> null label.
 
-    The regrouping by ``col`` reuses the input's hash partitioning on ``col``
-    when it comes straight from an aggregate, so no shuffle is added.
+    The regrouping by ``col`` is a shuffle of its own.
     """
     n = len(labels)
     keep = [c for c in df.columns if c != col]
