@@ -15,19 +15,27 @@ CORRECTED_BUCKETS = dict(PREFERENCE_BUCKETS, loudness=[
 CORRECTED_NOT_CHOSEN = {"loudness": -10.1}
 
 
+def hash_draw(seed: int, *parts: Column) -> Column:
+    """A number in [0, 1) from a hash of ``seed`` and ``parts``: the same in any row order or layout."""
+    return F.pmod(F.xxhash64(F.lit(seed), *parts), F.lit(1 << 53)) / F.lit(float(1 << 53))
+
+
 def label_value(dimension: str, label: Column, mode: str = "midpoint", seed: int = 0,
-                buckets: dict = PREFERENCE_BUCKETS, not_chosen: float | dict = NOT_CHOSEN) -> Column:
+                buckets: dict = PREFERENCE_BUCKETS, not_chosen: float | dict = NOT_CHOSEN,
+                key: Column | None = None) -> Column:
     """N15 + N14: label -> range -> value; '' -> ``not_chosen``; unknown label -> null.
 
-    ``mode='uniform'`` draws ``lo + rand(seed) * (hi - lo)`` (seeded, so runs
-    repeat); ``mode='midpoint'`` is the deterministic centre of the range.
+    ``mode='uniform'`` draws ``lo + u * (hi - lo)`` with ``u`` from a hash of the seed, the
+    dimension and ``key`` (the request's id); without a key ``u`` is ``rand(seed)``, which
+    depends on the rows' layout.  ``mode='midpoint'`` is the deterministic centre of the range.
     """
     if isinstance(not_chosen, dict):
         not_chosen = not_chosen.get(dimension, NOT_CHOSEN)
+    u = F.rand(seed) if key is None else hash_draw(seed, F.lit(dimension), key)
     out = F.when(label == "", F.lit(not_chosen))
     for name, lo, hi in buckets[dimension]:
         if mode == "uniform":
-            v = F.lit(lo) + F.rand(seed) * F.lit(hi - lo)
+            v = F.lit(lo) + u * F.lit(hi - lo)
         else:
             v = F.lit((lo + hi) / 2.0)
         out = out.when(label == name, v)
@@ -36,8 +44,8 @@ def label_value(dimension: str, label: Column, mode: str = "midpoint", seed: int
 
 def request_values(labels: dict[str, Column], mode: str = "midpoint", seed: int = 0,
                    buckets: dict = PREFERENCE_BUCKETS,
-                   not_chosen: float | dict = NOT_CHOSEN) -> dict[str, Column]:
+                   not_chosen: float | dict = NOT_CHOSEN, key: Column | None = None) -> dict[str, Column]:
     """All five dimensions at once (one column per dimension); pass
     ``CORRECTED_BUCKETS`` / ``CORRECTED_NOT_CHOSEN`` for the corrected table."""
-    return {d: label_value(d, c, mode, seed + i, buckets, not_chosen)
+    return {d: label_value(d, c, mode, seed + i, buckets, not_chosen, key)
             for i, (d, c) in enumerate(labels.items())}

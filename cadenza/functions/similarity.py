@@ -29,33 +29,39 @@ def similarity_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([_ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-def label_scores_udf(labels: list[str]):
-    """Arrow UDF: token -> array of ratio(label, token) for each label, in order.
+def label_sums(lists, vocab: list[str]) -> list[list[float] | None]:
+    """Per token list the sum of ratio(label, token) over its tokens, in their order, for each
+    label; None for None.  A token repeated in ``lists`` is scored once."""
+    memo: dict = {}
 
-    Repeated tokens inside one Arrow batch are scored once (memo per batch).
-    """
+    def scored(token: str) -> list[float]:
+        if token not in memo:
+            sm = SequenceMatcher(None, "", token)  # b = token is indexed once
+            memo[token] = []
+            for label in vocab:
+                sm.set_seq1(label)
+                memo[token].append(sm.ratio())
+        return memo[token]
+
+    def total(tokens) -> list[float]:
+        out = [0.0] * len(vocab)
+        for token in tokens:
+            out = [x + y for x, y in zip(out, scored(token))]
+        return out
+
+    return [None if t is None else total(t) for t in lists]
+
+
+def label_sums_udf(labels: list[str]):
+    """Arrow UDF of ``label_sums``: token array -> one sum per label (memo per batch)."""
     vocab = list(labels)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def scores(tok: pd.Series) -> pd.Series:
-        memo: dict = {}
-        out = []
-        for t in tok:
-            if t is None:
-                out.append(None)
-                continue
-            row = memo.get(t)
-            if row is None:
-                sm = SequenceMatcher(None, "", t)  # b = token is indexed once
-                row = []
-                for lab in vocab:
-                    sm.set_seq1(lab)
-                    row.append(sm.ratio())
-                memo[t] = row
-            out.append(row)
-        return pd.Series(out, dtype="object")
-
-    return scores
+    def sums(lists: pd.Series) -> pd.Series:
+        return pd.Series(label_sums(lists, vocab), dtype="object")
+
+    # marked non-deterministic so Catalyst never runs the helper once per use of its result
+    return sums.asNondeterministic()
 
 
 def ratio_upper_bound(a: Column, b: Column) -> Column:

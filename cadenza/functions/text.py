@@ -21,9 +21,10 @@ def html_unescape(c: Column) -> Column:
     """Full HTML5 entity unescape (the standard library's table).
 
     Arrow-batched; ``html.unescape`` returns at once for text without '&', so
-    rows without entities cost only the Arrow transfer.
+    rows without entities cost only the Arrow transfer.  Marked non-deterministic, so a
+    filter on the result is not pushed below it with a second call.
     """
-    return _unescape(c)
+    return _unescape.asNondeterministic()(c)
 
 
 def is_media_link(url: Column, terms: list[str] = LINK_TERMS) -> Column:

@@ -96,7 +96,7 @@ def score_job(spark: SparkSession, model_path: str, tracks_path: str,
     if all(f"{d}_label" in requests.columns for d in FEATURE_COLUMNS):
         requests = requests.withColumns(request_values(
             {d: F.col(f"{d}_label") for d in FEATURE_COLUMNS},
-            mode="uniform" if order == "random" else "midpoint", seed=seed))
+            mode="uniform" if order == "random" else "midpoint", seed=seed, key=F.col("request_id")))
     model = PipelineModel.load(model_path)
     clusters = RC.assign(model, requests).select("request_id", "prediction")
     tracks = spark.read.parquet(tracks_path)
@@ -111,7 +111,9 @@ def tune_job(spark: SparkSession, lake: str, ks: list[int] = K_SWEEP) -> tuple[D
     std = RC.scaler().fit(assembled).transform(assembled)
     sweep = TU.k_sweep(std, ks)
     predicted = RC.kmeans().fit(std).transform(std)
-    return sweep, TU.cluster_quartiles(predicted, "prediction", FEATURE_COLUMNS)
+    quartiles = TU.cluster_quartiles(predicted, "prediction", FEATURE_COLUMNS)  # reads a checkpoint from here on
+    data.unpersist()
+    return sweep, quartiles
 
 
 def main(argv: list[str] | None = None) -> None:

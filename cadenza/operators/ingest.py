@@ -143,6 +143,7 @@ def extract_posts(spark: SparkSession, posts: DataFrame, landing: str, rules: Da
     posts = posts.persist(keep)
     accepted = accepted_posts(posts, rules, marks, mode).persist(keep)
     search = spark.read.schema(L.SEARCH_SCHEMA).json(f"{landing}/search")
+    search = search.join(accepted.select("post_id").distinct(), "post_id", "left_semi")
     cands = L.search_candidates(search, CANDIDATES_PER_POST).persist(keep)
     artists = L.artist_genres(spark.read.schema(L.ARTISTS_SCHEMA).json(f"{landing}/artists"))
     features = spark.read.schema(L.AUDIO_SCHEMA).json(f"{landing}/features")

@@ -9,12 +9,10 @@ Spark-first plan (no per-row Python):
 
 1. the label is a function of the list text, so only *distinct* lists are
    classified (partial aggregation map-side, so a hot list costs nothing);
-2. their tokens are exploded in place and scored against the whole
-   vocabulary in one Arrow call per batch, each distinct token of a batch
-   once (vocabulary x token is a loop inside the helper, not a join);
-3. the token scores are regrouped per list (a second shuffle on the list: the
-   Arrow call does not keep its input's partitioning) and folded in token order with higher-order functions, and the arg-max is
-   ``array_position`` of ``array_max`` (first maximum = earliest label);
+2. each distinct list's tokens go to one Arrow call that returns the 20 ordered
+   sums; each distinct token of a batch is scored once (vocabulary x token is a
+   loop inside the helper, not a join), and nothing is regrouped;
+3. the arg-max is ``array_position`` of ``array_max`` (first maximum = earliest label);
 4. the small list -> label map is joined back to the rows; AQE broadcasts it
    when its measured size is under the broadcast threshold and falls back to a
    shuffle join (with skew splitting) otherwise.
@@ -22,14 +20,12 @@ Spark-first plan (no per-row Python):
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.fixed import GENRE_LABELS
-from cadenza.functions.similarity import label_scores_udf
+from cadenza.functions.similarity import label_sums, label_sums_udf
 
 
 def genre_tokens(genres: Column) -> Column:
@@ -37,29 +33,18 @@ def genre_tokens(genres: Column) -> Column:
     return F.transform(F.split(genres, ", ", -1), lambda t: F.translate(t, " ", ""))
 
 
+def _label_of(sums: Column, labels: list[str]) -> Column:
+    vocab = F.array(*[F.lit(x) for x in labels])
+    return F.element_at(vocab, F.array_position(sums, F.array_max(sums)).cast("int"))
+
+
 def label_unique(df: DataFrame, col: str = "genres", labels: list[str] = GENRE_LABELS,
                  out: str = "major_genre") -> DataFrame:
     """Label a frame holding each list at most once (e.g. the output of a
-    ``groupBy(col)``), keeping its other columns; null list -> null label.
-
-    The regrouping by ``col`` is a shuffle of its own.
-    """
-    n = len(labels)
+    ``groupBy(col)``), keeping its other columns; null list -> null label.  No shuffle."""
     keep = [c for c in df.columns if c != col]
-    tokens = df.select(col, *keep,
-                       F.posexplode_outer(genre_tokens(F.col(col))).alias("_pos", "_tok"))
-    scored = tokens.withColumn("_s", label_scores_udf(labels)(F.col("_tok")))
-    per_list = (scored.groupBy(col)
-                .agg(F.array_sort(F.collect_list(F.struct("_pos", "_s"))).alias("_l"),
-                     *[F.first(c).alias(c) for c in keep]))
-    sums = F.transform(
-        F.sequence(F.lit(0), F.lit(n - 1)),
-        lambda i: F.aggregate("_l", F.lit(0.0), lambda acc, x: acc + x["_s"][i]))
-    vocab = F.array(*[F.lit(x) for x in labels])
-    label = F.element_at(vocab, F.array_position("label_scores",
-                                                 F.array_max("label_scores")).cast("int"))
-    return (per_list.withColumn("label_scores", F.when(F.col(col).isNotNull(), sums))
-            .withColumn(out, F.when(F.col(col).isNotNull(), label))
+    return (df.withColumn("label_scores", label_sums_udf(labels)(genre_tokens(F.col(col))))
+            .withColumn(out, _label_of(F.col("label_scores"), labels))
             .select(col, *keep, out, "label_scores"))
 
 
@@ -84,38 +69,14 @@ def with_major_genre(df: DataFrame, col: str = "genres", out: str = "major_genre
 def major_genre_udf(labels: list[str] = GENRE_LABELS):
     """X1 as a drop-in column function, ``major_genre_udf()(col)``, for ad-hoc use.
 
-    Arrow-batched with a per-batch memo of lists and tokens; the same rule
-    (ordered sum, first maximum wins).  ``with_major_genre`` is the plan to use on
-    large frames: it labels each distinct list once across the whole job.
+    The same helper and rule; ``with_major_genre`` is the plan to use on large frames: it
+    labels each distinct list once across the whole job.
     """
     vocab = list(labels)
 
     @F.pandas_udf("string")
     def label(genres: pd.Series) -> pd.Series:
-        tok_memo: dict = {}
-        list_memo: dict = {}
-        out = []
-        for text in genres:
-            if text is None:
-                out.append(None)
-                continue
-            hit = list_memo.get(text)
-            if hit is None:
-                sums = [0.0] * len(vocab)
-                for tok in text.split(", "):
-                    tok = tok.replace(" ", "")
-                    sc = tok_memo.get(tok)
-                    if sc is None:
-                        sm = SequenceMatcher(None, "", tok)
-                        sc = []
-                        for lab in vocab:
-                            sm.set_seq1(lab)
-                            sc.append(sm.ratio())
-                        tok_memo[tok] = sc
-                    sums = [a + b for a, b in zip(sums, sc)]
-                hit = vocab[sums.index(max(sums))]
-                list_memo[text] = hit
-            out.append(hit)
-        return pd.Series(out, dtype="object")
+        tokens = [None if g is None else [t.replace(" ", "") for t in g.split(", ")] for g in genres]
+        return pd.Series([None if s is None else vocab[s.index(max(s))] for s in label_sums(tokens, vocab)], dtype="object")
 
     return label

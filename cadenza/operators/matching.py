@@ -4,8 +4,8 @@ Plan:
 
 * ``validation_pairs``: one (part0, part1) per raw title, the first in feed
   order (A6), as a ``min_by`` aggregate;
-* ``dedup_keys``: the original's dictionary keys, a title plus n dots where n
-  counts repeats in feeds 2-4 (W1), via a scalable global row number;
+* ``repeat_numbers``: n of the n-th repeat in feeds 2-4 (W1), via a scalable global
+  row number; ``dedup_keys`` renders it as the original's keys, a title plus n dots;
 * ``block_candidates``: distinct texts and track names meet on shared words of
   their block (J8); the k best per text, by shared words then catalogue rank
   (O3), are the post's candidates;
@@ -39,8 +39,9 @@ def validation_pairs(posts: DataFrame, title: str = "title",
                            ["part0", "part1"])
 
 
-def dedup_keys(posts: DataFrame, title: str = "title") -> DataFrame:
-    """key = title, plus n dots for the n-th repeat (n shared by feeds 2-4, never reset).
+def repeat_numbers(posts: DataFrame, title: str = "title") -> DataFrame:
+    """W1 as numbers: ``is_repeat`` and ``repeat_no``, the n of the n-th repeat (n shared by
+    feeds 2-4, never reset), null for other posts.
 
     A repeat is a post of feeds 2-4 whose raw title appeared at an earlier
     (ord, pos).  Feed 1 repeats keep the bare title.
@@ -50,12 +51,19 @@ def dedup_keys(posts: DataFrame, title: str = "title") -> DataFrame:
               .withColumn("is_repeat", (F.col("ord") > 1) &
                           (F.struct("ord", "pos") > F.col("_first")))
               .drop("_first"))
-    reps = global_row_number(tagged.where("is_repeat"), [F.col("ord"), F.col("pos")], "_n")
-    rest = tagged.where(~F.col("is_repeat")).withColumn("_n", F.lit(None).cast("long"))
-    return (reps.unionByName(rest)
-            .withColumn("key", F.concat(F.col(title),
-                                        F.repeat(F.lit("."), F.coalesce(F.col("_n"), F.lit(0)).cast("int"))))
-            .drop("_n"))
+    reps = global_row_number(tagged.where("is_repeat"), [F.col("ord"), F.col("pos")], "repeat_no")
+    rest = tagged.where(~F.col("is_repeat")).withColumn("repeat_no", F.lit(None).cast("bigint"))
+    return reps.withColumn("repeat_no", F.col("repeat_no").cast("bigint")).unionByName(rest)
+
+
+def dedup_keys(posts: DataFrame, title: str = "title") -> DataFrame:
+    """W1 as the original's text keys: title, plus n dots for the n-th repeat.
+
+    The dots add up to the square of the number of repeats: for small results at the
+    edge only; ``repeat_numbers`` holds the same fact in eight bytes.
+    """
+    dots = F.repeat(F.lit("."), F.coalesce(F.col("repeat_no"), F.lit(0)).cast("int"))
+    return repeat_numbers(posts, title).withColumn("key", F.concat(F.col(title), dots)).drop("repeat_no")
 
 
 def _tokens(text: Column) -> Column:

@@ -143,7 +143,7 @@ def recommend(request_clusters: DataFrame, track_clusters: DataFrame,
     ``request_clusters``: (request_id, prediction); ``track_clusters``: tracks with
     ``prediction``.  O4: top by popularity (ties by track id); O5: a pseudo-random
     ``pick`` of them (``hash``: md5 of request and track id, repeatable;
-    ``random``: ``rand(seed)``); O6: final order by popularity.
+    ``random``: a hash with ``seed``, so a seed repeats in any layout); O6: final order by popularity.
     """
     short = top_k_per_group(track_clusters, ["prediction"],
                             [F.col(popularity).desc(), F.col("track_id")], top, "cluster_rank")
@@ -152,7 +152,7 @@ def recommend(request_clusters: DataFrame, track_clusters: DataFrame,
         o: Column = F.md5(F.concat_ws("|", F.col("request_id").cast("string"),
                                       F.col("track_id").cast("string")))
     else:
-        o = F.rand(seed)
+        o = F.xxhash64(F.lit(seed), F.col("request_id"), F.col("track_id"))
     picked = top_k_per_group(j.withColumn("_o", o), ["request_id"], [F.col("_o"),
                              F.col("track_id")], pick, "_pick").drop("_o", "_pick")
     from pyspark.sql import Window as W

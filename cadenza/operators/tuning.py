@@ -6,10 +6,12 @@ from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cadenza.fixed import K_SWEEP, KMEANS_SEED
 from cadenza.operators.vectors import squared_distance
+from cadenza.session import checkpoint_dir
 
 
 def silhouette(df: DataFrame, features: str = "standardized",
@@ -59,25 +61,63 @@ def k_sweep(df: DataFrame, ks: list[int] = K_SWEEP, seed: int = KMEANS_SEED,
     return spark.createDataFrame(rows, "k int, silhouette double, cost double")
 
 
+def _ranked_values(df: DataFrame, cluster: str, features: list[str]) -> DataFrame:
+    """``_c, _f, _v`` (cluster, feature, distinct value) with the ranks ``[_from, _to)`` of the
+    value's rows in its group and the group's size ``_all``.
+
+    Equal values are counted map-side and range-partitioned over all groups, so a large
+    group is spread; ranks are running counts inside a partition plus the partition's offset.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    long = (df.select(F.col(cluster).alias("_c"), F.explode(F.array(*[
+                F.struct(F.lit(f).alias("_f"), F.col(f).cast("double").alias("_v")) for f in features])).alias("_x"))
+            .select("_c", "_x.*").where(F.col("_v").isNotNull()))
+    order, group = ["_c", "_f", "_v"], ["_c", "_f"]
+    local = W.partitionBy("_pid", *group).orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    # the range bounds are sampled, so counts and offsets are taken from one checkpointed copy
+    rows = (long.groupBy(*order).agg(F.count(F.lit(1)).alias("_n"))
+            .repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order)
+            .withColumn("_pid", F.spark_partition_id()).withColumn("_upto", F.sum("_n").over(local))
+            .checkpoint(eager=True))
+    parts = rows.groupBy("_pid", *group).agg(F.sum("_n").alias("_sum"))  # a row per partition and group
+    before = W.partitionBy(*group).orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
+    parts = parts.select(F.col("_pid").alias("_p"), F.col("_c").alias("_pc"), F.col("_f").alias("_pf"),
+                         F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_off"),
+                         F.sum("_sum").over(W.partitionBy(*group)).alias("_all"))
+    on = (F.col("_pid") == F.col("_p")) & F.col("_c").eqNullSafe(F.col("_pc")) & (F.col("_f") == F.col("_pf"))
+    return rows.join(parts, on).select(*order, "_all", (F.col("_off") + F.col("_upto") - F.col("_n")).alias("_from"),
+                                       (F.col("_off") + F.col("_upto")).alias("_to"))
+
+
 def cluster_quartiles(df: DataFrame, cluster: str, features: list[str],
                       exact: bool = True, accuracy: int = 10000) -> DataFrame:
-    """Min, q1, median, q3, max of each feature per cluster.
+    """Min, q1, median, q3, max of each feature per cluster (nulls are left out).
 
-    ``exact`` uses ``percentile`` (linear interpolation, buffer = distinct
-    values per group, merged map-side); ``exact=False`` switches to
-    ``percentile_approx`` for high-cardinality features on huge groups.
+    ``exact`` (linear interpolation) picks values by their rank in a distributed running
+    count, so a cluster of any size is spread over tasks; ``exact=False`` uses
+    ``percentile_approx`` in one pass.
     """
-    aggs = []
-    for f in features:
-        if exact:
-            q = F.percentile(F.col(f), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        else:
-            q = F.percentile_approx(F.col(f), [0.25, 0.5, 0.75], accuracy)
-        aggs += [F.min(f).alias(f"{f}_min"), q.alias(f"_{f}_q"), F.max(f).alias(f"{f}_max")]
-    out = df.groupBy(cluster).agg(*aggs)
-    cols = [cluster]
-    for f in features:
-        cols += [F.col(f"{f}_min"), F.col(f"_{f}_q")[0].alias(f"{f}_q1"),
-                 F.col(f"_{f}_q")[1].alias(f"{f}_median"), F.col(f"_{f}_q")[2].alias(f"{f}_q3"),
-                 F.col(f"{f}_max")]
-    return out.select(*cols)
+    names = ["min", "q1", "median", "q3", "max"]
+    if exact:
+        def at(rank):
+            return F.max(F.when((F.col("_from") <= rank) & (rank < F.col("_to")), F.col("_v")))
+
+        def quantile(q):
+            place = F.lit(q) * (F.col("_all") - 1)
+            low, high = at(F.floor(place)), at(F.ceil(place))
+            return low + (high - low) * F.max(place - F.floor(place))
+
+        per = (_ranked_values(df, cluster, features).groupBy("_c", "_f")
+               .agg(F.array(*[quantile(i / 4) for i in range(5)]).alias("_q")))
+        picked = per.groupBy("_c").agg(*[F.max(F.when(F.col("_f") == f, F.col("_q"))).alias(f"_{f}") for f in features])
+        every = df.select(F.col(cluster)).distinct()  # a cluster without any value keeps its row
+        out = every.join(picked, F.col(cluster).eqNullSafe(F.col("_c")), "left")
+    else:
+        out = df.groupBy(cluster).agg(*[
+            F.percentile_approx(F.col(f).cast("double"), [i / 4 for i in range(5)], accuracy).alias(f"_{f}") for f in features])
+    cols = [F.col(f"_{f}")[i].alias(f"{f}_{n}") for f in features for i, n in enumerate(names)]
+    types = [df.schema[f].dataType for f in features for _ in names]
+    cols = [c.cast(t).alias(f"{f}_{n}") if n in ("min", "max") else c
+            for c, t, (f, n) in zip(cols, types, [(f, n) for f in features for n in names])]
+    return out.select(cluster, *cols)

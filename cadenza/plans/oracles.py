@@ -264,7 +264,7 @@ WITH c AS {clean_sql(PART_POSTS)},
 t AS (SELECT *, row_number() OVER (PARTITION BY title ORDER BY ord, pos) AS occ FROM c),
 r AS (SELECT *, (ord > 1 AND occ > 1) AS is_repeat FROM t),
 n AS (SELECT post_id, row_number() OVER (ORDER BY ord, pos) AS n FROM r WHERE is_repeat)
-SELECT r.post_id, r.title, r.ord, r.is_repeat, r.title || repeat('.', CAST(coalesce(n.n, 0) AS INTEGER)) AS key
+SELECT r.post_id, r.title, r.ord, r.is_repeat, coalesce(n.n, 0) AS repeat_no
 FROM r LEFT JOIN n ON r.post_id = n.post_id"""
 
 ENTITY_MATCH = f"""

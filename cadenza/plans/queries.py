@@ -118,8 +118,9 @@ def _clean_posts(spark, sf_dir):
 
 
 def q_title_dedup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return MT.dedup_keys(_clean_posts(spark, sf_dir)).select(
-        "post_id", "title", "ord", "is_repeat", "key")
+    """The keys' repeat numbers (the dots are rendered by ``dedup_keys``, at the edge)."""
+    return MT.repeat_numbers(_clean_posts(spark, sf_dir)).select(
+        "post_id", "title", "ord", "is_repeat", F.coalesce("repeat_no", F.lit(0)).alias("repeat_no"))
 
 
 def q_entity_match(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,12 +35,11 @@ def date_partitions(ts: Column) -> dict[str, Column]:
 def write_lake(df: DataFrame, path: str, mode: str = "append") -> None:
     """Dynamic partitions year/month/day.
 
-    No shuffle on the partition columns: a daily run has a single partition
-    value, and hashing on it would funnel the whole run into one task.  Each
-    task sorts its rows by the partition columns and writes one file per value
-    it holds (one file per task for a daily run).
+    Rows are rebalanced on the partition columns: AQE splits a large day (a daily run
+    has one value) over tasks of the advisory size and merges small ones, so a backfill
+    does not write a file per task and day.
     """
-    (df.sortWithinPartitions(*PARTITIONS)
+    (df.hint("rebalance", *PARTITIONS).sortWithinPartitions(*PARTITIONS)
        .write.mode(mode).option("partitionOverwriteMode", "dynamic")
        .partitionBy(*PARTITIONS).parquet(path))
 

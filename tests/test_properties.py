@@ -4,6 +4,7 @@ import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cadenza.functions.titles import clean_titles
 
@@ -59,6 +60,20 @@ def test_label_plan_has_no_row_python(spark):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" in plan
 
 
+def test_labels_need_one_shuffle_on_the_list(spark):
+    from cadenza.operators.labels import label_map
+    plan = _plan(label_map(spark.createDataFrame([("indie rock, pop",), ("jazz",)], "genres string")))
+    assert plan.count("Exchange hashpartitioning(genres") == 1 and plan.count("ArrowEvalPython") == 1
+
+
+def test_html_helper_runs_once_per_post(spark):
+    from cadenza.functions.text import html_unescape
+    from cadenza.functions.titles import has_separator
+    df = spark.createDataFrame([("a &amp; b - c",), (None,)], "title string")
+    out = df.withColumn("t", html_unescape(F.col("title"))).where(has_separator(F.col("t"))).select("t")
+    assert _plan(out).count("ArrowEvalPython") == 1 and [r["t"] for r in out.collect()] == ["a & b - c"]
+
+
 def test_match_plan_scores_once_and_limits_map_side(spark):
     import __spark_entry__ as E
     plan = _plan(E.queries()["entity_match"](spark, "/root/testdata/sf0.001"))
