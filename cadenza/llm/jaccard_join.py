@@ -279,7 +279,8 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: i
     # smallest doc_id of a class, then of a component
     classes = described.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first_id"))
     named = classes.join(parts, "class", "left").select("class", F.coalesce("root", "class").alias("root"), "first_id")
-    tops = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # checkpointed, so that the join shuffles both sides and a large component's classes can be split
+    tops = cut(named.groupBy("root").agg(F.min("first_id").alias("component_id")))
     named = named.join(tops, "root").select("class", "component_id")
     rows = described.select("doc_id", "text_key", "n_shingles", "class")
     with_words = rows.filter("n_shingles > 0").join(named, "class", "left")
