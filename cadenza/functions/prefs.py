@@ -16,8 +16,9 @@ CORRECTED_NOT_CHOSEN = {"loudness": -10.1}
 
 
 def hash_draw(seed: int, *parts: Column) -> Column:
-    """A number in [0, 1) from a hash of ``seed`` and ``parts``: the same in any row order or layout."""
-    return F.pmod(F.xxhash64(F.lit(seed), *parts), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    """A number in [0, 1): the first 52 bits of the md5 of ``seed`` and ``parts``, so it is the same in any layout."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[p.cast("string") for p in parts]))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 def label_value(dimension: str, label: Column, mode: str = "midpoint", seed: int = 0,

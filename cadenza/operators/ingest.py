@@ -117,6 +117,18 @@ def _existing_post_ids(spark: SparkSession, lake_path: str, since: str) -> DataF
     return LK.since(found, since).select("post_id").distinct()
 
 
+def oldest_date(marks: DataFrame, run_date: str) -> str:
+    """The date of the oldest mark (the run date without one).  A post newer than its mark, and the
+    lookups made for it, landed on that date or later."""
+    oldest = marks.agg(F.min("last_time")).first()[0]
+    return min(run_date, oldest.date().isoformat()) if oldest is not None else run_date
+
+
+def run_marks(spark: SparkSession, rules: DataFrame, state_path: str, run_date: str) -> DataFrame:
+    """Each feed's mark from the state table, midnight of the run date where it has none."""
+    return ST.marks_with_default(rules, ST.latest_marks(ST.read_state(spark, state_path)), run_date)
+
+
 def extract_posts(spark: SparkSession, posts: DataFrame, landing: str, rules: DataFrame,
                   state_path: str, lake_path: str, run_ts: _dt.datetime,
                   mode: str = "takewhile", marks: DataFrame | None = None) -> DataFrame | None:
@@ -136,17 +148,16 @@ def extract_posts(spark: SparkSession, posts: DataFrame, landing: str, rules: Da
     run_date = run_ts.date().isoformat()
     own_marks = marks is None
     if own_marks:
-        marks = ST.marks_with_default(rules, ST.latest_marks(ST.read_state(spark, state_path)), run_date)
+        marks = run_marks(spark, rules, state_path, run_date)
     # a crash before the state commit leaves rows of any date since the oldest mark
-    oldest = marks.agg(F.min("last_time")).first()[0]
-    since = min(run_date, oldest.date().isoformat()) if oldest is not None else run_date
+    since = oldest_date(marks, run_date)
     posts = posts.persist(keep)
     accepted = accepted_posts(posts, rules, marks, mode).persist(keep)
-    search = spark.read.schema(L.SEARCH_SCHEMA).json(f"{landing}/search")
+    search = L.landed(spark, L.SEARCH_SCHEMA, f"{landing}/search", since)
     search = search.join(accepted.select("post_id").distinct(), "post_id", "left_semi")
     cands = L.search_candidates(search, CANDIDATES_PER_POST).persist(keep)
-    artists = L.artist_genres(spark.read.schema(L.ARTISTS_SCHEMA).json(f"{landing}/artists"))
-    features = spark.read.schema(L.AUDIO_SCHEMA).json(f"{landing}/features")
+    artists = L.artist_genres(L.landed(spark, L.ARTISTS_SCHEMA, f"{landing}/artists", since))
+    features = L.landed(spark, L.AUDIO_SCHEMA, f"{landing}/features", since)
     try:
         rows = lake_rows(enrich(match_tracks(accepted, search, artists, cands=cands), features)
                          .withColumnRenamed("created_utc", "post_created_utc"))
@@ -174,9 +185,11 @@ def extract_posts(spark: SparkSession, posts: DataFrame, landing: str, rules: Da
 
 def run_extract(spark: SparkSession, landing: str, rules: DataFrame, state_path: str,
                 lake_path: str, run_ts: _dt.datetime, mode: str = "takewhile") -> DataFrame:
-    """One scheduled run over the landed pages; returns the committed marks.
-    Data is written before state."""
-    posts = L.read_feed_pages(spark, f"{landing}/pages")
+    """One scheduled run over the pages landed since the oldest mark; returns the committed
+    marks.  Data is written before state."""
+    run_date = run_ts.date().isoformat()
+    since = oldest_date(run_marks(spark, rules, state_path, run_date), run_date)
+    posts = L.read_feed_pages(spark, f"{landing}/pages", since)
     extract_posts(spark, posts, landing, rules, state_path, lake_path, run_ts, mode)
     return spark.read.parquet(state_path).where(
         F.col("committed_at") == F.lit(run_ts.replace(tzinfo=None)).cast("timestamp_ntz")

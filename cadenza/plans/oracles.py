@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from cadenza.fixed import FEED_RULES as RULE_ROWS
-from cadenza.fixed import (GENRE_LABELS, LINK_TERMS, PERMALINK_PREFIX,
+from cadenza.fixed import (GENRE_LABELS, K_SWEEP, LINK_TERMS, PERMALINK_PREFIX,
                            TITLE_SEPARATOR, TRACK_LINK_PREFIX)
 from cadenza.plans.standins import FEED_SOURCES, FLAIR_BUCKETS, FLAIR_OTHER, RUN_DATE
 
@@ -224,6 +224,12 @@ FEED_TAKEWHILE = f"""
 WITH {FEED_RULES_VALUES}, {FEED_POSTS}, {HISTORY}, {LATEST}, {MARKS}, {NEWER}
 SELECT source, post_id, created_utc FROM newer"""
 
+FEED_NEWEST = f"""
+WITH {FEED_POSTS}
+SELECT source, post_id, created_utc FROM (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY created DESC, post_id) AS rn FROM posts)
+WHERE rn <= 100"""
+
 WATERMARK_ADVANCE = f"""
 WITH {FEED_RULES_VALUES}, {FEED_POSTS}, {HISTORY}, {LATEST}, {MARKS}, {NEWER},
 accepted AS (SELECT p.* FROM newer p JOIN rules r ON p.source = r.source WHERE {FLAIR_PASSES}),
@@ -412,6 +418,33 @@ def _pref_sql() -> str:
 
 PREFERENCE_BUCKETS_SQL = f"SELECT * FROM {_pref_sql()}"
 
+
+def _uniform_sql(seed: int) -> str:
+    from cadenza.fixed import PREFERENCE_BUCKETS
+    vals = []
+    for i, (dim, buckets) in enumerate(PREFERENCE_BUCKETS.items()):
+        draw = f"(('0x' || substr(md5('{seed + i}|{dim}|' || request_id), 1, 13))::BIGINT::DOUBLE / {1 << 52}.0)"
+        case = " ".join(f"WHEN {dim}_label = {_q(n)} THEN {lo!r}::DOUBLE + {draw} * {hi - lo!r}::DOUBLE" for n, lo, hi in buckets)
+        vals.append(f"round(CASE WHEN {dim}_label = '' THEN 0.5::DOUBLE {case} END, 9) AS {dim}")
+    return f"SELECT request_id, {', '.join(vals)} FROM {_pref_sql()}"
+
+
+# What must hold of the fitted models, whatever their centres.
+KMEANS_FIT_CHECKS = """
+SELECT 5 AS k, count(*) AS n_rows, 5::BIGINT AS clusters_used, count(*) AS rows_at_nearest, true AS cost_not_above_training
+FROM embeddings"""
+
+K_SWEEP_CHECKS = f"""
+WITH e AS (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+u AS (SELECT unnest(range(1, len(v) + 1)) AS i, unnest(v) AS x FROM e),
+m AS (SELECT i, avg(x) AS m FROM u GROUP BY i),
+t AS (SELECT round(sum((x - m) * (x - m)), 4) AS total_cost FROM u JOIN m USING (i))
+SELECT unnest({list(K_SWEEP)!r})::INTEGER AS k, total_cost, true AS silhouette_in_range, true AS cost_below_total FROM t"""
+
+RECOMMEND_KMEANS_CHECKS = """
+SELECT c_custkey AS request_id, 5::BIGINT AS picks, 5::BIGINT AS of_own_cluster, 5::BIGINT AS in_top, true AS in_order
+FROM customer"""
+
 _TRACKS = """tracks AS (
   SELECT p_partkey AS track_id, p_name AS track_name, p_brand AS artists_name,
     CAST(2000 + p_size AS VARCHAR) AS release_date, replace(p_name, ' ', ', ') AS genres,
@@ -566,6 +599,11 @@ ORACLES = {
     "entity_match": ENTITY_MATCH,
     "artist_genres": ARTIST_GENRES,
     "enrich_dedupe": ENRICH_DEDUPE,
+    "enrich_inner": """
+SELECT doc_id, lang, source, quality, toxic FROM documents JOIN (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY quality, toxic) AS rn FROM labels) USING (doc_id)
+WHERE rn = 1""",
+    "feed_newest": FEED_NEWEST,
     "csv_roundtrip": CSV_ROUNDTRIP,
     "lake_partition_roundtrip": LAKE_PARTITION_ROUNDTRIP,
     "lake_read_all": """
@@ -577,10 +615,14 @@ FROM orders""",
     "na_drop": NA_DROP,
     "scaled_features": SCALED_FEATURES,
     "cluster_assign": CLUSTER_ASSIGN,
+    "kmeans_fit_checks": KMEANS_FIT_CHECKS,
+    "k_sweep_checks": K_SWEEP_CHECKS,
     "silhouette": SILHOUETTE,
     "elbow_cost": ELBOW_COST,
     "cluster_quartiles": CLUSTER_QUARTILES,
     "preference_buckets": PREFERENCE_BUCKETS_SQL,
+    "preference_uniform": _uniform_sql(1),
+    "recommend_kmeans_checks": RECOMMEND_KMEANS_CHECKS,
     "recommend_topn": RECOMMEND_TOPN,
     "stream_feed_load": FEED_TAKEWHILE,
     "stream_accepted_posts": STREAM_ACCEPTED_POSTS,

@@ -12,9 +12,10 @@ from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cadenza.fixed import FEATURE_COLUMNS, GENRE_LABELS
+from cadenza.fixed import FEATURE_COLUMNS, GENRE_LABELS, TOP_IN_CLUSTER
 from cadenza.functions.prefs import request_values
 from cadenza.functions.similarity import similarity_ratio as ratio_udf
 from cadenza.functions.text import html_unescape, is_media_link, matched_term, permalink
@@ -28,7 +29,7 @@ from cadenza.operators.enrich import attach_features, track_artists
 from cadenza.operators.labels import with_major_genre
 from cadenza.operators.reports import (combine_partials, genre_partials, genre_report_sql,
                                        report_from_partials)
-from cadenza.operators.vectors import nearest
+from cadenza.operators.vectors import nearest, squared_distance
 from cadenza.plans import standins as S
 from cadenza.session import scratch_path
 from cadenza.sources import handover as HO
@@ -142,6 +143,22 @@ def q_enrich_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", "c_name", "s_suppkey", "s_acctbal")
 
 
+def q_enrich_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inner variant of the enrichment join: documents that have labels; others go."""
+    d = S.table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    found = S.table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return attach_features(d, found, "doc_id", F.struct("quality", "toxic"), "inner").select(
+        "doc_id", "lang", "source", "quality", "toxic")
+
+
+FEED_PAGE = 100
+
+
+def q_feed_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One pull of the feed API: the newest 100 posts of each feed."""
+    return FD.newest_first(S.feed_posts(spark, sf_dir), ["source"], FEED_PAGE).select("source", "post_id", "created_utc")
+
+
 SUPPLIER_DECLARED = "s_suppkey BIGINT, s_name STRING, s_nationkey STRING, s_acctbal DOUBLE"
 
 
@@ -236,6 +253,26 @@ def q_kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _release(sizes, e)
 
 
+def q_kmeans_fit_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the k-means fit, whatever its centres: every row is assigned to its
+    nearest centre, no cluster is empty, and the cost of the assignment is not above the
+    cost of the last training pass."""
+    e = RC.stable_layout(S.embedding_rows(spark, sf_dir).select("vec_id", "standardized"), "vec_id")
+    model = RC.kmeans().fit(e)
+    centres = [[float(v) for v in c] for c in model.clusterCenters()]
+    rows = model.transform(e).withColumn("vec", vector_to_array("standardized"))
+    _, best = nearest(F.col("vec"), centres)
+    mine = F.element_at(F.array(*[F.array(*[F.lit(v) for v in c]) for c in centres]), F.col("prediction") + 1)
+    own = squared_distance(F.col("vec"), mine)
+    trained = model.summary.trainingCost
+    checks = rows.select("prediction", own.alias("own"), best.alias("best")).agg(
+        F.lit(len(centres)).alias("k"), F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("prediction").alias("clusters_used"),
+        F.count_if(F.col("own") <= F.col("best") * (1 + 1e-9) + 1e-12).alias("rows_at_nearest"),
+        (F.sum("own") <= F.lit(trained * (1 + 1e-9))).alias("cost_not_above_training"))
+    return _release(checks, e)
+
+
 def q_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = S.embedding_rows(spark, sf_dir).withColumn("prediction", F.col("label").cast("double"))
     return spark.createDataFrame([(round(TU.silhouette(e), 9),)], "silhouette double")
@@ -254,6 +291,16 @@ def q_k_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def q_k_sweep_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sweep's curves against the data's total sum of squares (the cost of one cluster)."""
+    rows = S.embedding_rows(spark, sf_dir)
+    total = F.lit(TU.clustering_cost(rows.withColumn("whole", F.lit(0)), "vec", "whole").first()["cost"])  # one number
+    return q_k_sweep(spark, sf_dir).select(
+        "k", F.round(total, 4).alias("total_cost"),
+        F.col("silhouette").between(-1, 1).alias("silhouette_in_range"),
+        ((F.col("cost") > 0) & (F.col("cost") < total)).alias("cost_below_total"))
+
+
 def q_cluster_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = TU.cluster_quartiles(S.lineitem_features(spark, sf_dir), "l_returnflag", FEATURE_COLUMNS)
     return q.select(*[F.round(c, 9).alias(c) if c != "l_returnflag" else F.col(c)
@@ -266,6 +313,13 @@ def _requests(spark, sf_dir):
     return r.withColumns(request_values(labels, mode="midpoint"))
 
 
+def q_preference_uniform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Preference labels to seeded uniform draws, repeatable per request."""
+    r = S.preference_requests(spark, sf_dir)
+    drawn = request_values({d: F.col(f"{d}_label") for d in FEATURE_COLUMNS}, mode="uniform", seed=1, key=F.col("request_id"))
+    return r.select("request_id", *[F.round(c, 9).alias(d) for d, c in drawn.items()])
+
+
 def q_preference_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _requests(spark, sf_dir)
 
@@ -289,8 +343,8 @@ def q_recommend_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RC.response_rows(RC.recommend(request_clusters, track_clusters))
 
 
-def q_recommend_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The engine end to end: train the pipeline on lake rows, score every request."""
+def _trained_and_scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Tracks and requests with the cluster that the fitted pipeline gives them, and the cached training layout."""
     lake = S.lake_rows(spark, sf_dir)
     p = S.table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("track_id"), F.col("p_name").alias("track_name"),
@@ -299,11 +353,36 @@ def q_recommend_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("p_retailprice") * 100).cast("int").alias("duration_ms"))
     train = RC.prepare_training(lake).join(p, "track_id")
     model, data = RC.fit_on_layout(train, "track_id")
-    tracks = RC.assign(model, data)
     reqs = RC.assign(model, _requests(spark, sf_dir)).select("request_id", "prediction")
+    return RC.assign(model, data), reqs, data
+
+
+def q_recommend_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The engine end to end: train the pipeline on lake rows, score every request."""
+    tracks, reqs, data = _trained_and_scored(spark, sf_dir)
     return _release(RC.response_rows(RC.recommend(reqs, tracks)), data)
 
 
+def q_recommend_kmeans_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of each request's answer, whatever the centres: five picks in order of
+    popularity, each a track of the request's cluster and as popular as its tenth at least."""
+    tracks, reqs, data = _trained_and_scored(spark, sf_dir)
+    picks = RC.recommend(reqs, tracks).select("request_id", "prediction", "track_id", "track_popularity", "position")
+    own = tracks.select("track_id", "prediction", F.lit(True).alias("own")).distinct()
+    # popularity of the tenth row of each cluster, from counts of the few popularity values
+    counts = tracks.groupBy("prediction", "track_popularity").agg(F.count(F.lit(1)).alias("n"))
+    above = F.sum("n").over(W.partitionBy("prediction").orderBy(F.col("track_popularity").desc()))
+    tenth = (counts.withColumn("upto", above).where(F.col("upto") >= TOP_IN_CLUSTER)
+             .groupBy("prediction").agg(F.max("track_popularity").alias("tenth")))
+    before = F.lag("track_popularity").over(W.partitionBy("request_id").orderBy("position"))
+    checked = picks.withColumn("before", before).join(own, ["track_id", "prediction"], "left").join(tenth, "prediction", "left")
+    out = reqs.select("request_id").join(checked, "request_id", "left").groupBy("request_id").agg(
+        F.count("track_id").alias("picks"), F.count("own").alias("of_own_cluster"),
+        F.count_if(F.col("track_popularity") >= F.coalesce("tenth", F.lit(-1))).alias("in_top"),
+        F.coalesce(F.bool_and(F.coalesce(F.col("before") >= F.col("track_popularity"), F.lit(True))), F.lit(False)).alias("in_order"))
+    return _release(out, data)
+
+
 def q_stream_feed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed pages landed as JSON, loaded by the streaming job (availableNow), read back."""
     from cadenza.streaming.feed_load import run_feed_load
@@ -375,6 +454,8 @@ QUERIES = {
     "entity_match": q_entity_match,
     "artist_genres": q_artist_genres,
     "enrich_dedupe": q_enrich_dedupe,
+    "enrich_inner": q_enrich_inner,
+    "feed_newest": q_feed_newest,
     "csv_roundtrip": q_csv_roundtrip,
     "lake_partition_roundtrip": q_lake_partition_roundtrip,
     "lake_read_all": q_lake_read_all,
@@ -383,13 +464,17 @@ QUERIES = {
     "scaled_features": q_scaled_features,
     "cluster_assign": q_cluster_assign,
     "kmeans_fit": q_kmeans_fit,
+    "kmeans_fit_checks": q_kmeans_fit_checks,
     "silhouette": q_silhouette,
     "elbow_cost": q_elbow_cost,
     "k_sweep": q_k_sweep,
+    "k_sweep_checks": q_k_sweep_checks,
     "cluster_quartiles": q_cluster_quartiles,
     "preference_buckets": q_preference_buckets,
+    "preference_uniform": q_preference_uniform,
     "recommend_topn": q_recommend_topn,
     "recommend_kmeans": q_recommend_kmeans,
+    "recommend_kmeans_checks": q_recommend_kmeans_checks,
     "stream_feed_load": q_stream_feed_load,
     "stream_accepted_posts": q_stream_accepted_posts,
     "extract_to_lake": q_extract_to_lake,

@@ -270,8 +270,8 @@ def extract_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(F.col("p_size") <= 32, F.lit("Discussion")).alias("link_flair_text")))
 
 
-def land_extract_inputs(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Land the four JSON inputs of the extract job under ``root``."""
+def land_extract_inputs(spark: SparkSession, sf_dir: str, root: str, run_date: str = RUN_DATE) -> None:
+    """Land the four JSON inputs of the extract job under ``root``, each in the folder of ``run_date``."""
     from cadenza.operators.ranking import top_k_per_group
     posts = extract_posts(spark, sf_dir)
     # Feed pages of at most 100 posts (a block of 100 part keys), newest first
@@ -280,7 +280,7 @@ def land_extract_inputs(spark: SparkSession, sf_dir: str, root: str) -> None:
                   F.struct((-F.col("created_utc")).alias("o"), F.col("id").alias("i"), rec.alias("r")).alias("_x"))
      .groupBy("source", "_h").agg(F.array_sort(F.collect_list("_x")).alias("_xs"))
      .select("source", F.struct(F.transform("_xs", lambda x: x["r"]).alias("children")).alias("data"))
-     .write.mode("overwrite").partitionBy("source").json(f"{root}/pages"))
+     .write.mode("overwrite").partitionBy("source").json(f"{root}/pages/run_date={run_date}"))
     # Search results = the first 10 catalogue tracks of the post's brand
     p = table(spark, sf_dir, "part")
     artists = F.array(F.struct(F.concat(F.lit("a-"), F.col("p_brand")).alias("id"),
@@ -295,7 +295,7 @@ def land_extract_inputs(spark: SparkSession, sf_dir: str, root: str) -> None:
     (posts.select(F.col("id").alias("post_id"), "p_brand").join(short, "p_brand")
      .groupBy("post_id").agg(F.array_sort(F.collect_list(F.struct("rank", "item"))).alias("_it"))
      .select("post_id", F.struct(F.transform("_it", lambda x: x["item"]).alias("items")).alias("tracks"))
-     .write.mode("overwrite").json(f"{root}/search"))
+     .write.mode("overwrite").json(f"{root}/search/run_date={run_date}"))
     # S3: artists; a brand's genres = the distinct words of its part names (bounded vocabulary)
     words = p.select("p_brand", F.explode(F.split("p_name", " ")).alias("w"))
     brand_art = (words.groupBy("p_brand").agg(F.array_sort(F.collect_set("w")).alias("genres"))
@@ -304,7 +304,7 @@ def land_extract_inputs(spark: SparkSession, sf_dir: str, root: str) -> None:
     guest_art = spark.range(1).select(F.array(F.struct(
         F.lit(GUEST_ARTIST[0]).alias("id"),
         F.array(*[F.lit(g) for g in GUEST_ARTIST[2]]).alias("genres"))).alias("artists"))
-    brand_art.unionByName(guest_art).write.mode("overwrite").json(f"{root}/artists")
+    brand_art.unionByName(guest_art).write.mode("overwrite").json(f"{root}/artists/run_date={run_date}")
     # Audio features for tracks of size <= 40 (size 2 also carries a null entry)
     feat = F.struct(
         (F.col("p_size") / 50.0).alias("danceability"),
@@ -322,4 +322,4 @@ def land_extract_inputs(spark: SparkSession, sf_dir: str, root: str) -> None:
      .select(F.concat(F.lit("t"), F.col("p_partkey").cast("string")).alias("track_id"),
              F.when(F.col("p_size") == 2, F.array(null_feat, feat)).otherwise(F.array(feat))
              .alias("audio_features"))
-     .write.mode("overwrite").json(f"{root}/features"))
+     .write.mode("overwrite").json(f"{root}/features/run_date={run_date}"))

@@ -7,6 +7,10 @@
 * artists (S3): ``{"artists": [{"id", "genres": [...]}]}``;
 * audio features (S4): ``{"track_id", "audio_features": [{13 fields}]}``, null
   entries are skipped.
+
+Responses land under ``run_date=<yyyy-mm-dd>/`` folders of the run that fetched them;
+``landed(since=...)`` reads only the folders of that date and later.  A folder without
+run dates is read whole.  One folder must not mix both forms.
 """
 
 from __future__ import annotations
@@ -51,6 +55,14 @@ AUDIO_SCHEMA = T.StructType([
         [T.StructField(n, t) for n, t in AUDIO_FIELDS])))])
 
 
+def landed(spark: SparkSession, schema: T.StructType, path: str, since: str | None = None) -> DataFrame:
+    """Landed JSON of ``schema``; ``since`` prunes older ``run_date`` folders (a partition filter)."""
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("run_date", T.StringType())])).json(path)
+    if since is not None:
+        rows = rows.where(F.col("run_date").isNull() | (F.col("run_date") >= since))
+    return rows.drop("run_date")
+
+
 def feed_posts(pages: DataFrame, page_id=None) -> DataFrame:
     """S1 + P6 + N10/N11: one row per post with its page (one pull) and its position in
     the page (0 = newest).  ``page_id`` names each page row; the default is the file,
@@ -68,12 +80,12 @@ def feed_posts(pages: DataFrame, page_id=None) -> DataFrame:
             .withColumn("created", text_to_ts(F.col("created_utc")).cast("timestamp_ntz")))
 
 
-def read_feed_pages(spark: SparkSession, path: str) -> DataFrame:
-    """S1 batch: landed pages under ``path/source=<feed>/``; a file may hold several
-    pages (JSON lines), so each page line gets its own id (file + row id)."""
+def read_feed_pages(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
+    """S1 batch: landed pages under ``path[/run_date=<date>]/source=<feed>/``; a file may hold
+    several pages (JSON lines), so each page line gets its own id (file + row id)."""
     page_id = F.concat(F.input_file_name(), F.lit("#"),
                        F.monotonically_increasing_id().cast("string"))
-    return feed_posts(spark.read.schema(FEED_SCHEMA).json(path), page_id)
+    return feed_posts(landed(spark, FEED_SCHEMA, path, since), page_id)
 
 
 def search_candidates(search: DataFrame, k: int | None = None) -> DataFrame:

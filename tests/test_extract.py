@@ -83,3 +83,30 @@ def test_filter_mode_equals_takewhile_on_sorted_feed(spark, tmp_path):
     a = sorted(r["post_id"] for r in accepted_posts(posts, rules, marks, "takewhile").collect())
     b = sorted(r["post_id"] for r in accepted_posts(posts, rules, marks, "filter").collect())
     assert a == b and len(a) > 0
+
+
+def test_only_landed_folders_since_the_mark_are_read(spark, tmp_path):
+    """A folder older than every mark is not read: what lies there (here the same pages and
+    lookups once more) changes nothing, and the plan shows the partition filter."""
+    from cadenza.sources import landed as L
+    root = str(tmp_path)
+    S.land_extract_inputs(spark, SF, f"{root}/landing")
+    rules = rules_table(spark)
+    run = dt.datetime(2024, 1, 15, 12)
+    run_extract(spark, f"{root}/landing", rules, f"{root}/state-a", f"{root}/lake-a", run)
+    S.land_extract_inputs(spark, SF, f"{root}/landing", "2023-12-31")
+    run_extract(spark, f"{root}/landing", rules, f"{root}/state-b", f"{root}/lake-b", run)
+    a, b = (sorted(map(tuple, LK.read_lake(spark, f"{root}/lake-{x}").fillna(-1).collect()), key=repr) for x in "ab")
+    assert a == b and len(a) > 0
+    pages = f"{root}/landing/pages"
+    every, new = L.read_feed_pages(spark, pages), L.read_feed_pages(spark, pages, "2024-01-15")
+    assert every.count() == 2 * new.count()
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(isnull(run_date" in plan
+
+
+def test_landed_without_run_dates_is_read_whole(spark, tmp_path):
+    from cadenza.sources import landed as L
+    path = str(tmp_path / "features")
+    (spark.createDataFrame([("t1",), ("t2",)], "track_id string").write.json(path))
+    assert L.landed(spark, L.AUDIO_SCHEMA, path, "2024-01-15").count() == 2
