@@ -43,11 +43,16 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = jaccard_components(docs)
     first = (found.filter("n_shingles > 0").groupBy("component_id")
              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"))
-             .select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")))
-    keyed = docs.withColumn("_text_key", text_key(F.col("text")))
+             .select("first.doc_id", F.col("first.text_key").alias("_text_key")))
+
+    def keyed(rows):  # a null id as two plain columns, so that one shuffle of the texts serves join and repeats
+        return rows.withColumns({"_none": F.col("doc_id").isNull(), "_id": F.coalesce("doc_id", F.lit(0))})
+
+    keys = ["_none", "_id", "_text_key"]
+    first = keyed(first).select(keys)
+    texts = keyed(docs.withColumn("_text_key", text_key(F.col("text"))))
     has_words = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    kept = (keyed.filter(has_words).join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left_semi")
-            .dropDuplicates(["doc_id", "_text_key"]))
+    kept = texts.filter(has_words).join(first, keys, "left_semi").dropDuplicates(keys)
     return kept.select(docs.columns).union(docs.filter(~has_words))
 
 
