@@ -234,10 +234,12 @@ def join_sets(sets: list[np.ndarray], side: np.ndarray | None = None, num: int =
 
 def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN,
                        small_block: int = SMALL_BLOCK, tile: int = TILE) -> DataFrame:
-    """``doc_id, text_key, n_shingles, component_id`` of each row of ``docs`` (``doc_id``, ``text``).
+    """``doc_id, text_key, n_shingles, component_id, root`` of each row of ``docs`` (``doc_id``, ``text``).
 
     ``component_id``: the smallest doc_id reachable over links of similarity
     ``num / den`` or more, the row's own included.  A null doc_id is never the smallest.
+    ``root`` tells components apart (one of its classes, null without words): unlike texts
+    without ids, or of one id, have equal ``component_id`` but not equal roots.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
@@ -281,11 +283,11 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: i
     named = classes.join(parts, "class", "left").select("class", F.coalesce("root", "class").alias("root"), "first_id")
     # checkpointed, so that the join shuffles both sides and a large component's classes can be split
     tops = cut(named.groupBy("root").agg(F.min("first_id").alias("component_id")))
-    named = named.join(tops, "root").select("class", "component_id")
+    named = named.join(tops, "root").select("class", "component_id", "root")
     rows = described.select("doc_id", "text_key", "n_shingles", "class")
     with_words = rows.filter("n_shingles > 0").join(named, "class", "left")
-    without = rows.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    cols = ["doc_id", "text_key", "n_shingles", "component_id"]
+    without = rows.filter("n_shingles = 0").withColumns({"component_id": F.col("doc_id"), "root": F.lit(None).cast("bigint")})
+    cols = ["doc_id", "text_key", "n_shingles", "component_id", "root"]
     return with_words.select(cols).union(without.select(cols))
 
 

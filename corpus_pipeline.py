@@ -41,7 +41,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     ship_package(spark)
     found = jaccard_components(docs)
-    first = (found.filter("n_shingles > 0").groupBy("component_id")
+    first = (found.filter("n_shingles > 0").groupBy("root")
              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"))
              .select("first.doc_id", F.col("first.text_key").alias("_text_key")))
 

@@ -85,6 +85,22 @@ def test_stages(spark, tmp_path):
     assert got == Counter((r["doc_id"], r["text"]) for r in mixed if r["text"])
 
 
+def test_dedup_stage_null_and_repeated_ids(spark):
+    def text(name, n=30):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    rows = [(None, text("a")), (None, text("b")), (None, text("c")), (None, text("c") + " tail"),  # no ids: a, b and one of c stay
+            (5, text("d")), (5, text("e")), (9, text("e") + " tail"),  # one id, unlike texts: both stay, 9 is near the second
+            (7, text("f")), (None, text("f")), (7, text("f")), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = [(r["doc_id"], r["text"]) for r in P.dedup_stage(spark, docs, SF).collect()]
+    c = [x for x in got if x[1] and x[1].startswith("c0 ")]
+    assert len(c) == 1 and c[0] in rows
+    rest = Counter(x for x in got if x not in c)
+    assert rest == Counter([(None, text("a")), (None, text("b")), (5, text("d")), (5, text("e")), (7, text("f")), (None, None), (None, "")])
+
+
 def test_run_and_empty_input(spark, tmp_path):
     assert P.run(spark, SF).count() > 0
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
