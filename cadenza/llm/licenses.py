@@ -5,7 +5,8 @@ sets of word bigrams; Dice = 2 |both| / (|a| + |b|).  Passages of a text are its
 lines and, per template, the runs of words from the template's first to its last
 bigram found with gaps of at most ``GAP`` words.  Size bounds prune: Dice is at most
 ``2 min / (a + b)``, so a template is only compared with passages whose number of
-bigrams lies within ``t / (2 - t)`` and ``(2 - t) / t`` of its own.
+bigrams lies within ``t / (2 - t)`` and ``(2 - t) / t`` of its own, and only if the
+whole text has at least ``t / (2 - t)`` of the template's bigrams.
 
 Templates go to the tasks with the code; documents are never shuffled.  Null texts
 and texts without a template's bigram have no match.  An empty table gives no rows.
@@ -18,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from cadenza.llm import words as W
+from cadenza.llm.license_texts import TEXTS
 
 THRESHOLD = 0.8
 GAP = 6
@@ -42,6 +44,54 @@ TEMPLATES = [
     ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)"),
 ]
 
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. ")
+_BSD_ADS = "3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the copyright holder. "
+_BSD_NAMES = "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+_BSD_END = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. "
+            "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+            "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_MIT = next(t for n, t in TEMPLATES if n == "MIT" and t.startswith("Permission"))
+_ISC = next(t for n, t in TEMPLATES if n == "ISC")
+_EPL = "This program and the accompanying materials are made available under the terms of the Eclipse Public License {} which {} available at "
+TEMPLATES += [
+    ("BSD-2-Clause", _BSD + _BSD_END),
+    ("BSD-3-Clause", _BSD + "3. " + _BSD_NAMES + _BSD_END),
+    ("BSD-4-Clause", _BSD + _BSD_ADS + "4. " + _BSD_NAMES + _BSD_END),
+    ("0BSD", _ISC.replace(", provided that the above copyright notice and this permission notice appear in all copies", "")),
+    ("MIT-0", _MIT.replace(", subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software", "")),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."),
+    ("EPL-1.0", "All rights reserved. " + _EPL.format("v1.0", "accompanies this distribution, and is") + "http://www.eclipse.org/legal/epl-v10.html"),
+    ("EPL-2.0", _EPL.format("2.0", "is") + "https://www.eclipse.org/legal/epl-2.0/"),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("CC0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is distributed without any warranty. You should have received a copy of the CC0 Public Domain Dedication along with this software. If not, see http://creativecommons.org/publicdomain/zero/1.0/."),
+]
+# GNU lines and notices of each version
+_NOTICE = "This {0} is free software{4} you can redistribute it and/or modify it under the terms of the GNU {1} as published by the Free Software Foundation, {3}version {2} of the License{5}. This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1} for more details."
+_LATER = ", or (at your option) any later version"
+for _id, _name, _version in [("GPL-1.0", "General Public License", "1"), ("GPL-2.0", "General Public License", "2"), ("GPL-3.0", "General Public License", "3"),
+                             ("LGPL-2.0", "Library General Public License", "2"), ("LGPL-2.1", "Lesser General Public License", "2.1"),
+                             ("LGPL-3.0", "Lesser General Public License", "3"), ("AGPL-3.0", "Affero General Public License", "3")]:
+    TEMPLATES += [(_id, f"{start} the GNU {_name}, version {_version}.") for start in ("This work is licensed under", "Licensed under", "Released under")]
+    TEMPLATES += [(_id, f"Licensed under the GNU {_name} v{_version}{end}.") for end in ([""] if "." in _version else ["", ".0"])]
+    TEMPLATES += [(_id, _NOTICE.format(what, _name, _version, *how)) for what in ("program", "library") for how in (("either ", ":", _LATER), ("", ":", ""))]
+# short lines of the others
+for _id, _names in [("BSD-2-Clause", ["BSD 2-Clause License"]), ("BSD-3-Clause", ["BSD 3-Clause License"]), ("ISC", ["ISC License"]), ("MIT", ["MIT License"]),
+                    ("MPL-1.1", ["Mozilla Public License, version 1.1"]), ("MPL-2.0", ["Mozilla Public License, version 2.0", "Mozilla Public License 2.0"]),
+                    ("EPL-1.0", ["Eclipse Public License, version 1.0", "Eclipse Public License 1.0"]), ("EPL-2.0", ["Eclipse Public License, version 2.0", "Eclipse Public License 2.0"]),
+                    ("Apache-1.1", ["Apache License, Version 1.1"]), ("Apache-2.0", ["Apache License, Version 2.0", "Apache License 2.0"]),
+                    ("GFDL-1.2", ["GNU Free Documentation License, version 1.2"]), ("GFDL-1.3", ["GNU Free Documentation License, version 1.3"])]:
+    TEMPLATES += [(_id, f"{start} the {name}.") for name in _names for start in ("Licensed under", "Released under")]
+# Creative Commons: every kind and version
+for _version, _area in [("1.0", "Generic"), ("2.0", "Generic"), ("2.5", "Generic"), ("3.0", "Unported"), ("4.0", "International")]:
+    for _kind, _name in [("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC", "Attribution-NonCommercial"),
+                         ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")]:
+        TEMPLATES += [(f"CC-{_kind}-{_version}", f"Licensed under CC {_kind} {_version}."),
+                      (f"CC-{_kind}-{_version}", f"This work is licensed under a Creative Commons {_name} {_version} {_area} License.")]
+TEMPLATES += [("CC0-1.0", "Licensed under CC0 1.0."), ("CC0-1.0", "Licensed under CC0 1.0 Universal."), *TEXTS.items()]
+TEMPLATES = list(dict.fromkeys(TEMPLATES))
+
 
 def bigrams(hashes: np.ndarray) -> np.ndarray:
     """Distinct bigram hashes, sorted; a single word counts as one bigram."""
@@ -59,13 +109,23 @@ class Templates:
         for _, _, buf, off in W.text_blocks(pa.array([t for _, t in templates])):
             w = W.words(buf, off, W.ALNUM)
             self.sets += [bigrams(w.hash[w.bounds[i]: w.bounds[i + 1]]) for i in range(len(off) - 1)]
+        self.sizes = np.array([len(s) for s in self.sets], np.int64)
         self.known = np.unique(np.concatenate([*self.sets, np.empty(0, np.uint64)]))
+        self.has = np.zeros((len(self.known), len(self.sets)), bool)
+        for i, s in enumerate(self.sets):
+            self.has[np.searchsorted(self.known, s), i] = True
 
     def candidates(self, n: int, among: list[int]) -> list[int]:
         """Templates that a passage of ``n`` bigrams can reach the threshold with, by size alone."""
         t = self.threshold
         return [i for i in among if 2 * min(n, len(self.sets[i])) >= t * (n + len(self.sets[i]))]
 
+    def within_reach(self, ids: np.ndarray) -> list[int]:
+        """Templates that some passage of a text with these known bigrams can reach the threshold with: a passage
+        of ``n`` bigrams that shares ``o`` of them has ``n >= o``, so its Dice is at most ``2 o / (o + size)``."""
+        o = self.has[np.unique(ids)].sum(axis=0)
+        return np.flatnonzero(2 * o >= self.threshold * (o + self.sizes) - 1e-9).tolist()
+
 
 def matches_in(tp: Templates, hashes: np.ndarray, hits: np.ndarray, line: np.ndarray) -> list[tuple[int, float, int, int]]:
     """``(template, dice, first word, end word)`` of the passages of one text that reach the threshold.
@@ -73,13 +133,16 @@ def matches_in(tp: Templates, hashes: np.ndarray, hits: np.ndarray, line: np.nda
     ``hits``: positions of bigrams that some template has; ``line``: the line of each word.
     """
     grams = W.ngrams(hashes, 2)
+    ids = np.searchsorted(tp.known, grams[hits])
+    every = tp.within_reach(ids)
+    if not every:
+        return []
     passages: dict[tuple[int, int], list[int]] = {}
-    every = list(range(len(tp.sets)))
     for ln in np.unique(line[hits]).tolist():
         a, z = np.searchsorted(line, [ln, ln + 1])
         passages.setdefault((int(a), int(z)), []).extend(every)
-    for i, s in enumerate(tp.sets):
-        own = hits[np.isin(grams[hits], s)]
+    for i in every:
+        own = hits[tp.has[ids, i]]
         if len(own):
             for run in np.split(own, np.flatnonzero(np.diff(own) > GAP) + 1):
                 passages.setdefault((int(run[0]), int(run[-1]) + 2), []).append(i)

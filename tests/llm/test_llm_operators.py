@@ -398,6 +398,23 @@ def test_license_scan(spark, none):
     assert licenses.scan(none).count() == 0
 
 
+def test_license_look_alikes(spark):
+    notice = next(t for n, t in licenses.TEMPLATES if n == "GPL-3.0" and t.startswith("This program"))
+    lines = {"This work is licensed under the GNU General Public License, version 2.": "GPL-2.0", notice: "GPL-3.0",
+             notice.replace("version 3", "version 2"): "GPL-2.0", notice.replace("GNU General", "GNU Lesser General"): "LGPL-3.0",
+             notice.replace("GNU General", "GNU Affero General"): "AGPL-3.0",
+             "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0", "Licensed under CC BY-ND 4.0.": "CC-BY-ND-4.0", "Licensed under CC BY 3.0.": "CC-BY-3.0",
+             "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0", "Licensed under CC0 1.0.": "CC0-1.0"}
+    for kind in ("BSD-2-Clause", "BSD-3-Clause"):  # another holder, cut into short lines
+        text = max((t for n, t in licenses.TEMPLATES if n == kind), key=len)
+        lines["\n".join(re.findall(r".{1,60}(?: |$)", text.replace("copyright holder ", "University ")))] = kind
+    for kind, text in licenses.TEXTS.items():
+        lines["some words\n" + text.replace(". ", ".\n") + "\nmore words"] = kind
+    rows = [(i, t) for i, t in enumerate(lines)]
+    got = {x["doc_id"]: x["license"] for x in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(rows))] == list(lines.values())
+
+
 def test_size_bounds_lose_nothing():
     tp = licenses.Templates(licenses.TEMPLATES, 0.8)
     r = random.Random(2)
