@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from cadenza.llm.shared import shuffle_width
 
-SAMPLES = 32
+SAMPLES = 64
 #: Words ``[^\x20\x09-\x0D]+``.
 SPACES = r"[\x20\x09-\x0D]+"
 _21 = (1 << 21) - 1

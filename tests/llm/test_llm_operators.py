@@ -360,6 +360,23 @@ def test_collision_rate_is_generalised_jaccard(spark):
     assert abs(same - want) < 4 * math.sqrt(want * (1 - want) / 400)
 
 
+def test_error_at_the_registered_samples(spark):
+    r = random.Random(12)
+    rows, want = [], []
+    for p in range(120):  # pairs with words of their own, so that errors are independent
+        a, b = ({f"{p} {i}": r.randint(1, 4) for i in range(*span)} for span in ((0, 60), (25, 85)))
+        rows += [(2 * p + side, t) for side, m in enumerate((a, b)) for t, n in m.items() for _ in range(n)]
+        want.append(sum(min(a.get(t, 0), b.get(t, 0)) for t in a | b) / sum(max(a.get(t, 0), b.get(t, 0)) for t in a | b))
+    terms = spark.createDataFrame(rows, "d long, w string").select("d", F.xxhash64("w").alias("term"))
+    prints = fingerprints.fingerprints(terms, ["d"])
+    left = prints.filter("d % 2 = 0").select((F.col("d") / 2).cast("int").alias("p"), F.col("fingerprint").alias("x"))
+    right = prints.filter("d % 2 = 1").select(((F.col("d") - 1) / 2).cast("int").alias("p"), F.col("fingerprint").alias("y"))
+    got = left.join(right, "p").select("p", fingerprints.likeness(F.col("x"), F.col("y")).alias("j")).collect()
+    errors = np.array([g["j"] - want[g["p"]] for g in got])
+    assert len(errors) == 120 and abs(errors.mean()) < 0.02
+    assert np.sqrt((errors ** 2).mean()) < 0.068  # sqrt(J (1 - J) / 64) is about 0.057 here, with 32 samples 0.08
+
+
 # ---- lines -------------------------------------------------------------------------
 
 def test_line_dedup(docs, corpus, none):
