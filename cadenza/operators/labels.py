@@ -34,8 +34,9 @@ def genre_tokens(genres: Column) -> Column:
 
 
 def _label_of(sums: Column, labels: list[str]) -> Column:
+    # ``get`` passes a null index on (``element_at`` over literals would return the last label)
     vocab = F.array(*[F.lit(x) for x in labels])
-    return F.element_at(vocab, F.array_position(sums, F.array_max(sums)).cast("int"))
+    return F.get(vocab, F.array_position(sums, F.array_max(sums)).cast("int") - 1)
 
 
 def label_unique(df: DataFrame, col: str = "genres", labels: list[str] = GENRE_LABELS,

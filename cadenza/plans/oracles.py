@@ -111,8 +111,11 @@ list_label AS (
 )"""
 
 
-LAKE_ROWS = """
-  SELECT CAST(l_partkey AS VARCHAR) AS track_id, replace(p_name, ' ', ', ') AS genres,
+#: A part's genre list; parts of size 46 or more have none.
+_GENRES = "CASE WHEN p_size < 46 THEN replace(p_name, ' ', ', ') END"
+
+LAKE_ROWS = f"""
+  SELECT CAST(l_partkey AS VARCHAR) AS track_id, {_GENRES} AS genres,
          CAST(l_quantity AS INTEGER) AS track_popularity, l_discount AS danceability,
          l_tax AS energy, 1.0 - l_discount AS valence, -l_quantity / 5.0 AS loudness
   FROM lineitem JOIN part ON l_partkey = p_partkey"""
@@ -131,7 +134,7 @@ FROM lake l LEFT JOIN list_label b ON l.genres = b.genres
 GROUP BY b.major_genre"""
 
 LABEL_CLASSIFY = f"""
-WITH RECURSIVE p AS (SELECT p_partkey, replace(p_name, ' ', ', ') AS genres FROM part),
+WITH RECURSIVE p AS (SELECT p_partkey, {_GENRES} AS genres FROM part),
 {label_ctes("SELECT genres FROM p")}
 SELECT p.p_partkey, p.genres, b.major_genre FROM p LEFT JOIN list_label b ON p.genres = b.genres"""
 
@@ -445,9 +448,9 @@ RECOMMEND_KMEANS_CHECKS = """
 SELECT c_custkey AS request_id, 5::BIGINT AS picks, 5::BIGINT AS of_own_cluster, 5::BIGINT AS in_top, true AS in_order
 FROM customer"""
 
-_TRACKS = """tracks AS (
+_TRACKS = f"""tracks AS (
   SELECT p_partkey AS track_id, p_name AS track_name, p_brand AS artists_name,
-    CAST(2000 + p_size AS VARCHAR) AS release_date, replace(p_name, ' ', ', ') AS genres,
+    CAST(2000 + p_size AS VARCHAR) AS release_date, {_GENRES} AS genres,
     p_size AS track_popularity,
     CAST(trunc(p_retailprice * 100) AS INTEGER) AS duration_ms, p_type,
     p_size / 50.0 AS danceability, (p_retailprice - 900.0) / 1100.0 AS energy,

@@ -43,14 +43,14 @@ def q_genre_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     row per track instead of one per play."""
     per_track = genre_partials(S.play_features(spark, sf_dir), "l_partkey")
     p = S.table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"), S.genre_list(F.col("p_name")).alias("genres"))
+        F.col("p_partkey").alias("l_partkey"), S.genre_list(F.col("p_name"), F.col("p_size")).alias("genres"))
     per_list = combine_partials(per_track.join(p, "l_partkey"), "genres")
     return report_from_partials(per_list, S.RUN_DATE)
 
 
 def q_label_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = S.table(spark, sf_dir, "part").select(
-        "p_partkey", S.genre_list(F.col("p_name")).alias("genres"))
+        "p_partkey", S.genre_list(F.col("p_name"), F.col("p_size")).alias("genres"))
     return with_major_genre(p, "genres", "major_genre")
 
 

@@ -25,9 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def genre_list(p_name) -> F.Column:
-    """A part name read as a genre list: its words joined by ', '."""
-    return F.replace(p_name, F.lit(" "), F.lit(", "))
+def genre_list(p_name, p_size) -> F.Column:
+    """A part name read as a genre list: its words joined by ', '.  Parts of size 46 or more
+    have none (null), as tracks whose artists carry no genres."""
+    return F.when(p_size < 46, F.replace(p_name, F.lit(" "), F.lit(", ")))
 
 
 def part_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,10 +56,10 @@ def play_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lake_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lake-shaped rows: lineitem plays of part tracks."""
     li = table(spark, sf_dir, "lineitem")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
     return li.join(p, li.l_partkey == p.p_partkey).select(
         F.col("l_partkey").cast("string").alias("track_id"),
-        genre_list(F.col("p_name")).alias("genres"),
+        genre_list(F.col("p_name"), F.col("p_size")).alias("genres"),
         F.col("l_quantity").cast("int").alias("track_popularity"),
         F.col("l_discount").alias("danceability"),
         F.col("l_tax").alias("energy"),
@@ -183,7 +184,7 @@ def part_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").alias("track_id"), F.col("p_name").alias("track_name"),
         F.col("p_brand").alias("artists_name"),
         (F.lit(2000) + F.col("p_size")).cast("string").alias("release_date"),
-        genre_list(F.col("p_name")).alias("genres"),
+        genre_list(F.col("p_name"), F.col("p_size")).alias("genres"),
         F.col("p_size").alias("track_popularity"),
         (F.col("p_retailprice") * 100).cast("int").alias("duration_ms"),
         "p_type",

@@ -214,7 +214,7 @@ def test_partial_sum_report_equals_direct_groupby(spark):
     fast = daily_genre_report(lake, "2024-01-15")
     direct = genre_aggregate(with_major_genre(lake)).select(
         *REPORT_COLUMNS[:7], F.lit("2024").alias("year"), F.lit("01").alias("month"), F.lit("15").alias("day"))
-    assert sorted(tuple(r) for r in fast.collect()) == sorted(tuple(r) for r in direct.collect())
+    assert sorted((tuple(r) for r in fast.collect()), key=repr) == sorted((tuple(r) for r in direct.collect()), key=repr)
     nulls = spark.createDataFrame([(None, 1, None, 0.1, 0.2, -3.0), ("pop", None, 0.5, None, 0.3, None)],
                                   "genres string, track_popularity int, danceability double, energy double, "
                                   "valence double, loudness double")
@@ -245,7 +245,7 @@ def test_pipelines_ignore_input_partitioning(spark):
     sf = "/root/testdata/sf0.001"
 
     def rows(df):
-        return sorted(tuple(r) for r in df.collect())
+        return sorted((tuple(r) for r in df.collect()), key=repr)
 
     posts = clean_titles(S.part_posts(spark, sf), "title").withColumn("block", F.col("part1"))
     cat = S.part_catalogue(spark, sf)
