@@ -140,10 +140,52 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0)
 FROM d LEFT JOIN h ON h.r = d.r LEFT JOIN t ON t.r = d.r
 """
 
+OP11 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), u AS (
+  SELECT r, lang, source, unnest(w) AS term FROM d
+), k AS (
+  SELECT lang, term, count(*) AS c FROM u GROUP BY 1, 2 HAVING count(DISTINCT r) >= 30
+), t AS (
+  SELECT lang, count(*) AS v, sum(c) AS n FROM k GROUP BY 1
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), c AS (
+  SELECT lang, source, term, count(*) AS c FROM u JOIN k USING (lang, term) GROUP BY 1, 2, 3
+), n AS (
+  SELECT g.lang, g.source, coalesce(sum(c), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY 1, 2
+), p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+    1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.c, 0) + 5) // (n.n + 5 * t.v) AS p,
+    1 + CAST(1000000000 AS HUGEINT) * (k.c + 5) // (t.n + 5 * t.v) AS q
+  FROM g JOIN k USING (lang) JOIN t USING (lang) JOIN n ON n.lang = g.lang AND n.source = g.source
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY 1, 2, 3
+), f AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pair
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE c > 0 AND p > q
+), r AS (
+  SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+    CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM f
+)
+SELECT * FROM r WHERE part = 'pair' OR rank <= 50
+"""
+
 ORACLES = {
     "op2_chat_formatting": OP2,
     "op3_ngram_jaccard_join": OP3,
     "op6_source_mix": OP6,
     "op9_line_dedup": OP9,
     "op10_decontamination": OP10,
+    "op11_source_divergence": OP11,
 }

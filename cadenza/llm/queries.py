@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm import chat, decontaminate, fingerprints, language, licenses, line_dedup, mixing, packing, url_rules
+from cadenza.llm import chat, decontaminate, divergence, fingerprints, language, licenses, line_dedup, mixing, packing, url_rules
 from cadenza.llm.jaccard_join import jaccard_components
 from cadenza.llm.shared import table
 
@@ -92,6 +92,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("contaminated", decontaminate.contaminated())
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language, and each source's terms above its language."""
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_rules": op1_url_rules,
     "op2_chat_formatting": op2_chat_formatting,
@@ -103,4 +108,5 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_source_divergence": op11_source_divergence,
 }
