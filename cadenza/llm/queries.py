@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm import chat, decontaminate, divergence, fingerprints, language, licenses, line_dedup, mixing, packing, url_rules
+from cadenza.llm import chat, decontaminate, divergence, fingerprints, language, licenses, line_dedup, mixing, packing, periodic_runs, url_rules
 from cadenza.llm.jaccard_join import jaccard_components
 from cadenza.llm.shared import table
 
@@ -97,6 +97,19 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document (each tenth made to repeat itself) and the text without the repeats."""
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), periodic_runs.planted, with_text=False)
+    # the longest run; of equal lengths the smallest start, then period
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    found = found.withColumns({"best": best, "listed": F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(
+        ",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))), "")})
+    length, period = F.col("best.length"), -F.col("best.col3")
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("best.col2")).alias("start"), length.alias("length"),
+                        period.alias("period"), F.floor(1000 * length / period).cast("bigint").alias("exponent_milli"),
+                        F.sha2(F.col("listed").cast("binary"), 256).alias("runs_sha256"), "collapsed_sha256")
+
+
 QUERIES = {
     "op1_url_rules": op1_url_rules,
     "op2_chat_formatting": op2_chat_formatting,
@@ -109,4 +122,5 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
     "op11_source_divergence": op11_source_divergence,
+    "op13_periodic_runs": op13_periodic_runs,
 }
