@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm import chat, decontaminate, divergence, fingerprints, language, licenses, line_dedup, mixing, packing, periodic_runs, url_rules
+from cadenza.llm import chat, decontaminate, divergence, fingerprints, html_text, language, licenses, line_dedup, mixing, packing, periodic_runs, url_rules
 from cadenza.llm.jaccard_join import jaccard_components
 from cadenza.llm.shared import table
 
@@ -97,6 +97,12 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_text.extracted(table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), "n_template")
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of every document (each tenth made to repeat itself) and the text without the repeats."""
     found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), periodic_runs.planted, with_text=False)
@@ -122,5 +128,6 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
     "op11_source_divergence": op11_source_divergence,
+    "op12_html_text": op12_html_text,
     "op13_periodic_runs": op13_periodic_runs,
 }
