@@ -72,7 +72,6 @@ LINKED, LINKS = 0.8, 3
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|$)"
                     r"|<([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*\"[^\"]*(?:\"|$)|=\s*'[^']*(?:'|$)|=)*)(>|$)", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.S)
-_SPACE = re.compile(r"\s+")
 _CLASS_WORD = re.compile(r"[a-z]+")
 
 
@@ -173,7 +172,7 @@ def _digest(*parts: str) -> int:
 
 
 def squeezed(text: str) -> str:
-    return _SPACE.sub(" ", unescape(text)).strip()
+    return " ".join(unescape(text).split())
 
 
 class Subtree(NamedTuple):
@@ -195,7 +194,7 @@ def subtrees(root: Node) -> tuple[list[Subtree], int]:
 
         def flush() -> None:
             nonlocal longest
-            text = squeezed("".join(run))
+            text = " ".join("".join(run).split())
             run.clear()
             if text:
                 own.append(text)
