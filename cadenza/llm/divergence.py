@@ -42,7 +42,7 @@ PSEUDO, SCALE = 5, 1_000_000_000
 MAP_BITS = 27
 _CHUNK = 1 << 16
 #: Sources and terms of a tile of the pair sums (a matrix of 8 bytes each in one task).
-TILE_SOURCES, TILE_TERMS = 256, 256
+TILE = (256, 256)
 #: Entries that a task gathers before it hands its counts on.
 _HELD = 1 << 20
 
@@ -219,7 +219,8 @@ def _share(count: str, total: str, kept: str):
                   f"div (cast({total} as decimal(20,0)) + {PSEUDO} * cast({kept} as decimal(15,0)))")
 
 
-def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS, levels: tuple[int, ...] = LEVELS) -> DataFrame:
+def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS, levels: tuple[int, ...] = LEVELS,
+               tile: tuple[int, int] = TILE) -> DataFrame:
     """``lang, source, part, item, value, rank`` per (language, source) of ``docs`` (``text, lang, source``).
 
     Part ``pair``: each other source of the language, by the summed distance of the kept terms'
@@ -236,9 +237,9 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS,
               .select("lang", "source", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("v", "n_lang", "n_source")])
               .withColumns({"no": F.row_number().over(own.orderBy("source")) - 1, "sources": F.count(F.lit(1)).over(own)})
               .withColumns({"p0": F.when(F.col("v") > 0, _share("0", "n_source", "v")),
-                            "block": F.floor(F.col("no") / F.lit(TILE_SOURCES)).cast("int"),
-                            "blocks": F.ceil(F.col("sources") / F.lit(TILE_SOURCES)).cast("int"),
-                            "buckets": F.greatest(F.lit(1), F.ceil(F.col("v") / F.lit(TILE_TERMS))).cast("int")}))
+                            "block": F.floor(F.col("no") / F.lit(tile[0])).cast("int"),
+                            "blocks": F.ceil(F.col("sources") / F.lit(tile[0])).cast("int"),
+                            "buckets": F.greatest(F.lit(1), F.ceil(F.col("v") / F.lit(tile[1]))).cast("int")}))
     groups = cut(groups)
     shared = cut(terms.join(groups, ["lang", "source"]).withColumns(
         {"p": _share("n", "n_source", "v"), "q": _share("n_term", "n_lang", "v")})
@@ -248,12 +249,12 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS,
     by_value = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
     best = (shared.filter("p > q").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), value.alias("value"))
             .withColumn("rank", F.row_number().over(by_value)).filter(F.col("rank") <= top))
-    pairs = _pairs(shared, groups).withColumn("rank", F.row_number().over(by_value))
+    pairs = _pairs(shared, groups, tile[0]).withColumn("rank", F.row_number().over(by_value))
     cols = ["lang", "source", "part", "item", "value", "rank"]
     return pairs.select(cols).union(best.select(cols))
 
 
-def _pairs(shared: DataFrame, groups: DataFrame) -> DataFrame:
+def _pairs(shared: DataFrame, groups: DataFrame, tile_sources: int) -> DataFrame:
     """Summed distances of all ordered pairs of a language's sources: tiles of sources by terms, added up."""
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     tile = [F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")]
@@ -274,7 +275,7 @@ def _pairs(shared: DataFrame, groups: DataFrame) -> DataFrame:
         coded = term.filter(pa.array(~base)).dictionary_encode()
         dense = np.repeat(p0[:, None], len(coded.dictionary), axis=1)
         dense[np.searchsorted(members, no[~base]), coded.indices.to_numpy()] = p[~base]
-        side = members // TILE_SOURCES
+        side = members // tile_sources
         left, right = np.flatnonzero(side == key[1].as_py()), np.flatnonzero(side == key[2].as_py())
         a, b, f = [], [], []
         for x in left.tolist():
@@ -283,15 +284,18 @@ def _pairs(shared: DataFrame, groups: DataFrame) -> DataFrame:
             b.append(members[ys])
             f.append(np.abs(dense[ys] - dense[x]).sum(axis=1))
         flat = [np.concatenate(v) if v else np.empty(0, np.int64) for v in (a, b, f)]
-        return pa.table({"lang": pa.array([key[0].as_py()] * len(flat[0]), pa.string()),
-                         "a": pa.array(flat[0], pa.int64()), "b": pa.array(flat[1], pa.int64()), "f": pa.array(flat[2], pa.int64())})
+        return pa.table({"lang": pa.array([key[0].as_py()] * len(flat[0]), pa.string()), "a": pa.array(flat[0], pa.int64()),
+                         "b": pa.array(flat[1], pa.int64()), "f": pa.array(flat[2], pa.int64()),
+                         "seen": pa.array([len(coded.dictionary)] * len(flat[0]), pa.int64())})
 
     parts = some.unionByName(none).groupBy("lang", "lo", "hi", "bucket").applyInArrow(
-        distances, "lang string, a bigint, b bigint, f bigint")
-    sums = parts.groupBy("lang", "a", "b").agg(F.sum("f").alias("value"))
-    both = sums.select("lang", F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"), "value")
-    names = groups.select("lang", F.col("no").cast("bigint").alias("no"), "source")
-    return (both.select("lang", F.col("e.a").alias("no"), F.col("e.b").alias("to"), "value")
-            .join(names, ["lang", "no"]).drop("no")
-            .join(names.select("lang", F.col("no").alias("to"), F.col("source").alias("item")), ["lang", "to"])
-            .select("lang", "source", F.lit("pair").alias("part"), "item", F.col("value").cast("bigint").alias("value")))
+        distances, "lang string, a bigint, b bigint, f bigint, seen bigint")
+    sums = parts.groupBy("lang", "a", "b").agg(F.sum("f").alias("f"), F.sum("seen").alias("seen"))
+    ends = groups.select("lang", F.col("no").cast("bigint").alias("no"), "source", "p0", "v")
+    sums = (sums.join(ends.select("lang", F.col("no").alias("a"), F.col("source").alias("source_a"), F.col("p0").alias("p0_a"), "v"), ["lang", "a"])
+            .join(ends.select("lang", F.col("no").alias("b"), F.col("source").alias("source_b"), F.col("p0").alias("p0_b")), ["lang", "b"]))
+    # terms that no source of a tile holds
+    unseen = F.coalesce((F.col("v") - F.col("seen")) * F.abs(F.col("p0_a") - F.col("p0_b")), F.lit(0))
+    both = F.explode(F.array(*[F.struct(F.col(f"source_{x}").alias("source"), F.col(f"source_{y}").alias("item")) for x, y in ("ab", "ba")]))
+    return (sums.select("lang", both.alias("e"), (F.col("f") + unseen).cast("bigint").alias("value"))
+            .select("lang", "e.source", F.lit("pair").alias("part"), "e.item", "value"))
