@@ -50,25 +50,51 @@ FROM c GROUP BY conv_id
 
 OP9 = r"""
 WITH l AS (
-  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
-    generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS li
+  FROM documents WHERE text IS NOT NULL
+), p AS (
+  SELECT doc_id, li, line, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY li
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos,
+    regexp_extract_all(line, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+') AS ws FROM l
+), w AS (
+  SELECT doc_id, li, pos, unnest(ws) AS raw, generate_subscripts(ws, 1) AS wi FROM p
+), x AS (
+  SELECT doc_id, li, wi, ltrim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS word,
+    pos + sum(length(raw)) OVER (PARTITION BY doc_id, li ORDER BY wi) AS word_end FROM w
+), y AS (
+  SELECT *, coalesce(regexp_matches(lag(word) OVER d, '[.!?]$') OR lag(li) OVER d <> li, true) AS begins FROM x
+  WINDOW d AS (PARTITION BY doc_id ORDER BY li, wi)
+), z AS (
+  SELECT *, sum(CAST(begins AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY li, wi) AS u FROM y
 ), u AS (
-  SELECT doc_id, i, line,
-    coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos,
-    trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm
-  FROM l
+  SELECT doc_id, u, count(*) AS n, min(word_end - length(word)) AS a,
+    string_agg(translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ' ' ORDER BY li, wi) AS norm
+  FROM z GROUP BY 1, 2
+), v AS (
+  SELECT *, lead(norm) OVER d AS next_norm,
+    coalesce(lead(a) OVER d, (SELECT length(text) FROM documents t WHERE t.doc_id = u.doc_id)) AS b
+  FROM u WINDOW d AS (PARTITION BY doc_id ORDER BY u)
+), f AS (
+  SELECT *, next_norm IS NOT NULL AND min(doc_id) OVER (PARTITION BY norm, next_norm) < doc_id AS pair,
+    n >= 40 AND min(doc_id) OVER (PARTITION BY norm) < doc_id AS alone FROM v
+), g AS (
+  SELECT *, coalesce(lag(pair) OVER d, false) AS after_pair FROM f WINDOW d AS (PARTITION BY doc_id ORDER BY u)
+), h AS (
+  SELECT *, sum(CASE WHEN after_pair THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY u) AS run FROM g
+  WHERE pair OR after_pair OR alone
 ), r AS (
-  SELECT *, len(string_split(norm, ' ')) >= 8 AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, i) > 1 AS gone FROM u
-), d AS (
-  SELECT doc_id, count(*) FILTER (gone) AS n_removed,
-    coalesce(string_agg(CAST(pos AS BIGINT) || '-' || CAST(pos + length(line) AS BIGINT), ',' ORDER BY i) FILTER (gone), '') AS removed,
-    coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS kept
-  FROM r GROUP BY doc_id
+  SELECT doc_id, run, CAST(min(a) AS BIGINT) AS a, CAST(max(b) AS BIGINT) AS b FROM h GROUP BY 1, 2 HAVING sum(n) >= 40
+), e AS (
+  SELECT r.*, coalesce(lag(b) OVER (PARTITION BY r.doc_id ORDER BY a), 0) AS from_, text FROM r JOIN documents t ON t.doc_id = r.doc_id
+), k AS (
+  SELECT doc_id, count(*) AS n_removed, string_agg(a || '-' || b, ',' ORDER BY a) AS removed,
+    string_agg(substr(text, from_ + 1, a - from_), '' ORDER BY a) || substr(any_value(text), CAST(max(b) AS BIGINT) + 1) AS kept
+  FROM e GROUP BY doc_id
+), o AS (
+  SELECT d.doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed, CASE WHEN n_removed IS NULL THEN text ELSE kept END AS kept
+  FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id
 )
-SELECT documents.doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed,
-  CAST(length(CASE WHEN text IS NULL THEN NULL ELSE kept END) AS BIGINT) AS kept_chars,
-  sha256(CASE WHEN text IS NULL THEN NULL ELSE kept END) AS kept_sha256
-FROM documents LEFT JOIN d ON d.doc_id = documents.doc_id
+SELECT doc_id, n_removed, removed, CAST(length(kept) AS BIGINT) AS kept_chars, sha256(kept) AS kept_sha256 FROM o
 """
 
 OP6 = r"""

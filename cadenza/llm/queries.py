@@ -74,7 +74,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the lines that an earlier place has; the code points that went, as ``start-end``."""
+    """Every document without the passages that an earlier document has; the code points that went, as ``start-end``."""
     found = line_dedup.deduplicated(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.size("removed").cast("bigint").alias("n_removed"),
                         F.array_join(F.transform("removed", lambda r: F.concat_ws(

@@ -5,7 +5,7 @@ import itertools
 import math
 import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -379,27 +379,82 @@ def test_error_at_the_registered_samples(spark):
 
 # ---- lines -------------------------------------------------------------------------
 
-def test_line_dedup(docs, corpus, none):
-    def long(line):
-        return len(words(line)) >= 8
-    rows = sorted(enumerate(corpus), key=lambda ic: (ic[1][0] is None, ic[1][0] if ic[1][0] is not None else 0))
-    seen, want = {}, Counter()
-    for _, c in rows:
-        if c[1] is None:
-            want[c[0], None, ()] += 1
+def sentence_units(text):
+    """``(start, end, words)``: units end at a line end or after a word that ends in .!?, and reach to the next one."""
+    out, at = [], 0
+    for line in text.split("\n"):
+        own = []
+        for m in re.finditer(r"[^\x20\x09-\x0D]+", line):
+            if not own:
+                out.append([at + m.start(), None, own])
+            own.append(m[0].translate(LOWER))
+            if m[0][-1] in ".!?":
+                own = []
+        at += len(line) + 1
+    for u, v in itertools.pairwise([*out, [len(text)]]):
+        u[1] = v[0]
+    return out
+
+
+def brute_dedup(rows, least):
+    def place(d):
+        return (d[0] is None, d[0] or 0, line_key[d[1]])
+
+    known = defaultdict(list)
+    for d in set(rows):
+        u = [tuple(x[2]) for x in sentence_units(d[1] or "")]
+        for k in [*itertools.pairwise(u), *[(x,) for x in u if len(x) >= least]]:
+            known[k].append(place(d))
+    first = {k: min(v) for k, v in known.items()}
+    want = Counter()
+    for d in rows:
+        if d[1] is None:
+            want[d[0], None, ()] += 1
             continue
-        at, kept, gone = 0, [], []
-        for line in c[1].split("\n"):
-            key = " ".join(words(line))
-            if long(line) and key in seen:
-                gone.append((at, at + len(line)))
-            else:
-                seen[key] = True
-                kept.append(line)
-            at += len(line) + 1
-        want[c[0], "\n".join(kept), tuple(gone)] += 1
-    got = Counter((x["doc_id"], x["text"], tuple((s["start"], s["end"]) for s in x["removed"])) for x in line_dedup.deduplicated(docs).collect())
-    assert got == want
+        u = sentence_units(d[1])
+        held = [False] * len(u)
+        tied = [False] * len(u)
+        for i, x in enumerate(u):
+            if len(x[2]) >= least and first[tuple(x[2]),] < place(d):
+                held[i] = True
+            if i + 1 < len(u) and first[tuple(x[2]), tuple(u[i + 1][2])] < place(d):
+                held[i] = held[i + 1] = tied[i] = True
+        gone, i = [], 0
+        while i < len(u):
+            j = i
+            while held[i] and tied[j]:
+                j += 1
+            if held[i] and sum(len(x[2]) for x in u[i:j + 1]) >= least:
+                gone.append((u[i][0], u[j][1]))
+            i = j + 1
+        text = "".join(d[1][a:b] for a, b in zip([0, *[g[1] for g in gone]], [*[g[0] for g in gone], len(d[1])]))
+        want[d[0], text, tuple(gone)] += 1
+    return want
+
+
+line_key = {}
+
+
+@pytest.mark.parametrize("least", [40, 6])
+def test_line_dedup(spark, docs, corpus, none, least):
+    r, v = random.Random(21), vocabulary(9, 60)
+
+    def prose(n):
+        return " ".join(r.choice(v) + r.choice(["", "", "", "", ".", "!", ". ", "\n", " \n\t"]) for _ in range(n))
+
+    shared = [prose(r.choice([3, 12, 45, 60, 200])) for _ in range(12)]
+    made = []
+    for i in range(120):
+        parts = [r.choice([r.choice(shared), prose(r.randint(1, 40)), shared[0].upper()]) for _ in range(r.randint(1, 6))]
+        made.append((i // 2 if i % 7 else None, r.choice([" ", "\n", ". "]).join(parts)))
+    made += [(500, "word. " * 40_000), (501, "word. " * 40_000), (502, "  "), (503, "é " * 50 + "."), (504, "é  " * 50 + ".")]
+    rows = [(c[0], c[1]) for c in corpus] + made + [made[3], made[3]]
+    df = docs.select("doc_id", "text").union(spark.createDataFrame(made + [made[3], made[3]], "doc_id long, text string")).repartition(5)
+    df = df.withColumns({x: F.lit("x") for x in ("held", "d1", "at", "_id", "removed", "digests")})
+    line_key.update({x["text"]: x["k"] for x in df.select("text", F.when(F.col("text").isNull(), 0).otherwise(F.xxhash64("text")).alias("k")).collect()})
+    got = Counter((x["doc_id"], x["text"], tuple((s["start"], s["end"]) for s in x["removed"])) for x in line_dedup.deduplicated(df, least).collect())
+    assert got == brute_dedup(rows, least)
+    assert any(k[2] for k in got)
     assert line_dedup.deduplicated(none).count() == 0
 
 
