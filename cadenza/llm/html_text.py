@@ -18,8 +18,9 @@ The text is what is left of the article (of several, all; else of the main part,
 block in page order, character references decoded, white space inside a block one space, blocks joined by a
 line end.  ``<br>`` is white space.
 
-Only one row of subtree hashes per page is shuffled; pages are joined with their host's template as Spark
-sees fit by its size (broadcast if small, else a join that can split a hot host).
+Only one row of subtree hashes per page is shuffled.  The templates are written and their size is checked: up to
+``BROADCAST_HASHES`` hashes they are broadcast, beyond that pages meet them by host and one of ``SALTS`` numbers, so
+that a hot host's pages are spread.
 
 Defined cases: null html and html without text give an empty string; a null url or one without ``://`` is
 of the host ''; unclosed, crossing and stray tags are read much as browsers do (a paragraph ends
@@ -39,10 +40,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.llm.shared import written
+
 #: A structural subtree is template from this share of a host's pages on (and ``MIN_PAGES``).
 SHARE, MIN_PAGES = 0.01, 3
 PROSE_SHARE = 0.5
 INNER_SHARE, INNER_PAGES = 0.8, 10
+#: Template hashes of all hosts (8 bytes each) that are broadcast; more are joined by a shuffle over so many salts.
+BROADCAST_HASHES, SALTS = 1_000_000, 32
 
 # Names of HTML, and words that mark what is not main text.
 _RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes"}
@@ -355,11 +360,20 @@ def templates(pages: DataFrame) -> DataFrame:
     return often.groupBy("host").agg(F.sort_array(F.collect_list("hash")).alias("template"))
 
 
-def extracted(pages: DataFrame, carry: Sequence[str] = ("page_id", "url")) -> DataFrame:
+def _with_template(rows: DataFrame, broadcast_hashes: int) -> DataFrame:
+    found = written(templates(rows), "html-templates")
+    if (found.agg(F.sum(F.size("template"))).first()[0] or 0) <= broadcast_hashes:
+        return rows.join(F.broadcast(found), "host", "left")
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int"))
+    found = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(found, ["host", "salt"], "left")
+
+
+def extracted(pages: DataFrame, carry: Sequence[str] = ("page_id", "url"), broadcast_hashes: int = BROADCAST_HASHES) -> DataFrame:
     """The ``carry`` columns, ``text`` and ``n_template`` (subtrees deleted as the host's template) of each row of
     ``pages`` (``url``, ``html``)."""
     rows = pages.select(F.struct(*carry).alias("carried"), host_of(F.col("url")).alias("host"), "html")
-    told = rows.join(templates(rows), "host", "left").select("carried", "html", "template")
+    told = _with_template(rows, broadcast_hashes).select("carried", "html", "template")
     carried = told.schema["carried"].dataType.simpleString()
 
     def run(batches):

@@ -123,7 +123,8 @@ def test_deep_and_long_pages():
     assert html_text.subtrees(html_text.parse("<div>" * 3000 + "x"))[0]
 
 
-def test_extracted(spark):
+@pytest.mark.parametrize("broadcast", [0, 1_000_000])
+def test_extracted(spark, broadcast):
     """A host's menu and notice without telling names go; sentences that articles share, and copied articles, stay."""
     r = random.Random(4)
     words = ["w%d" % i for i in range(300)]
@@ -140,7 +141,7 @@ def test_extracted(spark):
     rows += [(100, None, None), (101, "no scheme", ""), (102, "http://small.example.com/", "<div class='x1'><div>Start</div></div><p>t</p>"), rows[4], rows[4]]
     want |= {100: "", 101: "", 102: "Start\nt"}
     df = with_extra(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5))
-    got = html_text.extracted(df, ["page_id", "template"]).collect()
+    got = html_text.extracted(df, ["page_id", "template"], broadcast).collect()
     assert len(got) == len(rows)
     assert {x["page_id"]: x["text"] for x in got} == want
     assert all(x["n_template"] >= 2 for x in got if x["page_id"] < 60) and {x["template"] for x in got} == {"t"}
