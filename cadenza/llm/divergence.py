@@ -35,7 +35,7 @@ from cadenza.llm.shared import cut, shuffle_width, signed
 MIN_DOCS = 30
 TOP_TERMS = 50
 #: Prefix lengths in bytes, one pass over the documents each; complete terms follow.
-LEVELS = (3, 6)
+LEVELS = (4, 9)
 #: Added to every count; scale of the probabilities.
 PSEUDO, SCALE = 5, 1_000_000_000
 #: Bits of the survivors' bitmap (16 MB, on the driver and in each worker).
