@@ -7,8 +7,8 @@ Plan:
 * ``repeat_numbers``: n of the n-th repeat in feeds 2-4 (W1), via a scalable global
   row number; ``dedup_keys`` renders it as the original's keys, a title plus n dots;
 * ``block_candidates``: distinct texts and track names meet on shared words of
-  their block (J8); the k best per text, by shared words then catalogue rank
-  (O3), are the post's candidates;
+  their block (J8), or within an edit distance; the k best per text, by shared words,
+  fewest other words, then catalogue rank (O3), are the post's candidates;
 * ``score_candidates``: F10/N7 per candidate row with one Arrow helper that
   skips ``ratio`` when difflib's cheap upper bounds already rule a hit out and
   memoises repeated pairs inside the batch - no shuffle;
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadenza.fixed import CANDIDATES_PER_POST, MATCH_THRESHOLD
+from cadenza.operators.fuzzy import fuzzy_pairs
 from cadenza.operators.ranking import first_per_group, global_row_number, top_k_per_group
 
 SCORE_TYPE = T.StructType([T.StructField("track_score", T.DoubleType()),
@@ -71,14 +72,16 @@ def _tokens(text: Column) -> Column:
 
 
 def block_candidates(posts: DataFrame, catalogue: DataFrame, k: int = CANDIDATES_PER_POST,
-                     block: str = "block", asked: str = "part0") -> DataFrame:
+                     block: str = "block", asked: str = "part0", fuzzy_rate: float | None = None) -> DataFrame:
     """J8 + O3: each post's ``k`` best catalogue rows of its block, whatever their place in it.
 
     Candidates are ranked per post: by the words that the track name shares with the
-    post's ``asked`` text, then by ``rank_key``.  Distinct texts meet distinct names on
+    post's ``asked`` text, then by the fewest words of the name that it does not share (an exact
+    name goes before longer ones), then by ``rank_key``.  Distinct texts meet distinct names on
     (block, word), so repeated posts and names cost nothing, and the words shared are
-    counted before names meet the catalogue's rows.  A track that shares no word with
-    the text is not a candidate; every other one is ranked (recall 1 among them).
+    counted before names meet the catalogue's rows.  With ``fuzzy_rate``, names within that many
+    edits per character of the text are candidates too, whatever words they share
+    (``fuzzy.fuzzy_pairs``); of equal words the nearer name goes first.
     ``catalogue`` needs ``block``, ``track_id``, ``track_name``, ``artists_name``, ``rank_key``.
     """
     texts = posts.select(block, asked).distinct()
@@ -86,10 +89,18 @@ def block_candidates(posts: DataFrame, catalogue: DataFrame, k: int = CANDIDATES
     near = (texts.select(block, asked, F.explode(_tokens(F.col(asked))).alias("_t"))
             .join(names.select(block, "track_name", F.explode(_tokens(F.col("track_name"))).alias("_t")), [block, "_t"])
             .groupBy(block, asked, "track_name").agg(F.count(F.lit(1)).alias("_shared")))
+    order = [F.col("_shared").desc(), F.col("_unshared"), F.col("rank_key")]
+    if fuzzy_rate is not None:
+        pairs = fuzzy_pairs(texts, names, block, asked, "track_name", fuzzy_rate)
+        close = (pairs.join(texts.withColumn("left_key", F.lower(asked)), [block, "left_key"])
+                 .join(names.withColumn("right_key", F.lower("track_name")), [block, "right_key"])
+                 .select(block, asked, "track_name", "distance"))
+        near = near.join(close, [block, asked, "track_name"], "full").withColumn("_shared", F.coalesce("_shared", F.lit(0)))
+        order.insert(2, F.col("distance").asc_nulls_last())
+    near = near.withColumn("_unshared", F.size(_tokens(F.col("track_name"))) - F.col("_shared"))
     # of equal names only the first k rows can be among a post's k best
     rows = top_k_per_group(catalogue, [block, "track_name"], [F.col("rank_key")], k, "_nth").drop("_nth")
-    best = top_k_per_group(near.join(rows, [block, "track_name"]), [block, asked],
-                           [F.col("_shared").desc(), F.col("rank_key")], k, "cand_rank").drop("_shared")
+    best = top_k_per_group(near.join(rows, [block, "track_name"]), [block, asked], order, k, "cand_rank").drop("_shared", "_unshared", "distance")
     return posts.join(best, [block, asked])
 
 
@@ -153,14 +164,15 @@ def first_match(accepted: DataFrame, post_key: str = "post_id",
 
 
 def match_posts(posts: DataFrame, catalogue: DataFrame, k: int = CANDIDATES_PER_POST,
-                threshold: float = MATCH_THRESHOLD) -> DataFrame:
+                threshold: float = MATCH_THRESHOLD, fuzzy_rate: float | None = None) -> DataFrame:
     """Cleaned posts (post_id, title, block, ord, pos, part0, part1) -> matched track per post.
 
-    The title parts come from the first post with the same raw title (J3 over A6).
+    The title parts come from the first post with the same raw title (J3 over A6).  ``fuzzy_rate`` adds
+    names that are only misspelt (``block_candidates``).
     """
     pairs = validation_pairs(posts)
     looked_up = posts.drop("part0", "part1").join(pairs, "title")
-    cands = block_candidates(looked_up, catalogue, k)
+    cands = block_candidates(looked_up, catalogue, k, fuzzy_rate=fuzzy_rate)
     return first_match(score_candidates(cands, threshold), "post_id",
                        ["title", "track_id", "track_name", "artists_name", "cand_rank",
                         "track_score", "artist_score"])

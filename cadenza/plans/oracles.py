@@ -287,7 +287,8 @@ asked AS (SELECT DISTINCT block, part0, unnest(regexp_extract_all(lower(part0),
 near AS (SELECT asked.block, part0, track_name, count(*) AS shared
          FROM asked JOIN names ON asked.block = names.block AND asked.token = names.token GROUP BY ALL),
 ranked AS (SELECT near.block, part0, near.track_name, track_id, artists_name,
-             row_number() OVER (PARTITION BY near.block, part0 ORDER BY shared DESC, track_id) AS cand_rank
+             row_number() OVER (PARTITION BY near.block, part0 ORDER BY shared DESC,
+               len(list_distinct(regexp_extract_all(lower(near.track_name), '[^ ]+'))), track_id) AS cand_rank
            FROM near JOIN cat ON cat.block = near.block AND cat.track_name = near.track_name),
 cands AS (SELECT p.*, s.track_id, s.track_name, s.artists_name, s.cand_rank
           FROM posts p JOIN ranked s ON p.block = s.block AND p.part0 = s.part0 WHERE s.cand_rank <= 10),
@@ -311,6 +312,16 @@ SELECT post_id, title, track_id, track_name, artists_name, CAST(cand_rank AS INT
   SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY cand_rank) AS rn
   FROM scored WHERE track_score + artist_score >= 1.4) WHERE rn = 1"""
 
+#: A part name as a listener misspells it: the third character goes, the fifth is doubled, blanks become dashes.
+MISSPELT = "replace(substr(p_name, 1, 2) || substr(p_name, 4, 2) || substr(p_name, 5), ' ', '-')"
+
+FUZZY_CANDIDATES = f"""
+WITH t AS (SELECT DISTINCT p_brand AS block, lower({MISSPELT}) AS asked FROM part),
+n AS (SELECT DISTINCT p_brand AS block, lower(p_name) AS track_name FROM part),
+d AS (SELECT block, asked, track_name, levenshtein(asked, track_name) AS distance FROM t JOIN n USING (block))
+SELECT block, asked, track_name, CAST(distance AS INTEGER) AS distance FROM d
+WHERE distance <= CAST(floor(0.3 * greatest(length(asked), length(track_name)) + 1e-9) AS INTEGER)"""
+
 ARTIST_GENRES = """
 WITH a AS (
   SELECT s_suppkey, s_name, [lower(n_name), lower(r_name)] AS genres
@@ -588,6 +599,7 @@ FROM c"""
 
 
 ORACLES = {
+    "fuzzy_candidates": FUZZY_CANDIDATES,
     "genre_report": GENRE_REPORT,
     "label_classify": LABEL_CLASSIFY,
     "similarity_ratio": SIMILARITY_RATIO,

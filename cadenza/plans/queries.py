@@ -21,6 +21,7 @@ from cadenza.functions.similarity import similarity_ratio as ratio_udf
 from cadenza.functions.text import html_unescape, is_media_link, matched_term, permalink
 from cadenza.functions.titles import clean_titles
 from cadenza.operators import feeds as FD
+from cadenza.operators import fuzzy as FZ
 from cadenza.operators import matching as MT
 from cadenza.operators import recommend as RC
 from cadenza.operators import tuning as TU
@@ -130,6 +131,12 @@ def q_entity_match(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "track_score", "artist_score")
 
 
+def q_fuzzy_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue names within 0.3 edits a character of every misspelt name of the block."""
+    pairs = FZ.fuzzy_pairs(S.misspelt_names(spark, sf_dir), S.part_catalogue(spark, sf_dir), "block", "asked", "track_name")
+    return pairs.select("block", F.col("left_key").alias("asked"), F.col("right_key").alias("track_name"), "distance")
+
+
 def q_artist_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
     ta, artists = S.order_artists(spark, sf_dir)
     return track_artists(ta, artists, "track_id")
@@ -440,6 +447,7 @@ def q_lake_read_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "fuzzy_candidates": q_fuzzy_candidates,
     "genre_report": q_genre_report,
     "label_classify": q_label_classify,
     "similarity_ratio": q_similarity_ratio,

@@ -133,6 +133,14 @@ def part_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ord_.alias("ord"), F.col("p_partkey").alias("pos"))
 
 
+def misspelt_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names as a listener misspells them, per brand: the third character goes, the fifth is
+    doubled, blanks become dashes (so that no whole word is left)."""
+    p = table(spark, sf_dir, "part")
+    text = F.concat(F.substring("p_name", 1, 2), F.substring("p_name", 4, 2), F.substring("p_name", 5, 1000))
+    return p.select("p_partkey", F.col("p_brand").alias("block"), F.replace(text, F.lit(" "), F.lit("-")).alias("asked"))
+
+
 def part_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue tracks: name p_name, artist p_brand, block p_brand, rank p_partkey."""
     p = table(spark, sf_dir, "part")
