@@ -43,21 +43,24 @@ def extract_job(spark: SparkSession, landing: str, lake: str, state: str,
 
 
 def ingest_job(spark: SparkSession, handover: str, lake: str,
-               run_ts: _dt.datetime | None = None) -> DataFrame:
+               run_ts: _dt.datetime | None = None, rejected: str | None = None) -> DataFrame:
     """Hand-over CSV (header, declared 24-column schema) -> lake partition of the run date.
 
     Reads ``handover/<YYYYMMDDHH>`` of the run hour when that folder exists,
     else the folder itself; rows already in the day's partition are skipped, so
-    a re-run adds nothing twice.
+    a re-run adds nothing twice.  Rows that do not fit the schema go, with their reasons, to
+    ``rejected`` (default: ``<lake>-rejected``), a table partitioned by run date.
     """
     from cadenza.functions.dates import hour_stamp
-    from cadenza.sources.handover import read_csv
+    from cadenza.sources.checked import check_csv, quarantine
     run_ts = run_ts or _dt.datetime.now().replace(microsecond=0)
     run_date = run_ts.date().isoformat()
     src = f"{handover.rstrip('/')}/{hour_stamp(run_ts.isoformat())}"
-    rows = or_none(lambda: read_csv(spark, src, LK.LAKE_SCHEMA))
-    if rows is None:  # no hourly folder: read the folder itself
-        rows = read_csv(spark, handover, LK.LAKE_SCHEMA)
+    found = or_none(lambda: check_csv(spark, src, LK.LAKE_SCHEMA))
+    if found is None:  # no hourly folder: read the folder itself
+        found = check_csv(spark, handover, LK.LAKE_SCHEMA)
+    rows = found.good
+    quarantine(found.bad, rejected or f"{lake.rstrip('/')}-rejected", run_date)
     have = or_none(lambda: LK.read_lake_day(spark, lake, run_date))
     if have is not None:
         rows = rows.join(have.select("post_id").distinct(), "post_id", "left_anti")

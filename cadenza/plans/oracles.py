@@ -312,6 +312,41 @@ SELECT post_id, title, track_id, track_name, artists_name, CAST(cand_rank AS INT
   SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY cand_rank) AS rn
   FROM scored WHERE track_score + artist_score >= 1.4) WHERE rn = 1"""
 
+LANDED_QUARANTINE = """
+SELECT event_id AS line, CASE WHEN event_type = 'error' OR value < 1 THEN 'bad' ELSE 'good' END AS status,
+  CASE WHEN value < 1 THEN 'row: not a JSON object' WHEN event_type = 'error' THEN 'value: not double: "n/a"' END AS reason,
+  CASE WHEN event_type <> 'error' AND value >= 1 THEN event_type END AS event_type,
+  CASE WHEN event_type <> 'error' AND value >= 1 THEN value END AS amount,
+  CASE WHEN event_type = 'click' AND value >= 1 THEN 'props' END AS unknown
+FROM events"""
+
+HANDOVER_QUARANTINE = """
+SELECT s_suppkey, CASE WHEN s_acctbal < 0 OR s_nationkey IN (3, 4) THEN 'bad' ELSE 'good' END AS status,
+  CASE WHEN s_nationkey IN (3, 4) THEN 'row: not 4 fields' WHEN s_acctbal < 0 THEN 's_acctbal: not double: debt' END AS reason,
+  CASE WHEN s_acctbal >= 0 AND s_nationkey NOT IN (3, 4) THEN s_acctbal END AS s_acctbal
+FROM supplier"""
+
+REPORT_INCREMENTAL = f"""
+WITH RECURSIVE lake AS (
+  SELECT CASE l_returnflag WHEN 'A' THEN '13' WHEN 'N' THEN '14' ELSE '15' END AS day, {_GENRES} AS genres,
+         CAST(l_quantity AS INTEGER) AS track_popularity, l_discount AS danceability,
+         l_tax AS energy, 1.0 - l_discount AS valence, -l_quantity / 5.0 AS loudness
+  FROM lineitem JOIN part ON l_partkey = p_partkey),
+{label_ctes("SELECT genres FROM lake")}
+SELECT b.major_genre AS Genre, COUNT(*) AS NumberOfSongs, CAST(FLOOR(AVG(track_popularity)) AS BIGINT) AS Popularity,
+       ROUND(AVG(danceability), 3) AS Danceability, ROUND(AVG(energy), 3) AS Energy,
+       ROUND(AVG(valence), 3) AS Valence, ROUND(AVG(loudness), 3) AS Loudness, '2024' AS year, '01' AS month, day
+FROM lake l LEFT JOIN list_label b ON l.genres = b.genres
+GROUP BY b.major_genre, day"""
+
+STREAM_TAKEWHILE = f"""
+WITH {FEED_RULES_VALUES}, {FEED_POSTS}, {HISTORY}, {LATEST}, {MARKS}
+SELECT source, post_id, created_utc FROM (
+  SELECT p.*, min(CASE WHEN p.created > m.last_time THEN 1 ELSE 0 END) OVER (
+    PARTITION BY p.source, p.event_id // 100 ORDER BY md5(p.post_id), p.event_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ok
+  FROM posts p JOIN marks m ON p.source = m.source) WHERE ok = 1"""
+
 #: A part name as a listener misspells it: the third character goes, the fifth is doubled, blanks become dashes.
 MISSPELT = "replace(substr(p_name, 1, 2) || substr(p_name, 4, 2) || substr(p_name, 5), ' ', '-')"
 
@@ -600,6 +635,11 @@ FROM c"""
 
 ORACLES = {
     "fuzzy_candidates": FUZZY_CANDIDATES,
+    "landed_quarantine": LANDED_QUARANTINE,
+    "handover_quarantine": HANDOVER_QUARANTINE,
+    "label_dictionary": LABEL_CLASSIFY,
+    "report_incremental": REPORT_INCREMENTAL,
+    "stream_takewhile": STREAM_TAKEWHILE,
     "genre_report": GENRE_REPORT,
     "label_classify": LABEL_CLASSIFY,
     "similarity_ratio": SIMILARITY_RATIO,

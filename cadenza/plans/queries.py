@@ -14,6 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadenza.fixed import FEATURE_COLUMNS, GENRE_LABELS, TOP_IN_CLUSTER
 from cadenza.functions.prefs import request_values
@@ -22,8 +23,10 @@ from cadenza.functions.text import html_unescape, is_media_link, matched_term, p
 from cadenza.functions.titles import clean_titles
 from cadenza.operators import feeds as FD
 from cadenza.operators import fuzzy as FZ
+from cadenza.operators import label_store as LS
 from cadenza.operators import matching as MT
 from cadenza.operators import recommend as RC
+from cadenza.operators import report_state as RS
 from cadenza.operators import tuning as TU
 from cadenza.operators.cleaning import drop_columns, drop_incomplete
 from cadenza.operators.enrich import attach_features, track_artists
@@ -34,6 +37,7 @@ from cadenza.operators.vectors import nearest, squared_distance
 from cadenza.plans import standins as S
 from cadenza.session import scratch_path
 from cadenza.sources import handover as HO
+from cadenza.sources import checked as CK
 from cadenza.sources import lake as LK
 from cadenza.sources import state as ST
 from cadenza.sources import warehouse as WH
@@ -400,6 +404,52 @@ def q_stream_feed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink).select("source", "post_id", "created_utc")
 
 
+def q_stream_takewhile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages in no order of time, loaded three files at a time by the stream's take-while, read back."""
+    from cadenza.streaming.feed_load import run_stream, stream_while
+    landing = scratch_path(spark, "landing")
+    S.land_feed_pages(spark, sf_dir, landing, newest_first=False)
+    sink, ckpt = scratch_path(spark, "posts"), scratch_path(spark, "stream-ckpt")
+    run_stream(stream_while(spark, landing, _marks(spark, sf_dir), 3).select("source", "post_id", "created_utc"), sink, ckpt)
+    return spark.read.parquet(sink)
+
+
+def q_landed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every landed event line: typed and good, or bad with its reason; undeclared fields by name."""
+    good, bad = CK.check_json(S.event_lines(spark, sf_dir).withColumnRenamed("event_id", "line"), T.StructType.fromDDL(S.EVENT_FIELDS))
+    return (good.select("line", F.lit("good").alias("status"), F.lit(None).cast("string").alias("reason"), "event_type", F.col("value").alias("amount"),
+                        F.array_join(F.map_keys("unknown"), ",").alias("unknown"))
+            .union(bad.select("line", F.lit("bad"), F.array_join("reasons", "; "), F.lit(None), F.lit(None).cast("double"), F.lit(None).cast("string"))))
+
+
+def q_handover_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of a damaged hand-over file: typed and good, or bad with its reason."""
+    path = scratch_path(spark, "handover")
+    S.land_supplier_csv(spark, sf_dir, path)
+    good, bad = CK.check_csv(spark, path, T.StructType.fromDDL(S.SUPPLIER_FIELDS))
+    key = F.regexp_extract("raw", "([0-9]+)", 1).cast("int")
+    return (good.select("s_suppkey", F.lit("good").alias("status"), F.lit(None).cast("string").alias("reason"), "s_acctbal")
+            .union(bad.select(key, F.lit("bad"), F.array_join("reasons", "; "), F.lit(None).cast("double"))))
+
+
+def q_label_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels from a stored token dictionary that an earlier run, over the smaller parts, began."""
+    p = S.table(spark, sf_dir, "part").select("p_partkey", "p_size", S.genre_list(F.col("p_name"), F.col("p_size")).alias("genres"))
+    path = scratch_path(spark, "label-dictionary")
+    LS.learn_tokens(p.where("p_size < 5"), path)
+    rows, _ = LS.label_incremental(p, path)
+    return rows.select("p_partkey", "genres", "major_genre")
+
+
+def q_report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports of three days from stored partial sums: a first batch, late rows for the same days, the late batch again."""
+    plays = S.dated_plays(spark, sf_dir)
+    path = scratch_path(spark, "report-state")
+    for batch in ("first", "late", "late"):
+        RS.absorb(plays.where(F.col("brought_by") == batch), path, batch)
+    return RS.report(spark, path)
+
+
 def q_stream_accepted_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed rules applied inside the stream (flair, link, title cleaning), read back."""
     from cadenza.streaming.feed_load import run_stream, stream_accepted_posts
@@ -448,6 +498,11 @@ def q_lake_read_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "fuzzy_candidates": q_fuzzy_candidates,
+    "landed_quarantine": q_landed_quarantine,
+    "handover_quarantine": q_handover_quarantine,
+    "label_dictionary": q_label_dictionary,
+    "report_incremental": q_report_incremental,
+    "stream_takewhile": q_stream_takewhile,
     "genre_report": q_genre_report,
     "label_classify": q_label_classify,
     "similarity_ratio": q_similarity_ratio,

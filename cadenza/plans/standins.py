@@ -216,10 +216,11 @@ def preference_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(*cols)
 
 
-def land_feed_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
+def land_feed_pages(spark: SparkSession, sf_dir: str, path: str, newest_first: bool = True) -> None:
     """Write the feed stand-in as landed JSON pages of at most 100 posts (a block of
     100 event ids per feed), newest post first, under ``path/source=<event_type>/``.
-    Title ``user <id> - <type>``; events with value < 50 link to a media host."""
+    Title ``user <id> - <type>``; events with value < 50 link to a media host.
+    ``newest_first=False``: posts in the order of the md5 of their id."""
     e = table(spark, sf_dir, "events").where(F.col("event_type").isin(list(FEED_SOURCES)))
     k = F.get_json_object("props", "$.k").cast("int")
     epoch = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
@@ -234,7 +235,7 @@ def land_feed_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
                  flair_of(k).alias("link_flair_text")).alias("data"))
     pages = (e.select(F.col("event_type").alias("source"),
                       F.floor(F.col("event_id") / 100).alias("_page"),
-                      F.struct((-epoch).alias("o"), F.col("event_id").alias("i"),
+                      F.struct((-epoch if newest_first else F.md5(F.col("event_id").cast("string"))).alias("o"), F.col("event_id").alias("i"),
                                post.alias("p")).alias("_r"))
              .groupBy("source", "_page")
              .agg(F.array_sort(F.collect_list("_r")).alias("_rs"))
@@ -243,6 +244,50 @@ def land_feed_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
     pages.write.mode("overwrite").partitionBy("source").json(path)
 
 
+#: What the landed event objects declare.
+EVENT_FIELDS = "event_id bigint, event_type string, value double"
+
+
+def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as landed JSON texts, some of them damaged: errors carry a word for their value, values under
+    1 are cut off before the end; clicks carry a field that nobody declared."""
+    e = table(spark, sf_dir, "events")
+    value = F.when(F.col("event_type") == "error", F.lit('"n/a"')).otherwise(F.col("value").cast("string"))
+    extra = F.when(F.col("event_type") == "click", F.lit(', "props": {"k": [1, 2]}')).otherwise(F.lit(""))
+    end = F.when(F.col("value") < 1, F.lit("")).otherwise(F.lit("}"))
+    return e.select("event_id", F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "event_type": "'),
+                                         F.col("event_type"), F.lit('", "value": '), value, extra, end).alias("value"))
+
+
+#: The declared columns of the supplier hand-over.
+SUPPLIER_FIELDS = "s_suppkey int, s_name string, s_nationkey int, s_acctbal double"
+
+
+def land_supplier_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Suppliers as hand-over CSV text, some rows damaged: negative balances carry a word, suppliers of nation 3
+    a field too many, those of nation 4 one too few."""
+    s = table(spark, sf_dir, "supplier")
+    balance = F.when(F.col("s_acctbal") < 0, F.lit("debt")).otherwise(F.col("s_acctbal").cast("string"))
+    more = F.when(F.col("s_nationkey") == 3, F.lit(",x")).otherwise(F.lit(""))
+    last = F.when(F.col("s_nationkey") == 4, F.lit("")).otherwise(F.concat(F.lit(","), balance, more))
+    lines = s.select(F.concat(F.col("s_suppkey").cast("string"), F.lit(',"'), F.col("s_name"), F.lit('",'),
+                              F.col("s_nationkey").cast("string"), last).alias("value"))
+    head = spark.range(1).select(F.lit("s_suppkey,s_name,s_nationkey,s_acctbal").alias("value"))
+    head.union(lines).coalesce(1).write.text(path)  # one hand-over file
+
+
+def dated_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lake rows with a day (by return flag) and the batch that brought them (open lines come late)."""
+    li = table(spark, sf_dir, "lineitem")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    day = F.when(F.col("l_returnflag") == "A", "2024-01-13").when(F.col("l_returnflag") == "N", "2024-01-14").otherwise("2024-01-15")
+    return li.join(p, li.l_partkey == p.p_partkey).select(
+        day.alias("day"), F.when(F.col("l_linestatus") == "F", "first").otherwise("late").alias("brought_by"),
+        genre_list(F.col("p_name"), F.col("p_size")).alias("genres"), F.col("l_quantity").cast("int").alias("track_popularity"),
+        F.col("l_discount").alias("danceability"), F.col("l_tax").alias("energy"), (F.lit(1.0) - F.col("l_discount")).alias("valence"),
+        (-F.col("l_quantity") / 5.0).alias("loudness"))
+
+
 FEED_OF_ORD = {1: "Music", 2: "indieheads", 3: "popheads", 4: "electronicmusic"}
 GUEST_ARTIST = ("a-guest", "Guest, Jr", ["indie rock"])
 

@@ -80,6 +80,17 @@ def feed_posts(pages: DataFrame, page_id=None) -> DataFrame:
             .withColumn("created", text_to_ts(F.col("created_utc")).cast("timestamp_ntz")))
 
 
+def pages_while(pages: DataFrame, last_time: str = "last_time") -> DataFrame:
+    """F1 inside a page: its posts in page order up to (not including) the first that is not newer
+    than ``last_time``.  A page is one pull and one row, so this needs no state and no shuffle and works the
+    same in a stream, however its files fall into micro-batches."""
+    created = lambda c: text_to_ts(epoch_to_text(c["data"]["created_utc"])).cast("timestamp_ntz")
+    newer = F.transform("data.children", lambda c: F.coalesce(created(c) > F.col(last_time), F.lit(False)))
+    stop = F.array_position(newer, False).cast("int")
+    kept = F.when(stop > 0, F.slice("data.children", F.lit(1), stop - 1)).otherwise(F.col("data.children"))
+    return pages.withColumn("data", F.struct(kept.alias("children")))
+
+
 def read_feed_pages(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
     """S1 batch: landed pages under ``path[/run_date=<date>]/source=<feed>/``; a file may hold
     several pages (JSON lines), so each page line gets its own id (file + row id)."""

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.sources.landed import FEED_SCHEMA, feed_posts
+from cadenza.sources.landed import FEED_SCHEMA, feed_posts, pages_while
 
 
 def stream_new_posts(spark: SparkSession, landing: str, marks: DataFrame,
@@ -32,6 +32,25 @@ def stream_new_posts(spark: SparkSession, landing: str, marks: DataFrame,
             .dropDuplicatesWithinWatermark(["post_id"]))
 
 
+def stream_while(spark: SparkSession, landing: str, marks: DataFrame, max_files: int | None = None,
+                 delay: str | None = None) -> DataFrame:
+    """New posts by the batch's own rule (F1): each landed page up to its first post that is not newer than the
+    mark, de-duplicated by post id.
+
+    Equal to the batch for any ``max_files`` and any order inside a page.  Without ``delay`` every post id
+    ever seen is kept as state, so nothing is late; with one, ids are kept for that event time.
+    """
+    reader = spark.readStream.schema(FEED_SCHEMA)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    pages = reader.json(landing).withColumn("file", F.input_file_name()).join(F.broadcast(marks), "source")
+    posts = feed_posts(pages_while(pages), F.col("file"))
+    if delay is None:
+        return posts.dropDuplicates(["post_id"])
+    return (posts.withColumn("event_time", F.col("created").cast("timestamp")).withWatermark("event_time", delay)
+            .dropDuplicatesWithinWatermark(["post_id"]).drop("event_time"))
+
+
 def stream_accepted_posts(spark: SparkSession, landing: str, rules: DataFrame, marks: DataFrame,
                           delay: str = "1 day", max_files: int | None = None) -> DataFrame:
     """The feed half of the extract job as a stream: newer than the mark (filter mode -
