@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from cadenza.llm.shared import cut
 
 ASSISTANT = "assistant"
+#: Characters of transcripts that a task gathers before it hands them on.
+HELD_CHARS = 4 << 20
 _ROLE = {"\\": "\\\\", "<": "\\l", '"': "\\q"}
 _BACK = {"\\": "\\", "l": "<", "q": '"'}
 _OPEN, _MID, _CLOSE = '<turn role="', '">', "</turn>\n"
@@ -75,9 +77,17 @@ def parse_turns(formatted: str) -> list[tuple[str, str]]:
 def chosen_paths(messages: DataFrame, top: int = 1) -> DataFrame:
     """``tree_id, branch, depth, role, text``: the messages on the ``top`` best root-to-leaf paths of each tree.
 
-    ``node_id`` is unique in its tree; ``branch`` ranks the paths from 1, ``depth`` counts from 0 at the root.
+    ``branch`` ranks the paths from 1, ``depth`` counts from 0 at the root.  Of rows with equal tree and node_id
+    the smallest (parent, role, text, score) stays; rows without a node_id are left out.  A node on a cycle of
+    parents (its own parent included), or below one, has no root and is on no path.
     """
-    m = cut(messages.withColumn("_tree", F.struct(F.col("tree_id").isNull().alias("none"), F.coalesce("tree_id", F.lit(0)).alias("id"))))
+    fields = ["parent_id", "role", "text", "score"]
+    m = messages.filter("node_id is not null").withColumn(
+        "_tree", F.struct(F.col("tree_id").isNull().alias("none"), F.coalesce("tree_id", F.lit(0)).alias("id")))
+    m = cut(m.groupBy("_tree", "node_id").agg(F.min(F.struct(*fields)).alias("_m"))
+            .select("_tree", "node_id", F.when(~F.col("_tree.none"), F.col("_tree.id")).alias("tree_id"), *[f"_m.{c}" for c in fields]))
+    # a path is no longer than its tree, so after that many doublings what is open is on or below a cycle
+    largest = m.groupBy("_tree").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     real = m.select("_tree", F.col("node_id").alias("parent_id")).withColumn("_there", F.lit(True))
     links = m.select("_tree", "node_id", "parent_id", F.coalesce("score", F.lit(0.0)).cast("double").alias("score"))
     links = links.join(real, ["_tree", "parent_id"], "left")
@@ -85,7 +95,7 @@ def chosen_paths(messages: DataFrame, top: int = 1) -> DataFrame:
     reach = cut(links.select("_tree", "node_id", F.when(F.col("_there"), F.col("parent_id")).alias("jump"),
                              F.lit(1).cast("bigint").alias("n"), F.col("score").alias("total")))
     jumps = [reach]
-    while True:
+    for _ in range(largest.bit_length()):
         open_ = reach.filter("jump is not null")
         if open_.isEmpty():
             break
@@ -94,6 +104,7 @@ def chosen_paths(messages: DataFrame, top: int = 1) -> DataFrame:
                                                          (F.col("n") + F.col("_n")).alias("n"), (F.col("total") + F.col("_total")).alias("total"))
         reach = cut(step.union(reach.filter("jump is null")))
         jumps.append(reach)
+    reach = reach.filter("jump is null")
     parents = links.filter("_there").select("_tree", F.col("parent_id").alias("node_id")).distinct()
     leaves = reach.join(parents, ["_tree", "node_id"], "left_anti")
     best = Window.partitionBy("_tree").orderBy(F.col("total").desc(), F.col("n").desc(), "node_id")
@@ -117,13 +128,24 @@ def transcripts(messages: DataFrame, top: int = 1) -> DataFrame:
     def run(batches):
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for b in batches:
-            for i in range(b.num_rows):  # one conversation at a time
+            texts, masks, first, held = [], [], 0, 0
+
+            def out(to):
+                part = b.slice(first, to - first)
+                return pa.RecordBatch.from_arrays([part.column("tree_id"), part.column("branch"), pa.array(texts, pa.string()), pa.array(masks, span)],
+                                                  names=["tree_id", "branch", "formatted", "mask"])
+
+            for i in range(b.num_rows):  # one conversation at a time, handed on by size
                 turns = b.column("turns")[i].as_py()
                 text, mask = format_turns([(t["role"], t["text"]) for t in turns])
-                one = b.slice(i, 1)
-                yield pa.RecordBatch.from_arrays(
-                    [one.column("tree_id"), one.column("branch"), pa.array([text], pa.string()),
-                     pa.array([[{"start": a, "end": z} for a, z in mask]], span)], names=["tree_id", "branch", "formatted", "mask"])
+                texts.append(text)
+                masks.append([{"start": a, "end": z} for a, z in mask])
+                held += len(text)
+                if held > HELD_CHARS:
+                    yield out(i + 1)
+                    texts, masks, first, held = [], [], i + 1, 0
+            if texts:
+                yield out(b.num_rows)
 
     return rows.mapInArrow(run, "tree_id bigint, branch int, formatted string, mask array<struct<start:bigint,end:bigint>>")
 

@@ -21,8 +21,9 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadenza.llm import words as W
 
@@ -163,12 +164,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: in
     """
     spark = docs.sparkSession
     keep = keep or ["doc_id"]
-    found = "n_words bigint, runs array<struct<from:int,to:int>>, items array<string>"
+    found = T.StructType.fromDDL("n_words bigint, runs array<struct<from:int,to:int>>, items array<string>").fields
     kept_fields = docs.select(*[F.col(f"`{c}`") for c in keep]).schema.fields
     # the text column goes to Python once, under its own name if it is kept
     text = "text" if "text" in keep else "_text"
     base = docs.select(*[F.col(f"`{c}`") for c in keep], *([] if text in keep else [F.col("text").alias(text)]))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept_fields)
 
     run_type = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))
 
@@ -195,24 +195,30 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: in
 
     blocks = item_blocks(benchmark, block_bytes)
     if isinstance(blocks, list):
-        return base.mapInArrow(scan(blocks[0]), f"{schema}, {found}")
+        return base.mapInArrow(scan(blocks[0]), T.StructType([*kept_fields, *found]))
     # several blocks: each is held against all documents, what they found is put together by row
     from cadenza.llm.shared import written
 
     rows = written(base.withColumn("_row", F.monotonically_increasing_id()), "decontaminate-rows")
     base, keep = rows, [*keep, "_row"]
-    schema = f"{schema}, _row bigint"
-    parts = [written(base.mapInArrow(scan(pairs), f"{schema}, {found}"), "decontaminate-block") for pairs in blocks]
+    schema = T.StructType([*kept_fields, T.StructField("_row", T.LongType()), *found])
+    parts = [written(base.mapInArrow(scan(pairs), schema), "decontaminate-block") for pairs in blocks]
     every = parts[0]
     for p in parts[1:]:
         every = every.union(p)
-    merge = F.udf(lambda lists: [{"from": a, "to": b} for a, b in merged_runs([(r["from"], r["to"]) for x in lists for r in x])],
-                  "array<struct<from:int,to:int>>")
+    # runs of one row, found by several blocks, that touch or overlap become one
+    spans = every.select("_row", F.explode("runs").alias("r")).select("_row", F.col("r.from").alias("from"), F.col("r.to").alias("to"))
+    order = Window.partitionBy("_row").orderBy("from", "to")
+    before = F.max("to").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("new", F.when(before.isNull() | (F.col("from") > before), 1).otherwise(0))
+    spans = (spans.withColumn("run", F.sum("new").over(order)).groupBy("_row", "run").agg(F.min("from").alias("from"), F.max("to").alias("to"))
+             .groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("from", "to"))).alias("runs")))
     grouped = every.groupBy("_row").agg(
         *[F.first(c).alias(c) for c in keep if c != "_row"], F.max("n_words").alias("n_words"),
-        merge(F.collect_list("runs")).alias("runs"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return grouped.drop("_row")
+    none = F.array().cast("array<struct<from:int,to:int>>")
+    return (grouped.join(spans, "_row", "left").withColumn("runs", F.coalesce("runs", none))
+            .select(*[c for c in keep if c != "_row"], "n_words", "runs", "items"))
 
 
 def hit_words():

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadenza.llm import words as W
 
@@ -88,6 +89,7 @@ class Model(NamedTuple):
     false_rate: np.ndarray
     probes: int
     bits: int
+    own: np.ndarray        # share of each language's own training trigrams that its filter holds
 
     def masks(self, codes: np.ndarray) -> np.ndarray:
         at = _slots(codes, self.probes, self.bits)
@@ -160,17 +162,19 @@ def fit(rows: DataFrame, min_rate: float = MIN_RATE, share: float = SHARE, bits:
     top = rated.groupBy("code").agg(F.max("rate").alias("top"))
     # at most 1 / min_rate rows per language come to the driver
     chosen = (rated.filter(F.col("rate") >= min_rate).join(top, "code").filter(F.col("rate") >= F.col("top") * share)
-              .select("lang", "code").toPandas())
+              .select("lang", "code", "rate").toPandas())
     names = [x for x, _ in langs]
     slots = np.zeros((max(1, -(-len(names) // 64)), 1 << bits), np.uint64)
-    false = np.zeros(len(names))
+    false, own = np.zeros(len(names)), np.zeros(len(names))
     for i, name in enumerate(names):
-        codes = chosen.loc[chosen["lang"] == name, "code"].to_numpy(np.int64).view(np.uint64)
+        mine = chosen[chosen["lang"] == name]
+        own[i] = mine["rate"].sum()
+        codes = mine["code"].to_numpy(np.int64).view(np.uint64)
         for at in _slots(codes, probes, bits):
             slots[i // 64, at] |= np.uint64(1) << np.uint64(i % 64)
         fill = ((slots[i // 64] >> np.uint64(i % 64)) & np.uint64(1)).mean()
         false[i] = min(fill ** probes, 0.5)
-    return Model(names, slots, false, probes, bits)
+    return Model(names, slots, false, probes, bits, own)
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
@@ -197,8 +201,8 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                                              names=[*keep, "lang_pred", "score"])
 
     base = docs.select(*[F.col(f"`{c}`") for c in keep], *([] if text in keep else [F.col("text").alias(text)]))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields[:len(keep)])
-    return base.mapInArrow(run, f"{fields}, lang_pred string, score double")
+    return base.mapInArrow(run, T.StructType([*base.schema.fields[:len(keep)], T.StructField("lang_pred", T.StringType()),
+                                              T.StructField("score", T.DoubleType())]))
 
 
 def held_out() -> Column:

@@ -114,3 +114,26 @@ def test_held_out_accuracy(spark):
     model = language.fit(docs.filter("not held_out"))
     got = language.predict(docs.filter("held_out"), model, ["doc_id", "lang"]).filter("lang is not null").collect()
     assert sum(r["lang"] == r["lang_pred"] for r in got) >= 0.98 * len(got)
+
+
+CLASHING = ["score", "lang_pred", "n_words", "runs", "items", "n_hit", "_id", "_none", "_text_key", "none", "id", "key", "rest", "root", "_text",
+            "text_key", "copies", "size", "epoch", "k"]
+
+
+def test_stages_with_clashing_columns(spark):
+    """Columns with names that the stages use inside keep their values, and decide nothing."""
+    from pyspark.sql import functions as F
+    plain = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = plain.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in CLASHING}).withColumn("n_hit", F.lit(10**6))
+    for name, stage in P.STAGES[:4]:
+        got = stage(spark, docs, SF)
+        assert got.columns == docs.columns, name
+        rows = got.select("doc_id", "n_hit", *[c for c in CLASHING if c != "n_hit"]).collect()
+        assert rows and all(x["n_hit"] == 10**6 and all(x[c] == f"{c}{x['doc_id']}" for c in CLASHING if c != "n_hit") for x in rows), name
+        assert Counter(x["doc_id"] for x in rows) == Counter(x["doc_id"] for x in stage(spark, plain, SF).select("doc_id").collect()), name
+
+
+def test_stages_on_empty_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in P.STAGES:
+        assert stage(spark, docs, SF).count() == 0
