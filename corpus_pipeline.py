@@ -19,19 +19,32 @@ from cadenza.llm.jaccard_join import jaccard_components
 from cadenza.llm.shared import table, text_key, written
 from cadenza.session import ship_package
 
-#: A document whose language explains less of it than this is rejected.
+#: A document whose language explains less of it than this, measured by the language's own text, is rejected.
 MIN_LANGUAGE_SCORE = 0.5
 
 
+def _parted(docs: DataFrame) -> DataFrame:
+    """``text`` and, as one struct ``rest``, all other columns, so that none of them meets a name a stage uses."""
+    return docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest"))
+
+
+def _whole(parted: DataFrame, columns: list[str]) -> DataFrame:
+    return parted.select(*[F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in columns])
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language: not ``und`` and a score of ``MIN_LANGUAGE_SCORE`` or more.
+    """Documents whose text has a language: not ``und``, and a score of ``MIN_LANGUAGE_SCORE`` or more of what the
+    language's own training text scores (which is less where an alphabet is large).
 
     The filters are learned from the documents' own ``lang``, without the held-out fold.
     """
     ship_package(spark)
     model = language.fit(docs.filter(~language.held_out()))
-    told = language.predict(docs, model, docs.columns)
-    return told.filter((F.col("lang_pred") != language.UND) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(docs.columns)
+    told = language.predict(_parted(docs), model, ["text", "rest"])
+    least = F.lit(None).cast("double")
+    for name, own in zip(model.languages, model.own, strict=True):
+        least = F.when(F.col("lang_pred") == name, F.lit(MIN_LANGUAGE_SCORE * float(own))).otherwise(least)
+    return _whole(told.filter((F.col("lang_pred") != language.UND) & (F.col("score") >= least)), docs.columns)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,25 +56,26 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = jaccard_components(docs)
     first = (found.filter("n_shingles > 0").groupBy("root")
              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"))
-             .select("first.doc_id", F.col("first.text_key").alias("_text_key")))
+             .select("first.doc_id", F.col("first.text_key").alias("key")))
 
-    def keyed(rows):  # a null id as two plain columns, so that one shuffle of the texts serves join and repeats
-        return rows.withColumns({"_none": F.col("doc_id").isNull(), "_id": F.coalesce("doc_id", F.lit(0))})
+    def keyed(rows, doc_id):  # a null id as two plain columns, so that one shuffle of the texts serves join and repeats
+        return rows.withColumns({"none": doc_id.isNull(), "id": F.coalesce(doc_id, F.lit(0))})
 
-    keys = ["_none", "_id", "_text_key"]
-    first = keyed(first).select(keys)
-    texts = keyed(docs.withColumn("_text_key", text_key(F.col("text"))))
+    keys = ["none", "id", "key"]
+    first = keyed(first, F.col("doc_id")).select(keys)
+    parted = _parted(docs)
     has_words = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    kept = texts.filter(has_words).join(first, keys, "left_semi").dropDuplicates(keys)
-    return kept.select(docs.columns).union(docs.filter(~has_words))
+    texts = keyed(parted.filter(has_words).withColumn("key", text_key(F.col("text"))), F.col("rest.doc_id"))
+    kept = texts.join(first, keys, "left_semi").dropDuplicates(keys)
+    return _whole(kept, docs.columns).union(_whole(parted.filter(~has_words), docs.columns))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark (fewer than a twentieth of their words are hit)."""
     ship_package(spark)
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), keep=docs.columns)
+    found = decontaminate.contamination(_parted(docs), table(spark, sf_dir, "benchmark"), keep=["text", "rest"])
     found = found.withColumn("n_hit", decontaminate.hit_words())
-    return found.filter(~decontaminate.contaminated()).select(docs.columns)
+    return _whole(found.filter(~decontaminate.contaminated()), docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
