@@ -79,31 +79,40 @@ def report_job(spark: SparkSession, lake: str, table: str, run_date: str | None
 
 def train_job(spark: SparkSession, lake: str, model_path: str, tracks_path: str,
               dedupe_tracks: bool = False) -> PipelineModel:
-    """Fit assembler + scaler + k-means on the whole lake; save the model and the
-    scored track table, partitioned by cluster, for the scoring job."""
+    """Fit assembler + scaler + k-means on the whole lake; save the model, the
+    scored track table, partitioned by cluster, and beside it (``<tracks_path>-top``) each
+    cluster's short list, which is all that the scoring job reads."""
     train = RC.prepare_training(LK.read_lake(spark, lake), dedupe_tracks)
     model, data = RC.fit_on_layout(train, "track_id")
     try:
         model.write().overwrite().save(model_path)
         scored = RC.assign(model, data).select(*TRACK_COLUMNS, "prediction")
         scored.write.mode("overwrite").partitionBy("prediction").parquet(tracks_path)
+        top = RC.short_list(spark.read.parquet(tracks_path))
+        top.coalesce(1).write.mode("overwrite").parquet(short_list_path(tracks_path))  # k x 10 rows
     finally:
         data.unpersist()
     return model
 
 
+def short_list_path(tracks_path: str) -> str:
+    return f"{tracks_path.rstrip('/')}-top"
+
+
 def score_job(spark: SparkSession, model_path: str, tracks_path: str,
               requests: DataFrame, order: str = "hash", seed: int = 0) -> DataFrame:
     """Requests (request_id + five numbers, or five '<dim>_label' columns) -> up to
-    five recommendations each."""
+    five recommendations each.  What a request lacks, or a label nobody knows, is the scoring default."""
     if all(f"{d}_label" in requests.columns for d in FEATURE_COLUMNS):
         requests = requests.withColumns(request_values(
             {d: F.col(f"{d}_label") for d in FEATURE_COLUMNS},
             mode="uniform" if order == "random" else "midpoint", seed=seed, key=F.col("request_id")))
     model = PipelineModel.load(model_path)
-    clusters = RC.assign(model, requests).select("request_id", "prediction")
-    tracks = spark.read.parquet(tracks_path)
-    return RC.response_rows(RC.recommend(clusters, tracks, order=order, seed=seed))
+    clusters = RC.assign(model, RC.complete_requests(requests)).select("request_id", "prediction")
+    top = or_none(lambda: spark.read.parquet(short_list_path(tracks_path)))
+    if top is not None:
+        return RC.response_rows(RC.recommend(clusters, top, order=order, seed=seed, ranked=True))
+    return RC.response_rows(RC.recommend(clusters, spark.read.parquet(tracks_path), order=order, seed=seed))
 
 
 def tune_job(spark: SparkSession, lake: str, ks: list[int] = K_SWEEP) -> tuple[DataFrame, DataFrame]:

@@ -23,7 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.fixed import (FEATURE_COLUMNS, KMEANS_K, KMEANS_SEED, RECOMMENDATIONS,
+from cadenza.fixed import (DEFAULT_REQUEST, FEATURE_COLUMNS, KMEANS_K, KMEANS_SEED, RECOMMENDATIONS,
                            RECOMMENDER_DROP, TOP_IN_CLUSTER, TRACK_LINK_PREFIX)
 from cadenza.operators.cleaning import drop_columns, drop_incomplete
 from cadenza.operators.labels import with_major_genre
@@ -134,19 +134,39 @@ def assign(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df.select(*keep))
 
 
+def complete_requests(requests: DataFrame, defaults: dict[str, float] = DEFAULT_REQUEST) -> DataFrame:
+    """M6's defaults: a number that a request lacks (no column, null, NaN, or null because its label is unknown)
+    is the scoring default, so one bad request cannot fail a batch."""
+    have = {f.name: f.dataType for f in requests.schema.fields}
+
+    def value(name: str, default: float) -> Column:
+        if name not in have:
+            return F.lit(float(default))
+        # text that is no number counts as missing too
+        number = F.col(name).cast("double") if have[name].typeName() != "string" else F.col(name).try_cast("double")
+        return F.when(number.isNull() | F.isnan(number), F.lit(float(default))).otherwise(number)
+
+    return requests.withColumns({d: value(d, v) for d, v in defaults.items()})
+
+
+def short_list(track_clusters: DataFrame, top: int = TOP_IN_CLUSTER, popularity: str = "track_popularity") -> DataFrame:
+    """The ``top`` most popular tracks of each cluster (ties by track id), ranked; k x top rows."""
+    return top_k_per_group(track_clusters, ["prediction"], [F.col(popularity).desc(), F.col("track_id")], top, "cluster_rank")
+
+
 def recommend(request_clusters: DataFrame, track_clusters: DataFrame,
               top: int = TOP_IN_CLUSTER, pick: int = RECOMMENDATIONS,
               order: str = "hash", seed: int = 0,
-              popularity: str = "track_popularity") -> DataFrame:
+              popularity: str = "track_popularity", ranked: bool = False) -> DataFrame:
     """M6: per request, ``pick`` of the ``top`` most popular tracks of its cluster.
 
     ``request_clusters``: (request_id, prediction); ``track_clusters``: tracks with
     ``prediction``.  O4: top by popularity (ties by track id); O5: a pseudo-random
     ``pick`` of them (``hash``: md5 of request and track id, repeatable;
     ``random``: a hash with ``seed``, so a seed repeats in any layout); O6: final order by popularity.
+    ``ranked``: ``track_clusters`` is a ``short_list`` already (saved when the model was trained).
     """
-    short = top_k_per_group(track_clusters, ["prediction"],
-                            [F.col(popularity).desc(), F.col("track_id")], top, "cluster_rank")
+    short = track_clusters.where(F.col("cluster_rank") <= top) if ranked else short_list(track_clusters, top, popularity)
     j = request_clusters.join(F.broadcast(short), "prediction")
     if order == "hash":
         o: Column = F.md5(F.concat_ws("|", F.col("request_id").cast("string"),

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from cadenza.fixed import FEED_RULES as RULE_ROWS
-from cadenza.fixed import (GENRE_LABELS, K_SWEEP, LINK_TERMS, PERMALINK_PREFIX,
+from cadenza.fixed import (DEFAULT_REQUEST, GENRE_LABELS, K_SWEEP, LINK_TERMS, PERMALINK_PREFIX,
                            TITLE_SEPARATOR, TRACK_LINK_PREFIX)
-from cadenza.plans.standins import FEED_SOURCES, FLAIR_BUCKETS, FLAIR_OTHER, RUN_DATE
+from cadenza.plans.standins import UNKNOWN_LABEL, FEED_SOURCES, FLAIR_BUCKETS, FLAIR_OTHER, RUN_DATE
 
 
 def _q(s: str) -> str:
@@ -456,7 +456,7 @@ def _pref_sql() -> str:
     cols = ["c_custkey AS request_id"]
     vals = []
     for i, (dim, buckets) in enumerate(PREFERENCE_BUCKETS.items()):
-        names = [b[0] for b in buckets] + [""]
+        names = [b[0] for b in buckets] + ["", UNKNOWN_LABEL]
         lst = "[" + ", ".join(_q(x) for x in names) + "]"
         cols.append(f"{lst}[((c_custkey * {2 * i + 3} + c_nationkey) % {len(names)}) + 1] AS {dim}_label")
         case = " ".join(f"WHEN {dim}_label = {_q(n)} THEN CAST({(lo + hi) / 2.0!r} AS DOUBLE)"
@@ -515,7 +515,7 @@ cen AS (SELECT row_number() OVER (ORDER BY p_type) - 1 AS ci,
 tc AS (SELECT * FROM (SELECT x.*, c.ci AS prediction,
           row_number() OVER (PARTITION BY x.track_id ORDER BY {_DIST}, c.ci) AS rn
         FROM st x, cen c) WHERE rn = 1),
-req AS (SELECT r.request_id, {", ".join(f"r.{f} * (1.0 / sd_{f}) AS s_{f}" for f in _F)}
+req AS (SELECT r.request_id, {", ".join(f"coalesce(r.{f}, {DEFAULT_REQUEST[f]!r}) * (1.0 / sd_{f}) AS s_{f}" for f in _F)}
         FROM {_pref_sql()} r, sd),
 rc AS (SELECT * FROM (SELECT x.request_id, c.ci AS prediction,
           row_number() OVER (PARTITION BY x.request_id ORDER BY {_DIST}, c.ci) AS rn

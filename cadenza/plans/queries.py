@@ -347,7 +347,7 @@ def q_recommend_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     centres = [list(r["m"]) for r in rows]
     tidx, _ = nearest(F.col("vec"), centres)
     track_clusters = st.withColumn("prediction", tidx)
-    req = RC.assembler().transform(_requests(spark, sf_dir))
+    req = RC.assembler().transform(RC.complete_requests(_requests(spark, sf_dir)))
     rs = sc.transform(req).withColumn("vec", vector_to_array("standardized"))
     ridx, _ = nearest(F.col("vec"), centres)
     request_clusters = rs.select("request_id", ridx.alias("prediction"))
@@ -364,7 +364,7 @@ def _trained_and_scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
         (F.col("p_retailprice") * 100).cast("int").alias("duration_ms"))
     train = RC.prepare_training(lake).join(p, "track_id")
     model, data = RC.fit_on_layout(train, "track_id")
-    reqs = RC.assign(model, _requests(spark, sf_dir)).select("request_id", "prediction")
+    reqs = RC.assign(model, RC.complete_requests(_requests(spark, sf_dir))).select("request_id", "prediction")
     return RC.assign(model, data), reqs, data
 
 

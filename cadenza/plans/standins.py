@@ -202,14 +202,17 @@ def part_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(1.0) - price).alias("valence"))
 
 
+UNKNOWN_LABEL = "no such label"
+
+
 def preference_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One request per customer; each dimension's label (or '' = not chosen) is picked
-    from the bucket list by a rule on the customer key and nation."""
+    """One request per customer; each dimension's label (or '' = not chosen, or one that nobody
+    knows) is picked from the bucket list by a rule on the customer key and nation."""
     from cadenza.fixed import PREFERENCE_BUCKETS
     c = table(spark, sf_dir, "customer")
     cols = [F.col("c_custkey").alias("request_id")]
     for i, (dim, buckets) in enumerate(PREFERENCE_BUCKETS.items()):
-        names = [b[0] for b in buckets] + [""]
+        names = [b[0] for b in buckets] + ["", UNKNOWN_LABEL]
         idx = F.pmod(F.col("c_custkey") * (2 * i + 3) + F.col("c_nationkey"), F.lit(len(names)))
         cols.append(F.element_at(F.array(*[F.lit(x) for x in names]), (idx + 1).cast("int"))
                     .alias(f"{dim}_label"))

@@ -100,3 +100,27 @@ def test_ingest_without_hour_folder_and_random_scoring(spark, tmp_path):
     assert ra and ra == sorted(tuple(r) for r in b.select("request_id", "track_id", "position").collect())
     per = a.groupBy("request_id").count().agg(F.max("count")).first()[0]
     assert 1 <= per <= 5
+
+
+def test_bad_requests_get_the_defaults(spark, tmp_path):
+    """Missing, NaN, textual and unknown preferences become the scoring defaults; the rest of the batch is unharmed,
+    and the short list saved at training gives what the whole track table gives."""
+    from cadenza.fixed import DEFAULT_REQUEST
+    from cadenza.operators.recommend import complete_requests
+    got = {r["request_id"]: r for r in complete_requests(spark.createDataFrame(
+        [(1, "0.1", float("nan"), None, 0.3), (2, "word", 0.2, 0.4, 0.9)],
+        "request_id int, danceability string, energy double, instrumentalness double, valence double")).collect()}
+    assert (got[1]["danceability"], got[1]["energy"], got[1]["loudness"], got[1]["instrumentalness"]) == (0.1, 0.5, -10.1, 0.5)
+    assert (got[2]["danceability"], got[2]["energy"], got[2]["valence"]) == (DEFAULT_REQUEST["danceability"], 0.2, 0.9)
+    root = str(tmp_path)
+    S.land_extract_inputs(spark, SF, f"{root}/landing")
+    jobs.extract_job(spark, f"{root}/landing", f"{root}/lake", f"{root}/state", dt.datetime(2024, 1, 15, 12))
+    jobs.train_job(spark, f"{root}/lake", f"{root}/model", f"{root}/tracks")
+    labels = {f"{d}_label": "no such label" for d in DEFAULT_REQUEST}
+    reqs = spark.createDataFrame([(1, *labels.values()), (2, *["", *list(labels.values())[1:]])], ["request_id", *labels])
+    plain = spark.createDataFrame([(1, *DEFAULT_REQUEST.values())], ["request_id", *DEFAULT_REQUEST])
+    bad = [tuple(r)[1:] for r in jobs.score_job(spark, f"{root}/model", f"{root}/tracks", reqs).where("request_id = 1").orderBy("position").collect()]
+    good = [tuple(r)[1:] for r in jobs.score_job(spark, f"{root}/model", f"{root}/tracks", plain).orderBy("position").collect()]
+    assert bad and bad == good
+    top = spark.read.parquet(jobs.short_list_path(f"{root}/tracks"))
+    assert top.groupBy("prediction").count().where("count > 10").isEmpty() and top.count() < spark.read.parquet(f"{root}/tracks").count()
