@@ -40,6 +40,8 @@ NUM, DEN = 75, 100
 #: Buckets of the shingle-frequency table (8 MB on the driver and in each worker).
 BUCKET_BITS = 20
 _CHUNK = 1 << 12
+#: Groups of the points that a task compares (coarser points only prune less).
+MAX_GROUPS = 1 << 14
 #: A prefix shingle of more classes than this only ties them to one neighbourhood.
 SMALL_BLOCK = 32
 #: Classes in a tile; a task holds the sets of two tiles.
@@ -167,7 +169,7 @@ def join_sets(sets: list[np.ndarray], side: np.ndarray | None = None, num: int =
     """
     n = len(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
-    groups = groups_for(int(sizes.max()) if n else 1)
+    groups = min(MAX_GROUPS, groups_for(int(sizes.max()) if n else 1))
     points = np.stack([point_of(s, groups) for s in sets]) if n else np.empty((0, groups), np.int32)
     leaves = pack_leaves(points, sizes)
     top = [points[x].max(axis=0) for x in leaves]
@@ -272,6 +274,7 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: i
     described = docs.withColumn("text_key", text_key(F.col("text"))).mapInArrow(
         describe, "doc_id bigint, text_key bigint, n_shingles bigint, class bigint, point binary, prefix array<bigint>")
     described = written(described, "jaccard-points")
+    counts.destroy()
 
     ties = _ties(described, small_block, num, den)
     hoods = components(ties).select(F.col("node").alias("class"), F.col("root").alias("hood"))
@@ -386,7 +389,16 @@ def _links(docs: DataFrame, described: DataFrame, hoods: DataFrame, k: int, num:
     chosen = texts.join(reps, on).select("class", "hood", "tiles", "text")
 
     def sets_of(batches):
+        last = None
         for b in batches:
+            # repeated rows stand next to one another after the join: one is enough
+            ids = b.column("class").to_numpy()
+            new = np.ones(len(ids), bool)
+            new[1:] = ids[1:] != ids[:-1]
+            if len(ids):
+                new[0] = ids[0] != last
+                last = ids[-1]
+            b = b.filter(pa.array(new))
             sets = [np.unique(g).tobytes() for _, g in shingles_of(b.column("text"), k)]
             yield pa.RecordBatch.from_arrays([b.column("class"), b.column("hood"), b.column("tiles"), pa.array(sets, pa.binary())],
                                              names=["class", "hood", "tiles", "shingles"])
