@@ -61,6 +61,25 @@ def k_sweep(df: DataFrame, ks: list[int] = K_SWEEP, seed: int = KMEANS_SEED,
     return spark.createDataFrame(rows, "k int, silhouette double, cost double")
 
 
+def choose_k(sweep: DataFrame) -> DataFrame:
+    """The sweep's rows with ``bend`` and ``chosen``: the knee of the cost curve.
+
+    Both axes are scaled to [0, 1]; the bend of a k is how far its cost lies under the straight line from the
+    curve's first point to its last, and the k that bends most is chosen (ties: the smaller k).  A curve
+    without a bend (fewer than three points, or none below the line) falls back to the best silhouette.
+    ``sweep`` is one row per k.
+    """
+    every = W.partitionBy(F.lit(1))  # a row per k
+    ends = {"_c0": F.min_by("cost", "k").over(every), "_c1": F.max_by("cost", "k").over(every),
+            "_k0": F.min("k").over(every), "_k1": F.max("k").over(every)}
+    x = F.try_divide(F.col("k") - F.col("_k0"), F.col("_k1") - F.col("_k0"))
+    y = F.try_divide(F.col("cost") - F.col("_c1"), F.col("_c0") - F.col("_c1"))
+    bent = sweep.withColumns(ends).withColumn("bend", F.coalesce(F.round(F.lit(1.0) - x - y, 12), F.lit(0.0)))
+    order = F.when(F.max("bend").over(every) > 0, F.col("bend")).otherwise(F.col("silhouette"))
+    ranked = bent.withColumn("_order", order).withColumn("_nth", F.row_number().over(every.orderBy(F.col("_order").desc(), "k")))
+    return ranked.select("k", "silhouette", "cost", "bend", (F.col("_nth") == 1).alias("chosen"))
+
+
 def _ranked_values(df: DataFrame, cluster: str, features: list[str]) -> DataFrame:
     """``_c, _f, _v`` (cluster, feature, distinct value) with the ranks ``[_from, _to)`` of the
     value's rows in its group and the group's size ``_all``.

@@ -312,6 +312,17 @@ SELECT post_id, title, track_id, track_name, artists_name, CAST(cand_rank AS INT
   SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY cand_rank) AS rn
   FROM scored WHERE track_score + artist_score >= 1.4) WHERE rn = 1"""
 
+LAKE_MANY_DAYS = """
+SELECT o_orderkey, o_custkey, o_orderdate, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+  CAST(1 AS INTEGER) AS day
+FROM orders WHERE date_trunc('month', o_orderdate) >= DATE '1996-01-01' AND date_trunc('month', o_orderdate) < DATE '1996-07-01'"""
+
+QUARTILES_FROM_SKETCHES = """
+SELECT l_returnflag, feature, CAST(i AS INTEGER) AS quartile, count(*) AS n, true AS within_error
+FROM lineitem, (SELECT unnest(['danceability', 'energy', 'loudness', 'instrumentalness', 'valence']) AS feature),
+  (SELECT unnest(range(5)) AS i)
+GROUP BY ALL"""
+
 LANDED_QUARANTINE = """
 SELECT event_id AS line, CASE WHEN event_type = 'error' OR value < 1 THEN 'bad' ELSE 'good' END AS status,
   CASE WHEN value < 1 THEN 'row: not a JSON object' WHEN event_type = 'error' THEN 'value: not double: "n/a"' END AS reason,
@@ -635,6 +646,9 @@ FROM c"""
 
 ORACLES = {
     "fuzzy_candidates": FUZZY_CANDIDATES,
+    "lake_many_days": LAKE_MANY_DAYS,
+    "report_sql_client": GENRE_REPORT,
+    "quartiles_from_sketches": QUARTILES_FROM_SKETCHES,
     "landed_quarantine": LANDED_QUARANTINE,
     "handover_quarantine": HANDOVER_QUARANTINE,
     "label_dictionary": LABEL_CLASSIFY,

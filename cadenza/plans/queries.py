@@ -25,6 +25,7 @@ from cadenza.operators import feeds as FD
 from cadenza.operators import fuzzy as FZ
 from cadenza.operators import label_store as LS
 from cadenza.operators import matching as MT
+from cadenza.operators import quantile_state as QS
 from cadenza.operators import recommend as RC
 from cadenza.operators import report_state as RS
 from cadenza.operators import tuning as TU
@@ -201,6 +202,48 @@ def q_lake_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LK.read_lake_day(spark, path, LAKE_DAY, drop_partitions=False)
 
 
+def q_lake_many_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order lake's days of one half-year, named by a table of dates, in one pruned read."""
+    o = S.table(spark, sf_dir, "orders")
+    rows = o.select("o_orderkey", "o_custkey", "o_orderdate").withColumns(LK.date_partitions(F.date_trunc("month", "o_orderdate")))
+    path = scratch_path(spark, "lake")
+    LK.write_lake(rows, path)
+    dates = o.select(F.date_trunc("month", "o_orderdate").alias("date")).where("date >= '1996-01-01' AND date < '1996-07-01'")
+    return LK.read_lake_days(spark, path, dates).select("o_orderkey", "o_custkey", "o_orderdate", "year", "month", "day")
+
+
+def q_report_sql_client(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report as a SQL client reads it: a view over the lake view and the label function."""
+    from cadenza.sources.sql_clients import publish
+    publish(spark, LK.with_run_date(S.lake_rows(spark, sf_dir), S.RUN_DATE))
+    return spark.sql("SELECT * FROM genre_report_by_day")
+
+
+def q_quartiles_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles merged from stored sketches of each day (ship month) and cluster: how many values each covers, and
+    whether each answer's true rank lies within the stated error."""
+    rows = S.lineitem_features(spark, sf_dir)
+    path = scratch_path(spark, "sketches")
+    QS.store_sketches(rows.withColumn("day", F.date_format("l_shipdate", "yyyy-MM")), path, "l_returnflag", FEATURE_COLUMNS)
+    merged = QS.merged_quartiles(spark, path, FEATURE_COLUMNS)
+    asked = merged.select("cluster", "feature", "n", F.posexplode("values").alias("i", "answer"))
+    long = rows.select(F.col("l_returnflag").alias("cluster"), F.explode(F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.col(f).alias("v")) for f in FEATURE_COLUMNS])).alias("x")).select("cluster", "x.*")
+    # five answers per cluster and feature meet the counted values
+    counted = long.groupBy("cluster", "feature", "v").agg(F.count(F.lit(1)).alias("k"))
+    ranks = (asked.join(counted, ["cluster", "feature"]).groupBy("cluster", "feature", "n", "i", "answer")
+             .agg(F.sum(F.when(F.col("v") < F.col("answer"), F.col("k")).otherwise(0)).alias("below"),
+                  F.sum(F.when(F.col("v") <= F.col("answer"), F.col("k")).otherwise(0)).alias("upto")))
+    q, e = F.col("i") / 4, QS.rank_error()
+    within = (F.col("below") / F.col("n") <= q + e) & (F.col("upto") / F.col("n") >= q - e)
+    return ranks.select(F.col("cluster").alias("l_returnflag"), "feature", F.col("i").alias("quartile"), "n", within.alias("within_error"))
+
+
+def q_k_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sweep's curves, the bend of each k and the k chosen."""
+    return TU.choose_k(q_k_sweep(spark, sf_dir))
+
+
 def q_report_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report written with SQL over a temp view, stored in a partitioned catalog table
     (dynamic overwrite: re-running the day replaces it) and read back."""
@@ -498,6 +541,10 @@ def q_lake_read_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "fuzzy_candidates": q_fuzzy_candidates,
+    "lake_many_days": q_lake_many_days,
+    "report_sql_client": q_report_sql_client,
+    "quartiles_from_sketches": q_quartiles_from_sketches,
+    "k_choice": q_k_choice,
     "landed_quarantine": q_landed_quarantine,
     "handover_quarantine": q_handover_quarantine,
     "label_dictionary": q_label_dictionary,

@@ -168,7 +168,7 @@ def lineitem_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five recommender features read off lineitem (same mapping as ``lake_rows``)."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
-        "l_orderkey", "l_linenumber", "l_returnflag",
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate",
         F.col("l_discount").alias("danceability"), F.col("l_tax").alias("energy"),
         (-F.col("l_quantity") / 5.0).alias("loudness"),
         (F.col("l_discount") * F.col("l_tax")).alias("instrumentalness"),

@@ -58,6 +58,17 @@ def read_lake_day(spark: SparkSession, path: str, run_date: str,
     return df.drop(*PARTITIONS) if drop_partitions else df
 
 
+def read_lake_days(spark: SparkSession, path: str, days: DataFrame, date: str = "date") -> DataFrame:
+    """S9/F7 for many days in one run: the partitions that ``days`` (a filtered table of dates) names.
+
+    The lake joins the dates on its partition columns.  Spark reads the dates first and prunes the lake's
+    folders with them at run time (dynamic partition pruning), so no list of days passes through the driver
+    and other folders are not opened.  A date named twice counts once.
+    """
+    wanted = days.select(F.year(date).alias("year"), F.month(date).alias("month"), F.dayofmonth(date).alias("day")).distinct()
+    return read_lake(spark, path).join(wanted, PARTITIONS)
+
+
 def since(lake: DataFrame, date: str) -> DataFrame:
     """Rows of the partitions of ``date`` and later (partition filters)."""
     y, m, d = (int(x) for x in run_date_parts(date))
