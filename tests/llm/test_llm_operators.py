@@ -487,6 +487,63 @@ def test_license_look_alikes(spark):
     assert [got[i] for i in range(len(rows))] == list(lines.values())
 
 
+def plain_matches(text, templates, least):
+    """The rule without hashes, bounds or an index: every line and every run is compared with its templates."""
+    lines, w, line = [], [], []
+    for n, part in enumerate((text or "").split("\n")):
+        own = alnum(part)
+        lines.append((len(w), len(w) + len(own)))
+        w += own
+        line += [n] * len(own)
+    pairs = list(itertools.pairwise(w))
+    sets = [set(itertools.pairwise(alnum(t))) for _, t in templates]
+    known = set().union(*sets)
+    todo = {(a, z): list(range(len(sets))) for a, z in lines if any(p in known for p in pairs[a:z])}
+    for i, t in enumerate(sets):
+        run = []
+        for at in [*[k for k, p in enumerate(pairs) if p in t], None]:
+            if run and (at is None or at - run[-1] > licenses.GAP):
+                todo.setdefault((run[0], run[-1] + 2), []).append(i)
+                run = []
+            run.append(at)
+    found = []
+    for (a, z), among in todo.items():
+        own = set(pairs[a:z - 1])
+        for i in dict.fromkeys(among):
+            d = 2 * len(own & sets[i]) / (len(own) + len(sets[i]))
+            if d >= least:
+                found.append((i, d, a, z))
+    kept = []
+    for m in sorted(found, key=lambda m: (-m[1], m[2] - m[3], m[2], m[0])):
+        if all(m[3] <= k[2] or m[2] >= k[3] for k in kept):
+            kept.append(m)
+    return [(templates[i][0], pytest.approx(d), a, z) for i, d, a, z in sorted(kept, key=lambda m: m[2])]
+
+
+def test_license_scan_equals_the_plain_rule(spark):
+    r, v = random.Random(31), [f"w{i}" for i in range(30)]
+    templates = [(f"L{i % 7}", " ".join(r.choices(v, k=r.choice([2, 3, 6, 12, 40])))) for i in range(14)]
+    rows = []
+    for i in range(220):
+        parts = []
+        for _ in range(r.randint(0, 6)):
+            w = alnum(r.choice(templates)[1]) if r.random() < 0.7 else r.choices(v, k=r.randint(1, 12))
+            w = [x for x in w if r.random() < 0.93]
+            for _ in range(r.choice([0, 0, 1, 3])):
+                w.insert(r.randrange(len(w) + 1), r.choice(v).upper())
+            parts.append(r.choice([" ", " ", "\n"]).join(w))
+        rows.append((i, r.choice([" ", "\n", ". "]).join(parts)))
+    rows += [(500, None), (501, ""), (502, " ".join([templates[3][1]] * 3000)), rows[7], rows[7], (None, rows[9][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("license", "dice", "matches")})
+    for least in (0.8, 0.55):
+        got = licenses.scan(df, templates, least).collect()
+        assert len(got) == len(rows)
+        want = {d: plain_matches(t, templates, least) for d, t in rows}
+        for x in got:
+            assert [tuple(m) for m in x["matches"]] == want[x["doc_id"]], x["doc_id"]
+            assert x["dice"] == max([0.0, *[m["dice"] for m in x["matches"]]])
+
+
 def test_size_bounds_lose_nothing():
     tp = licenses.Templates(licenses.TEMPLATES, 0.8)
     r = random.Random(2)
@@ -529,6 +586,26 @@ def test_url_rules(spark):
     assert url_rules.judged(empty, spark.createDataFrame([], "page_id long, bad boolean"), fixed).count() == 0
 
 
+def test_mined_rules_are_all_that_hold(spark):
+    r = random.Random(17)
+    rows = []
+    for _ in range(260):
+        t = sorted(x for x in "abcdef" if r.random() < 0.45)
+        rows.append((t, None if r.random() < 0.05 else r.random() < (0.9 if {"a", "b"} <= set(t) else 0.75 if "c" in t else 0.2)))
+    rows += [([], True), (None, True), rows[0], rows[0]]
+    known = [(set(t), b) for t, b in rows if b is not None and t]
+    for count, least in ((20, 0.6), (5, 0.5)):
+        rules = {}
+        for n in range(1, 7):
+            for a in itertools.combinations("abcdef", n):
+                fits = [b for t, b in known if set(a) <= t]
+                if sum(fits) >= max(count, 0.0005 * len(known)) and sum(fits) / len(fits) >= least:
+                    rules[a] = sum(fits) / len(fits)
+        want = {a: c for a, c in rules.items() if not any(set(s) < set(a) and d >= c for s, d in rules.items())}
+        got = url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean"), 0.0005, least, count).collect()
+        assert want and {tuple(x["antecedent"]): pytest.approx(x["confidence"]) for x in got} == want
+
+
 # ---- chat --------------------------------------------------------------------------
 
 def test_turns_round_trip():
