@@ -79,3 +79,9 @@ LAKE_COLUMNS = [
 RECOMMENDER_DROP = ["post_id", "post_created_utc", "post_title", "post_url", "key", "mode",
                     "speechiness", "acousticness", "liveness", "tempo", "time_signature",
                     "year", "month", "day"]
+
+# --- fixed values: daily report columns, and the averaged column behind each ---------
+REPORT_COLUMNS = ["Genre", "NumberOfSongs", "Popularity", "Danceability", "Energy",
+                  "Valence", "Loudness", "year", "month", "day"]
+AVG_COLUMNS = {"track_popularity": "Popularity", "danceability": "Danceability",
+               "energy": "Energy", "valence": "Valence", "loudness": "Loudness"}

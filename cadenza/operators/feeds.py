@@ -97,6 +97,6 @@ def advance_watermark(accepted: DataFrame, state: DataFrame, order: Column,
         firsts = (accepted.groupBy("source", pull)
                   .agg(F.min_by(F.col(time_col), order).alias("_first"))
                   .groupBy("source").agg(F.max("_first").alias("_new")))
-    return (state.join(F.broadcast(firsts), "source", "left")
+    return (state.join(firsts, "source", "left")  # a row per source: broadcast by Spark if small
             .select("source", "last_time",
                     F.coalesce("_new", "last_time").alias("new_time")))

@@ -5,13 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.fixed import GENRE_LABELS
+from cadenza.fixed import AVG_COLUMNS, GENRE_LABELS, REPORT_COLUMNS
 from cadenza.functions.dates import run_date_parts
 from cadenza.operators.labels import label_unique
 
-REPORT_COLUMNS = ["Genre", "NumberOfSongs", "Popularity", "Danceability", "Energy",
-                  "Valence", "Loudness", "year", "month", "day"]
-
 
 def genre_aggregate(labelled: DataFrame, label: str = "major_genre") -> DataFrame:
     """Group by label (null is a group): count, floor(avg(popularity)), round(avg, 3) x 4.
@@ -29,8 +26,6 @@ def genre_aggregate(labelled: DataFrame, label: str = "major_genre") -> DataFram
     )
 
 
-AVG_COLUMNS = {"track_popularity": "Popularity", "danceability": "Danceability",
-               "energy": "Energy", "valence": "Valence", "loudness": "Loudness"}
 PARTIAL_COLUMNS = (["_n"] + [f"_s_{c}" for c in AVG_COLUMNS] + [f"_c_{c}" for c in AVG_COLUMNS])
 
 

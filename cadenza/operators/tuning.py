@@ -31,7 +31,7 @@ def clustering_cost(df: DataFrame, features: str, prediction: str) -> DataFrame:
     n = len(df.select(features).first()[0])
     means = df.groupBy(prediction).agg(
         F.array(*[F.avg(F.col(features)[i]) for i in range(n)]).alias("_m"))
-    return (df.join(F.broadcast(means), prediction)
+    return (df.join(means, prediction)  # one row per cluster: Spark broadcasts it if it is small
             .agg(F.sum(squared_distance(F.col(features), F.col("_m"))).alias("cost")))
 
 

@@ -49,7 +49,7 @@ def latest_row(history: DataFrame, order_col: str = "last_time") -> DataFrame:
 def marks_with_default(rules: DataFrame, latest: DataFrame, run_date: str) -> DataFrame:
     """Every feed of the rules gets a mark; first run = midnight of the run date."""
     midnight = _dt.datetime.fromisoformat(str(run_date)[:10])
-    return (rules.select("source").join(F.broadcast(latest), "source", "left")
+    return (rules.select("source").join(latest, "source", "left")
             .select("source", F.coalesce("last_time", F.lit(midnight).cast("timestamp_ntz"))
                     .alias("last_time")))
 
