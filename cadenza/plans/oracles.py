@@ -345,8 +345,8 @@ WITH RECURSIVE lake AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey),
 {label_ctes("SELECT genres FROM lake")}
 SELECT b.major_genre AS Genre, COUNT(*) AS NumberOfSongs, CAST(FLOOR(AVG(track_popularity)) AS BIGINT) AS Popularity,
-       ROUND(AVG(danceability), 3) AS Danceability, ROUND(AVG(energy), 3) AS Energy,
-       ROUND(AVG(valence), 3) AS Valence, ROUND(AVG(loudness), 3) AS Loudness, '2024' AS year, '01' AS month, day
+       ROUND(ROUND(AVG(danceability), 9), 3) AS Danceability, ROUND(ROUND(AVG(energy), 9), 3) AS Energy,
+       ROUND(ROUND(AVG(valence), 9), 3) AS Valence, ROUND(ROUND(AVG(loudness), 9), 3) AS Loudness, '2024' AS year, '01' AS month, day
 FROM lake l LEFT JOIN list_label b ON l.genres = b.genres
 GROUP BY b.major_genre, day"""
 
