@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from cadenza.llm import words as W
 from cadenza.llm.components import components
-from cadenza.llm.shared import cut, shuffle_width, signed, text_key, written
+from cadenza.llm.shared import cut, give_back, shuffle_width, signed, text_key, written
 
 SHINGLE = 5
 #: A link is ``100 * intersection >= 75 * union``.
@@ -270,6 +270,7 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: i
                 pa.array(signed(np.array(key, np.uint64)), pa.int64()), pa.array(point, pa.binary()),
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*prefix, np.empty(0, np.int64)])))],
                 names=["doc_id", "text_key", "n_shingles", "class", "point", "prefix"])
+        give_back()
 
     described = docs.withColumn("text_key", text_key(F.col("text"))).mapInArrow(
         describe, "doc_id bigint, text_key bigint, n_shingles bigint, class bigint, point binary, prefix array<bigint>")

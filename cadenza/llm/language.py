@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadenza.llm import words as W
+from cadenza.llm.shared import give_back
 
 UND = "und"
 MIN_RATE = 1e-5
@@ -199,6 +200,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                 score += np.where(none, 0.0, s[np.arange(to - at), best]).tolist()
             yield pa.RecordBatch.from_arrays([*b.select(keep).columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                                              names=[*keep, "lang_pred", "score"])
+        give_back()
 
     base = docs.select(*[F.col(f"`{c}`") for c in keep], *([] if text in keep else [F.col("text").alias(text)]))
     return base.mapInArrow(run, T.StructType([*base.schema.fields[:len(keep)], T.StructField("lang_pred", T.StringType()),

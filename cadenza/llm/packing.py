@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from cadenza.llm import words as W
+from cadenza.llm.shared import give_back
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the split pattern that belongs to the vocabulary files.
@@ -34,7 +35,7 @@ MATRIX_ROWS = 64
 #: Ids that a task gathers before it packs them.
 BATCH_IDS = 4 << 20
 #: Encoded words that a worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1 << 16
 
 SCHEMA = ("matrix_id bigint, n_rows int, seq_len int, id_bytes int, ids binary, position_ids binary, "
           "row_segments array<int>, cu_seqlens array<int>, "
@@ -220,7 +221,7 @@ def packed(docs: DataFrame, tokenizer: str = TOKENIZER, seq_len: int = SEQ_LEN,
         end = [] if end_id is None else [end_id]
         for b in batches:
             doc_ids = b.column("doc_id").to_pylist()
-            for at, to, buf, off in W.text_blocks(b.column("text"), 8 << 20):
+            for at, to, buf, off in W.text_blocks(b.column("text")):
                 ids, bounds = encoder.encode(buf, off)
                 ids = ids.astype(kind)
                 for i in range(to - at):
@@ -232,6 +233,8 @@ def packed(docs: DataFrame, tokenizer: str = TOKENIZER, seq_len: int = SEQ_LEN,
                     if held >= batch_ids:
                         yield from flush()
         yield from flush()
+        encoder.known.clear()
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
 

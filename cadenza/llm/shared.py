@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Sequence
 
 import numpy as np
@@ -42,6 +43,15 @@ def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
+def give_back() -> None:
+    """Return a task's freed memory to the system, so that an idle Python worker does not hold it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library: nothing to trim
+        pass
+
+
 def text_key(text: Column) -> Column:
     """A 64-bit key of a text that tells null from empty."""
     return F.when(text.isNull(), F.lit(0).cast("bigint")).otherwise(F.xxhash64(text))
