@@ -8,7 +8,8 @@ probability equal to the generalised Jaccard similarity of their word counts, su
 of minima over sum of maxima.  A fingerprint is the ``SAMPLES`` samples, 32 bits each.
 
 Rows are dealt out once by ranges of doc_id; word counts, minima and each row's
-successor are then computed inside a range without another shuffle of texts.
+successor are then computed inside a range without another shuffle of texts.  Inside a range
+a word's draws are made once, and what most words need (weight 1) is a look-up.
 
 Null texts count as empty; a text without words has the fingerprint of zeros, and two
 such are alike (1.0).  Rows of equal doc_id follow one another in the order of a hash
@@ -26,10 +27,14 @@ from pyspark.sql import functions as F
 from cadenza.llm.shared import shuffle_width
 
 SAMPLES = 64
+#: Samples drawn, and kept as minima, in one row.
+TOGETHER = 16
 #: Words ``[^\x20\x09-\x0D]+``.
 SPACES = r"[\x20\x09-\x0D]+"
 _21 = (1 << 21) - 1
 _32 = (1 << 32) - 1
+#: An odd factor that spreads u over the bits of an identity (u stays below 2^27).
+_SPREAD = 0x9E3779B1
 
 
 def _uniform(h: Column, part: int) -> Column:
@@ -37,17 +42,27 @@ def _uniform(h: Column, part: int) -> Column:
     return (F.shiftrightunsigned(h, 21 * part).bitwiseAND(F.lit(_21)) + F.lit(0.5)) / F.lit(float(1 << 21))
 
 
-def sample(term: Column, ln_weight: Column, k: int) -> Column:
+def draws(term: Column, k: Column) -> dict[str, Column]:
+    """What sample k draws of a term, whatever its weight: identity ``h``, gamma ``r``, uniform ``b``, ``ln c``."""
+    h = F.xxhash64(term, k)
+    g = F.xxhash64(h, F.lit(-1) - k)
+    return {"h": h, "r": -F.ln(_uniform(h, 0) * _uniform(h, 1)), "b": _uniform(h, 2), "ln_c": F.ln(-F.ln(_uniform(g, 0) * _uniform(g, 1)))}
+
+
+def _packed(ln_a: Column, who: Column) -> Column:
     """``ln a`` (upper 32 bits, fixed point) and the identity of (t, u) (lower 32 bits) as one long."""
-    h = F.xxhash64(term, F.lit(k))
-    g = F.xxhash64(h, F.lit(-1 - k))
-    r = -F.ln(_uniform(h, 0) * _uniform(h, 1))
-    b = _uniform(h, 2)
-    ln_c = F.ln(-F.ln(_uniform(g, 0) * _uniform(g, 1)))
-    u = F.floor(ln_weight / r + b)
-    ln_a = ln_c - r * (u - b + F.lit(1.0))
-    who = F.xxhash64(h, u).bitwiseAND(F.lit(_32))
-    return F.shiftleft((ln_a * F.lit(float(1 << 24))).cast("bigint"), 32).bitwiseOR(who)
+    return F.shiftleft((ln_a * F.lit(float(1 << 24))).cast("bigint"), 32).bitwiseOR(who.bitwiseAND(F.lit(_32)))
+
+
+def sample(drawn: dict[str, Column], ln_weight: Column) -> Column:
+    """The packed sample of a term of this weight."""
+    u = F.floor(ln_weight / drawn["r"] + drawn["b"])
+    return _packed(drawn["ln_c"] - drawn["r"] * (u - drawn["b"] + F.lit(1.0)), drawn["h"].bitwiseXOR(u * F.lit(_SPREAD)))
+
+
+def once(drawn: dict[str, Column]) -> Column:
+    """The packed sample of a term of weight 1 (``u`` is 0 then)."""
+    return _packed(drawn["ln_c"] - drawn["r"] * (F.lit(1.0) - drawn["b"]), drawn["h"])
 
 
 def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
@@ -56,12 +71,35 @@ def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
     return reduce(add, same) / F.lit(float(samples))
 
 
-def fingerprints(terms: DataFrame, by: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``by`` and ``fingerprint`` of each group of ``terms`` (``by``, ``term`` a long), with repeats as weights."""
+def fingerprints(terms: DataFrame, by: list[str], samples: int = SAMPLES, part: str | None = None) -> DataFrame:
+    """``by`` and ``fingerprint`` of each group of ``terms`` (``by``, ``term`` a long), with repeats as weights.
+
+    ``part``: a column of ``by`` that the rows are dealt out by.  A term's draws, which do not depend on its
+    weight, are then made once for all documents of a part, where its rows already are.
+    """
     weighted = terms.groupBy(*by, "term").agg(F.ln(F.count(F.lit(1)).cast("double")).alias("ln_w"))
-    least = weighted.groupBy(*by).agg(*[F.min(sample(F.col("term"), F.col("ln_w"), k)).alias(f"s{k}") for k in range(samples)])
-    text = F.concat(*[F.lpad(F.lower(F.hex(F.col(f"s{k}").bitwiseAND(F.lit(_32)))), 8, "0") for k in range(samples)])
-    return least.select(*by, text.alias("fingerprint"))
+    key = [part] if part else []
+    kept = [c for c in by if c != part]
+    lists = weighted.groupBy(*key, "term").agg(F.collect_list(F.struct(*kept, "ln_w")).alias("held"))
+    # a few samples to a row: expressions over all of them would be too long for the JVM to compile
+    step = min(TOGETHER, samples)
+    lists = lists.withColumn("_from", F.explode(F.array(*[F.lit(k) for k in range(0, samples, step)])))
+    every = [draws(F.col("term"), F.col("_from") + F.lit(j)) for j in range(step)]
+    drawn = {n: F.array(*[d[n] for d in every]).alias(f"_{n}") for n in ("h", "r", "b", "ln_c")}
+    names = [*key, "_from", *[f"_{n}" for n in drawn], "_once"]
+    rows = lists.select(*key, "_from", *drawn.values(), F.array(*[once(d) for d in every]).alias("_once"), "held")
+    rows = rows.select(*names, F.explode("held").alias("_e")).select(*names, "_e.*")
+
+    def value(j: int) -> Column:
+        return F.when(F.col("ln_w") == 0, F.get("_once", F.lit(j))).otherwise(
+            sample({n: F.get(f"_{n}", F.lit(j)) for n in drawn}, F.col("ln_w")))
+
+    least = rows.groupBy(*by, "_from").agg(*[F.min(value(j)).alias(f"s{j}") for j in range(step)])
+    text = F.concat_ws("", *[F.when(F.col("_from") + F.lit(j) < samples, F.lpad(F.lower(F.hex(F.col(f"s{j}").bitwiseAND(F.lit(_32)))), 8, "0"))
+                             for j in range(step)])
+    parts = least.select(*by, F.struct("_from", text.alias("text")).alias("part"))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list("part")), lambda x: x["text"]), "")
+    return parts.groupBy(*by).agg(whole.alias("fingerprint"))
 
 
 def _dealt(docs: DataFrame, buckets: int) -> DataFrame:
@@ -116,7 +154,7 @@ def with_neighbours(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     terms = (rows.select("bucket", "rn", F.explode(entries).alias("x"))
              .select("bucket", "rn", F.col("x.kind").alias("kind"), F.col("x.info").alias("info"), F.explode(F.split("x.t", SPACES)).alias("word"))
              .filter("word != '' or kind = 2").select("bucket", "rn", "kind", "info", F.xxhash64("word").alias("term")))
-    prints = fingerprints(terms, ["bucket", "rn", "kind", "info"], samples)
+    prints = fingerprints(terms, ["bucket", "rn", "kind", "info"], samples, "bucket")
     none = F.lit("0" * 8 * samples)
     found = prints.groupBy("bucket", "rn").agg(
         F.coalesce(F.max(F.when(F.col("kind") == 0, F.col("fingerprint"))), none).alias("fingerprint"),
