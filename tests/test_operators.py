@@ -286,3 +286,18 @@ def test_fit_partitions_follow_the_rows_alone(spark):
     assert partitions_for(spark.range(100)) == 1
     assert partitions_for(spark.range(60_000)) == 6
     assert partitions_for(spark.range(600_000)) == 8
+
+
+def test_equal_posts_meet_their_candidates_once(spark):
+    """Posts of one title share its scored candidates; a missing second part matches nothing else; ids stay."""
+    from cadenza.operators.matching import match_posts
+
+    cat = [("b", i, f"song {i % 4}", "b", i) for i in range(40)]
+    catalogue = spark.createDataFrame(cat, "block string, track_id int, track_name string, artists_name string, rank_key int")
+    posts = [(i, f"song {i % 3} - b", "b", 1, i, f"song {i % 3}", "b") for i in range(60)] + [(99, "song 1", "b", 1, 99, "song 1", None), (98, "b song 1", "b", 1, 98, "b", None)]
+    df = spark.createDataFrame(posts, "post_id int, title string, block string, ord int, pos int, part0 string, part1 string")
+    got = match_posts(df, catalogue)
+    assert {(x["post_id"], x["track_id"], x["cand_rank"]) for x in got.collect()} == {(i, i % 3, 1) for i in range(60)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if "ArrowEvalPython" in line)
+    assert not [line for line in plan[at + 1:at + 3] if "post_id" in line]
