@@ -8,7 +8,8 @@ append ``bad`` to a quarantine table partitioned by run date.
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +18,16 @@ from pyspark.sql import types as T
 _CORRUPT = "_corrupt_record"
 
 
-class Checked(NamedTuple):
+@dataclass(frozen=True)
+class Checked:
+    """``good, bad = check_...`` unpacks too; ``told`` has every row (see ``check_json``), for those who use both in one pass."""
+
     good: DataFrame
     bad: DataFrame
+    told: DataFrame | None = None
+
+    def __iter__(self) -> Iterator[DataFrame]:
+        return iter((self.good, self.bad))
 
 
 def check_csv(spark: SparkSession, path: str, schema: T.StructType) -> Checked:
@@ -76,20 +84,25 @@ def check_json(lines: DataFrame, schema: T.StructType, text: str = "value") -> C
     Bad: text that is not a JSON object, and objects with a value, at any depth, that is not of its type.
     ``good`` has the other columns of ``lines``, the columns of ``schema`` and ``unknown`` (map of name to
     VARIANT: top-level fields the schema does not name, null if none); ``bad`` has the other
-    columns, ``raw`` and ``reasons``.
+    columns, ``raw`` and ``reasons``.  ``told`` has the other columns, ``raw``, ``reasons`` (empty if good),
+    ``row`` (struct of the columns of ``schema``, null if bad) and ``unknown``.
     """
     carried = [c for c in lines.columns if c != text]
     names = [f.name for f in schema.fields]
-    parsed = lines.select(*carried, F.col(text).alias("raw"), F.from_json(text, "map<string,variant>").alias("_fields"),
-                          F.try_parse_json(text).alias("_all"))
-    wrong = [r for f in schema.fields for r in _misfits(F.try_variant_get("_all", _path(f.name), "variant"), f.dataType, f.name)]
+    # what a generator gives is computed once per row, however many filters and columns above it use it
+    parsed = lines.select(*carried, F.col(text).alias("raw"), F.inline_outer(F.array(F.struct(
+        F.from_json(text, "map<string,variant>").alias("_fields"), F.try_parse_json(text).alias("_all")))))
+    values = [F.try_variant_get("_all", _path(f.name), "variant").alias(f"_v{i}") for i, f in enumerate(schema.fields)]
+    parsed = parsed.select(*carried, "raw", "_fields", "_all", F.inline_outer(F.array(F.struct(*values))))
+    wrong = [r for i, f in enumerate(schema.fields) for r in _misfits(F.col(f"_v{i}"), f.dataType, f.name)]
     reasons = F.when(F.col("_fields").isNull(), F.array(F.lit("row: not a JSON object"))).otherwise(F.array_compact(F.array(*wrong)))
     unknown = F.map_filter("_fields", lambda k, v: ~k.isin(names))
     told = parsed.withColumns({"reasons": reasons, "unknown": F.when(F.size(unknown) > 0, unknown)})
     typed = [F.try_variant_get("_all", _path(f.name), f.dataType.simpleString()).alias(f.name) for f in schema.fields]
     good = told.where(F.size("reasons") == 0).select(*carried, *typed, "unknown")
     bad = told.where(F.size("reasons") > 0).select(*carried, "raw", "reasons")
-    return Checked(good, bad)
+    row = F.when(F.size("reasons") == 0, F.struct(*typed)).alias("row")
+    return Checked(good, bad, told.select(*carried, "raw", "reasons", row, "unknown"))
 
 
 def _path(name: str) -> str:

@@ -151,3 +151,16 @@ def test_post_frame_order(spark):
                                   "created_utc:double,link_flair_text:string>>>>")
     got = feed_posts(pages, F.lit("x")).repartition(3).orderBy("source", "page", "pos").collect()
     assert [(r["pos"], r["post_id"]) for r in got] == [(0, "p4"), (1, "p1"), (2, "p3")]
+
+
+def test_json_is_parsed_once_a_row(spark):
+    lines = spark.createDataFrame([(1, '{"a": 1, "b": {"c": "x"}}'), (2, '{"a": "x"}'), (3, "{"), (4, '{"a": 2, "z": [1]}'), (5, None)], "k int, value string")
+    got = CK.check_json(lines, T.StructType.fromDDL("a int, b struct<c:string>"))
+    for df in (got.good, got.bad, got.told):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parse_json(") + plan.count("parseJson") <= 1 and plan.count("from_json(") <= 1
+    good, bad = got
+    told = {x["k"]: x for x in got.told.select("k", "row", "reasons", F.to_json(F.map_keys("unknown")).alias("names")).collect()}
+    assert {k for k, x in told.items() if not x["reasons"]} == {x["k"] for x in good.collect()} == {1, 4}
+    assert {k: x["reasons"] for k, x in told.items() if x["reasons"]} == {x["k"]: x["reasons"] for x in bad.collect()}
+    assert told[1]["row"] == (1, ("x",)) and told[2]["row"] is None and told[4]["names"] == '["z"]'
