@@ -67,3 +67,10 @@ def test_exact_name_goes_first_and_misspelt_names_match(spark):
     assert [x["track_id"] for x in first] == [99]
     assert {x["post_id"]: x["track_id"] for x in match_posts(posts, catalogue).collect()} == {1: 99}
     assert {x["post_id"]: x["track_id"] for x in match_posts(posts, catalogue, fuzzy_rate=0.3).collect()} == {1: 99, 2: 50}
+
+
+def test_bigrams_are_made_of_distinct_strings(spark):
+    """Of an inner explode Spark infers a filter on the bigrams and moves it below the distinct, to every row read."""
+    rows = spark.range(100).select(F.lit("b").alias("block"), F.concat(F.lit("name "), F.col("id") % 3).alias("part0"))
+    plan = fuzzy_pairs(rows, rows.withColumnRenamed("part0", "track_name"))._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "array_sort" in line]
