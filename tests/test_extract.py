@@ -110,3 +110,19 @@ def test_landed_without_run_dates_is_read_whole(spark, tmp_path):
     path = str(tmp_path / "features")
     (spark.createDataFrame([("t1",), ("t2",)], "track_id string").write.json(path))
     assert L.landed(spark, L.AUDIO_SCHEMA, path, "2024-01-15").count() == 2
+
+
+def test_search_results_are_made_per_brand(spark):
+    """A brand's list is collected once; posts are neither paired with ten tracks each nor grouped again."""
+    from cadenza.plans import standins as S
+
+    sf = "/root/testdata/sf0.001"
+    part = S.table(spark, sf, "part")
+    got = S.search_results(S.extract_posts(spark, sf), part)
+    plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [line for line in plan if "Aggregate [post_id" in line]
+    brand = {f"p{x['p_partkey']}": x["p_brand"] for x in part.collect()}
+    first = {}
+    for key, b in sorted((x["p_partkey"], x["p_brand"]) for x in part.collect()):
+        first.setdefault(b, []).append(f"t{key}")
+    assert {x["post_id"]: [t["id"] for t in x["tracks"]["items"]] for x in got.collect()} == {k: first[b][:10] for k, b in brand.items()}
