@@ -9,13 +9,14 @@ whole nodes, then single pairs, and what is left is verified on the sets.
 
 Work is dealt out like this:
 
-1. one pass counts shingles in a fixed-size table of hash buckets (an order from
-   rare to frequent that every task shares; any order keeps the join exact);
-2. each set's rarest ``n - ceil(t n) + 1`` shingles are its prefix: two sets with
-   similarity ``t`` share a shingle of both prefixes.  Prefix rows meet by shingle;
-3. a shingle of few classes gives its pairs, pruned by the points' bound; a
-   shingle of many classes only ties them to its first class.  Components of these
-   ties are neighbourhoods that no linked pair can leave;
+1. one pass counts shingles in a table of hash buckets that grows with the texts (an
+   order from rare to frequent that every task shares; any order keeps the join exact);
+2. each set's rarest ``n - ceil(t n) + l`` shingles are its prefix: two unlike sets with
+   similarity ``t`` share ``l`` shingles of both prefixes (``least_shared``).  Prefix rows
+   meet by shingle (56 bits of it) and by size;
+3. a shingle of few classes gives its pairs; those met ``l`` times are pruned by the
+   points' bound.  A shingle of many classes only ties them to the first of their size
+   band.  Components of these ties are neighbourhoods that no linked pair can leave;
 4. each neighbourhood, cut into tiles of bounded size, is joined through an R-tree
    per task; verified links (a spanning forest of them) give the components.
 
@@ -32,14 +33,17 @@ from pyspark.sql import functions as F
 
 from cadenza.llm import words as W
 from cadenza.llm.components import components
-from cadenza.llm.shared import cut, give_back, shuffle_width, signed, text_key, written
+from cadenza.llm.shared import added_up, cut, give_back, landed, may_hold, shuffle_width, signed, text_key
 
 SHINGLE = 5
 #: A link is ``100 * intersection >= 75 * union``.
 NUM, DEN = 75, 100
-#: Buckets of the shingle-frequency table (8 MB on the driver and in each worker).
-BUCKET_BITS = 20
-_CHUNK = 1 << 12
+#: Bytes of text for a bucket of the shingle-frequency table, and that table's least and most bits (32 MB on the driver and in
+#: each worker, four times that in a task that counts).
+BUCKET_BYTES = 800
+LEAST_BUCKET_BITS, MOST_BUCKET_BITS = 16, 25
+#: The low bits of a prefix shingle hold the band of its set's size.
+BAND_BITS = 8
 #: Groups of the points that a task compares (coarser points only prune less).
 MAX_GROUPS = 1 << 14
 #: A prefix shingle of more classes than this only ties them to one neighbourhood.
@@ -75,6 +79,16 @@ def point_of(s: np.ndarray, groups: int) -> np.ndarray:
     return np.bincount((s >> shift).astype(np.int64), minlength=groups).astype(np.int32)
 
 
+def packed_point(point: np.ndarray) -> bytes:
+    """A point in the fewest bytes a coordinate."""
+    return point.astype(np.min_scalar_type(int(point.max()))).tobytes()
+
+
+def unpacked_point(data, n: int) -> np.ndarray:
+    """The point of a set of ``n`` shingles."""
+    return np.frombuffer(data, f"u{len(data) // groups_for(n)}")
+
+
 def fold(point: np.ndarray, groups: int) -> np.ndarray:
     return point.reshape(groups, -1).sum(axis=1)
 
@@ -94,40 +108,46 @@ def _set_key(s: np.ndarray) -> np.uint64:
     return W.mix(np.array([W.mix(s).sum(dtype=np.uint64) + np.uint64(len(s))], np.uint64))[0]
 
 
-def bucket_counts(docs: DataFrame, k: int) -> np.ndarray:
-    """Shingles of the whole table per hash bucket: tasks count, the tables are added by Spark."""
-    size = 1 << BUCKET_BITS
+def bucket_bits(docs: DataFrame) -> int:
+    """Bits of a bucket's number: a bucket has about 64 to 128 shingles at any size of the table, up to ``MOST_BUCKET_BITS``.
+
+    In fuller buckets a shingle of many documents looks as rare as any other.
+    """
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(MOST_BUCKET_BITS, max(LEAST_BUCKET_BITS, (size // BUCKET_BYTES).bit_length()))
+
+
+def bucket_ranks(docs: DataFrame, k: int) -> np.ndarray:
+    """Shingles of the whole table per hash bucket as a byte, ``11 log2(1 + count)``: tasks count, Spark adds the tables up."""
+    bits = bucket_bits(docs)
 
     def count(batches):
-        seen = np.zeros(size, np.int64)
+        seen = np.zeros(1 << bits, np.uint32)
         for b in batches:
             for at, to, buf, off in W.text_blocks(b.column(0)):
                 w = W.words(buf, off, W.NOT_SPACE)
                 g = W.ngrams(w.hash, k)[W.inside_rows(w.bounds, k)]
-                seen += np.bincount((g >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=size)
-        for c in range(size // _CHUNK):
-            part = seen[c * _CHUNK: (c + 1) * _CHUNK]
-            if part.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([c], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["chunk", "counts"])
-
-    def merge(batches):
-        totals: dict[int, np.ndarray] = {}
-        for b in batches:
-            for c, v in zip(b.column("chunk").to_pylist(), b.column("counts"), strict=True):
-                part = np.frombuffer(v.as_buffer(), np.int64)
-                totals[c] = totals[c] + part if c in totals else part.copy()
-        for c, v in totals.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([c], pa.int32()), pa.array([v.tobytes()], pa.binary())], names=["chunk", "counts"])
-
-    parts = docs.select("text").mapInArrow(count, "chunk int, counts binary")
-    merged = (parts.repartition(min(shuffle_width(docs.sparkSession), size // _CHUNK), "chunk")
-              .mapInArrow(merge, "chunk int, counts binary"))
-    out = np.zeros(size, np.int64)
-    for c, v in merged.collect():
-        out[c * _CHUNK: (c + 1) * _CHUNK] = np.frombuffer(bytes(v), np.int64)
-    return out
+                bucket, n = np.unique(g >> np.uint64(64 - bits), return_counts=True)
+                seen[bucket.astype(np.int64)] += n.astype(np.uint32)
+        return seen
+
+    def rank(totals):
+        return np.minimum(255, np.rint(11 * np.log2(1.0 + totals))).astype(np.uint8)
+
+    # each task sends a whole table, so their number must not grow with it
+    few = docs.select("text").coalesce(max(64, docs.sparkSession.sparkContext.defaultParallelism))
+    return added_up(few, count, np.int64, np.add, rank)
+
+
+def least_shared(num: int = NUM, den: int = DEN) -> int:
+    """Prefix shingles that two unlike linked sets must share, 3 at most: sets that share fewer reach no more than ``(l - 1) / l``."""
+    return max(x for x in (1, 2, 3) if den * (x - 1) < num * x)
+
+
+def band_of(n: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
+    """Sizes by powers of ``den / num``: linked sets are of one band or of neighbouring ones."""
+    step = max(np.log(den / num), 0.05) * (1 + 1e-9)
+    return np.minimum(255, np.floor(np.log(np.maximum(n, 1)) / step)).astype(np.int64)
 
 
 # ---- tiles: the R-tree join -------------------------------------------------------
@@ -245,10 +265,13 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: i
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    counts = spark.sparkContext.broadcast(bucket_counts(docs, k))
+    ranks = spark.sparkContext.broadcast(bucket_ranks(docs, k))
+    share = least_shared(num, den)
 
     def describe(batches):
-        freq = counts.value
+        rank = ranks.value
+        shift = np.uint64(64 - (len(rank).bit_length() - 1))
+        low = np.int64((1 << BAND_BITS) - 1)
         for b in batches:
             n, key, point, prefix = [], [], [], []
             for _, g in shingles_of(b.column("text"), k):
@@ -259,11 +282,12 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: i
                     point.append(b"")
                     prefix.append(np.empty(0, np.int64))
                     continue
-                point.append(point_of(s, groups_for(len(s))).tobytes())
-                p = len(s) - (-(-num * len(s) // den)) + 1
-                rare = freq[(s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
+                point.append(packed_point(point_of(s, groups_for(len(s)))))
+                p = len(s) - (-(-num * len(s) // den)) + share
+                rare = rank[(s >> shift).astype(np.int64)]
                 # rank by (count, hash): s is sorted, so a stable sort by count is enough
-                prefix.append(signed(s[np.argsort(rare, kind="stable")[:p]]))
+                first = signed(s[np.argsort(rare, kind="stable")[:p]])
+                prefix.append(first & ~low | band_of(np.array([len(s)]), num, den)[0])
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
                 b.column("doc_id"), b.column("text_key"), pa.array(n, pa.int64()),
@@ -274,11 +298,11 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: i
 
     described = docs.withColumn("text_key", text_key(F.col("text"))).mapInArrow(
         describe, "doc_id bigint, text_key bigint, n_shingles bigint, class bigint, point binary, prefix array<bigint>")
-    described = written(described, "jaccard-points")
-    counts.destroy()
+    described = landed(described, "jaccard-points")
+    ranks.destroy()
 
     ties = _ties(described, small_block, num, den)
-    hoods = components(ties).select(F.col("node").alias("class"), F.col("root").alias("hood"))
+    hoods = landed(components(ties).select(F.col("node").alias("class"), F.col("root").alias("hood")), "jaccard-hoods")
     links = _links(docs, described, hoods, k, num, den, tile)
     parts = components(links).select(F.col("node").alias("class"), "root")
 
@@ -296,55 +320,71 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: i
 
 
 def _ties(described: DataFrame, small_block: int, num: int, den: int) -> DataFrame:
-    """Edges ``(a, b)`` between classes: pairs of small blocks that pass the points' bound, ties of large ones."""
+    """Edges ``(a, b)`` between classes: pairs of small blocks that pass the points' bound, ties of large ones.
+
+    A block holds the classes of one prefix shingle whose size bands follow one another without a gap.  Linked classes share
+    ``least_shared`` prefix shingles, so they meet as a pair in as many small blocks, or are tied in a large one.
+    """
     spark = described.sparkSession
     rows = described.filter("n_shingles > 0").select(F.explode("prefix").alias("shingle"), "class")
-    rows = rows.repartition(shuffle_width(spark), "shingle").sortWithinPartitions("shingle", "class")
+    rows = rows.repartition(shuffle_width(spark), F.shiftright("shingle", BAND_BITS)).sortWithinPartitions("shingle", "class")
+    low = (1 << BAND_BITS) - 1
 
     def meet(batches):
-        at, members, spilled, last = None, [], False, None
+        at, top, members, spilled, last, head = None, 0, [], False, None, None
         out_a, out_b, out_s = [], [], []
 
+        def edge(y, x, pair):
+            out_a.append(y)
+            out_b.append(x)
+            out_s.append(pair)
+
         def close():
             if not spilled:
-                for i, x in enumerate(members):
-                    for y in members[:i]:
-                        out_a.append(y)
-                        out_b.append(x)
-                        out_s.append(True)
+                for i, (x, p) in enumerate(members):
+                    for y, q in members[:i]:
+                        if p - q <= 1:
+                            edge(y, x, True)
+
+        def tie(x, band):  # to the first class of its band, which is tied to the one of the band before
+            nonlocal head
+            if head is None or head[1] != band:
+                if head is not None:
+                    edge(head[0], x, False)
+                head = (x, band)
+            else:
+                edge(head[0], x, False)
 
         for b in batches:
-            sh = b.column(0).to_numpy()
+            key = b.column(0).to_numpy()
             cl = b.column(1).to_numpy()
             # runs of one class are passed over quickly
-            n = len(sh)
+            n = len(key)
             if not n:
                 continue
+            sh, bands = key >> BAND_BITS, key & low
             same = np.zeros(n, bool)
-            same[1:] = sh[1:] == sh[:-1]
+            same[1:] = (sh[1:] == sh[:-1]) & (bands[1:] - bands[:-1] <= 1)
             nxt = np.ones(n, bool)
             nxt[:-1] = same[1:]
-            busy = same | nxt  # others of its shingle are in this batch (or may follow)
+            busy = same | nxt  # others of its block are in this batch (or may follow)
             busy[0] = True
             for i in np.flatnonzero(busy).tolist():
-                s, c = int(sh[i]), int(cl[i])
-                if s != at:
+                s, band, c = int(sh[i]), int(bands[i]), int(cl[i])
+                if s != at or band - top > 1:
                     close()
-                    at, members, spilled, last = s, [c], False, c
+                    at, members, spilled, last, head = s, [(c, band)], False, c, None
                 elif c != last:
                     last = c
                     if spilled:
-                        out_a.append(members[0])
-                        out_b.append(c)
-                        out_s.append(False)
+                        tie(c, band)
                     else:
-                        members.append(c)
+                        members.append((c, band))
                         if len(members) > small_block:
                             spilled = True
-                            for y in members[1:]:
-                                out_a.append(members[0])
-                                out_b.append(y)
-                                out_s.append(False)
+                            for x, p in members:
+                                tie(x, p)
+                top = band
             if len(out_a) > 20000:
                 yield _edge_batch(out_a, out_b, out_s)
                 out_a, out_b, out_s = [], [], []
@@ -352,25 +392,29 @@ def _ties(described: DataFrame, small_block: int, num: int, den: int) -> DataFra
         if out_a:
             yield _edge_batch(out_a, out_b, out_s)
 
-    edges = cut(rows.mapInArrow(meet, "a bigint, b bigint, pair boolean").groupBy("a", "b").agg(F.min("pair").alias("pair")))
+    # a pair is the same way round in every block: the class of the smaller band, then the smaller class, comes first
+    edges = rows.mapInArrow(meet, "a bigint, b bigint, pair boolean").groupBy("a", "b").agg(
+        F.min("pair").alias("pair"), F.count(F.lit(1)).alias("shared"))
+    edges = landed(edges.filter(~F.col("pair") | (F.col("shared") >= least_shared(num, den))), "jaccard-edges")
     points = described.filter("n_shingles > 0").select("class", "n_shingles", "point")
     ends = edges.filter("pair").select(F.explode(F.array("a", "b")).alias("class")).distinct()
     # grouped before the join, so the rows of a much copied class are put together where they are read
     points = points.groupBy("class").agg(F.max("n_shingles").alias("n"), F.max("point").alias("point"))
-    points = cut(points.join(ends, "class"))
+    points = landed(points.join(ends, "class"), "jaccard-ends")
     pairs = (edges.filter("pair")
              .join(points.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa")), "a")
              .join(points.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb")), "b"))
 
     def bounded(batches):
         for b in batches:
-            need = least_overlap(b.column("na").to_numpy(), b.column("nb").to_numpy(), num, den)
-            keep = [overlap_bound(np.frombuffer(x.as_buffer(), np.int32), np.frombuffer(y.as_buffer(), np.int32)) >= t
-                    for x, y, t in zip(b.column("pa"), b.column("pb"), need.tolist(), strict=True)]
+            na, nb = b.column("na").to_numpy(), b.column("nb").to_numpy()
+            need = least_overlap(na, nb, num, den)
+            keep = [overlap_bound(unpacked_point(x.as_buffer(), m), unpacked_point(y.as_buffer(), n)) >= t
+                    for x, y, m, n, t in zip(b.column("pa"), b.column("pb"), na.tolist(), nb.tolist(), need.tolist(), strict=True)]
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     pairs = pairs.filter(F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
-    return edges.filter("not pair").select("a", "b").union(pairs.mapInArrow(bounded, "a bigint, b bigint"))
+    return landed(edges.filter("not pair").select("a", "b").union(pairs.mapInArrow(bounded, "a bigint, b bigint")), "jaccard-ties")
 
 
 def _edge_batch(a, b, pair) -> pa.RecordBatch:
@@ -380,12 +424,15 @@ def _edge_batch(a, b, pair) -> pa.RecordBatch:
 
 def _links(docs: DataFrame, described: DataFrame, hoods: DataFrame, k: int, num: int, den: int, tile: int) -> DataFrame:
     """Verified links ``(a, b)`` between classes, a spanning forest of each pair of tiles."""
-    hoods = cut(hoods)
     tiles = hoods.groupBy("hood").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("tiles"))
     # one document stands for each class; its text is read again for the set
     reps = (described.filter("n_shingles > 0").groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"))
             .join(hoods, "class").join(tiles, "hood").select("class", "hood", "tiles", "rep.doc_id", "rep.text_key"))
+    reps = landed(reps, "jaccard-reps")
     texts = docs.withColumn("text_key", text_key(F.col("text")))
+    # few texts are asked for: the others stay out of the shuffle
+    row_key = F.xxhash64("doc_id", "text_key")
+    texts = texts.filter(may_hold(reps.select(row_key))(row_key))
     on = texts.doc_id.eqNullSafe(reps.doc_id) & (texts.text_key == reps.text_key)
     chosen = texts.join(reps, on).select("class", "hood", "tiles", "text")
 
@@ -422,4 +469,4 @@ def _links(docs: DataFrame, described: DataFrame, hoods: DataFrame, k: int, num:
         return pa.table({"a": pa.array([int(ids[x]) for x, _ in found], pa.int64()),
                          "b": pa.array([int(ids[y]) for _, y in found], pa.int64())})
 
-    return placed.groupBy("hood", "lo", "hi").applyInArrow(join_tile, "a bigint, b bigint")
+    return landed(placed.groupBy("hood", "lo", "hi").applyInArrow(join_tile, "a bigint, b bigint"), "jaccard-links")
