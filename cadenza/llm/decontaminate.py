@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadenza.llm import words as W
+from cadenza.llm.shared import giving_back
 
 SPAN = 13
 KGRAM = 6
@@ -191,7 +192,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: in
                 yield pa.RecordBatch.from_arrays(
                     [*b.select(keep).columns, pa.array(n, pa.int64()), pa.array(runs, run_type), pa.array(which, pa.list_(pa.string()))],
                     names=[*keep, "n_words", "runs", "items"])
-        return run
+        return giving_back(run)
 
     blocks = item_blocks(benchmark, block_bytes)
     if isinstance(blocks, list):

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from cadenza.llm import words as W
 from cadenza.llm.components import components
-from cadenza.llm.shared import added_up, cut, give_back, landed, may_hold, shuffle_width, signed, text_key
+from cadenza.llm.shared import added_up, cut, give_back, giving_back, landed, may_hold, shuffle_width, signed, text_key
 
 SHINGLE = 5
 #: A link is ``100 * intersection >= 75 * union``.
@@ -51,6 +51,8 @@ SMALL_BLOCK = 32
 #: Classes in a tile; a task holds the sets of two tiles.
 TILE = 384
 LEAF = 32
+#: Shingles of a task's sets from which its memory is given back at once.
+GIVE_BACK = 1 << 18
 
 
 # ---- sets, points, prefixes ------------------------------------------------------
@@ -294,10 +296,9 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: i
                 pa.array(signed(np.array(key, np.uint64)), pa.int64()), pa.array(point, pa.binary()),
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*prefix, np.empty(0, np.int64)])))],
                 names=["doc_id", "text_key", "n_shingles", "class", "point", "prefix"])
-        give_back()
 
     described = docs.withColumn("text_key", text_key(F.col("text"))).mapInArrow(
-        describe, "doc_id bigint, text_key bigint, n_shingles bigint, class bigint, point binary, prefix array<bigint>")
+        giving_back(describe), "doc_id bigint, text_key bigint, n_shingles bigint, class bigint, point binary, prefix array<bigint>")
     described = landed(described, "jaccard-points")
     ranks.destroy()
 
@@ -393,7 +394,7 @@ def _ties(described: DataFrame, small_block: int, num: int, den: int) -> DataFra
             yield _edge_batch(out_a, out_b, out_s)
 
     # a pair is the same way round in every block: the class of the smaller band, then the smaller class, comes first
-    edges = rows.mapInArrow(meet, "a bigint, b bigint, pair boolean").groupBy("a", "b").agg(
+    edges = rows.mapInArrow(giving_back(meet), "a bigint, b bigint, pair boolean").groupBy("a", "b").agg(
         F.min("pair").alias("pair"), F.count(F.lit(1)).alias("shared"))
     edges = landed(edges.filter(~F.col("pair") | (F.col("shared") >= least_shared(num, den))), "jaccard-edges")
     points = described.filter("n_shingles > 0").select("class", "n_shingles", "point")
@@ -414,7 +415,7 @@ def _ties(described: DataFrame, small_block: int, num: int, den: int) -> DataFra
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     pairs = pairs.filter(F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
-    return landed(edges.filter("not pair").select("a", "b").union(pairs.mapInArrow(bounded, "a bigint, b bigint")), "jaccard-ties")
+    return landed(edges.filter("not pair").select("a", "b").union(pairs.mapInArrow(giving_back(bounded), "a bigint, b bigint")), "jaccard-ties")
 
 
 def _edge_batch(a, b, pair) -> pa.RecordBatch:
@@ -451,7 +452,7 @@ def _links(docs: DataFrame, described: DataFrame, hoods: DataFrame, k: int, num:
             yield pa.RecordBatch.from_arrays([b.column("class"), b.column("hood"), b.column("tiles"), pa.array(sets, pa.binary())],
                                              names=["class", "hood", "tiles", "shingles"])
 
-    sets = chosen.mapInArrow(sets_of, "class bigint, hood bigint, tiles int, shingles binary")
+    sets = chosen.mapInArrow(giving_back(sets_of), "class bigint, hood bigint, tiles int, shingles binary")
     own = F.pmod(F.xxhash64("class"), F.col("tiles")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
     placed = (sets.withColumn("own", own).withColumn("other", other)
@@ -466,6 +467,8 @@ def _links(docs: DataFrame, described: DataFrame, hoods: DataFrame, k: int, num:
         sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in t.column("shingles")]
         side = None if key[1].as_py() == key[2].as_py() else (own == key[1].as_py()).astype(np.int8)
         found = join_sets(sets, side, num, den)
+        if sum(len(s) for s in sets) > GIVE_BACK:
+            give_back()
         return pa.table({"a": pa.array([int(ids[x]) for x, _ in found], pa.int64()),
                          "b": pa.array([int(ids[y]) for _, y in found], pa.int64())})
 

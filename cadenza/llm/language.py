@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadenza.llm import words as W
-from cadenza.llm.shared import give_back
+from cadenza.llm.shared import giving_back
 
 UND = "und"
 MIN_RATE = 1e-5
@@ -149,7 +149,7 @@ def count_trigrams(rows: DataFrame) -> DataFrame:
         yield from out()
 
     rows = rows.filter("lang is not null and text is not null").select("lang", "text")
-    return rows.mapInArrow(count, "lang string, code bigint, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(giving_back(count), "lang string, code bigint, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
 def fit(rows: DataFrame, min_rate: float = MIN_RATE, share: float = SHARE, bits: int = SLOT_BITS, probes: int = PROBES) -> Model:
@@ -200,10 +200,9 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                 score += np.where(none, 0.0, s[np.arange(to - at), best]).tolist()
             yield pa.RecordBatch.from_arrays([*b.select(keep).columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                                              names=[*keep, "lang_pred", "score"])
-        give_back()
 
     base = docs.select(*[F.col(f"`{c}`") for c in keep], *([] if text in keep else [F.col("text").alias(text)]))
-    return base.mapInArrow(run, T.StructType([*base.schema.fields[:len(keep)], T.StructField("lang_pred", T.StringType()),
+    return base.mapInArrow(giving_back(run), T.StructType([*base.schema.fields[:len(keep)], T.StructField("lang_pred", T.StringType()),
                                               T.StructField("score", T.DoubleType())]))
 
 

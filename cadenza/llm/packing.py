@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from cadenza.llm import words as W
-from cadenza.llm.shared import give_back
+from cadenza.llm.shared import giving_back
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the split pattern that belongs to the vocabulary files.
@@ -234,9 +234,8 @@ def packed(docs: DataFrame, tokenizer: str = TOKENIZER, seq_len: int = SEQ_LEN,
                         yield from flush()
         yield from flush()
         encoder.known.clear()
-        give_back()
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(giving_back(run), SCHEMA)
 
 
 def segments(matrices: DataFrame) -> DataFrame:

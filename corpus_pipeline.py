@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cadenza.llm import decontaminate, language, mixing, packing
 from cadenza.llm.jaccard_join import jaccard_components
-from cadenza.llm.shared import table, text_key, written
+from cadenza.llm.shared import landed, may_hold, table, text_key, written
 from cadenza.session import ship_package
 
 #: A document whose language explains less of it than this, measured by the language's own text, is rejected.
@@ -53,21 +53,25 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents without words belong to no group and stay.
     """
     ship_package(spark)
-    found = jaccard_components(docs)
-    first = (found.filter("n_shingles > 0").groupBy("root")
-             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"))
-             .select("first.doc_id", F.col("first.text_key").alias("key")))
+    found = landed(jaccard_components(docs).filter("n_shingles > 0").select("doc_id", "text_key", "root"), "dedup-found")
+    named = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    rows = found.groupBy("root", named.alias("name")).agg((F.count(F.lit(1)) > 1).alias("repeated"))
+    first = found.groupBy("root").agg(F.min(named).alias("first"))
+    # rows that go, or are there more than once: all others stay as they are, and only texts that may be of these are shuffled
+    doubtful = landed(rows.join(first, "root").withColumn("stays", F.col("name").eqNullSafe(F.col("first")))
+                      .filter("repeated or not stays").select("name.*", "stays"), "dedup-doubtful")
 
     def keyed(rows, doc_id):  # a null id as two plain columns, so that one shuffle of the texts serves join and repeats
         return rows.withColumns({"none": doc_id.isNull(), "id": F.coalesce(doc_id, F.lit(0))})
 
     keys = ["none", "id", "key"]
-    first = keyed(first, F.col("doc_id")).select(keys)
+    stays = keyed(doubtful.withColumnRenamed("text_key", "key"), F.col("doc_id")).select(*keys, "stays")
     parted = _parted(docs)
     has_words = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    texts = keyed(parted.filter(has_words).withColumn("key", text_key(F.col("text"))), F.col("rest.doc_id"))
-    kept = texts.join(first, keys, "left_semi").dropDuplicates(keys)
-    return _whole(kept, docs.columns).union(_whole(parted.filter(~has_words), docs.columns))
+    texts = keyed(parted.withColumn("key", text_key(F.col("text"))), F.col("rest.doc_id"))
+    may_be = may_hold(stays.select(F.xxhash64(*keys)))(F.xxhash64(*keys))
+    checked = texts.filter(has_words).filter(may_be).join(stays, keys, "left").filter("stays is null or stays").dropDuplicates(keys)
+    return _whole(texts.filter(~has_words | ~may_be), docs.columns).union(_whole(checked, docs.columns))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import os
 import numpy as np
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cadenza.llm import jaccard_join as J
 from cadenza.llm.shared import landed, may_hold
 
@@ -82,3 +83,18 @@ def test_may_hold_loses_no_key_and_passes_few_others(spark):
     assert set(range(0, 20_000, 10)) <= set(got) and len(got) < 2_000 + 0.03 * 18_000
     none = may_hold(rows.limit(0).select("key"))
     assert rows.filter(none(F.col("key"))).count() == 0
+
+
+def test_dedup_stage_shuffles_only_texts_in_doubt(spark):
+    def text(name):
+        return " ".join(f"{name}{i}" for i in range(30))
+
+    # 300 texts that stay, two near copies, one row there twice, one row without words
+    rows = [(i, text(f"w{i}x")) for i in range(300)] + [(900, text("w5x") + " tail"), (901, text("w6x") + " tail"), (7, text("w7x")), (902, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = corpus_pipeline.dedup_stage(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [*range(300), 902]
+    # both branches, the texts that stay and those that are looked up, meet the filter
+    plan = kept._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("ArrowEvalPython") == 2
